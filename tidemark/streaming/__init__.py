@@ -1,0 +1 @@
+"""Structured Streaming forms of the operators. Every sink is keyed by batch, so replays are safe."""
