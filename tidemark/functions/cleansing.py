@@ -37,19 +37,24 @@ def form_trim(text: Column | str) -> Column:
     return F.btrim(_col(text), F.lit(FORM_BLANKS))
 
 
+# A backslash-zero whose backslash is not itself escaped: an even run comes before it.
+_NUL_MARK = r"(?<!\\)((?:\\\\)*)\\0"
+_ESCAPED = r"(?s)\\(.?)"
+
+
 def strip_slashes(text: Column | str) -> Column:
     r"""Drop each escaping backslash: ``\\`` gives one, ``\0`` gives NUL.
 
-    Splitting on the doubled backslash pairs them left to right; what is left of
-    single ones in each piece is an escape mark.
+    Only texts with one of those two need the patterns; single marks just go.
     """
     text = _col(text)
-
-    def unescape(piece: Column) -> Column:
-        return F.replace(F.replace(piece, F.lit("\\0"), F.lit("\0")), F.lit("\\"), F.lit(""))
-
-    pieces = F.transform(F.split(text, r"\\\\"), unescape)
-    return F.when(F.contains(text, F.lit("\\")), F.array_join(pieces, "\\")).otherwise(text)
+    marked = F.regexp_replace(text, _NUL_MARK, "$1\0")
+    special = F.contains(text, F.lit("\\\\")) | F.contains(text, F.lit("\\0"))
+    return (
+        F.when(~F.contains(text, F.lit("\\")), text)
+        .when(special, F.regexp_replace(marked, _ESCAPED, "$1"))
+        .otherwise(F.replace(text, F.lit("\\"), F.lit("")))
+    )
 
 
 def escape_markup(text: Column | str, escape_single_quote: bool = True) -> Column:

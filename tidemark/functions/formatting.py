@@ -38,18 +38,21 @@ def _minus(value: Column) -> Column:
 
 
 def _compact(value: Column, short: str, grouped: str) -> Column:
-    """Scale by the first unit whose *rounded* quotient stays below 1000; the last takes the rest."""
-    number = suffix = None
-    for size, name in UNITS[:-1]:
-        quotient = F.round(value / size, 2)
-        fits = quotient < 1000
-        number = F.when(fits, quotient) if number is None else number.when(fits, quotient)
-        suffix = F.when(fits, F.lit(name)) if suffix is None else suffix.when(fits, F.lit(name))
-    size, name = UNITS[-1]
-    number = number.otherwise(F.round(value / size, 2))
-    suffix = suffix.otherwise(F.lit(name))
-    digits = F.when(number >= 10000, _pattern(number, grouped)).otherwise(_pattern(number, short))
-    return F.concat(digits, suffix)
+    """Scale by the first unit whose *rounded* quotient stays below 1000; the last takes the rest.
+
+    A quotient rounds to 1000.00 from 999.995 on, so one comparison per unit finds the
+    unit, and only the chosen quotient is rounded. The pattern groups from 10,000 on.
+    """
+    *smaller, (last_size, last_suffix) = UNITS
+    size = suffix = F
+    for unit, name in smaller:
+        fits = value / unit < 999.995
+        size, suffix = size.when(fits, F.lit(unit)), suffix.when(fits, F.lit(name))
+    number = F.round(value / size.otherwise(F.lit(last_size)), 2)
+    pattern = F.when(value / last_size >= 9999.995, F.lit(grouped)).otherwise(F.lit(short))
+    return F.concat(
+        F.call_function("format_number", number, pattern), suffix.otherwise(F.lit(last_suffix))
+    )
 
 
 def format_compact_currency(value: Column | str) -> Column:

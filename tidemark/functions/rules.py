@@ -7,6 +7,8 @@ form are evaluated in one projection; nothing here shuffles.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -200,8 +202,11 @@ def violations(rules: list[Rule]) -> Column:
     return F.filter(found, lambda v: v.isNotNull()).cast(VIOLATIONS)
 
 
-def has_no_block(found: Column) -> Column:
-    return ~F.exists(found, lambda v: v["severity"] == BLOCKS)
+def passes(rules: list[Rule]) -> Column:
+    """No blocking rule is broken. Reads the rules themselves, so that a filter on it
+    needs no violations array."""
+    broken = [F.coalesce(r.broken, F.lit(False)) for r in rules if r.severity == BLOCKS]
+    return ~reduce(or_, broken)
 
 
 def message_text(found: Column, fields: tuple[str, ...] | None = None, end: str = "") -> Column:

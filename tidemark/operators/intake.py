@@ -11,7 +11,6 @@ from tidemark.functions.cleansing import (
     clean_unescaped,
     clean_input,
     digest,
-    is_empty,
     lower_email,
 )
 from tidemark.operators.identity import EXACTLY_ONE, is_duplicate, with_match_counts
@@ -31,12 +30,15 @@ def _clean(fields: tuple[str, ...]) -> dict[str, Column]:
 
 
 def _beside_raw(submissions: DataFrame, cleansed: dict[str, Column]) -> DataFrame:
-    """Cleansed fields under their own names, with the raw ones kept beside them."""
+    """Cleansed fields under their own names, with the raw ones kept beside them.
+
+    The one-row ``inline`` keeps cleansing from being repeated: a later filter on the
+    outcome would else be pushed below it with a copy of every cleansing it looks at.
+    """
     others = [c for c in submissions.columns if c not in cleansed]
+    row = F.struct(*[text.alias(name) for name, text in cleansed.items()])
     return submissions.select(
-        *others,
-        *[F.col(name).alias(_RAW + name) for name in cleansed],
-        *[text.alias(name) for name, text in cleansed.items()],
+        *others, *[F.col(name).alias(_RAW + name) for name in cleansed], F.inline(F.array(row))
     )
 
 
@@ -64,26 +66,28 @@ def judge_signups(
     secret_seen = clean["spassword"]
     if mode == r.STRICT:
         secret_seen = clean_unescaped(raw["spassword"])
-    found = r.violations(r.signup_rules(raw, clean, secret_seen, mode))
+    rules = r.signup_rules(raw, clean, secret_seen, mode)
     judged = (
         _beside_raw(submissions, cleansed)
-        .withColumn("violations", found)
-        .withColumn("secret_digest", digest(F.col("conpassword")))
+        .withColumns(
+            {
+                "violations": r.violations(rules),
+                "accepted": r.passes(rules),
+                "secret_digest": digest(F.col("conpassword")),
+            }
+        )
         .drop(*[_RAW + name for name in SIGNUP_FIELDS], *PASSWORD_FIELDS)
     )
     if members is not None:
         taken = F.array(r.violation("V20", "email", r.BLOCKS, r.SIGNUP_MESSAGES["V20"]))
+        known = is_duplicate(match_rule)
+        with_taken = F.when(known, F.concat("violations", taken)).otherwise(F.col("violations"))
         judged = (
             with_match_counts(judged, members)
-            .withColumn(
-                "violations",
-                F.when(is_duplicate(match_rule), F.concat("violations", taken)).otherwise(
-                    F.col("violations")
-                ),
-            )
+            .withColumns({"violations": with_taken, "accepted": F.col("accepted") & ~known})
             .drop("n_matches")
         )
-    return judged.withColumn("accepted", r.has_no_block(F.col("violations")))
+    return judged
 
 
 def judge_contacts(submissions: DataFrame, escape_single_quote: bool = True) -> DataFrame:
@@ -93,12 +97,11 @@ def judge_contacts(submissions: DataFrame, escape_single_quote: bool = True) ->
     cleansed["description"] = F.coalesce(
         clean_input("description", escape_single_quote), F.lit("")
     )
-    found = r.violations(r.contact_rules(_raw(CONTACT_FIELDS), _clean(CONTACT_FIELDS)))
+    rules = r.contact_rules(_raw(CONTACT_FIELDS), _clean(CONTACT_FIELDS))
     return (
         _beside_raw(submissions, cleansed)
-        .withColumn("violations", found)
+        .withColumns({"violations": r.violations(rules), "accepted": r.passes(rules)})
         .drop(*[_RAW + name for name in CONTACT_FIELDS])
-        .withColumn("accepted", r.has_no_block(F.col("violations")))
     )
 
 
@@ -146,13 +149,3 @@ def contact_text() -> Column:
     """All messages, each ended by a literal backslash-n, after a lead; null if accepted."""
     text = r.message_text(F.col("violations"), end="\\n")
     return F.when(~F.col("accepted"), F.concat(F.lit(r.CONTACT_LEAD), text)).alias("message")
-
-
-__all__ = [
-    "contact_text",
-    "is_empty",
-    "judge_contacts",
-    "judge_logins",
-    "judge_signups",
-    "signup_texts",
-]

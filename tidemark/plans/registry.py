@@ -139,28 +139,35 @@ FRESH_SQL = "CASE WHEN event_id % 10 <> 0 THEN ts END"
 
 @query
 def fmt_compact_currency(spark, sf):
-    return c.table(spark, sf, "orders").select(
-        "o_orderkey",
-        fmt.format_compact_currency(F.expr(MONEY_SQL).cast("double")).alias("text"),
+    amounts = c.table(spark, sf, "orders").select(
+        "o_orderkey", F.expr(MONEY_SQL).cast("double").alias("amount")
     )
+    return amounts.select("o_orderkey", fmt.format_compact_currency("amount").alias("text"))
 
 
 @query
 def fmt_percent(spark, sf):
-    return c.table(spark, sf, "lineitem").select(
+    changes = c.table(spark, sf, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.expr(PERCENT_SQL).alias("change"),
+        F.expr(TIE_SQL).alias("tie"),
+    )
+    return changes.select(
         "l_orderkey",
         "l_linenumber",
-        fmt.format_percent(F.expr(PERCENT_SQL)).alias("text"),
-        fmt.format_percent(F.expr(TIE_SQL)).alias("tie_text"),
+        fmt.format_percent("change").alias("text"),
+        fmt.format_percent("tie").alias("tie_text"),
     )
 
 
 @query
 def fmt_number(spark, sf):
-    return c.table(spark, sf, "lineitem").select(
-        "l_orderkey",
-        "l_linenumber",
-        fmt.format_number(F.expr(NUMBER_SQL).cast("double")).alias("text"),
+    numbers = c.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.expr(NUMBER_SQL).cast("double").alias("number")
+    )
+    return numbers.select(
+        "l_orderkey", "l_linenumber", fmt.format_number("number").alias("text")
     )
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.functions.cleansing import digest
 
 BATCH = "batch_id"
 
@@ -51,6 +50,16 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
 
+def read_if_written(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    """A stored table, or None while its folder does not exist."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def read_batches(
     spark: SparkSession, path: str, schema: StructType, before: int | None = None
 ) -> DataFrame:
@@ -59,11 +68,8 @@ def read_batches(
     The batch number is a folder name, so the bound prunes folders.
     """
     full = StructType(schema.fields + [StructField(BATCH, LongType(), True)])
-    try:
-        df = spark.read.schema(full).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    df = read_if_written(spark, path, full)
+    if df is None:
         return spark.createDataFrame([], full)
     return df if before is None else df.filter(F.col(BATCH) < before)
 
@@ -71,16 +77,3 @@ def read_batches(
 def split_outcome(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Accepted rows and rejected rows (F6, S9); every row is in exactly one."""
     return judged.filter("accepted"), judged.filter("NOT accepted")
-
-
-__all__ = [
-    "BATCH",
-    "append",
-    "contact_rows",
-    "digest",
-    "full_name",
-    "member_rows",
-    "read_batches",
-    "split_outcome",
-    "write_batch",
-]

@@ -23,7 +23,7 @@ from pyspark.sql.types import (
 from tidemark.operators.market import kpis, retain_selected
 from tidemark.schemas import CORRUPT, FETCH_LOG, MARKET
 from tidemark.sources.readers import is_corrupt, read_market_checked
-from tidemark.sources.sinks import BATCH, read_batches, write_batch
+from tidemark.sources.sinks import BATCH, read_batches, read_if_written, write_batch
 from tidemark.streaming.triggers import REFRESH_SECONDS, start
 
 STATUS = StructType(
@@ -68,7 +68,7 @@ class MarketRefresh:
                 break
             problem, rows = self._load(attempt, batch_id)
             if problem is None:
-                self._show(batch_id)
+                self._show(batch_id, shown)
                 self._report(batch_id, True, attempt["fetched_at"], rows, error)
                 return
             error = error or problem
@@ -105,12 +105,14 @@ class MarketRefresh:
             f"{self.root}/loaded/{BATCH}={batch_id}"
         )
 
-    def _show(self, batch_id: int) -> None:
+    def _show(self, batch_id: int, shown: Row | None) -> None:
         """Derived tables of a snapshot: its KPIs (T5) and the kept selections."""
         snapshot = self._loaded(batch_id).select(*MARKET.names)
         write_batch(kpis(snapshot), f"{self.root}/kpis", batch_id)
-        kept = retain_selected(self.selected(before=batch_id), snapshot)
-        write_batch(kept.select(*MARKET.names), f"{self.root}/selected", batch_id + 1)
+        old = self._selected_as_of(shown)
+        if old is not None:
+            kept = retain_selected(old, snapshot)
+            write_batch(kept.select(*MARKET.names), f"{self.root}/selected", batch_id + 1)
 
     def _report(self, batch_id: int, good: bool, fetched_at, rows, error) -> None:
         row = self.spark.createDataFrame([(good, fetched_at, rows, error)], STATUS)
@@ -143,10 +145,13 @@ class MarketRefresh:
         """Store selected assets (M3) before the job starts; each refresh updates them."""
         write_batch(rows.select(*MARKET.names), f"{self.root}/selected", 0)
 
-    def selected(self, before: int | None = None) -> DataFrame:
-        """Selected assets as of the shown snapshot. Version 0 is the selection as stored,
-        and batch n writes version n + 1."""
-        last = self._last_good(before)
-        version = 0 if last is None else last[BATCH] + 1
-        stored = read_batches(self.spark, f"{self.root}/selected", MARKET)
-        return stored.filter(F.col(BATCH) == version).select(*MARKET.names)
+    def selected(self) -> DataFrame | None:
+        """Selected assets as of the shown snapshot; None if nothing was selected."""
+        return self._selected_as_of(self._last_good())
+
+    def _selected_as_of(self, shown: Row | None) -> DataFrame | None:
+        """Version 0 is the selection as stored; batch n writes version n + 1."""
+        version = 0 if shown is None else shown[BATCH] + 1
+        return read_if_written(
+            self.spark, f"{self.root}/selected/{BATCH}={version}", MARKET
+        )
