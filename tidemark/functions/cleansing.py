@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.sqltext import quoted
+
+BS = "\\"
+
 # What each trim strips.
 FORM_BLANKS = " \t\n\r\0\x0b"
 SEARCH_BLANKS = (
@@ -19,77 +23,79 @@ SINGLE_QUOTE_ESCAPE = ("'", "&#039;")
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
-
-def _col(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
-
-
-def search_trim(text: Column | str) -> Column:
-    """Strip every Unicode white space and the byte order mark from both ends."""
-    return F.btrim(_col(text), F.lit(SEARCH_BLANKS))
+# A backslash-zero whose backslash is not itself escaped: an even run comes before it.
+_NUL_MARK = r"(?<!\\)((?:\\\\)*)\\0"
+_ESCAPED = r"(?s)\\(.?)"
 
 
-def search_normalise(text: Column | str) -> Column:
-    return F.lower(search_trim(text))
+def search_normalise(text: str) -> Column:
+    """Strip every Unicode white space and the byte order mark from both ends, then lower."""
+    return F.expr(f"lower(btrim({text}, {quoted(SEARCH_BLANKS)}))")
 
 
-def form_trim(text: Column | str) -> Column:
-    return F.btrim(_col(text), F.lit(FORM_BLANKS))
+def form_trim_sql(text: str) -> str:
+    return f"btrim({text}, {quoted(FORM_BLANKS)})"
 
 
-# A backslash-zero whose backslash is not itself escaped: an even run comes before it.
-_NUL_MARK = r"(?<!\\)((?:\\\\)*)\\0"
-_ESCAPED = r"(?s)\\(.?)"
-
-
-def strip_slashes(text: Column | str) -> Column:
+def strip_slashes_sql(text: str) -> str:
     r"""Drop each escaping backslash: ``\\`` gives one, ``\0`` gives NUL.
 
     Only texts with one of those two need the patterns; single marks just go.
     """
-    text = _col(text)
-    marked = F.regexp_replace(text, _NUL_MARK, "$1\0")
-    special = F.contains(text, F.lit("\\\\")) | F.contains(text, F.lit("\\0"))
+    one, two, nul = quoted(BS), quoted(BS + BS), quoted(BS + "0")
+    marked = f"regexp_replace({text}, {quoted(_NUL_MARK)}, {quoted('$1' + chr(0))})"
     return (
-        F.when(~F.contains(text, F.lit("\\")), text)
-        .when(special, F.regexp_replace(marked, _ESCAPED, "$1"))
-        .otherwise(F.replace(text, F.lit("\\"), F.lit("")))
+        f"CASE WHEN NOT contains({text}, {one}) THEN {text} "
+        f"WHEN contains({text}, {two}) OR contains({text}, {nul}) "
+        f"THEN regexp_replace({marked}, {quoted(_ESCAPED)}, '$1') "
+        f"ELSE replace({text}, {one}, '') END"
     )
 
 
-def escape_markup(text: Column | str, escape_single_quote: bool = True) -> Column:
+def escape_markup_sql(text: str, escape_single_quote: bool = True) -> str:
     """Escape markup; text that is escaped already is escaped again."""
-    text = _col(text)
     escapes = MARKUP_ESCAPES + ((SINGLE_QUOTE_ESCAPE,) if escape_single_quote else ())
     for plain, escaped in escapes:
-        text = F.replace(text, F.lit(plain), F.lit(escaped))
+        text = f"replace({text}, {quoted(plain)}, {quoted(escaped)})"
     return text
 
 
-def clean_unescaped(text: Column | str) -> Column:
-    return strip_slashes(form_trim(text))
+def clean_unescaped_sql(text: str) -> str:
+    return strip_slashes_sql(form_trim_sql(text))
 
 
-def clean_input(text: Column | str, escape_single_quote: bool = True) -> Column:
+def clean_input_sql(text: str, escape_single_quote: bool = True) -> str:
     """Trim, then unslash, then escape: the order matters, and rules see the result."""
-    return escape_markup(clean_unescaped(text), escape_single_quote)
+    return escape_markup_sql(clean_unescaped_sql(text), escape_single_quote)
 
 
-def is_empty(raw: Column | str) -> Column:
+def is_empty_sql(raw: str) -> str:
     """Missing, ``''`` or ``'0'``, judged before any trimming."""
-    raw = _col(raw)
-    return raw.isNull() | raw.isin("", "0")
+    return f"({raw} IS NULL OR {raw} IN ('', '0'))"
 
 
-def clean_or_blank(raw: Column | str, escape_single_quote: bool = True) -> Column:
+def clean_or_blank_sql(raw: str, escape_single_quote: bool = True) -> str:
     """Cleansed text, or ``''`` where the raw value counts as empty."""
-    return F.when(is_empty(raw), F.lit("")).otherwise(clean_input(raw, escape_single_quote))
+    cleansed = clean_input_sql(raw, escape_single_quote)
+    return f"CASE WHEN {is_empty_sql(raw)} THEN '' ELSE {cleansed} END"
 
 
-def lower_email(text: Column | str) -> Column:
+def lower_email_sql(text: str) -> str:
     """Lower the ASCII letters only, so no other letter turns into an ASCII one."""
-    return F.translate(_col(text), ASCII_UPPER, ASCII_LOWER)
+    return f"translate({text}, '{ASCII_UPPER}', '{ASCII_LOWER}')"
+
+
+def clean_input(text: str, escape_single_quote: bool = True) -> Column:
+    return F.expr(clean_input_sql(text, escape_single_quote))
+
+
+def clean_or_blank(raw: str, escape_single_quote: bool = True) -> Column:
+    return F.expr(clean_or_blank_sql(raw, escape_single_quote))
+
+
+def lower_email(text: str) -> Column:
+    return F.expr(lower_email_sql(text))
 
 
-def digest(text: Column | str) -> Column:
-    return F.sha2(_col(text), 256)
+def digest(text: str) -> Column:
+    return F.expr(f"sha2({text}, 256)")

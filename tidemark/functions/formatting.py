@@ -1,4 +1,4 @@
-"""Number, rank and time text as native column expressions.
+"""Number, rank and time text as native expressions.
 
 Rounding comes first and the print pattern second: ``round`` goes half away from
 zero on the shortest decimal, while a print pattern alone would send ties to even.
@@ -9,108 +9,96 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.sqltext import case, quoted
+
 MISSING = "N/A"
 
 # Unit sizes and their suffixes, smallest first.
-UNITS = ((1.0, ""), (1e3, "K"), (1e6, "M"), (1e9, "B"), (1e12, "T"))
-
-
-def _col(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
-
-
-def _pattern(value: Column, pattern: str) -> Column:
-    return F.call_function("format_number", value, F.lit(pattern))
+UNITS = (("1D", ""), ("1e3D", "K"), ("1e6D", "M"), ("1e9D", "B"), ("1e12D", "T"))
 
 
-def is_missing(value: Column | str) -> Column:
-    """Null or NaN."""
-    value = _col(value)
-    return value.isNull() | F.isnan(value.cast("double"))
+def _double(operand: str) -> str:
+    return f"CAST(({operand}) AS DOUBLE)"
 
 
-def _or_missing(value: Column, text: Column) -> Column:
-    return F.when(is_missing(value), F.lit(MISSING)).otherwise(text)
+def _or_missing(v: str, text: str) -> Column:
+    return F.expr(case([(f"{v} IS NULL OR isnan({v})", quoted(MISSING))], text))
 
 
-def _minus(value: Column) -> Column:
-    return F.when(value < 0, F.lit("-")).otherwise(F.lit(""))
+def _minus(v: str) -> str:
+    return f"CASE WHEN {v} < 0 THEN '-' ELSE '' END"
 
 
-def _compact(value: Column, short: str, grouped: str) -> Column:
+def _compact(v: str, short: str, grouped: str) -> str:
     """Scale by the first unit whose *rounded* quotient stays below 1000; the last takes the rest.
 
     A quotient rounds to 1000.00 from 999.995 on, so one comparison per unit finds the
     unit, and only the chosen quotient is rounded. The pattern groups from 10,000 on.
     """
     *smaller, (last_size, last_suffix) = UNITS
-    size = suffix = F
-    for unit, name in smaller:
-        fits = value / unit < 999.995
-        size, suffix = size.when(fits, F.lit(unit)), suffix.when(fits, F.lit(name))
-    number = F.round(value / size.otherwise(F.lit(last_size)), 2)
-    pattern = F.when(value / last_size >= 9999.995, F.lit(grouped)).otherwise(F.lit(short))
-    return F.concat(
-        F.call_function("format_number", number, pattern), suffix.otherwise(F.lit(last_suffix))
-    )
+    fits = [(f"{v} / {size} < 999.995D", size, suffix) for size, suffix in smaller]
+    size = case([(test, size) for test, size, _ in fits], last_size)
+    suffix = case([(test, quoted(suffix)) for test, _, suffix in fits], quoted(last_suffix))
+    pattern = case([(f"{v} / {last_size} >= 9999.995D", quoted(grouped))], quoted(short))
+    return f"concat(format_number(round({v} / {size}, 2), {pattern}), {suffix})"
 
 
-def format_compact_currency(value: Column | str) -> Column:
+def format_compact_currency(value: str) -> Column:
     """``$1.23K`` from 1 up; below 1 (zero and negatives too) plain dollars with 2 to 6 decimals."""
-    value = _col(value).cast("double")
-    plain = F.concat(
-        _minus(value), F.lit("$"), _pattern(F.round(F.abs(value), 6), "#,##0.00####")
-    )
-    compact = F.concat(F.lit("$"), _compact(value, "0.00", "#,##0.00"))
-    return _or_missing(value, F.when(value < 1, plain).otherwise(compact))
+    v = _double(value)
+    plain = f"concat({_minus(v)}, '$', format_number(round(abs({v}), 6), '#,##0.00####'))"
+    compact = f"concat('$', {_compact(v, '0.00', '#,##0.00')})"
+    return _or_missing(v, case([(f"{v} < 1", plain)], compact))
 
 
-def format_percent(value: Column | str) -> Column:
+def format_percent(value: str) -> Column:
     """Signed, two decimals of the exact binary value; an exact tie goes away from zero.
 
-    A double sits exactly between two cents only when eight times it is odd.
+    A double sits exactly between two cents only when eight times it is odd. Adding
+    zero turns a minus zero into a plain one.
     """
-    value = _col(value).cast("double") + F.lit(0.0)
-    tie = F.abs(value * 8) % 2 == 1
-    digits = F.when(tie, F.format_string("%.2f", value)).otherwise(_pattern(value, "0.00"))
-    sign = F.when(value >= 0, F.lit("+")).otherwise(F.lit(""))
-    return _or_missing(value, F.concat(sign, digits, F.lit("%")))
+    v = f"({_double(value)} + 0D)"
+    digits = case(
+        [(f"abs({v} * 8) % 2 = 1", f"format_string('%.2f', {v})")], f"format_number({v}, '0.00')"
+    )
+    return _or_missing(v, f"concat(CASE WHEN {v} >= 0 THEN '+' ELSE '' END, {digits}, '%')")
 
 
-def format_number(value: Column | str) -> Column:
+def format_number(value: str) -> Column:
     """Grouped, at most three decimals."""
-    value = _col(value).cast("double")
-    digits = _pattern(F.round(F.abs(value), 3), "#,##0.###")
-    return _or_missing(value, F.concat(_minus(value), digits))
+    v = _double(value)
+    return _or_missing(
+        v, f"concat({_minus(v)}, format_number(round(abs({v}), 3), '#,##0.###'))"
+    )
 
 
-def format_supply(value: Column | str, symbol: Column | str) -> Column:
+def format_supply(value: str, symbol: str) -> Column:
     """Compact amount with at most two decimals, then the upper-case symbol."""
-    value = _col(value).cast("double")
-    digits = _compact(F.abs(value), "0.##", "#,##0.##")
-    return _or_missing(value, F.concat(_minus(value), digits, F.lit(" "), upper_symbol(symbol)))
+    v = _double(value)
+    digits = _compact(f"abs({v})", "0.##", "#,##0.##")
+    return _or_missing(v, f"concat({_minus(v)}, {digits}, ' ', upper({symbol}))")
 
 
-def upper_symbol(symbol: Column | str) -> Column:
-    return F.upper(_col(symbol))
+def upper_symbol(symbol: str) -> Column:
+    return F.upper(F.expr(symbol))
 
 
-def rank_text_detail(rank: Column | str) -> Column:
+def rank_text_detail(rank: str) -> Column:
     """``#1,234``; ``#N/A`` without a rank."""
     return F.concat(F.lit("#"), format_number(rank))
 
 
-def rank_text_table(rank: Column | str) -> Column:
+def rank_text_table(rank: str) -> Column:
     """``#1234``; a bare ``#`` without a rank."""
-    return F.concat(F.lit("#"), F.coalesce(_col(rank).cast("string"), F.lit("")))
+    return F.expr(f"concat('#', coalesce(CAST({rank} AS STRING), ''))")
 
 
-def refresh_time_text(ts: Column | str) -> Column:
+def refresh_time_text(ts: str) -> Column:
     """Clock time in the session time zone; ``pending`` before the first refresh."""
-    return F.coalesce(F.date_format(_col(ts), "h:mm:ss a"), F.lit("pending"))
+    return F.expr(f"coalesce(date_format({ts}, 'h:mm:ss a'), 'pending')")
 
 
-def join_present(*values: Column | str) -> Column:
+def join_present(*values: str) -> Column:
     """Space-joined texts without the null and empty ones."""
-    texts = F.array(*[_col(v) for v in values])
-    return F.array_join(F.filter(texts, lambda t: t.isNotNull() & (t != "")), " ")
+    texts = ", ".join(f"nullif({value}, '')" for value in values)
+    return F.expr(f"concat_ws(' ', {texts})")

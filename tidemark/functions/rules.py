@@ -1,20 +1,19 @@
 """Validation rules as data (V1-V25) and the violations column they give.
 
-A rule is a boolean column that is true where the rule is broken. All rules of a
-form are evaluated in one projection; nothing here shuffles.
+A rule is a condition that is true where the rule is broken. All rules of a form are
+evaluated in one projection; nothing here shuffles.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.cleansing import is_empty
-from tidemark.schemas import VIOLATIONS
+from tidemark.functions.cleansing import is_empty_sql
+from tidemark.functions.sqltext import in_list, quoted
+from tidemark.schemas import VIOLATION, VIOLATIONS
 
 BLOCKS = "B"
 WARNS = "w"
@@ -92,132 +91,150 @@ CONTACT_LEAD = "You must follow:\\n"
 
 @dataclass(frozen=True)
 class Rule:
+    """``broken`` is a SQL condition over raw and cleansed columns."""
+
     rule: str
     field: str
     severity: str
     message: str
-    broken: Column
+    broken: str
 
 
-def valid_email(text: Column) -> Column:
+def valid_email(text: str) -> str:
     """Dot-atom address with a dotted domain whose last label starts with a letter.
 
     The lengths are tested first, so the pattern never meets a long text.
     """
-    local = F.substring_index(text, "@", 1)
-    short = (F.length(text) <= EMAIL_MAX) & (F.length(local) <= EMAIL_LOCAL_MAX)
-    return F.when(short, text.rlike(EMAIL)).otherwise(F.lit(False))
+    return (
+        f"CASE WHEN length({text}) <= {EMAIL_MAX} AND "
+        f"length(substring_index({text}, '@', 1)) <= {EMAIL_LOCAL_MAX} "
+        f"THEN {text} RLIKE {quoted(EMAIL)} ELSE false END"
+    )
+
 
+def _lacks(text: str, pattern: str) -> str:
+    return f"NOT {text} RLIKE {quoted(pattern)}"
 
-def _unless_empty(raw: Column, broken: Column) -> Column:
-    return ~is_empty(raw) & broken
+
+def _unless_empty(raw: str, broken: str) -> str:
+    return f"NOT {is_empty_sql(raw)} AND {broken}"
 
 
 def signup_rules(
-    raw: dict[str, Column], clean: dict[str, Column], secret_seen: Column, mode: str = FAITHFUL
+    raw: dict[str, str], clean: dict[str, str], secret_seen: str, mode: str = FAITHFUL
 ) -> list[Rule]:
-    """Rules in message order. ``secret_seen`` is the password text V13-V17 look at."""
+    """Rules in message order, over the names of raw and cleansed columns.
+    ``secret_seen`` is the password text V13-V17 look at."""
     strict = mode == STRICT
     state = raw["state"]
-    chosen = ~(state.isNull() | state.isin("", STATE_PLACEHOLDER))
+    unchosen = f"({state} IS NULL OR {state} IN {in_list(('', STATE_PLACEHOLDER))})"
+    unlisted = f"NOT {unchosen} AND {state} NOT IN {in_list(STATES)}"
     secret = raw["spassword"]
+
+    def secret_lacks(pattern: str) -> str:
+        return _unless_empty(secret, _lacks(secret_seen, pattern))
+
+    def name_lacks(field: str) -> str:
+        return _unless_empty(raw[field], _lacks(clean[field], NAME))
+
+    too_short = f"octet_length({secret_seen}) < {PASSWORD_MIN_BYTES}"
+    differs = f"{clean['spassword']} <> {clean['conpassword']}"
     broken = [
-        ("V1", "ftname", BLOCKS, is_empty(raw["ftname"])),
-        ("V2", "ftname", BLOCKS, _unless_empty(raw["ftname"], ~clean["ftname"].rlike(NAME))),
-        ("V3", "ltname", BLOCKS, is_empty(raw["ltname"])),
-        ("V4", "ltname", BLOCKS, _unless_empty(raw["ltname"], ~clean["ltname"].rlike(NAME))),
-        ("V5", "email", BLOCKS, is_empty(raw["email"])),
-        ("V6", "email", BLOCKS, _unless_empty(raw["email"], ~valid_email(clean["email"]))),
-        ("V7", "address", BLOCKS, is_empty(raw["address"])),
-        ("V24", "address", WARNS, F.length(raw["address"]) > ADDRESS_MAX),
-        ("V8", "Phonenumber", BLOCKS, is_empty(raw["Phonenumber"])),
+        ("V1", "ftname", BLOCKS, is_empty_sql(raw["ftname"])),
+        ("V2", "ftname", BLOCKS, name_lacks("ftname")),
+        ("V3", "ltname", BLOCKS, is_empty_sql(raw["ltname"])),
+        ("V4", "ltname", BLOCKS, name_lacks("ltname")),
+        ("V5", "email", BLOCKS, is_empty_sql(raw["email"])),
+        ("V6", "email", BLOCKS, _unless_empty(raw["email"], f"NOT {valid_email(clean['email'])}")),
+        ("V7", "address", BLOCKS, is_empty_sql(raw["address"])),
+        ("V24", "address", WARNS, f"length({raw['address']}) > {ADDRESS_MAX}"),
+        ("V8", "Phonenumber", BLOCKS, is_empty_sql(raw["Phonenumber"])),
         (
             "V9",
             "Phonenumber",
             BLOCKS,
-            _unless_empty(raw["Phonenumber"], ~clean["Phonenumber"].rlike(PHONE)),
-        ),
-        ("V24", "Phonenumber", WARNS, F.length(raw["Phonenumber"]) > PHONE_MAX),
-        ("V10", "state", BLOCKS, ~chosen),
-        ("V11", "state", BLOCKS if strict else WARNS, chosen & ~state.isin(*STATES)),
-        ("V12", "spassword", BLOCKS, is_empty(secret)),
-        (
-            "V13",
-            "spassword",
-            BLOCKS,
-            _unless_empty(secret, F.octet_length(secret_seen) < PASSWORD_MIN_BYTES),
-        ),
-        ("V14", "spassword", BLOCKS, _unless_empty(secret, ~secret_seen.rlike(DIGIT))),
-        ("V15", "spassword", BLOCKS, _unless_empty(secret, ~secret_seen.rlike(CAPITAL))),
-        ("V16", "spassword", BLOCKS, _unless_empty(secret, ~secret_seen.rlike(SMALL))),
-        ("V17", "spassword", BLOCKS, _unless_empty(secret, ~secret_seen.rlike(SPECIAL))),
-        ("V18", "conpassword", BLOCKS if strict else WARNS, is_empty(raw["conpassword"])),
-        (
-            "V19",
-            "conpassword",
-            BLOCKS,
-            _unless_empty(raw["conpassword"], clean["spassword"] != clean["conpassword"]),
+            _unless_empty(raw["Phonenumber"], _lacks(clean["Phonenumber"], PHONE)),
         ),
+        ("V24", "Phonenumber", WARNS, f"length({raw['Phonenumber']}) > {PHONE_MAX}"),
+        ("V10", "state", BLOCKS, unchosen),
+        ("V11", "state", BLOCKS if strict else WARNS, unlisted),
+        ("V12", "spassword", BLOCKS, is_empty_sql(secret)),
+        ("V13", "spassword", BLOCKS, _unless_empty(secret, too_short)),
+        ("V14", "spassword", BLOCKS, secret_lacks(DIGIT)),
+        ("V15", "spassword", BLOCKS, secret_lacks(CAPITAL)),
+        ("V16", "spassword", BLOCKS, secret_lacks(SMALL)),
+        ("V17", "spassword", BLOCKS, secret_lacks(SPECIAL)),
+        ("V18", "conpassword", BLOCKS if strict else WARNS, is_empty_sql(raw["conpassword"])),
+        ("V19", "conpassword", BLOCKS, _unless_empty(raw["conpassword"], differs)),
     ]
     return [Rule(r, f, s, SIGNUP_MESSAGES[r], b) for r, f, s, b in broken]
 
 
-def contact_rules(raw: dict[str, Column], clean: dict[str, Column]) -> list[Rule]:
+def contact_rules(raw: dict[str, str], clean: dict[str, str]) -> list[Rule]:
     """The description is cleansed but never judged."""
+
+    def lacks(field: str, pattern: str) -> str:
+        return _unless_empty(raw[field], _lacks(clean[field], pattern))
+
+    bad_mail = _unless_empty(raw["mailid"], f"NOT {valid_email(clean['mailid'])}")
     broken = [
-        ("V1", "firstname", is_empty(raw["firstname"])),
-        ("V2", "firstname", _unless_empty(raw["firstname"], ~clean["firstname"].rlike(NAME))),
-        ("V3", "lastname", is_empty(raw["lastname"])),
-        ("V4", "lastname", _unless_empty(raw["lastname"], ~clean["lastname"].rlike(NAME))),
-        ("V5", "mailid", is_empty(raw["mailid"])),
-        ("V6", "mailid", _unless_empty(raw["mailid"], ~valid_email(clean["mailid"]))),
-        ("V21", "subject", is_empty(raw["subject"])),
-        ("V22", "subject", _unless_empty(raw["subject"], ~clean["subject"].rlike(SUBJECT))),
+        ("V1", "firstname", is_empty_sql(raw["firstname"])),
+        ("V2", "firstname", lacks("firstname", NAME)),
+        ("V3", "lastname", is_empty_sql(raw["lastname"])),
+        ("V4", "lastname", lacks("lastname", NAME)),
+        ("V5", "mailid", is_empty_sql(raw["mailid"])),
+        ("V6", "mailid", bad_mail),
+        ("V21", "subject", is_empty_sql(raw["subject"])),
+        ("V22", "subject", lacks("subject", SUBJECT)),
     ]
     return [Rule(r, f, BLOCKS, CONTACT_MESSAGES[r], b) for r, f, b in broken]
 
 
-def login_rules(raw: dict[str, Column]) -> list[Rule]:
+def login_rules(raw: dict[str, str]) -> list[Rule]:
     """Fields the log-in page marks as required; they only warn."""
     return [
-        Rule("V25", field, WARNS, LOGIN_MESSAGES["V25"], raw[field].isNull() | (raw[field] == ""))
-        for field in ("email", "pass")
+        Rule("V25", field, WARNS, LOGIN_MESSAGES["V25"], f"{name} IS NULL OR {name} = ''")
+        for field, name in raw.items()
     ]
 
 
-def violation(rule: str, field: str, severity: str, message: str) -> Column:
-    return F.struct(
-        F.lit(rule).alias("rule"),
-        F.lit(field).alias("field"),
-        F.lit(severity).alias("severity"),
-        F.lit(message).alias("message"),
-    )
+def _violation(rule: str, field: str, severity: str, message: str) -> str:
+    names_values = zip(VIOLATION.names, (rule, field, severity, message), strict=True)
+    pairs = ", ".join(f"'{name}', {quoted(value)}" for name, value in names_values)
+    return f"named_struct({pairs})"
 
 
 def violations(rules: list[Rule]) -> Column:
     """Array of the broken rules, in rule order."""
-    found = F.array(
-        *[F.when(r.broken, violation(r.rule, r.field, r.severity, r.message)) for r in rules]
+    found = ", ".join(
+        f"CASE WHEN {r.broken} THEN {_violation(r.rule, r.field, r.severity, r.message)} END"
+        for r in rules
+    )
+    return F.expr(f"filter(array({found}), v -> v IS NOT NULL)").cast(VIOLATIONS)
+
+
+def with_taken(known: str) -> Column:
+    """The violations, with V20 added where a record is known already."""
+    taken = _violation("V20", "email", BLOCKS, SIGNUP_MESSAGES["V20"])
+    return F.expr(
+        f"CASE WHEN {known} THEN concat(violations, array({taken})) ELSE violations END"
     )
-    return F.filter(found, lambda v: v.isNotNull()).cast(VIOLATIONS)
 
 
 def passes(rules: list[Rule]) -> Column:
     """No blocking rule is broken. Reads the rules themselves, so that a filter on it
     needs no violations array."""
-    broken = [F.coalesce(r.broken, F.lit(False)) for r in rules if r.severity == BLOCKS]
-    return ~reduce(or_, broken)
+    broken = " OR ".join(f"coalesce({r.broken}, false)" for r in rules if r.severity == BLOCKS)
+    return F.expr(f"NOT ({broken})")
 
 
-def message_text(found: Column, fields: tuple[str, ...] | None = None, end: str = "") -> Column:
-    """Messages in order, each followed by ``end``; of some fields only if asked."""
-    if fields is not None:
-        found = F.filter(found, lambda v: v["field"].isin(*fields))
-    return F.array_join(F.transform(found, lambda v: F.concat(v["message"], F.lit(end))), "")
+def message_text(found: str, fields: tuple[str, ...] = (), end: str = "") -> str:
+    """Messages in order, each followed by ``end``; of some fields only if named."""
+    if fields:
+        found = f"filter({found}, v -> v.field IN {in_list(fields)})"
+    return f"array_join(transform({found}, v -> concat(v.message, {quoted(end)})), '')"
 
 
-def rule_text(found: Column) -> Column:
+def rule_text(found: str = "violations") -> Column:
     """Broken rules as ``V2:ftname,V9:Phonenumber``, for reports."""
-    return F.array_join(
-        F.transform(found, lambda v: F.concat(v["rule"], F.lit(":"), v["field"])), ","
-    )
+    return F.expr(f"array_join(transform({found}, v -> concat(v.rule, ':', v.field)), ',')")

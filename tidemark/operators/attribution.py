@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.sqltext import case, quoted
 from tidemark.operators.ordering import HOT_GROUP_ROWS, carry_forward
 
 # Lead of a section before its top, the sticky threshold, the first active link.
@@ -48,15 +49,20 @@ def with_section(
     short = _short_list(sections, "ord")
     if short is None:
         return section_by_grid(events, sections, key, y, name)
-    return events.withColumn(name, _section_expression(short, F.col(y)))
+    return events.withColumn(name, _section_expression(short, y))
 
 
-def _section_expression(sections: list, y: Column) -> Column:
+def _section_expression(sections: list, y: str) -> Column:
+    """The last section of the document is asked first, so that it wins."""
+
+    def number(value: float) -> str:
+        return f"CAST('{value!r}' AS DOUBLE)"
+
     hits = [
-        F.when((y >= row["lo"]) & (y < row["hi"]), F.lit(row["section_id"]))
+        (f"{y} >= {number(row['lo'])} AND {y} < {number(row['hi'])}", quoted(row["section_id"]))
         for row in reversed(sections)
     ]
-    return F.coalesce(*hits) if hits else F.lit(None).cast("string")
+    return F.expr(case(hits, "NULL") if hits else "CAST(NULL AS STRING)")
 
 
 def section_by_grid(
@@ -131,9 +137,9 @@ def with_link(
     short = _short_list(links, "ord")
     if short is None:
         return link_by_substring(events, links, section, name)
-    wanted = F.col(section)
-    hits = [F.when(F.contains(F.lit(row["href"]), wanted), F.lit(row["href"])) for row in short]
-    return events.withColumn(name, F.coalesce(*hits) if hits else F.lit(None).cast("string"))
+    targets = [quoted(row["href"]) for row in short]
+    hits = [(f"contains({target}, {section})", target) for target in targets]
+    return events.withColumn(name, F.expr(case(hits, "NULL") if hits else "CAST(NULL AS STRING)"))
 
 
 def link_by_substring(

@@ -54,11 +54,15 @@ def with_match_counts(
     )
 
 
-def is_duplicate(match_rule: str = EXACTLY_ONE, name: str = "n_matches") -> Column:
+def is_duplicate_sql(match_rule: str = EXACTLY_ONE, name: str = "n_matches") -> str:
     """``exactly_one`` leaves two or more matches unflagged; ``any`` flags them too."""
     if match_rule not in (EXACTLY_ONE, ANY):
         raise ValueError(f"unknown match rule {match_rule!r}")
-    return F.col(name) == 1 if match_rule == EXACTLY_ONE else F.col(name) >= 1
+    return f"({name} = 1)" if match_rule == EXACTLY_ONE else f"({name} >= 1)"
+
+
+def is_duplicate(match_rule: str = EXACTLY_ONE, name: str = "n_matches") -> Column:
+    return F.expr(is_duplicate_sql(match_rule, name))
 
 
 def admit_new(

@@ -7,39 +7,37 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import rules as r
 from tidemark.functions.cleansing import (
-    clean_or_blank,
-    clean_unescaped,
-    clean_input,
+    clean_input_sql,
+    clean_or_blank_sql,
+    clean_unescaped_sql,
     digest,
-    lower_email,
+    lower_email_sql,
 )
-from tidemark.operators.identity import EXACTLY_ONE, is_duplicate, with_match_counts
+from tidemark.functions.sqltext import in_list, quoted
+from tidemark.operators.identity import EXACTLY_ONE, is_duplicate_sql, with_match_counts
 from tidemark.schemas import CONTACT_FIELDS, SIGNUP_FIELDS
 
-_RAW = "__raw_"
-
 PASSWORD_FIELDS = ("spassword", "conpassword")
 
 
-def _raw(fields: tuple[str, ...]) -> dict[str, Column]:
-    return {name: F.col(_RAW + name) for name in fields}
+def _raw(fields: tuple[str, ...]) -> dict[str, str]:
+    return {name: f"__raw_{name}" for name in fields}
 
 
-def _clean(fields: tuple[str, ...]) -> dict[str, Column]:
-    return {name: F.col(name) for name in fields}
+def _clean(fields: tuple[str, ...]) -> dict[str, str]:
+    return {name: name for name in fields}
 
 
-def _beside_raw(submissions: DataFrame, cleansed: dict[str, Column]) -> DataFrame:
+def _beside_raw(submissions: DataFrame, cleansed: dict[str, str]) -> DataFrame:
     """Cleansed fields under their own names, with the raw ones kept beside them.
 
     The one-row ``inline`` keeps cleansing from being repeated: a later filter on the
     outcome would else be pushed below it with a copy of every cleansing it looks at.
     """
     others = [c for c in submissions.columns if c not in cleansed]
-    row = F.struct(*[text.alias(name) for name, text in cleansed.items()])
-    return submissions.select(
-        *others, *[F.col(name).alias(_RAW + name) for name in cleansed], F.inline(F.array(row))
-    )
+    raw = [f"{name} AS __raw_{name}" for name in cleansed]
+    row = ", ".join(f"'{name}', {text}" for name, text in cleansed.items())
+    return submissions.selectExpr(*others, *raw, f"inline(array(named_struct({row})))")
 
 
 def judge_signups(
@@ -55,36 +53,38 @@ def judge_signups(
     ``strict`` mode judges the password before it, and blocks what else only warns.
     The duplicate check runs for every record, broken rules or not.
     """
-    cleansed = {name: clean_or_blank(name, escape_single_quote) for name in SIGNUP_FIELDS}
-    cleansed["email"] = lower_email(cleansed["email"])
+    cleansed = {name: clean_or_blank_sql(name, escape_single_quote) for name in SIGNUP_FIELDS}
+    cleansed["email"] = lower_email_sql(cleansed["email"])
     # A state is stored as given, and only when it was chosen.
-    state = F.col("state")
-    unchosen = state.isNull() | state.isin("", r.STATE_PLACEHOLDER)
-    cleansed["state"] = F.when(unchosen, F.lit("")).otherwise(state)
-
-    raw, clean = _raw(SIGNUP_FIELDS), _clean(SIGNUP_FIELDS)
-    secret_seen = clean["spassword"]
+    cleansed["state"] = (
+        f"CASE WHEN state IS NULL OR state = {quoted(r.STATE_PLACEHOLDER)} THEN '' ELSE state END"
+    )
+    raw = _raw(SIGNUP_FIELDS)
+    secret_seen = "spassword"
     if mode == r.STRICT:
-        secret_seen = clean_unescaped(raw["spassword"])
-    rules = r.signup_rules(raw, clean, secret_seen, mode)
+        secret_seen = clean_unescaped_sql(raw["spassword"])
+    rules = r.signup_rules(raw, _clean(SIGNUP_FIELDS), secret_seen, mode)
     judged = (
         _beside_raw(submissions, cleansed)
         .withColumns(
             {
                 "violations": r.violations(rules),
                 "accepted": r.passes(rules),
-                "secret_digest": digest(F.col("conpassword")),
+                "secret_digest": digest("conpassword"),
             }
         )
-        .drop(*[_RAW + name for name in SIGNUP_FIELDS], *PASSWORD_FIELDS)
+        .drop(*raw.values(), *PASSWORD_FIELDS)
     )
     if members is not None:
-        taken = F.array(r.violation("V20", "email", r.BLOCKS, r.SIGNUP_MESSAGES["V20"]))
-        known = is_duplicate(match_rule)
-        with_taken = F.when(known, F.concat("violations", taken)).otherwise(F.col("violations"))
+        known = is_duplicate_sql(match_rule)
         judged = (
             with_match_counts(judged, members)
-            .withColumns({"violations": with_taken, "accepted": F.col("accepted") & ~known})
+            .withColumns(
+                {
+                    "violations": r.with_taken(known),
+                    "accepted": F.expr(f"accepted AND NOT {known}"),
+                }
+            )
             .drop("n_matches")
         )
     return judged
@@ -92,60 +92,67 @@ def judge_signups(
 
 def judge_contacts(submissions: DataFrame, escape_single_quote: bool = True) -> DataFrame:
     """Contact records likewise (V1-V6, V21-V23); email case is kept."""
-    cleansed = {name: clean_or_blank(name, escape_single_quote) for name in CONTACT_FIELDS}
+    cleansed = {name: clean_or_blank_sql(name, escape_single_quote) for name in CONTACT_FIELDS}
     # The description is cleansed whatever it holds, so '0' stays '0'.
-    cleansed["description"] = F.coalesce(
-        clean_input("description", escape_single_quote), F.lit("")
+    cleansed["description"] = (
+        f"coalesce({clean_input_sql('description', escape_single_quote)}, '')"
     )
-    rules = r.contact_rules(_raw(CONTACT_FIELDS), _clean(CONTACT_FIELDS))
+    raw = _raw(CONTACT_FIELDS)
+    rules = r.contact_rules(raw, _clean(CONTACT_FIELDS))
     return (
         _beside_raw(submissions, cleansed)
         .withColumns({"violations": r.violations(rules), "accepted": r.passes(rules)})
-        .drop(*[_RAW + name for name in CONTACT_FIELDS])
+        .drop(*raw.values())
     )
 
 
 def judge_logins(attempts: DataFrame, escape_single_quote: bool = True) -> DataFrame:
     """Log-in attempts: warnings for blank fields, cleansed email, secret as a digest."""
-    raw = {name: F.col(name) for name in ("email", "pass")}
+    fields = ("email", "pass")
+    clean = {n: f"coalesce({clean_input_sql(n, escape_single_quote)}, '')" for n in fields}
     return attempts.select(
-        *[c for c in attempts.columns if c not in raw],
-        r.violations(r.login_rules(raw)).alias("violations"),
-        F.coalesce(clean_input("email", escape_single_quote), F.lit("")).alias("email"),
-        digest(F.coalesce(clean_input("pass", escape_single_quote), F.lit(""))).alias(
-            "pass_digest"
-        ),
+        *[c for c in attempts.columns if c not in fields],
+        r.violations(r.login_rules(_clean(fields))).alias("violations"),
+        F.expr(clean["email"]).alias("email"),
+        digest(clean["pass"]).alias("pass_digest"),
     )
 
 
-def signup_texts() -> list[Column]:
+# V20 is told on its own, and V11 and V24 are notes of ours; no field text shows them.
+_UNSHOWN = ("V11", "V20", "V24")
+
+
+def signup_texts(judged: DataFrame, *keep: str) -> DataFrame:
     """The eight per-field message texts and the outcome."""
-    found = F.col("violations")
-    # V11 and V24 are notes of ours; the texts show what the form shows.
-    shown = F.filter(found, lambda v: ~v["rule"].isin("V11", "V20", "V24"))
-
-    def text(*fields: str, end: str = "") -> Column:
-        return r.message_text(shown, fields, end)
-
-    secret = F.when(
-        F.exists(shown, lambda v: v["rule"] == "V12"), text("spassword")
-    ).otherwise(text("spassword", end="<br>"))
-    return [
-        text("ftname").alias("first_name_text"),
-        text("ltname").alias("last_name_text"),
-        text("email").alias("email_text"),
-        text("Phonenumber").alias("phone_text"),
-        text("address").alias("address_text"),
-        secret.alias("password_text"),
-        text("conpassword").alias("confirm_text"),
-        text("state").alias("state_text"),
-        F.when(F.col("accepted"), F.lit(r.SIGNUP_DONE))
-        .otherwise(F.lit(r.SIGNUP_FAILED))
-        .alias("outcome"),
-    ]
+    shown = judged.withColumn(
+        "violations", F.expr(f"filter(violations, v -> v.rule NOT IN {in_list(_UNSHOWN)})")
+    )
+
+    def text(field: str, end: str = "") -> str:
+        return r.message_text("violations", (field,), end)
+
+    # Password shortcomings end in a line break each, a missing password does not.
+    password = (
+        "CASE WHEN exists(violations, v -> v.rule = 'V12') "
+        f"THEN {text('spassword')} ELSE {text('spassword', '<br>')} END"
+    )
+    done, failed = quoted(r.SIGNUP_DONE), quoted(r.SIGNUP_FAILED)
+    return shown.selectExpr(
+        *keep,
+        f"{text('ftname')} AS first_name_text",
+        f"{text('ltname')} AS last_name_text",
+        f"{text('email')} AS email_text",
+        f"{text('Phonenumber')} AS phone_text",
+        f"{text('address')} AS address_text",
+        f"{password} AS password_text",
+        f"{text('conpassword')} AS confirm_text",
+        f"{text('state')} AS state_text",
+        f"CASE WHEN accepted THEN {done} ELSE {failed} END AS outcome",
+    )
 
 
 def contact_text() -> Column:
     """All messages, each ended by a literal backslash-n, after a lead; null if accepted."""
-    text = r.message_text(F.col("violations"), end="\\n")
-    return F.when(~F.col("accepted"), F.concat(F.lit(r.CONTACT_LEAD), text)).alias("message")
+    text = r.message_text("violations", end="\\n")
+    lead = quoted(r.CONTACT_LEAD)
+    return F.expr(f"CASE WHEN NOT accepted THEN concat({lead}, {text}) END").alias("message")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import formatting as fmt
 from tidemark.functions.cleansing import SEARCH_BLANKS, search_normalise
+from tidemark.functions.sqltext import quoted
 from tidemark.operators.ordering import global_row_number
 
 # Page size of the market page and the quote currency it asks for.
@@ -47,7 +48,7 @@ def with_rank(market: DataFrame, name: str = "market_cap_rank") -> DataFrame:
 
 def matches(query: str) -> Column:
     """Name or symbol contains the text literally, letter case aside (F1)."""
-    wanted = search_normalise(F.lit(query))
+    wanted = search_normalise(quoted(query))
     return F.contains(F.lower("name"), wanted) | F.contains(F.lower("symbol"), wanted)
 
 
@@ -65,13 +66,13 @@ def find_asset(market: DataFrame, asset_id) -> DataFrame:
     return market.filter(F.col("id") == asset_id).limit(1)
 
 
-def change_or_zero() -> Column:
-    return F.coalesce(F.col(CHANGE), F.lit(0.0))
+# A missing change counts as none.
+CHANGE_OR_ZERO = f"coalesce({CHANGE}, 0D)"
 
 
-def direction(value: Column) -> Column:
+def direction(value: str = CHANGE_OR_ZERO) -> Column:
     """Zero counts as up (P5)."""
-    return F.when((value >= 0) & ~F.isnan(value), F.lit("up")).otherwise(F.lit("down"))
+    return F.expr(f"CASE WHEN {value} >= 0 AND NOT isnan({value}) THEN 'up' ELSE 'down' END")
 
 
 def table_view(market: DataFrame) -> DataFrame:
@@ -82,8 +83,8 @@ def table_view(market: DataFrame) -> DataFrame:
         "name",
         fmt.upper_symbol("symbol").alias("symbol"),
         fmt.format_compact_currency("current_price").alias("price_text"),
-        fmt.format_percent(change_or_zero()).alias("change_text"),
-        direction(change_or_zero()).alias("direction"),
+        fmt.format_percent(CHANGE_OR_ZERO).alias("change_text"),
+        direction().alias("direction"),
         fmt.format_compact_currency("market_cap").alias("cap_text"),
         fmt.format_compact_currency("total_volume").alias("volume_text"),
         fmt.rank_text_table("market_cap_rank").alias("rank_text"),
@@ -97,7 +98,7 @@ def card_view(market: DataFrame) -> DataFrame:
         "image",
         "name",
         fmt.upper_symbol("symbol").alias("symbol"),
-        fmt.format_percent(change_or_zero()).alias("change_text"),
+        fmt.format_percent(CHANGE_OR_ZERO).alias("change_text"),
         fmt.format_compact_currency("current_price").alias("price_text"),
         fmt.format_compact_currency("market_cap").alias("cap_text"),
     )
@@ -105,22 +106,18 @@ def card_view(market: DataFrame) -> DataFrame:
 
 def detail_rows(market: DataFrame) -> DataFrame:
     """Twelve labelled values per asset, one row each."""
-    money = fmt.format_compact_currency
-
-    def supply(column: str) -> Column:
-        return fmt.format_supply(column, "symbol")
-
+    money, supply = fmt.format_compact_currency, fmt.format_supply
     # The labels, in display order.
     labelled = [
         ("Current Price", money("current_price")),
-        ("24h Change", fmt.format_percent(change_or_zero())),
+        ("24h Change", fmt.format_percent(CHANGE_OR_ZERO)),
         ("24h High", money("high_24h")),
         ("24h Low", money("low_24h")),
         ("Market Cap", money("market_cap")),
         ("Total Volume", money("total_volume")),
-        ("Circulating Supply", supply("circulating_supply")),
-        ("Total Supply", supply("total_supply")),
-        ("Max Supply", supply("max_supply")),
+        ("Circulating Supply", supply("circulating_supply", "symbol")),
+        ("Total Supply", supply("total_supply", "symbol")),
+        ("Max Supply", supply("max_supply", "symbol")),
         ("ATH", money("ath")),
         ("ATL", money("atl")),
         ("Rank", fmt.rank_text_detail("market_cap_rank")),
@@ -147,21 +144,19 @@ def status(market: DataFrame, query: str = "", error: str | None = None) -> Data
     )
 
 
-def _exact(value: Column) -> Column:
-    """Exact addends, so the total does not depend on the order of partitions."""
-    return F.coalesce(value.try_cast("decimal(38,6)"), F.lit(0).cast("decimal(38,6)"))
+def _exact_total(column: str) -> Column:
+    """Decimal addends, so the total does not depend on the order of partitions."""
+    addend = f"coalesce(try_cast({column} AS DECIMAL(38,6)), 0)"
+    return F.expr(f"CAST(coalesce(sum({addend}), 0) AS DOUBLE)")
 
 
 def kpi_columns() -> list[Column]:
     """Totals, gainers and row count, all partial aggregates of one pass (A1-A4)."""
-    change = change_or_zero()
-    nothing = F.lit(0).cast("decimal(38,6)")
+    rising = f"{CHANGE_OR_ZERO} > 0 AND NOT isnan({CHANGE_OR_ZERO})"
     return [
-        F.coalesce(F.sum(_exact(F.col("market_cap"))), nothing).cast("double").alias("cap_total"),
-        F.coalesce(F.sum(_exact(F.col("total_volume"))), nothing)
-        .cast("double")
-        .alias("volume_total"),
-        F.count_if((change > 0) & ~F.isnan(change)).alias("gainer_count"),
+        _exact_total("market_cap").alias("cap_total"),
+        _exact_total("total_volume").alias("volume_total"),
+        F.expr(f"count_if({rising})").alias("gainer_count"),
         F.count("*").alias("asset_count"),
     ]
 
@@ -172,16 +167,18 @@ def kpi_texts(totals: DataFrame) -> DataFrame:
         "*",
         fmt.format_compact_currency("cap_total").alias("cap_text"),
         fmt.format_compact_currency("volume_total").alias("volume_text"),
-        F.concat_ws(
-            "/", F.col("gainer_count").cast("string"), F.col("asset_count").cast("string")
-        ).alias("gainers_text"),
+        F.expr("concat(gainer_count, '/', asset_count)").alias("gainers_text"),
     )
 
 
+def kpi_totals(market: DataFrame, *by: str) -> DataFrame:
+    """The numbers alone."""
+    return (market.groupBy(*by) if by else market).agg(*kpi_columns())
+
+
 def kpis(market: DataFrame, *by: str) -> DataFrame:
     """KPI row over all assets, never over a search result (A6); or one per snapshot."""
-    grouped = market.groupBy(*by) if by else market
-    return kpi_texts(grouped.agg(*kpi_columns()))
+    return kpi_texts(kpi_totals(market, *by))
 
 
 def latest_snapshot(history: DataFrame, snapshot: str = "snapshot_ts") -> DataFrame:

@@ -126,7 +126,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("candidate_id"),
         F.expr(EMAIL_SQL).alias("email"),
-        digest(F.expr(SECRET_SQL)).alias("secret_digest"),
+        digest(SECRET_SQL).alias("secret_digest"),
     )
 
 
@@ -138,7 +138,7 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.col("c_custkey").alias("member_id"),
             F.expr(EMAIL_SQL).alias("email"),
-            digest(F.expr(SECRET_SQL)).alias("password_digest"),
+            digest(SECRET_SQL).alias("password_digest"),
         )
     )
 
@@ -146,7 +146,7 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
 def admins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(
         F.expr(ADMIN_EMAIL_SQL).alias("email"),
-        digest(F.expr(ADMIN_SECRET_SQL)).alias("password_digest"),
+        digest(ADMIN_SECRET_SQL).alias("password_digest"),
     )
 
 
@@ -173,7 +173,7 @@ def queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("candidate_id"),
         F.expr(QUEUE_EMAIL_SQL).alias("email"),
-        digest(F.expr(QUEUE_SECRET_SQL)).alias("secret_digest"),
+        digest(QUEUE_SECRET_SQL).alias("secret_digest"),
     )
 
 
@@ -269,7 +269,7 @@ def known_members(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(None).cast("string").alias("address"),
             F.lit(None).cast("string").alias("state"),
             F.lit(None).cast("int").alias("selling_quantity"),
-            digest(F.expr(KNOWN_SECRET_SQL)).alias("password_digest"),
+            digest(KNOWN_SECRET_SQL).alias("password_digest"),
         )
     )
 

@@ -88,9 +88,10 @@ def market_quote(spark, sf):
 
 @query
 def market_direction(spark, sf):
-    change = market.change_or_zero()
     return c.assets(spark, sf).select(
-        "id", change.alias("change"), market.direction(change).alias("direction")
+        "id",
+        F.expr(market.CHANGE_OR_ZERO).alias("change"),
+        market.direction().alias("direction"),
     )
 
 
@@ -192,16 +193,16 @@ def fmt_rank(spark, sf):
 @query
 def fmt_time(spark, sf):
     return c.table(spark, sf, "events").select(
-        "event_id", fmt.refresh_time_text(F.expr(FRESH_SQL)).alias("text")
+        "event_id", fmt.refresh_time_text(FRESH_SQL).alias("text")
     )
 
 
 @query
 def cn_join(spark, sf):
-    urgent = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("urgent"))
-    kind = F.when(F.col("o_orderstatus") == "F", F.lit("")).otherwise(F.col("o_orderstatus"))
+    urgent = "CASE WHEN o_orderpriority = '1-URGENT' THEN 'urgent' END"
+    kind = "CASE WHEN o_orderstatus = 'F' THEN '' ELSE o_orderstatus END"
     return c.table(spark, sf, "orders").select(
-        "o_orderkey", fmt.join_present(F.lit("order"), urgent, kind).alias("text")
+        "o_orderkey", fmt.join_present("'order'", urgent, kind).alias("text")
     )
 
 
@@ -210,18 +211,18 @@ def cn_join(spark, sf):
 
 @query
 def cleanse_text(spark, sf):
-    dirty = F.expr(c.DIRTY_HTML_SQL)
-    return c.table(spark, sf, "pages").select(
+    dirty = c.table(spark, sf, "pages").selectExpr("page_id", f"{c.DIRTY_HTML_SQL} AS dirty")
+    return dirty.select(
         "page_id",
-        cleansing.clean_input(dirty).alias("text"),
-        cleansing.clean_input(dirty, escape_single_quote=False).alias("text_old_quotes"),
+        cleansing.clean_input("dirty").alias("text"),
+        cleansing.clean_input("dirty", escape_single_quote=False).alias("text_old_quotes"),
     )
 
 
 @query
 def search_terms(spark, sf):
     return c.table(spark, sf, "documents").select(
-        "doc_id", cleansing.search_normalise(F.expr(c.PADDED_TEXT_SQL)).alias("text")
+        "doc_id", cleansing.search_normalise(c.PADDED_TEXT_SQL).alias("text")
     )
 
 
@@ -232,7 +233,7 @@ def _judged(spark, sf, **options):
 @query
 def signup_violations(spark, sf):
     return _judged(spark, sf).select(
-        "submission_id", rules.rule_text(F.col("violations")).alias("broken"), "accepted"
+        "submission_id", rules.rule_text().alias("broken"), "accepted"
     )
 
 
@@ -240,7 +241,7 @@ def signup_violations(spark, sf):
 def signup_violations_strict(spark, sf):
     judged = _judged(spark, sf, mode=rules.STRICT, match_rule=identity.ANY)
     return judged.select(
-        "submission_id", rules.rule_text(F.col("violations")).alias("broken"), "accepted"
+        "submission_id", rules.rule_text().alias("broken"), "accepted"
     )
 
 
@@ -253,7 +254,7 @@ def signup_accepted(spark, sf):
 @query
 def signup_rejects(spark, sf):
     _, rejected = sinks.split_outcome(_judged(spark, sf))
-    return rejected.select("submission_id", *intake.signup_texts())
+    return intake.signup_texts(rejected, "submission_id")
 
 
 @query
@@ -272,7 +273,7 @@ def contact_accepted(spark, sf):
 def login_warnings(spark, sf):
     judged = intake.judge_logins(c.attempts(spark, sf))
     return judged.select(
-        "attempt_id", rules.rule_text(F.col("violations")).alias("broken"), "email"
+        "attempt_id", rules.rule_text().alias("broken"), "email"
     )
 
 

@@ -20,7 +20,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from tidemark.operators.market import kpis, retain_selected
+from tidemark.operators.market import kpi_texts, kpi_totals, retain_selected
 from tidemark.schemas import CORRUPT, FETCH_LOG, MARKET
 from tidemark.sources.readers import is_corrupt, read_market_checked
 from tidemark.sources.sinks import BATCH, read_batches, read_if_written, write_batch
@@ -108,15 +108,18 @@ class MarketRefresh:
     def _show(self, batch_id: int, shown: Row | None) -> None:
         """Derived tables of a snapshot: its KPIs (T5) and the kept selections."""
         snapshot = self._loaded(batch_id).select(*MARKET.names)
-        write_batch(kpis(snapshot), f"{self.root}/kpis", batch_id)
+        write_batch(kpi_totals(snapshot), f"{self.root}/kpis", batch_id)
         old = self._selected_as_of(shown)
         if old is not None:
             kept = retain_selected(old, snapshot)
             write_batch(kept.select(*MARKET.names), f"{self.root}/selected", batch_id + 1)
 
     def _report(self, batch_id: int, good: bool, fetched_at, rows, error) -> None:
-        row = self.spark.createDataFrame([(good, fetched_at, rows, error)], STATUS)
-        write_batch(row.coalesce(1), f"{self.root}/status", batch_id)
+        values = zip(STATUS.fields, (good, fetched_at, rows, error), strict=True)
+        row = self.spark.range(1, numPartitions=1).select(
+            *[F.lit(value).cast(field.dataType).alias(field.name) for field, value in values]
+        )
+        write_batch(row, f"{self.root}/status", batch_id)
 
     def status(self, before: int | None = None) -> DataFrame:
         """One row per batch: good or not, freshness stamp (T6), rows, error."""
@@ -136,10 +139,11 @@ class MarketRefresh:
         )
 
     def current_kpis(self) -> DataFrame | None:
+        """KPIs of the shown snapshot; the numbers are stored, the texts made here."""
         last = self._last_good()
         if last is None:
             return None
-        return self.spark.read.parquet(f"{self.root}/kpis/{BATCH}={last[BATCH]}")
+        return kpi_texts(self.spark.read.parquet(f"{self.root}/kpis/{BATCH}={last[BATCH]}"))
 
     def select(self, rows: DataFrame) -> None:
         """Store selected assets (M3) before the job starts; each refresh updates them."""
