@@ -74,3 +74,34 @@ def test_latest_snapshot_filter_reaches_the_scan(spark, small_dir):
 def test_point_lookup_is_pushed_down(spark, small_dir):
     parts = carriers.table(spark, small_dir, "part").withColumnRenamed("p_name", "id")
     assert "EqualTo(p_name,bolt)" in plan_of(market.find_asset(parts, "bolt"))
+
+
+def test_hot_keys_are_split(spark):
+    """A third of the candidates share one email and one secret."""
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1000",
+    }
+    before = {name: spark.conf.get(name) for name in confs}
+    for name, value in confs.items():
+        spark.conf.set(name, value)
+    try:
+        rows = spark.range(0, 4000, 1, 8)
+        key = "CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id AS STRING) END"
+        people = rows.selectExpr("id AS candidate_id", f"{key} AS email", f"{key} AS secret_digest")
+        members = people.toDF("member_id", "email", "password_digest")
+        admins = members.drop("member_id")
+        runs = [
+            (identity.with_match_counts(people, members), 3),
+            (identity.admit_new(people, members.filter("member_id % 3 = 1"), "any"), 2),
+            (identity.login_outcome(people, members, admins, secret="secret_digest"), 1),
+        ]
+        for df, joins in runs:
+            df.collect()
+            plan = plan_of(df).split("Initial Plan")[0]
+            assert plan.count("SortMergeJoin(skew=true)") == joins, plan
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.sqltext import case, quoted
+from tidemark.operators.lookup import lookup
 from tidemark.operators.ordering import HOT_GROUP_ROWS, carry_forward
 
 # Lead of a section before its top, the sticky threshold, the first active link.
@@ -164,4 +165,4 @@ def link_by_substring(
     )
     first = pieces.groupBy("__piece").agg(F.min_by("href", "ord").alias(name))
     chosen = ids.join(first, F.col("__id") == F.col("__piece")).select("__id", name)
-    return events.join(chosen, F.col(section) == F.col("__id"), "left").drop("__id")
+    return lookup(events, chosen, section, "__id").drop("__id")

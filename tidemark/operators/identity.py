@@ -8,7 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.cleansing import lower_email
+from tidemark.functions.cleansing import lower_email, lower_email_sql
+from tidemark.operators.lookup import lookup, pair_key
 from tidemark.session import cut_lineage
 
 EXACTLY_ONE = "exactly_one"
@@ -29,8 +30,8 @@ def with_match_counts(
 
     Equal pairs are never listed: members with the email, plus those with the secret,
     less those with both. Each count is aggregated before it is joined, so a secret
-    that a third of both sides share costs one row here. A candidate-side hot key is
-    a plain left lookup that adaptive execution splits.
+    that a third of both sides share costs one row here; on the candidate side it is a
+    hot key of a lookup, which is split.
     """
     both = members.groupBy(
         F.col("email").alias("__email"), F.col("password_digest").alias("__secret")
@@ -38,19 +39,12 @@ def with_match_counts(
     by_email = both.groupBy("__email").agg(F.sum("__both").alias("__same_email"))
     by_secret = both.groupBy("__secret").agg(F.sum("__both").alias("__same_secret"))
 
-    same_email = F.col(email) == F.col("__email")
-    same_secret = F.col(secret) == F.col("__secret")
-    counted = (
-        candidates.join(by_email, same_email, "left")
-        .drop("__email")
-        .join(by_secret, same_secret, "left")
-        .drop("__secret")
-        .join(both, same_email & same_secret, "left")
-        .drop("__email", "__secret")
-    )
-    found = F.coalesce("__same_email", F.lit(0)) + F.coalesce("__same_secret", F.lit(0))
-    return counted.withColumn(name, found - F.coalesce("__both", F.lit(0))).drop(
-        "__same_email", "__same_secret", "__both"
+    counted = lookup(candidates, by_email, email, "__email").drop("__email")
+    counted = lookup(counted, by_secret, secret, "__secret").drop("__secret")
+    counted = lookup(counted, both, pair_key(email, secret), pair_key("__email", "__secret"))
+    found = "coalesce(__same_email, 0) + coalesce(__same_secret, 0) - coalesce(__both, 0)"
+    return counted.withColumn(name, F.expr(found)).drop(
+        "__email", "__secret", "__same_email", "__same_secret", "__both"
     )
 
 
@@ -87,8 +81,7 @@ def admit_new(
 
 
 def _without(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
-    distinct = keys.toDF("__taken").distinct()
-    return rows.join(distinct, F.col(column) == F.col("__taken"), "left_anti")
+    return lookup(rows, keys.toDF("__taken").distinct(), column, "__taken", "left_anti")
 
 
 def admit_in_order(
@@ -185,7 +178,7 @@ def login_outcome(
     )
     given = F.col(secret)
     return (
-        attempts.join(stored, lower_email(email) == F.col("__email"), "left")
+        lookup(attempts, stored, lower_email_sql(email), "__email")
         .withColumn(
             "outcome",
             F.when(given == F.col("__member_secret"), F.lit("member"))

@@ -1,7 +1,7 @@
 """Active section per session over arriving scroll events.
 
 Each batch runs the batch operator, whose hot sessions are cut into chunks, and starts
-from the section each session ended with. A keyed state function would instead hand a
+from the section each session ended in before. A keyed state function would instead hand a
 whole session's share of the batch to one task.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tidemark.operators.attribution import FIRST_ACTIVE, carry_section, with_section
+from tidemark.operators.attribution import carry_section, with_section
 from tidemark.operators.ordering import HOT_GROUP_ROWS
 from tidemark.sources.sinks import BATCH, read_batches, write_batch
 from tidemark.streaming.triggers import start
@@ -53,14 +53,15 @@ class SectionTracking:
     def on_batch(self, events: DataFrame, batch_id: int) -> None:
         state = self.ended(before=batch_id)
         seen = with_section(events, self.sections)
-        touched = seen.groupBy("session_id").agg(
-            F.max_by("section_id", F.when(F.col("section_id").isNotNull(), F.struct("ts", "event_id")))
-            .alias("ended_in")
-        )
-        carried = carry_section(seen, first=F.lit(None).cast("string"), hot_rows=self.hot_rows)
-        active = carried.join(state, "session_id", "left").withColumn(
-            "active_section", F.coalesce("active_section", "ended_in", F.lit(FIRST_ACTIVE))
+        placed = F.when(F.col("section_id").isNotNull(), F.struct("ts", "event_id"))
+        touched = seen.groupBy("session_id").agg(F.max_by("section_id", placed).alias("ended_in"))
+        # What a session ended in before is its first row now: null times sort first.
+        # So the state needs no join to the events.
+        seeds = state.join(touched, "session_id", "left_semi").select(
+            "session_id", F.col("ended_in").alias("section_id"), F.lit(True).alias("__seed")
         )
+        rows = seen.withColumn("__seed", F.lit(False)).unionByName(seeds, allowMissingColumns=True)
+        active = carry_section(rows, hot_rows=self.hot_rows).filter("NOT __seed")
         write_batch(active.select(*ACTIVE.names), f"{self.root}/active", batch_id)
 
         moved = touched.filter(F.col("ended_in").isNotNull())
