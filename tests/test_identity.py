@@ -49,6 +49,16 @@ def test_counts_equal_the_or_join(data):
     assert any(n == 1 for n in found.values()) and any(n == 80 for n in found.values())
 
 
+@pytest.mark.parametrize("max_bytes", [0, 10**9])
+def test_counts_from_members_in_question(data, max_bytes):
+    c, m, candidates, members = data
+    few = candidates.filter("candidate_id < 30")
+    asked = identity.members_in_question(few, members, max_bytes=max_bytes)
+    assert (asked.count() < len(m)) == (max_bytes > 0)
+    found = identity.with_match_counts(few, asked).collect()
+    assert {r.candidate_id: r.n_matches for r in found} == {r[0]: matches(r, m) for r in c[:30]}
+
+
 @pytest.mark.parametrize(("rule", "dup"), [("exactly_one", lambda n: n == 1), ("any", bool)])
 def test_admit_new(data, rule, dup):
     c, m, candidates, members = data

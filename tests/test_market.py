@@ -65,6 +65,11 @@ def test_search(few, text, found):
     assert sorted(ids(market.search(few, text))) == sorted(found)
 
 
+def test_search_in_rank_order(few):
+    ranked = few.withColumn("market_cap_rank", few.total_volume.cast("int"))
+    assert ids(market.search(ranked, "", in_order=True)) == ["a", "b", "d", "c"]
+
+
 def test_find_status_direction(few):
     assert ids(market.find_asset(few, "c")) == ["c"]
     assert market.status(few, "gamma").first().status == "data"

@@ -15,6 +15,9 @@ from tidemark.session import cut_lineage
 EXACTLY_ONE = "exactly_one"
 ANY = "any"
 
+# Keys of a batch up to this many bytes may be broadcast.
+BROADCAST_BYTES = 32 * 1024 * 1024
+
 # Undecided rows below this count are settled in one pass instead of further rounds.
 TAIL_ROWS = 1_000
 
@@ -48,6 +51,38 @@ def with_match_counts(
     )
 
 
+def members_in_question(
+    candidates: DataFrame,
+    members: DataFrame,
+    email: str = "email",
+    secret: str = "secret_digest",
+    max_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Members that share a key with some candidate: all that the counts depend on.
+
+    For a small batch against a large table this spares shuffling the table: its rows
+    meet the batch's keys in one scan. The keys are broadcast only if their measured
+    size is below ``max_bytes``; else the members stay as they are, to be aggregated.
+    Reads the candidates, so persist them first.
+    """
+    width = f"coalesce(octet_length({email}), 0) + coalesce(octet_length({secret}), 0) + 64"
+    size = candidates.agg(F.expr(f"coalesce(sum({width}), 0)")).first()[0]
+    if size > max_bytes:
+        return members
+    emails = candidates.select(F.col(email).alias("__email"), F.lit(True).alias("__by_email"))
+    secrets = candidates.select(F.col(secret).alias("__secret"), F.lit(True).alias("__by_secret"))
+    return (
+        members.join(
+            F.broadcast(emails.distinct()), F.col("email") == F.col("__email"), "left"
+        )
+        .join(
+            F.broadcast(secrets.distinct()), F.col("password_digest") == F.col("__secret"), "left"
+        )
+        .filter("__by_email OR __by_secret")
+        .select(*members.columns)
+    )
+
+
 def is_duplicate_sql(match_rule: str = EXACTLY_ONE, name: str = "n_matches") -> str:
     """``exactly_one`` leaves two or more matches unflagged; ``any`` flags them too."""
     if match_rule not in (EXACTLY_ONE, ANY):

@@ -75,19 +75,24 @@ def judge_signups(
         )
         .drop(*raw.values(), *PASSWORD_FIELDS)
     )
-    if members is not None:
-        known = is_duplicate_sql(match_rule)
-        judged = (
-            with_match_counts(judged, members)
-            .withColumns(
-                {
-                    "violations": r.with_taken(known),
-                    "accepted": F.expr(f"accepted AND NOT {known}"),
-                }
-            )
-            .drop("n_matches")
+    return judged if members is None else mark_known(judged, members, match_rule)
+
+
+def mark_known(
+    judged: DataFrame, members: DataFrame, match_rule: str = EXACTLY_ONE
+) -> DataFrame:
+    """Judged sign-ups with the duplicate rule added."""
+    known = is_duplicate_sql(match_rule)
+    return (
+        with_match_counts(judged, members)
+        .withColumns(
+            {
+                "violations": r.with_taken(known),
+                "accepted": F.expr(f"accepted AND NOT {known}"),
+            }
         )
-    return judged
+        .drop("n_matches")
+    )
 
 
 def judge_contacts(submissions: DataFrame, escape_single_quote: bool = True) -> DataFrame:

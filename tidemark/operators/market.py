@@ -56,9 +56,10 @@ def is_blank(query: str) -> bool:
     return not query.strip(SEARCH_BLANKS)
 
 
-def search(market: DataFrame, query: str) -> DataFrame:
-    """Filter by search text; a blank one keeps all rows (F2)."""
-    return market if is_blank(query) else market.filter(matches(query))
+def search(market: DataFrame, query: str, in_order: bool = False) -> DataFrame:
+    """Filter by search text; a blank one keeps all rows (F2). Order costs a sort."""
+    found = market if is_blank(query) else market.filter(matches(query))
+    return found.orderBy(F.asc_nulls_last("market_cap_rank"), "id") if in_order else found
 
 
 def find_asset(market: DataFrame, asset_id) -> DataFrame:

@@ -30,13 +30,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only where that setting is unset on a local master is a temporary folder made.
     """
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    known = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
+    if known:
+        return known.rstrip("/")
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
     made = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set(CHECKPOINT_CONF, made)
+    context.setCheckpointDir(made)
     return made
 
 
@@ -49,5 +50,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows survive the loss of any executor."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
+        folder = shared_dir(df.sparkSession)
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(folder)
     return df.checkpoint()

@@ -9,8 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.functions.rules import FAITHFUL
-from tidemark.operators.identity import ANY, EXACTLY_ONE, admit_in_order
-from tidemark.operators.intake import judge_contacts, judge_signups
+from tidemark.operators.identity import ANY, EXACTLY_ONE, admit_in_order, members_in_question
+from tidemark.operators.intake import judge_contacts, judge_signups, mark_known
 from tidemark.schemas import CONTACT_PAGE, MEMBER, VIOLATIONS
 from tidemark.sources.sinks import (
     contact_rows,
@@ -58,11 +58,10 @@ class SignupIntake:
         return self.base_members.select(*MEMBER.names).unionByName(known)
 
     def on_batch(self, submissions: DataFrame, batch_id: int) -> None:
-        judged = judge_signups(
-            submissions, self.known_members(batch_id), self.mode, self.match_rule
-        )
-        # Two outputs read the judged rows; persisting spares the second duplicate check.
-        judged = judged.persist()
+        # The batch is read for its keys and then joined; the judged rows go to two outputs.
+        by_rules = judge_signups(submissions, mode=self.mode).persist()
+        asked = members_in_question(by_rules, self.known_members(batch_id))
+        judged = mark_known(by_rules, asked, self.match_rule).persist()
         try:
             accepted, rejected = split_outcome(judged)
             if self.one_by_one:
@@ -74,6 +73,7 @@ class SignupIntake:
             write_batch(rejected.select(*REJECT.names), f"{self.root}/rejected", batch_id)
         finally:
             judged.unpersist()
+            by_rules.unpersist()
 
     def accepted(self, before: int | None = None) -> DataFrame:
         return read_batches(self.spark, f"{self.root}/accepted", MEMBER, before).select(
