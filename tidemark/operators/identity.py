@@ -36,11 +36,12 @@ def with_match_counts(
     that a third of both sides share costs one row here; on the candidate side it is a
     hot key of a lookup, which is split.
     """
-    both = members.groupBy(
+    keyed = members.select(
         F.col("email").alias("__email"), F.col("password_digest").alias("__secret")
-    ).agg(F.count("*").alias("__both"))
-    by_email = both.groupBy("__email").agg(F.sum("__both").alias("__same_email"))
-    by_secret = both.groupBy("__secret").agg(F.sum("__both").alias("__same_secret"))
+    )
+    by_email = keyed.groupBy("__email").agg(F.count("*").alias("__same_email"))
+    by_secret = keyed.groupBy("__secret").agg(F.count("*").alias("__same_secret"))
+    both = keyed.groupBy("__email", "__secret").agg(F.count("*").alias("__both"))
 
     counted = lookup(candidates, by_email, email, "__email").drop("__email")
     counted = lookup(counted, by_secret, secret, "__secret").drop("__secret")
