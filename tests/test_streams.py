@@ -68,11 +68,15 @@ def test_market_refresh(spark, tmp_path):
     fetches.land(3, error="no network")
     fetches.land(4, '[{"id": "gamma", ')
     fetches.land(5, {"status": {"error_code": 429}})
+    fetches.land(5)
     run()
     assert shown(job) == {"alpha": 10, "beta": 5}
     assert job.current().first().fetched_at.minute == 1
     errors = {r.error for r in job.status().filter("NOT good").collect()}
-    assert errors == {"Request failed with status 503.", "no network", "1 unreadable records"}
+    assert errors == {
+        "Request failed with status 503.", "no network", "1 unreadable records", "Body not found.",
+    }
+    assert job.quarantined().count() == 2
 
     # A newer snapshot replaces all; an older one that arrives late does not.
     fetches.land(7, [coin("alpha", None), coin("delta", 7)])
@@ -121,6 +125,11 @@ def test_refresh_replay_changes_nothing(spark, tmp_path):
     job.on_batch(batches[1], 1)
     assert shown(job) == {"alpha": 2, "beta": 3}
     assert job.status().count() == 2
+    odd = log.limit(1).selectExpr(
+        "fetch_id", "CAST(NULL AS TIMESTAMP) AS fetched_at", "CAST(NULL AS INT) AS status", "path", "error"
+    )
+    job.on_batch(odd, 2)
+    assert shown(job) == {"alpha": 2, "beta": 3}
     # Several attempts in one batch: the newest good one is shown.
     both = MarketRefresh(spark, str(tmp_path / "both"))
     both.on_batch(log, 0)

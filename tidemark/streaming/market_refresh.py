@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -64,6 +65,9 @@ class MarketRefresh:
         error = None
         # Attempts are few per batch; the first good one ends the walk, older ones are outdated.
         for attempt in newest_first.toLocalIterator():
+            if attempt["fetched_at"] is None:
+                error = error or attempt["error"] or "Fetch without a time."
+                continue
             if shown is not None and attempt["fetched_at"] <= shown["fetched_at"]:
                 break
             problem, rows = self._load(attempt, batch_id)
@@ -78,9 +82,14 @@ class MarketRefresh:
         """Write the body as this batch's snapshot; a problem text if it must not be shown."""
         if attempt["error"]:
             return attempt["error"], 0
-        if not 200 <= attempt["status"] < 300:
+        if attempt["status"] is None or not 200 <= attempt["status"] < 300:
             return f"Request failed with status {attempt['status']}.", 0
-        body = read_market_checked(self.spark, attempt["path"], self.array_files)
+        try:
+            body = read_market_checked(self.spark, attempt["path"], self.array_files)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return "Body not found.", 0
         marked = body.withColumn("corrupt", is_corrupt())
         # One parse: the counts come from what was written. Readers follow the status
         # table, so they do not see this folder yet.
@@ -125,6 +134,10 @@ class MarketRefresh:
         """One row per batch: good or not, freshness stamp (T6), rows, error."""
         return read_batches(self.spark, f"{self.root}/status", STATUS, before)
 
+    def quarantined(self) -> DataFrame:
+        """Unreadable records with the body they came from."""
+        return read_batches(self.spark, f"{self.root}/quarantine", QUARANTINE)
+
     def _last_good(self, before: int | None = None) -> Row | None:
         good = self.status(before).filter("good").orderBy(F.desc(BATCH)).limit(1).collect()
         return good[0] if good else None
