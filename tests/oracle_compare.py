@@ -32,11 +32,12 @@ def _rows(columns, rows):
 
 
 def both(spark, con, query, sql, sf_dir):
+    """Sorted columns and rows of each side, and our column types."""
     df = query(spark, sf_dir)
     ours = _rows(df.columns, [tuple(row) for row in df.collect()])
     found = con.execute(sql)
     names = [d[0] for d in found.description]
-    return ours, _rows(names, found.fetchall())
+    return ours, _rows(names, found.fetchall()), dict(df.dtypes)
 
 
 def difference(ours, theirs, show: int = 5) -> str:

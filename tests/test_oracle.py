@@ -23,19 +23,11 @@ def test_every_query_has_a_twin():
 @pytest.mark.parametrize("name", entry.queries())
 def test_query(spark, con, small_dir, name):
     sql = entry.oracle_sql()[name]
-    ours, theirs = both(spark, con, entry.queries()[name], sql, small_dir)
+    ours, theirs, types = both(spark, con, entry.queries()[name], sql, small_dir)
     assert not difference(ours, theirs)
     assert ours[1], "no rows compared"
-
-
-BATCH_QUERIES = [n for n in entry.queries() if not n.startswith("stream_")]
-
-
-@pytest.mark.parametrize("name", BATCH_QUERIES)
-def test_column_types(spark, con, small_dir, name):
-    ours = {n: TYPES[t] for n, t in entry.queries()[name](spark, small_dir).dtypes}
-    described = con.execute(f"DESCRIBE {entry.oracle_sql()[name]}").fetchall()
-    assert ours == {row[0]: row[1] for row in described}
+    described = con.execute(f"DESCRIBE {sql}").fetchall()
+    assert {n: TYPES[t] for n, t in types.items()} == {row[0]: row[1] for row in described}
 
 
 def test_entry(spark):
