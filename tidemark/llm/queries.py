@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.jaccard_join import similar_documents
+from tidemark.llm.packing import pack
 from tidemark.llm.text import documents
 
 
@@ -14,8 +15,13 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(documents(spark, sf_dir))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op9_best_fit_packing": op9_best_fit_packing,
 }
 
 #: DuckDB twins of the queries that SQL can express on whole tables.
