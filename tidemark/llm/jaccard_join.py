@@ -29,10 +29,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.components import components
 from tidemark.llm.text import (
     WordHashes,
-    filter_bit,
+    id_bit,
     id_filter,
     map_arrow,
     mix,
+    passes,
     shingles,
     signed,
     slices,
@@ -238,8 +239,7 @@ def set_reader(bits):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, marks = WordHashes(), bits.value
         for part in slices(batches, 100):
-            at = part[2].to_numpy()
-            keep = np.flatnonzero((marks[at >> 5] >> (at & 31).astype(np.uint32)) & 1)
+            keep = np.flatnonzero(passes(marks, part[2].to_numpy()))
             some = part.take(pa.array(keep))
             sets = [shingles(word_hashes(x, known)).tobytes() for x in some[1].to_pylist()]
             if sets:
@@ -325,7 +325,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     bits = spark.sparkContext.broadcast(id_filter(wanted, "rep"))
     sets = written(
         map_arrow(
-            source.select("doc_id", "text", filter_bit("doc_id").alias("bit")),
+            source.select("doc_id", "text", id_bit("doc_id").alias("bit")),
             set_reader(bits),
             "rep long, tokens binary",
         ).dropDuplicates(["rep"]),

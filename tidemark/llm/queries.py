@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.decontaminate import overlaps
 from tidemark.llm.jaccard_join import similar_documents
 from tidemark.llm.packing import pack
 from tidemark.llm.text import documents
@@ -15,12 +16,17 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(documents(spark, sf_dir))
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlaps(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 

@@ -95,18 +95,17 @@ def signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64), pa.int64())
 
 
-#: Bits of the fixed-size filter of ids, whatever the number of ids.
+#: Bits of a filter of ids, whatever their number.
 FILTER_BITS = 1 << 24
 
 
-def id_filter(ids: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
-    """Bit array in which the hash bit of each id is set: 2 MiB at any number of ids.
+def bit_filter(rows: DataFrame, bit: str, bits: int) -> np.ndarray:
+    """Bit array with the bits set that column ``bit`` names: ``bits / 8`` bytes at any size.
 
-    It only spares work: rows that pass are joined exactly later.
+    A filter only spares work: what passes it is joined exactly later.
     """
-    bit = F.pmod(F.xxhash64(column), F.lit(bits))
     found = (
-        ids.select(bit.alias("b"))
+        rows.select(F.col(bit).cast("long").alias("b"))
         .groupBy(F.shiftright("b", 5).alias("w"))
         .agg(F.expr("bit_or(shiftleft(1L, cast(b & 31 as int)))").alias("m"))
         .toPandas()
@@ -116,5 +115,13 @@ def id_filter(ids: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarra
     return out
 
 
-def filter_bit(column: str, bits: int = FILTER_BITS):
+def passes(marks: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return ((marks[at >> 5] >> (at & 31).astype(np.uint32)) & 1).astype(bool)
+
+
+def id_bit(column: str, bits: int = FILTER_BITS):
     return F.pmod(F.xxhash64(column), F.lit(bits)).cast("int")
+
+
+def id_filter(ids: DataFrame, column: str) -> np.ndarray:
+    return bit_filter(ids.select(id_bit(column).alias("bit")), "bit", FILTER_BITS)
