@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.decontaminate import overlaps
 from tidemark.llm.jaccard_join import similar_documents
 from tidemark.llm.packing import pack
+from tidemark.llm.sanitise import report
 from tidemark.llm.text import documents
 
 
@@ -24,10 +25,15 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_pii": op10_pii,
 }
 
 #: DuckDB twins of the queries that SQL can express on whole tables.
