@@ -9,10 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.decontaminate import overlaps
 from tidemark.llm.jaccard_join import similar_documents
 from tidemark.llm.packing import pack
+from tidemark.llm.quality import judged
 from tidemark.llm.sanitise import report
 from tidemark.llm.text import documents
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(documents(spark, sf_dir))
 
@@ -30,6 +35,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_best_fit_packing": op9_best_fit_packing,
