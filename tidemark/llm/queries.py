@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tidemark.llm.decontaminate import overlaps
+from tidemark.llm.id_files import round_trip
 from tidemark.llm.jaccard_join import similar_documents
 from tidemark.llm.packing import pack
 from tidemark.llm.quality import judged
@@ -18,6 +20,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op5_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(documents(spark, sf_dir))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(documents(spark, sf_dir))
 
@@ -36,10 +42,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op5_token_id_files": op5_token_id_files,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_pii": op10_pii,
+    "pipeline": corpus_pipeline.run,
 }
 
 #: DuckDB twins of the queries that SQL can express on whole tables.
