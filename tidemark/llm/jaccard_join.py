@@ -22,7 +22,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,10 +32,12 @@ from tidemark.llm.text import (
     id_filter,
     map_arrow,
     mix,
+    packed,
     passes,
     shingles,
     signed,
     slices,
+    summed_arrays,
     word_hashes,
     written,
 )
@@ -129,8 +130,7 @@ def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             schema=schema,
         )
     if counts.any():
-        pack = zstandard.ZstdCompressor(level=1).compress
-        parts = [pack(x.tobytes()) for x in np.split(counts, CHUNKS)]
+        parts = [packed(x) for x in np.split(counts, CHUNKS)]
         none = [None] * CHUNKS
         columns = [none, none, none, none, none, list(range(CHUNKS)), parts]
         yield pa.RecordBatch.from_arrays(
@@ -138,32 +138,11 @@ def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the sketch parts a task holds, by chunk."""
-    totals: dict[int, np.ndarray] = {}
-    unpack = zstandard.ZstdDecompressor().decompress
-    for batch in batches:
-        for chunk, data in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
-            part = np.frombuffer(unpack(data), np.uint32)
-            totals[chunk] = totals[chunk] + part if chunk in totals else part
-    if totals:
-        pack = zstandard.ZstdCompressor(level=1).compress
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(list(totals), pa.int32()),
-                pa.array([pack(x.tobytes()) for x in totals.values()], pa.binary()),
-            ],
-            names=["chunk", "counts"],
-        )
-
-
 def sketch_of(info: DataFrame) -> np.ndarray:
     parts = info.where("chunk is not null").select("chunk", "counts")
-    rows = map_arrow(parts.repartition("chunk"), summed, "chunk int, counts binary").collect()
-    out = np.zeros((CHUNKS, SKETCH // CHUNKS), np.uint32)
-    unpack = zstandard.ZstdDecompressor().decompress
-    for row in rows:
-        out[row["chunk"]] += np.frombuffer(unpack(bytes(row["counts"])), np.uint32)
+    out = np.zeros((CHUNKS, SKETCH // CHUNKS), np.int64)
+    for (chunk,), counts in summed_arrays(parts, "chunk").items():
+        out[chunk] = counts
     return out.ravel()
 
 

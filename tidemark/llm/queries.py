@@ -10,20 +10,35 @@ import corpus_pipeline
 from tidemark.llm.decontaminate import overlaps
 from tidemark.llm.id_files import round_trip
 from tidemark.llm.jaccard_join import similar_documents
+from tidemark.llm.language_id import identify
+from tidemark.llm.lm_score import held_out_scores
 from tidemark.llm.packing import pack
 from tidemark.llm.quality import judged
 from tidemark.llm.sanitise import report
 from tidemark.llm.text import documents
+from tidemark.llm.vptree import nearest
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir))
+
+
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return held_out_scores(documents(spark, sf_dir))
+
+
 def op5_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir))
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(documents(spark, sf_dir))
 
@@ -42,7 +57,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op3_language_id": op3_language_id,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_token_id_files": op5_token_id_files,
+    "op6_nearest_neighbours": op6_nearest_neighbours,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_best_fit_packing": op9_best_fit_packing,

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,6 +92,42 @@ def shingles(hashes: np.ndarray, size: int = 5) -> np.ndarray:
     return np.unique(windows(hashes, min(size, len(hashes))))
 
 
+def array_adder(keys: int):
+    """Sums of the zstd-packed int64 arrays (last column) of a task, by the columns before it."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals, schema = {}, None
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            schema = batch.schema
+            for *key, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                part = np.frombuffer(unpack(data), np.int64)
+                key = tuple(key)
+                totals[key] = totals[key] + part if key in totals else part
+        if totals:
+            columns = [*zip(*totals, strict=True), map(packed, totals.values())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
+            )
+
+    return work
+
+
+def packed(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(values.astype(np.int64).tobytes())
+
+
+def summed_arrays(parts: DataFrame, *keys: str) -> dict[tuple, np.ndarray]:
+    """The sums of packed arrays by key; for a number of keys and a size that are bounded."""
+    rows = map_arrow(parts.repartition(*keys), array_adder(len(keys)), parts.schema)
+    out: dict[tuple, np.ndarray] = {}
+    unpack = zstandard.ZstdDecompressor().decompress
+    for *key, data in rows.collect():
+        part = np.frombuffer(unpack(bytes(data)), np.int64)
+        out[tuple(key)] = out.get(tuple(key), 0) + part
+    return out
+
+
 def signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64), pa.int64())
 
