@@ -15,6 +15,7 @@ from tidemark.llm.lm_score import held_out_scores
 from tidemark.llm.packing import pack
 from tidemark.llm.quality import judged
 from tidemark.llm.sanitise import report
+from tidemark.llm.suffix_dedup import repeated_spans
 from tidemark.llm.text import documents
 from tidemark.llm.vptree import nearest
 
@@ -23,6 +24,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(documents(spark, sf_dir)).drop("spans")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
 
@@ -57,6 +62,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_language_id": op3_language_id,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_token_id_files": op5_token_id_files,
