@@ -47,12 +47,18 @@ SKETCH = 1 << 20
 CHUNKS = 64
 #: Sets of a signature that are paired outright; larger groups go through centres.
 PAIRED = 6
-#: Centres of a signature in the first round; each later round takes eight times as many.
-CENTRES = 2
+#: Centres of a signature in the second round; each later round takes so many times as many.
+CENTRES = 32
 #: Sizes up to which two sets may differ in one shingle only: p + q < 18.
 SMALL = 9
 
-INFO = "doc_id long, n long, f1 long, f2 long, thin array<int>, chunk int, counts binary"
+#: Columns of a bitmap of a set's shingles: a bit that only one of two sets has is a difference.
+MARKS = tuple(f"m{k}" for k in range(8))
+
+INFO = (
+    "doc_id long, n long, f1 long, f2 long, thin array<int>, marks array<long>, "
+    "chunk int, counts binary"
+)
 
 
 def may_differ(p: int, top: int) -> int:
@@ -106,12 +112,29 @@ def prints(tokens: np.ndarray) -> tuple[int, int]:
     )
 
 
+def marks(tokens: np.ndarray) -> np.ndarray:
+    """Bitmap of 64 bits a column, with a bit set for each shingle."""
+    bits = np.zeros(64 * len(MARKS), bool)
+    bits[(tokens >> np.uint64(20)) & np.uint64(len(bits) - 1)] = True
+    return np.packbits(bits).view(np.int64)
+
+
+def may_link(a: str, b: str) -> str:
+    """SQL: what is known of two sets, sizes and bitmaps, allows a similarity of 0.8."""
+    both = f"({a}.n + {b}.n)"
+    tests = []
+    for x, y in ((a, b), (b, a)):
+        missing = " + ".join(f"bit_count({x}.{m} & ~{y}.{m})" for m in MARKS)
+        tests.append(f"9 * ({x}.n - ({missing})) >= 4 * {both}")
+    return " and ".join([f"9 * least({a}.n, {b}.n) >= 4 * {both}", *tests])
+
+
 def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each document, and the task's part of the sketch."""
     known, counts = WordHashes(), np.zeros(SKETCH, np.uint32)
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64())]
-        + [("thin", pa.list_(pa.int32())), ("chunk", pa.int32()), ("counts", pa.binary())]
+        + [("thin", pa.list_(pa.int32())), ("marks", pa.list_(pa.int64())), ("chunk", pa.int32()), ("counts", pa.binary())]
     )
     for part in slices(batches):
         rows = []
@@ -124,7 +147,7 @@ def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(segments(tokens, band, False)) < needed
             ]
             first, second = prints(tokens) if len(tokens) else (None, None)
-            rows.append((doc, len(tokens), first, second, thin, None, None))
+            rows.append((doc, len(tokens), first, second, thin, marks(tokens), None, None))
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)],
             schema=schema,
@@ -132,7 +155,7 @@ def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if counts.any():
         parts = [packed(x) for x in np.split(counts, CHUNKS)]
         none = [None] * CHUNKS
-        columns = [none, none, none, none, none, list(range(CHUNKS)), parts]
+        columns = [none, none, none, none, none, none, list(range(CHUNKS)), parts]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
         )
@@ -272,10 +295,11 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         .distinct()
         .collect()
     )
-    rows = info.where("chunk is null").select("doc_id", "n", "f1", "f2")
+    known = [F.col("marks")[k].alias(m) for k, m in enumerate(MARKS)]
+    rows = info.where("chunk is null").select("doc_id", "n", "f1", "f2", *known)
     first = rows.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"))
     reps = written(
-        rows.where("n > 0").join(first, ["f1", "f2", "n"]).select("doc_id", "n", "rep"), "reps"
+        rows.where("n > 0").join(first, ["f1", "f2", "n"]).select("doc_id", "n", "rep", *MARKS), "reps"
     )
     sketch = spark.sparkContext.broadcast(sketch_of(info))
     index = map_arrow(source, indexer(sketch, fine), "sig long, doc long")
@@ -289,16 +313,16 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     )
     pairs = found.where("sig is null").select("a", "b").distinct()
     members = found.where("sig is not null").select("sig", F.col("a").alias("doc")).distinct()
-    of = reps.selectExpr("doc_id as doc", "rep", "n")
+    of = reps.select(F.col("doc_id").alias("doc"), "rep", "n", *MARKS)
     pairs = (
-        pairs.join(of.selectExpr("doc as a", "rep as ra", "n as na"), "a")
-        .join(of.selectExpr("doc as b", "rep as rb", "n as nb"), "b")
-        .where("ra != rb and 5 * least(na, nb) >= 4 * greatest(na, nb)")
-        .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
+        pairs.join(of.alias("x"), F.expr("a = x.doc"))
+        .join(of.alias("y"), F.expr(f"b = y.doc and x.rep != y.rep and {may_link('x', 'y')}"))
+        .selectExpr("least(x.rep, y.rep) as a", "greatest(x.rep, y.rep) as b")
         .distinct()
     )
     pairs = written(pairs, "pairs")
-    members = written(members.join(of, "doc").select("sig", "rep", "n").distinct(), "members")
+    members = members.join(of, "doc").select("sig", "rep", "n", *MARKS).distinct()
+    members = written(members, "members")
     wanted = pairs.selectExpr("a as rep").union(pairs.selectExpr("b as rep"))
     wanted = wanted.union(members.select("rep")).distinct()
     bits = spark.sparkContext.broadcast(id_filter(wanted, "rep"))
@@ -326,14 +350,15 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 def centred(members: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
     """Links within large signature groups, until each group is one component.
 
-    The centres are the sets of a group's smallest components; each meets all sets of other
-    components of a fitting size, and leaves the group.
+    The first centre is the set of the smallest id, so that groups that share most of their
+    sets share their centre too; later ones are the sets of the group's smallest components.
+    A centre meets all sets of other components of a fitting size, and leaves the group.
     """
-    centres = CENTRES
+    centres, order_by = 1, ["rep"]
     while True:
         labels = components(links).select(F.col("node").alias("rep"), "component")
         named = members.join(labels, "rep", "left").select(
-            "sig", "rep", "n", F.coalesce("component", "rep").alias("comp")
+            "sig", "rep", "n", *MARKS, F.coalesce("component", "rep").alias("comp")
         )
         spread = named.groupBy("sig").agg(
             F.min("comp").alias("low"), F.max("comp").alias("high")
@@ -343,23 +368,19 @@ def centred(members: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
         if members.isEmpty():
             return links
         sizes = members.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("size"))
-        order = Window.partitionBy("sig").orderBy("size", "comp", "rep")
+        order = Window.partitionBy("sig").orderBy(*order_by)
         chosen = (
             members.join(sizes, ["sig", "comp"])
             .withColumn("k", F.row_number().over(order))
             .where(F.col("k") <= centres)
-            .selectExpr("sig", "rep as centre", "n as cn", "comp as cc")
+            .drop("k", "size")
         )
         chosen = written(chosen, "centres")
-        pairs = (
-            members.join(chosen, "sig")
-            .where("comp != cc and 5 * least(n, cn) >= 4 * greatest(n, cn)")
-            .select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b"))
-            .distinct()
-        )
-        links = written(links.union(verified(pairs, sets)), "links")
-        members = members.select("sig", "rep", "n").join(
-            chosen.selectExpr("sig", "centre as rep"), ["sig", "rep"], "left_anti"
-        )
+        meet = f"x.sig = y.sig and x.comp != y.comp and {may_link('x', 'y')}"
+        pairs = members.alias("x").join(chosen.alias("y"), F.expr(meet))
+        pairs = pairs.selectExpr("least(x.rep, y.rep) as a", "greatest(x.rep, y.rep) as b")
+        links = written(links.union(verified(pairs.distinct(), sets)), "links")
+        members = members.drop("comp").join(chosen.select("sig", "rep"), ["sig", "rep"], "left_anti")
         members = written(members, "members")
-        centres *= 8
+        centres = CENTRES * centres
+        order_by = ["size", "comp", "rep"]
