@@ -86,7 +86,8 @@ class Model:
 
     def __init__(self, counts: dict[str, np.ndarray]):
         self.langs = sorted(counts)
-        rates = np.array([(counts[x] + 0.5) / (counts[x].sum() + 0.5 * BUCKETS) for x in self.langs])
+        rates = [(counts[x] + 0.5) / (counts[x].sum() + 0.5 * BUCKETS) for x in self.langs]
+        rates = np.array(rates).reshape(-1, BUCKETS)
         self.code = codewords(len(self.langs))
         bits = self.code.shape[1]
         table = np.zeros((BUCKETS, bits))
@@ -95,7 +96,7 @@ class Model:
             if not ones.all():
                 table[:, k] = np.log(rates[ones].mean(axis=0) / rates[~ones].mean(axis=0))
         margins = rates @ table * self.code
-        self.weights = np.maximum(margins.min(axis=0), 0) + 1e-6
+        self.weights = np.maximum(margins.min(axis=0, initial=10), 0) + 1e-6
         self.weights /= self.weights.sum()
         self.table = table.astype(np.float32)
 

@@ -67,13 +67,14 @@ class WordFeatures(dict):
 
 
 def style(parts: list[bytes], kinds: WordKinds) -> np.ndarray:
-    """Rates of shouted words, bars, symbol runs, neighbours alike, sameness; insults counted."""
+    """Rates of shouted words, bars, symbol runs, neighbours alike, sameness; number of insults."""
     n = len(parts)
     if not n:
         return np.zeros(STYLES)
     flags = np.fromiter(map(kinds.__getitem__, parts), np.uint8, n)
     again = sum(map(bytes.__eq__, parts[1:], parts)) / n
-    same = 1 - len(set(parts)) / n
+    # In stretches, as a long text of any kind repeats more of its words.
+    same = 1 - sum(len(set(parts[k : k + 200])) for k in range(0, n, 200)) / n
     rates = [np.count_nonzero(flags & bit) / n for bit in (1, 2, 4)]
     return np.array([*rates, again, same, float(np.count_nonzero(flags & 8))])
 
@@ -88,8 +89,8 @@ def votes(parts: list[bytes], rates: np.ndarray) -> int:
         WRONG if bars > 0.15 else GOOD if bars < 0.02 else ABSTAIN,
         WRONG if symbols > 0.1 else GOOD if symbols < 0.02 else ABSTAIN,
         WRONG if again > 0.25 else GOOD if again < 0.1 else ABSTAIN,
-        ABSTAIN if len(parts) < 40 else WRONG if same > 0.9 else ABSTAIN,
-        WRONG if insults >= 2 and insults > 0.001 * len(parts) else ABSTAIN,
+        ABSTAIN if len(parts) < 40 else WRONG if same > 0.8 else GOOD if same < 0.6 else ABSTAIN,
+        WRONG if insults >= 2 and insults > 0.001 * len(parts) else ABSTAIN if insults else GOOD,
     ]
     return sum(v << 2 * k for k, v in enumerate(own))
 
@@ -105,16 +106,26 @@ def vote_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> np.ndarray:
-    """Posterior of being bad for each vote pattern, by expectation-maximisation."""
+    """Posterior of being bad for each vote pattern, by expectation-maximisation.
+
+    For each labeller it learns how often its votes call good and bad documents bad; silence
+    says nothing, and no labeller is held to be worse than chance. What no labeller calls bad
+    is not.
+    """
     cast = np.stack([(patterns >> 2 * k) & 3 for k in range(len(LABELLERS))], axis=1)
-    bad = np.where((cast == WRONG).any(axis=1), 0.9, 0.1)
+    accused = (cast == WRONG).any(axis=1)
+    bad = np.where(accused, 0.9, 0.1)
     for _ in range(rounds):
         weights = np.stack([(1 - bad) * counts, bad * counts])
         log = np.log(weights.sum(axis=1) + 1)[:, None].repeat(len(patterns), axis=1)
         for k in range(len(LABELLERS)):
-            said = np.stack([np.bincount(cast[:, k], w, minlength=3) + 0.1 for w in weights])
-            log += np.log(said / said.sum(axis=1, keepdims=True))[:, cast[:, k]]
+            said = np.stack([np.bincount(cast[:, k], w, minlength=3) for w in weights])
+            rate = (said[:, WRONG] + 0.1) / (said[:, GOOD] + said[:, WRONG] + 0.2)
+            if rate[1] < rate[0]:
+                rate[:] = rate.mean()
+            log += np.log(np.stack([np.ones(2), 1 - rate, rate], axis=1))[:, cast[:, k]]
         new = 1 / (1 + np.exp(np.clip(log[0] - log[1], -500, 500)))
+        new = np.where(accused, new, np.minimum(new, 0.1))
         if np.abs(new - bad).max(initial=0) < 1e-9:
             break
         bad = new
@@ -220,7 +231,7 @@ def fit(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE):
     texts = source.join(F.broadcast(chosen), "doc_id").select("bad", "text")
     rows = map_arrow(texts, feature_rows, "bad double, index array<int>, value array<float>")
     rows = rows.toPandas()
-    if rows.empty:
+    if rows["bad"].ge(BAD).nunique() < 2:
         return np.zeros(0, np.int64), np.zeros(0)
     return train(list(rows["index"]), list(rows["value"]), rows["bad"].to_numpy())
 
@@ -230,7 +241,8 @@ def judged(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE) -> D
 
     ``labels`` (doc_id, quality, toxic) is one of the labellers and may be None or empty; nulls
     in it are no votes. Null and empty texts have no words and are judged by that alone. A null
-    or repeated id is judged by its own text. Without anything to learn from, all are kept.
+    or repeated id is judged by its own text. Unless there are documents of both kinds to learn
+    from, all are kept.
     """
     return scored(docs, labels, sample).select("doc_id", "bad_score", "keep")
 
