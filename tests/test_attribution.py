@@ -1,4 +1,4 @@
-"""Section attribution: inline and grid forms, usual and hot carry-forward."""
+"""Section attribution: list and table forms, carry-forward over chunks."""
 
 import random
 
@@ -37,7 +37,11 @@ def intervals(spark):
     return a.section_intervals(spark.createDataFrame(LAYOUT, SECTION))
 
 
-@pytest.mark.parametrize("form", [a.with_section, a.section_by_grid])
+def from_list(df, sections):
+    return a.with_section(df, sections.collect())
+
+
+@pytest.mark.parametrize("form", [from_list, a.with_section])
 def test_sections(events, intervals, form):
     rows, df = events
     found = {r.event_id: r.section_id for r in form(df, intervals).collect()}
@@ -46,22 +50,45 @@ def test_sections(events, intervals, form):
 
 def test_borders_are_half_open(spark, intervals):
     df = spark.createDataFrame([(1, 0.0), (2, 10.0), (3, 25.0), (4, None)], "event_id long, scroll_y double")
-    for form in (a.with_section, a.section_by_grid):
+    for form in (from_list, a.with_section):
         found = {r.event_id: r.section_id for r in form(df, intervals).collect()}
         assert found == {1: "home", 2: "about", 3: None, 4: None}
 
 
+def test_repeated_and_null_event_ids(spark, intervals):
+    rows = [(1, 5.0), (1, 1100.0), (None, 12.0), (None, 12.0), (None, 40.0)]
+    df = spark.createDataFrame(rows, "event_id long, scroll_y double")
+    for form in (from_list, a.with_section):
+        found = sorted((r.scroll_y, r.section_id) for r in form(df, intervals).collect())
+        assert found == [(5.0, "about"), (12.0, "about"), (12.0, "about"), (40.0, None), (1100.0, "far")]
+
+
+def test_stacked_and_very_long_sections(spark):
+    rows = [(k, f"s{k}", 10.0, 11.0) for k in range(1000)]
+    rows += [(2000, "long", 0.0, 5e4), *((3000 + k, f"t{k}", 20.0 + k, 21.0 + k) for k in range(1000))]
+    sections = spark.createDataFrame(rows, "ord int, section_id string, lo double, hi double")
+    df = spark.createDataFrame([(k, k / 2) for k in range(100)], "event_id long, scroll_y double")
+    found = a.with_section(df, sections)
+    assert found.count() == 100 and sorted(found.collect()) == sorted(from_list(df, sections).collect())
+
+
 def test_no_sections(spark, events, intervals):
     none = intervals.filter("false")
-    for form in (a.with_section, a.section_by_grid):
+    for form in (from_list, a.with_section):
         assert form(events[1], none).filter("section_id IS NOT NULL").count() == 0
 
 
-@pytest.mark.parametrize("hot_rows", [10_000, 100, 15])
-def test_carry_forward(events, intervals, hot_rows):
-    """Plain window, one hot session in chunks, and most sessions hot."""
+@pytest.mark.parametrize("chunks", ["1", "3", "40"])
+def test_carry_forward(spark, events, intervals, chunks):
+    """A third of the rows lie in one session, which is cut into chunks."""
     rows, df = events
-    carried = a.carry_section(a.with_section(df, intervals), hot_rows=hot_rows)
+    spark.conf.set("spark.sql.shuffle.partitions", chunks)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        carried = a.carry_section(from_list(df, intervals))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     last, expected = {}, {}
     for session, ts, i, y in sorted(rows, key=lambda r: (r[1], r[2])):
         last[session] = section_at(y) or last.get(session, "home")
@@ -76,15 +103,19 @@ def test_sticky(spark):
     assert [r[0] for r in df.collect()] == [False, True]
 
 
-@pytest.mark.parametrize("form", [a.with_link, a.link_by_substring])
+def link_from_list(df, links):
+    return a.with_link(df, links.collect())
+
+
+@pytest.mark.parametrize("form", [link_from_list, a.with_link])
 def test_links(spark, form):
     links = spark.createDataFrame(
         [(3, "#home-page"), (1, "#about"), (2, "/x#home")], "ord int, href string"
     )
-    ids = ["home", "about", "page", "zz", None, "#", "home-page-longer"]
+    ids = ["home", "about", "page", "zz", None, "#", "home-page-longer", ""]
     df = spark.createDataFrame(list(enumerate(ids)), "event_id int, active_section string")
     found = {r.event_id: r.href for r in form(df, links).collect()}
-    assert found == {0: "/x#home", 1: "#about", 2: "#home-page", 3: None, 4: None, 5: "#about", 6: None}
+    assert found == {0: "/x#home", 1: "#about", 2: "#home-page", 3: None, 4: None, 5: "#about", 6: None, 7: "#about"}
 
 
 def test_carrier_sections_overlap(spark):

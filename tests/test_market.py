@@ -53,7 +53,16 @@ def test_kpis_of_nothing_and_nan(spark, few):
 def test_order_and_pages(few):
     assert ids(market.market_page(few)) == ["c", "d", "a", "b"]
     assert ids(market.market_page(few, page=2, size=2)) == ["a", "b"]
-    assert sorted(ids(market.market_page(few, page=2, size=2, top_rows=0))) == ["a", "b"]
+    assert ids(market.deep_page(few)) == ["c", "d", "a", "b"]
+    assert ids(market.deep_page(few, page=2, size=2)) == ["a", "b"]
+
+
+def test_totals_keep_large_and_infinite_values(spark):
+    rows = [("a", "A", "a", 1e33, 1.0, 0.0), ("b", "B", "b", 5.0, 2.0, 0.0)]
+    assert market.kpis(assets(spark, rows)).first().cap_total == 1e33
+    rows.append(("c", "C", "c", math.inf, None, 0.0))
+    total = market.kpis(assets(spark, rows)).first()
+    assert total.cap_total == math.inf and total.volume_total == 3.0
 
 
 @pytest.mark.parametrize(

@@ -58,7 +58,7 @@ def test_duplicate_check_reads_members_narrow_and_hashed(spark, small_dir):
 
 
 def test_sections_need_no_join_or_shuffle(spark, small_dir):
-    sections = carriers.sections_as_intervals(spark)
+    sections = carriers.sections_as_intervals(spark).collect()
     found = attribution.with_section(carriers.scroll(spark, small_dir), sections)
     plan = plan_of(found.select("event_id", "section_id"))
     assert "Join" not in plan and "Exchange" not in plan

@@ -7,19 +7,13 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.sqltext import case, quoted
 from tidemark.operators.lookup import lookup
-from tidemark.operators.ordering import HOT_GROUP_ROWS, carry_forward
+from tidemark.operators.ordering import carry_forward
 
 # Lead of a section before its top, the sticky threshold, the first active link.
 LEAD = 150
 STICKY_AFTER = 100
 FIRST_ACTIVE = "home"
 
-# Lists up to this size become part of the expression; longer ones are joined.
-INLINE_ROWS = 200
-
-# Copies of each section per grid cell, so that a cell many events fall in is shared out.
-SALTS = 8
-
 
 def section_intervals(sections: DataFrame) -> DataFrame:
     """Half-open interval per section: from its top less the lead, as long as its height."""
@@ -29,28 +23,21 @@ def section_intervals(sections: DataFrame) -> DataFrame:
     )
 
 
-def _short_list(rows: DataFrame, order: str) -> list | None:
-    """Rows in order if there are at most ``INLINE_ROWS``, else None; reads one row more."""
-    head = rows.orderBy(order).limit(INLINE_ROWS + 1).collect()
-    return head if len(head) <= INLINE_ROWS else None
-
-
 def with_section(
     events: DataFrame,
-    sections: DataFrame,
-    key: str = "event_id",
+    sections: DataFrame | list,
     y: str = "scroll_y",
     name: str = "section_id",
 ) -> DataFrame:
     """Section each position lies in; of overlapping ones the last in document order.
 
-    A page's few sections become one expression: no join and no shuffle. A long list
-    is joined on a grid.
+    A list of rows, such as a page's few sections, becomes one expression: no join and no
+    shuffle. A table is joined on a grid. Both give the same.
     """
-    short = _short_list(sections, "ord")
-    if short is None:
-        return section_by_grid(events, sections, key, y, name)
-    return events.withColumn(name, _section_expression(short, y))
+    if isinstance(sections, DataFrame):
+        return section_by_grid(events, sections, y, name)
+    listed = sorted(sections, key=lambda row: row["ord"])
+    return events.withColumn(name, _section_expression(listed, y))
 
 
 def _section_expression(sections: list, y: str) -> Column:
@@ -67,45 +54,32 @@ def _section_expression(sections: list, y: str) -> Column:
 
 
 def section_by_grid(
-    events: DataFrame,
-    sections: DataFrame,
-    key: str = "event_id",
-    y: str = "scroll_y",
-    name: str = "section_id",
-    salts: int = SALTS,
+    events: DataFrame, sections: DataFrame, y: str = "scroll_y", name: str = "section_id"
 ) -> DataFrame:
-    """The same by an equi join on grid cells, for lists of any length.
+    """The same by an equi join on grid cells, for tables of sections.
 
     The cell is as wide as the mean section, so the sections' cells number about twice
-    the sections. Events of one cell are spread over ``salts`` copies of its sections,
-    and the best hit per event is picked before the shuffle on the event key.
+    the sections. A cell's sections are one row, and each event meets its cell only, so no
+    event is multiplied, whatever its id and however many sections lie on one place.
     """
-    width = sections.agg(F.avg(F.col("hi") - F.col("lo"))).first()[0]
+    real = sections.filter("hi > lo")
+    width = real.agg(F.avg(F.col("hi") - F.col("lo"))).first()[0]
     if not width:
         return events.withColumn(name, F.lit(None).cast("string"))
-    cells = sections.filter(F.col("hi") > F.col("lo")).select(
-        "ord",
-        "section_id",
-        "lo",
-        "hi",
-        F.explode(
-            F.sequence(F.floor(F.col("lo") / width), F.floor(F.col("hi") / width))
-        ).alias("__cell"),
+    cell = f"CAST(floor({{}} / {width!r}D) AS BIGINT)"
+    cells = real.select(
+        F.struct("ord", "section_id", "lo", "hi").alias("__one"),
+        F.explode(F.expr(f"sequence({cell.format('lo')}, {cell.format('hi')})")).alias("__cell"),
     )
-    copies = cells.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    keyed = events.select(
-        key,
-        F.col(y).alias("__y"),
-        F.floor(F.col(y) / width).alias("__cell"),
-        F.pmod(F.xxhash64(key), F.lit(salts)).cast("int").alias("__salt"),
+    cells = cells.groupBy("__cell").agg(
+        F.sort_array(F.collect_list("__one"), asc=False).alias("__sections")
     )
-    hits = (
-        keyed.join(copies, ["__cell", "__salt"])
-        .filter((F.col("__y") >= F.col("lo")) & (F.col("__y") < F.col("hi")))
-        .groupBy(key)
-        .agg(F.max_by("section_id", "ord").alias(name))
+    hit = f"filter(__sections, s -> {y} >= s.lo AND {y} < s.hi)"
+    return (
+        lookup(events, cells, cell.format(y), "__cell")
+        .withColumn(name, F.expr(f"get({hit}, 0).section_id"))
+        .drop("__cell", "__sections")
     )
-    return events.join(hits, key, "left")
 
 
 def carry_section(
@@ -115,11 +89,10 @@ def carry_section(
     order: tuple[str, ...] = ("ts", "event_id"),
     name: str = "active_section",
     first: str | Column = FIRST_ACTIVE,
-    hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Active section after each event: a position in no section changes nothing (WN1)."""
     first = F.lit(first) if isinstance(first, str) else first
-    carried = carry_forward(events, session, list(order), section, name, hot_rows)
+    carried = carry_forward(events, session, list(order), section, name)
     return carried.withColumn(name, F.coalesce(F.col(name), first))
 
 
@@ -130,15 +103,18 @@ def is_sticky(y: str = "scroll_y") -> Column:
 
 def with_link(
     events: DataFrame,
-    links: DataFrame,
+    links: DataFrame | list,
     section: str = "active_section",
     name: str = "href",
 ) -> DataFrame:
-    """First link, in order, whose target contains the section id as a substring."""
-    short = _short_list(links, "ord")
-    if short is None:
+    """First link, in order, whose target contains the section id as a substring.
+
+    A list of rows becomes an expression, a table is joined; both give the same. The empty
+    id is part of every target.
+    """
+    if isinstance(links, DataFrame):
         return link_by_substring(events, links, section, name)
-    targets = [quoted(row["href"]) for row in short]
+    targets = [quoted(row["href"]) for row in sorted(links, key=lambda row: row["ord"])]
     hits = [(f"contains({target}, {section})", target) for target in targets]
     return events.withColumn(name, F.expr(case(hits, "NULL") if hits else "CAST(NULL AS STRING)"))
 
@@ -146,13 +122,13 @@ def with_link(
 def link_by_substring(
     events: DataFrame, links: DataFrame, section: str = "active_section", name: str = "href"
 ) -> DataFrame:
-    """The same for long lists, by equality instead of a nested loop.
+    """The same for a table of links, by equality instead of a nested loop.
 
     Each distinct id length gives the substrings of that length of every target; the
     first link per substring is kept, and ids are looked up among those.
     """
     ids = events.select(F.col(section).alias("__id")).filter("__id IS NOT NULL").distinct()
-    lengths = ids.select(F.length("__id").alias("__len")).filter("__len > 0").distinct()
+    lengths = ids.select(F.length("__id").alias("__len")).distinct()
     per_target = lengths.agg(F.sort_array(F.collect_set("__len")).alias("__lens")).scalar()
     pieces = (
         links.withColumn("__len", F.explode(per_target))

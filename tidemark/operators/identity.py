@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,12 +14,6 @@ from tidemark.session import cut_lineage
 EXACTLY_ONE = "exactly_one"
 ANY = "any"
 
-# Keys of a batch up to this many bytes may be broadcast.
-BROADCAST_BYTES = 32 * 1024 * 1024
-
-# Undecided rows below this count are settled in one pass instead of further rounds.
-TAIL_ROWS = 1_000
-
 
 def with_match_counts(
     candidates: DataFrame,
@@ -57,29 +50,18 @@ def members_in_question(
     members: DataFrame,
     email: str = "email",
     secret: str = "secret_digest",
-    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Members that share a key with some candidate: all that the counts depend on.
 
-    For a small batch against a large table this spares shuffling the table: its rows
-    meet the batch's keys in one scan. The keys are broadcast only if their measured
-    size is below ``max_bytes``; else the members stay as they are, to be aggregated.
-    Reads the candidates, so persist them first.
+    The members meet the distinct keys of the batch; whether those are small enough to be
+    broadcast, which spares shuffling the table, is for the optimizer to see.
     """
-    width = f"coalesce(octet_length({email}), 0) + coalesce(octet_length({secret}), 0) + 64"
-    size = candidates.agg(F.expr(f"coalesce(sum({width}), 0)")).first()[0]
-    if size > max_bytes:
-        return members
-    emails = candidates.select(F.col(email).alias("__email"), F.lit(True).alias("__by_email"))
-    secrets = candidates.select(F.col(secret).alias("__secret"), F.lit(True).alias("__by_secret"))
+    emails = candidates.select(F.col(email).alias("__email")).distinct()
+    secrets = candidates.select(F.col(secret).alias("__secret")).distinct()
     return (
-        members.join(
-            F.broadcast(emails.distinct()), F.col("email") == F.col("__email"), "left"
-        )
-        .join(
-            F.broadcast(secrets.distinct()), F.col("password_digest") == F.col("__secret"), "left"
-        )
-        .filter("__by_email OR __by_secret")
+        members.join(emails, F.col("email") == F.col("__email"), "left")
+        .join(secrets, F.col("password_digest") == F.col("__secret"), "left")
+        .filter("__email IS NOT NULL OR __secret IS NOT NULL")
         .select(*members.columns)
     )
 
@@ -125,48 +107,37 @@ def admit_in_order(
     order: str = "candidate_id",
     email: str = "email",
     secret: str = "secret_digest",
-    tail_rows: int = TAIL_ROWS,
 ) -> DataFrame:
     """Candidates taken one after another, each dropped if it shares its email or its
-    secret with one *accepted* before it. ``order`` must be unique; keys non-null.
+    secret with one *accepted* before it. ``order`` must be unique and not null; a null
+    key rivals nobody.
 
     Per round, a candidate that comes first for its email and first for its secret has
     no earlier rival left, so it is accepted; all that share a key with it are dropped.
-    Only the first row per key is looked for, never the pairs that share one. A short
-    rest is settled in one ordered pass of at most ``tail_rows`` rows.
+    Only the first row per key is looked for, never the pairs that share one. There are
+    as many rounds as the longest chain of rivals has links.
     """
-    open_rows = candidates.select(
-        F.col(order).alias("seq"), F.col(email).alias("k1"), F.col(secret).alias("k2")
+    open_rows = cut_lineage(
+        candidates.select(
+            F.col(order).alias("seq"), F.col(email).alias("k1"), F.col(secret).alias("k2")
+        )
     )
-    open_rows = cut_lineage(open_rows)
     accepted = []
-    remaining = open_rows.count()
-    while remaining > tail_rows:
-        first_k1 = open_rows.groupBy("k1").agg(F.min("seq").alias("seq"))
-        first_k2 = open_rows.groupBy("k2").agg(F.min("seq").alias("seq"))
-        taken = cut_lineage(first_k1.join(first_k2, "seq"))
+    while not open_rows.isEmpty():
+        taken = cut_lineage(_first_or_free(open_rows, "k1").join(_first_or_free(open_rows, "k2"), "seq"))
         accepted.append(taken.select("seq"))
-        open_rows = cut_lineage(
-            _without(_without(open_rows, "k1", taken.select("k1")), "k2", taken.select("k2"))
-        )
-        remaining = open_rows.count()
-    if remaining:
-        rest = open_rows.withColumn("all", F.lit(0)).groupBy("all")
-        accepted.append(rest.applyInPandas(_take_in_order, "seq long"))
+        rest = _without(_without(open_rows, "k1", taken.select("k1")), "k2", taken.select("k2"))
+        open_rows = cut_lineage(rest.join(taken.select("seq"), "seq", "left_anti"))
     if not accepted:
         return candidates
     admitted = reduce(DataFrame.unionByName, accepted)
     return candidates.join(admitted, F.col(order) == F.col("seq"), "left_semi")
 
 
-def _take_in_order(rows: pd.DataFrame) -> pd.DataFrame:
-    used_k1, used_k2, taken = set(), set(), []
-    for row in rows.sort_values("seq").itertuples(index=False):
-        if row.k1 not in used_k1 and row.k2 not in used_k2:
-            used_k1.add(row.k1)
-            used_k2.add(row.k2)
-            taken.append(row.seq)
-    return pd.DataFrame({"seq": pd.Series(taken, dtype="int64")})
+def _first_or_free(rows: DataFrame, key: str) -> DataFrame:
+    """``(seq, key)`` of the first row of each key, and of all rows without one."""
+    held = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min("seq").alias("seq"))
+    return held.select("seq", key).unionByName(rows.filter(F.col(key).isNull()).select("seq", key))
 
 
 def first_per_key(rows: DataFrame, key: str, order: str, *values: str) -> DataFrame:

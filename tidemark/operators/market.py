@@ -14,9 +14,6 @@ from tidemark.operators.ordering import global_row_number
 PAGE_SIZE = 20
 QUOTE = "usd"
 
-# Pages that end beyond this row are cut by rank; up to it, tasks keep their best rows only.
-TOP_ROWS = 100_000
-
 CHANGE = "price_change_percentage_24h"
 
 
@@ -30,15 +27,20 @@ def in_quote(market: DataFrame, quote: str = QUOTE, column: str = "quote") -> Da
     return market.filter(F.col(column) == quote)
 
 
-def market_page(
-    market: DataFrame, page: int = 1, size: int = PAGE_SIZE, top_rows: int = TOP_ROWS
-) -> DataFrame:
-    """One page of the market by cap (O1-O3)."""
+def market_page(market: DataFrame, page: int = 1, size: int = PAGE_SIZE) -> DataFrame:
+    """One page near the top of the market by cap, in order (O1-O3).
+
+    Every task keeps the rows up to the page's end; for pages far down see ``deep_page``.
+    """
+    return market.orderBy(*by_market_cap()).offset((page - 1) * size).limit(size)
+
+
+def deep_page(market: DataFrame, page: int = 1, size: int = PAGE_SIZE) -> DataFrame:
+    """The same page, in order, cut by rank: no task ever holds what lies before it."""
     first = (page - 1) * size
-    if first + size <= top_rows:
-        return market.orderBy(*by_market_cap()).offset(first).limit(size)
     ranked = global_row_number(market, *by_market_cap(), name="__row")
-    return ranked.filter(F.col("__row").between(first + 1, first + size)).drop("__row")
+    page_rows = ranked.filter(F.col("__row").between(first + 1, first + size))
+    return page_rows.orderBy("__row").drop("__row")
 
 
 def with_rank(market: DataFrame, name: str = "market_cap_rank") -> DataFrame:
@@ -145,10 +147,18 @@ def status(market: DataFrame, query: str = "", error: str | None = None) -> Data
     )
 
 
+# Values up to here are added as decimals; a sum of a million million of them still fits.
+EXACT_BELOW = "1E19"
+
+
 def _exact_total(column: str) -> Column:
-    """Decimal addends, so the total does not depend on the order of partitions."""
-    addend = f"coalesce(try_cast({column} AS DECIMAL(38,6)), 0)"
-    return F.expr(f"CAST(coalesce(sum({addend}), 0) AS DOUBLE)")
+    """Total of all values but NaN. Decimal addends, so that it does not depend on the order
+    of partitions; larger and infinite values are added beside them as doubles.
+    """
+    exact = f"abs({column}) < {EXACT_BELOW}"
+    usual = f"sum(CASE WHEN {exact} THEN CAST({column} AS DECIMAL(38,6)) END)"
+    large = f"sum(CASE WHEN NOT {exact} AND NOT isnan({column}) THEN CAST({column} AS DOUBLE) END)"
+    return F.expr(f"CAST(coalesce({usual}, 0) AS DOUBLE) + coalesce({large}, 0D)")
 
 
 def kpi_columns() -> list[Column]:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from math import ceil
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,11 +11,8 @@ CHUNK = "__chunk"
 POSITION = "__position"
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
-# A group with more rows than this is cut into chunks; below it one task sorts it with ease.
-HOT_GROUP_ROWS = 20_000_000
-
 
-def ordered_chunks(df: DataFrame, *order: Column | str, chunks: int | None = None) -> DataFrame:
+def ordered_chunks(df: DataFrame, *order: Column | str) -> DataFrame:
     """Range-partition by a unique order, so every chunk has about the same size.
 
     Adds the chunk number, which follows the order, and the row's place in its chunk.
@@ -25,9 +20,8 @@ def ordered_chunks(df: DataFrame, *order: Column | str, chunks: int | None = Non
     the range bounds come from a sample.
     """
     place = F.monotonically_increasing_id()
-    bounds = order if chunks is None else (chunks, *order)
     placed = (
-        df.repartitionByRange(*bounds)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn(POSITION, place)
         .withColumn(CHUNK, F.shiftright(F.col(POSITION), _ROW_BITS).cast("int"))
@@ -56,57 +50,18 @@ def global_row_number(df: DataFrame, *order: Column | str, name: str = "rank") -
     )
 
 
-def hot_groups(df: DataFrame, key: str, hot_rows: int) -> dict:
-    """Keys with more than ``hot_rows`` rows and their counts: at most rows / hot_rows keys."""
-    counts = df.groupBy(key).agg(F.count("*").alias("n"))
-    return {row[0]: row[1] for row in counts.filter(F.col("n") > hot_rows).collect()}
-
-
 def carry_forward(
-    df: DataFrame,
-    group: str,
-    order: list[str],
-    value: str,
-    name: str,
-    hot_rows: int = HOT_GROUP_ROWS,
+    df: DataFrame, group: str, order: list[str], value: str, name: str
 ) -> DataFrame:
     """Last non-null ``value`` up to each row of its group; null before the first (WN1).
 
-    Usual groups take one shuffle and a running window. A hot group is cut into chunks
-    of its order instead; each chunk gets what the chunks before it end with.
+    All groups are range-partitioned together by their order, so a group of any size lies
+    in as many chunks as it fills. A running window carries the value within a chunk, and
+    each chunk of a group starts from what the group's chunks before it end with.
     ``group`` + ``order`` must be unique.
     """
-    hot = hot_groups(df, group, hot_rows)
-    if not hot:
-        return _carry_usual(df, [group], order, value, name)
-    is_hot = F.coalesce(F.col(group).isin([key for key in hot if key is not None]), F.lit(False))
-    if None in hot:
-        is_hot = is_hot | F.col(group).isNull()
-    chunks = 2 * ceil(sum(hot.values()) / hot_rows)
-    usual = _carry_usual(df.filter(~is_hot), [group], order, value, name)
-    return usual.unionByName(
-        _carry_chunked(df.filter(is_hot), group, order, value, name, chunks)
-    )
-
-
-def _running(keys: list[str], order: list[str]) -> Window:
-    return (
-        Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    )
-
-
-def _carry_usual(
-    df: DataFrame, keys: list[str], order: list[str], value: str, name: str
-) -> DataFrame:
-    return df.withColumn(name, F.last(value, ignorenulls=True).over(_running(keys, order)))
-
-
-def _carry_chunked(
-    df: DataFrame, group: str, order: list[str], value: str, name: str, n_chunks: int
-) -> DataFrame:
-    chunks = ordered_chunks(df, group, *order, chunks=n_chunks).drop(POSITION)
-    # One row per chunk and group: what the chunk ends with. A hot group has as many
-    # rows here as it has chunks.
+    chunks = ordered_chunks(df, group, *order).drop(POSITION)
+    # One row per chunk and group: what the group's part of the chunk ends with.
     ends = chunks.groupBy(group, CHUNK).agg(
         F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias("__end")
     )
@@ -118,7 +73,12 @@ def _carry_chunked(
         F.col(CHUNK).alias("__of"),
         F.last("__end", ignorenulls=True).over(before).alias("__start"),
     )
-    inside = _carry_usual(chunks, [group, CHUNK], order, value, name)
+    running = (
+        Window.partitionBy(group, CHUNK)
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    inside = chunks.withColumn(name, F.last(value, ignorenulls=True).over(running))
     joined = inside.join(
         starts, inside[group].eqNullSafe(starts["__group"]) & (inside[CHUNK] == starts["__of"])
     )

@@ -39,6 +39,7 @@ ASSET_TEXTS_SQL = {
     "symbol": "lower(c_mktsegment)",
     "image": "'https://img.example.com/' || CAST(c_custkey AS STRING) || '.png'",
 }
+HAS_CAP_SQL = "c_custkey % 5 <> 0"
 CHANGE_SQL = "CASE WHEN c_custkey % 11 <> 0 THEN c_acctbal / 1000.0E0 END"
 RANK_SQL = "CASE WHEN c_custkey % 7 <> 0 THEN CAST(c_custkey + 1 AS INT) END"
 QUOTE_SQL = "CASE WHEN c_nationkey % 5 = 0 THEN 'eur' ELSE 'usd' END"
@@ -49,21 +50,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def assets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as assets; cap and volume from their urgent pending orders, else null."""
-    urgent = (
+    """Customers as assets; cap and volume from all their orders, null for some keys."""
+    ordered = (
         table(spark, sf_dir, "orders")
-        .filter("o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'")
         .groupBy("o_custkey")
         .agg(
-            F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("market_cap"),
-            F.count("*").cast("double").alias("total_volume"),
+            F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("cap"),
+            F.count("*").cast("double").alias("volume"),
         )
     )
     customers = table(spark, sf_dir, "customer")
-    return customers.join(urgent, F.col("c_custkey") == F.col("o_custkey"), "left").select(
+    return customers.join(ordered, F.col("c_custkey") == F.col("o_custkey"), "left").select(
         *[F.expr(sql).alias(name) for name, sql in ASSET_TEXTS_SQL.items()],
-        "market_cap",
-        "total_volume",
+        F.expr(f"CASE WHEN {HAS_CAP_SQL} THEN cap END").alias("market_cap"),
+        F.expr(f"CASE WHEN {HAS_CAP_SQL} THEN volume END").alias("total_volume"),
         F.expr(CHANGE_SQL).alias("price_change_percentage_24h"),
         F.expr(RANK_SQL).alias("market_cap_rank"),
         *[F.expr(sql).cast("double").alias(name) for name, sql in ASSET_AMOUNTS_SQL.items()],
@@ -330,11 +330,12 @@ LONG_SECTIONS_SQL = {
     "ord": "CAST(p_partkey AS INT)",
     "section_id": "'s' || CAST(p_partkey AS STRING)",
     "lo": "CAST(p_partkey AS DOUBLE)",
-    "hi": "CAST(p_partkey + 1 + p_size % 5 AS DOUBLE)",
+    "hi": "CAST(p_partkey + CASE WHEN p_partkey % 3 = 0 THEN 0 ELSE 1 + p_size % 5 END AS DOUBLE)",
 }
 LONG_SCROLL_SQL = "event_id * 0.2E0 + value - 20.0E0"
 
 
 def long_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = table(spark, sf_dir, "part").filter("p_partkey % 3 <> 0")
+    """Every third section has no length, which leaves gaps."""
+    parts = table(spark, sf_dir, "part")
     return parts.select(*[F.expr(sql).alias(name) for name, sql in LONG_SECTIONS_SQL.items()])

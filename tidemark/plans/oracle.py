@@ -81,14 +81,15 @@ def supply(value: str, symbol: str) -> str:
 _AMOUNTS = ", ".join(f"{sql} AS {name}" for name, sql in c.ASSET_AMOUNTS_SQL.items())
 _TEXTS = ", ".join(f"{sql} AS {name}" for name, sql in c.ASSET_TEXTS_SQL.items())
 
-ASSETS = f"""urgent AS (
-  SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS market_cap,
-         CAST(count(*) AS DECIMAL(18,0)) AS total_volume
-  FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' GROUP BY o_custkey
+ASSETS = f"""ordered AS (
+  SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS cap,
+         CAST(count(*) AS DECIMAL(18,0)) AS volume
+  FROM orders GROUP BY o_custkey
 ), assets AS (
-  SELECT {_TEXTS}, market_cap, total_volume, {c.CHANGE_SQL} AS pct, {c.RANK_SQL} AS rank,
+  SELECT {_TEXTS}, CASE WHEN {c.HAS_CAP_SQL} THEN cap END AS market_cap,
+         CASE WHEN {c.HAS_CAP_SQL} THEN volume END AS total_volume, {c.CHANGE_SQL} AS pct, {c.RANK_SQL} AS rank,
          {_AMOUNTS}, {c.QUOTE_SQL} AS quote
-  FROM customer LEFT JOIN urgent ON c_custkey = o_custkey
+  FROM customer LEFT JOIN ordered ON c_custkey = o_custkey
 )"""
 
 _BY_CAP = "ORDER BY market_cap DESC NULLS LAST, id"
@@ -472,7 +473,7 @@ FROM counted""",
 ) WHERE rn = 1""",
     "section_range_join": f"WITH {POSITIONS} SELECT event_id, scroll_y, section_id FROM sectioned",
     "section_range_join_long": f"""WITH long AS (
-  SELECT {_LONG} FROM part WHERE p_partkey % 3 <> 0
+  SELECT {_LONG} FROM part
 ), spots AS (SELECT event_id, {c.LONG_SCROLL_SQL} AS y FROM events)
 SELECT event_id, arg_max(section_id, ord) AS section_id
 FROM spots LEFT JOIN long ON y >= lo AND y < hi GROUP BY event_id""",

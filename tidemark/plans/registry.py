@@ -50,7 +50,7 @@ def market_page2(spark, sf):
 @query
 def market_deep_page(spark, sf):
     """A page cut by rank, as pages far down are."""
-    page = market.market_page(c.assets(spark, sf), page=5, top_rows=0)
+    page = market.deep_page(c.assets(spark, sf), page=5)
     return page.select("id", "name", "market_cap")
 
 
@@ -330,7 +330,7 @@ def first_per_key(spark, sf):
 
 
 def _sectioned(spark, sf):
-    return attribution.with_section(c.scroll(spark, sf), c.sections_as_intervals(spark))
+    return attribution.with_section(c.scroll(spark, sf), c.sections_as_intervals(spark).collect())
 
 
 @query
@@ -340,7 +340,7 @@ def section_range_join(spark, sf):
 
 @query
 def section_range_join_long(spark, sf):
-    """Against a section list too long to become an expression."""
+    """Against a table of sections, by the grid."""
     events = c.table(spark, sf, "events").select(
         "event_id", F.expr(c.LONG_SCROLL_SQL).alias("scroll_y")
     )
@@ -356,10 +356,9 @@ def section_carry_forward(spark, sf):
 
 @query
 def section_carry_forward_hot(spark, sf):
-    """All events as one session: the hot-group path, in about ten chunks."""
-    rows = c.table(spark, sf, "events").count()
+    """All events as one session, in as many chunks as there are shuffle partitions."""
     one = _sectioned(spark, sf).withColumn("session_id", F.lit(0).cast("long"))
-    carried = attribution.carry_section(one, hot_rows=max(rows // 5, 1))
+    carried = attribution.carry_section(one)
     return carried.select("event_id", "active_section")
 
 
@@ -371,7 +370,7 @@ def sticky_flag(spark, sf):
 @query
 def nav_lookup(spark, sf):
     carried = attribution.carry_section(_sectioned(spark, sf))
-    linked = attribution.with_link(carried, c.links(spark))
+    linked = attribution.with_link(carried, c.links(spark).collect())
     return linked.select("event_id", "active_section", "href")
 
 

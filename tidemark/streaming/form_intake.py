@@ -5,10 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.functions.rules import FAITHFUL
+from tidemark.functions.rules import FAITHFUL, with_taken
 from tidemark.operators.identity import ANY, EXACTLY_ONE, admit_in_order, members_in_question
 from tidemark.operators.intake import judge_contacts, judge_signups, mark_known
 from tidemark.schemas import CONTACT_PAGE, MEMBER, VIOLATIONS
@@ -67,6 +68,8 @@ class SignupIntake:
             if self.one_by_one:
                 admitted = admit_in_order(accepted, order="submission_id")
                 late = accepted.join(admitted.select("submission_id"), "submission_id", "left_anti")
+                # Known by now: one of the same batch was accepted before it.
+                late = late.withColumns({"violations": with_taken("true"), "accepted": F.lit(False)})
                 rejected = rejected.unionByName(late)
                 accepted = admitted
             write_batch(member_rows(accepted), f"{self.root}/accepted", batch_id)

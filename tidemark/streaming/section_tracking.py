@@ -15,7 +15,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidemark.operators.attribution import carry_section, with_section
-from tidemark.operators.ordering import HOT_GROUP_ROWS
 from tidemark.sources.sinks import BATCH, read_batches, write_batch
 from tidemark.streaming.triggers import start
 
@@ -43,7 +42,6 @@ class SectionTracking:
     spark: SparkSession
     root: str
     sections: DataFrame
-    hot_rows: int = HOT_GROUP_ROWS
     full_state_every: int = FULL_STATE_EVERY
 
     def start(self, events: DataFrame, every_seconds: int | None = None) -> StreamingQuery:
@@ -61,7 +59,7 @@ class SectionTracking:
             "session_id", F.col("ended_in").alias("section_id"), F.lit(True).alias("__seed")
         )
         rows = seen.withColumn("__seed", F.lit(False)).unionByName(seeds, allowMissingColumns=True)
-        active = carry_section(rows, hot_rows=self.hot_rows).filter("NOT __seed")
+        active = carry_section(rows).filter("NOT __seed")
         write_batch(active.select(*ACTIVE.names), f"{self.root}/active", batch_id)
 
         moved = touched.filter(F.col("ended_in").isNotNull())
