@@ -74,5 +74,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
 }
 
-#: DuckDB twins of the queries that SQL can express on whole tables.
-ORACLE: dict[str, str] = {}
+#: DuckDB twins of the queries that SQL can express on whole tables. The others hold trained
+#: models, byte-pair ids, digests of cut texts or approximate search; their tests compare them
+#: with brute force, the library, or held-out labels.
+ORACLE: dict[str, str] = {
+    "op7_ngram_jaccard_join": r"""WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), places AS (
+  SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM texts WHERE len(w) > 0
+), grams AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM places
+), sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS MATERIALIZED (
+  SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c.n >= 80 * (x.n + y.n - c.n)
+), reached AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION SELECT x, b FROM reached JOIN links ON y = a
+)
+SELECT x AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(y) AS component_id
+FROM reached LEFT JOIN sizes ON x = sizes.doc_id GROUP BY x""",
+}
