@@ -21,7 +21,8 @@ WARNS = "w"
 FAITHFUL = "faithful"
 STRICT = "strict"
 
-# Patterns of the form rules.
+# Patterns of the form rules. A hyphen stands last in a class, where both the
+# JVM's and DuckDB's patterns take it for itself; the sets are the ones the rules ask for.
 NAME = r"\A[a-zA-Z'-]*\z"
 PHONE = r"\A[0-9]{10}\z"
 DIGIT = "[0-9]"

@@ -99,9 +99,13 @@ class ContactIntake:
         return start(submissions, self.on_batch, f"{self.root}/_stream", every_seconds)
 
     def on_batch(self, submissions: DataFrame, batch_id: int) -> None:
-        accepted, rejected = split_outcome(judge_contacts(submissions))
-        write_batch(contact_rows(accepted), f"{self.root}/accepted", batch_id)
-        write_batch(rejected.select(*REJECT.names), f"{self.root}/rejected", batch_id)
+        judged = judge_contacts(submissions).persist()
+        try:
+            accepted, rejected = split_outcome(judged)
+            write_batch(contact_rows(accepted), f"{self.root}/accepted", batch_id)
+            write_batch(rejected.select(*REJECT.names), f"{self.root}/rejected", batch_id)
+        finally:
+            judged.unpersist()
 
     def accepted(self) -> DataFrame:
         return read_batches(self.spark, f"{self.root}/accepted", CONTACT_PAGE).select(

@@ -50,23 +50,28 @@ class SectionTracking:
 
     def on_batch(self, events: DataFrame, batch_id: int) -> None:
         state = self.ended(before=batch_id)
-        seen = with_section(events, self.sections)
+        # Read for the sessions touched, their last sections and the active rows.
+        seen = with_section(events, self.sections).persist()
         placed = F.when(F.col("section_id").isNotNull(), F.struct("ts", "event_id"))
         touched = seen.groupBy("session_id").agg(F.max_by("section_id", placed).alias("ended_in"))
-        # What a session ended in before is its first row now: null times sort first.
-        # So the state needs no join to the events.
-        seeds = state.join(touched, "session_id", "left_semi").select(
-            "session_id", F.col("ended_in").alias("section_id"), F.lit(True).alias("__seed")
-        )
-        rows = seen.withColumn("__seed", F.lit(False)).unionByName(seeds, allowMissingColumns=True)
-        active = carry_section(rows).filter("NOT __seed")
-        write_batch(active.select(*ACTIVE.names), f"{self.root}/active", batch_id)
+        try:
+            # What a session ended in before is its first row now: null times sort first.
+            # So the state needs no join to the events.
+            seeds = state.join(touched, "session_id", "left_semi").select(
+                "session_id", F.col("ended_in").alias("section_id"), F.lit(True).alias("__seed")
+            )
+            rows = seen.withColumn("__seed", F.lit(False))
+            rows = rows.unionByName(seeds, allowMissingColumns=True)
+            active = carry_section(rows).filter("NOT __seed")
+            write_batch(active.select(*ACTIVE.names), f"{self.root}/active", batch_id)
 
-        moved = touched.filter(F.col("ended_in").isNotNull())
-        if batch_id % self.full_state_every == 0:
-            unmoved = state.join(moved, "session_id", "left_anti")
-            moved = moved.unionByName(unmoved)
-        write_batch(moved, f"{self.root}/ended", batch_id)
+            moved = touched.filter(F.col("ended_in").isNotNull())
+            if batch_id % self.full_state_every == 0:
+                unmoved = state.join(moved, "session_id", "left_anti")
+                moved = moved.unionByName(unmoved)
+            write_batch(moved, f"{self.root}/ended", batch_id)
+        finally:
+            seen.unpersist()
 
     def ended(self, before: int | None = None) -> DataFrame:
         """Section each session ended in: newest row since the last full state."""
