@@ -34,26 +34,32 @@ def test_base_scores_and_held_out_gain(spark, small_dir):
     assert all(r.score < 0 for r in found)
 
 
-def test_automaton_is_a_distribution_and_reads_like_one_pass():
+def test_automaton_is_a_distribution():
+    """From any two symbols, all symbols together have probability one."""
     rng = np.random.default_rng(0)
-    texts = [[bytes(rng.choice(list(b"abcd"), rng.integers(1, 5))) for _ in range(9)] for _ in range(80)]
-    data, begins, sizes = lm_score.laid_out(texts)
-    arcs = []
-    for k in range(lm_score.ORDER + 1):
-        grams = lm_score.ngrams(data, begins, sizes) & ((1 << 8 * (k + 1)) - 1)
-        gram, n = np.unique(grams, return_counts=True)
-        context, m = np.unique(grams >> 8, return_counts=True)
-        keep = np.isin(gram >> 8, context[m >= 5])
-        arcs.append((gram[keep], n[keep].astype(float)))
-    made = lm_score.Automaton(arcs)
-    chance = 10.0 ** made.weight.reshape(-1, made.width).astype(float)
-    unseen = 256 - (made.width - 1)
-    assert np.allclose(chance[:, 1:].sum(axis=1) + unseen * chance[:, 0], 1, atol=1e-5)
-    state, one = 0, []
-    for symbol in made.symbol[data]:
-        one.append(made.weight[state * made.width + symbol])
-        state = made.step[state * made.width + symbol]
-    assert np.allclose(made.read(data)[lm_score.ORDER :], one[lm_score.ORDER :])
+    counts = np.sort(rng.integers(2, 90, 400))[::-1]
+    hot = {lm_score.word_key(b"w%d" % k): k for k in range(399)} | {lm_score.word_key(b"\n"): 399}
+    texts = [[b"w%d" % k for k in rng.integers(0, 420, 30)] for _ in range(200)]
+    places = lm_score.Places(hot)
+    _, symbols, begins, sizes = lm_score.laid_out(texts, places, lm_score.HOT_WORDS)
+    counts = np.bincount(np.concatenate([symbols[a : a + n] for a, n in zip(begins, sizes, strict=True)]))
+    arcs = [np.unique(x, return_counts=True) for x in lm_score.pairs_and_triples(symbols, begins, sizes)]
+    arcs = [(k[n > 1], n[n > 1]) for k, n in arcs]
+    made = lm_score.Automaton(counts[:400], int(counts[400:].sum()), 7, *arcs)
+    every = np.arange(lm_score.HOT_WORDS + 1)
+    contexts = [*zip(rng.integers(0, 420, 40), rng.integers(0, 420, 40), strict=True)]
+    contexts += [(k >> 20, (k >> 10) & 1023) for k in arcs[1][0][:20].tolist()]
+    for a, b in contexts:
+        three = np.stack([np.full(len(every), a), np.full(len(every), b), every], axis=1)
+        log = made.read(three.ravel())[2::3]
+        assert abs((10.0**log[np.isfinite(log)]).sum() - 1) < 1e-9
+
+
+def test_scores_gain_on_held_out_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = lm_score.held_out_scores(docs).where("held_out").collect()
+    assert sum(r.score for r in found) > 0.97 * sum(r.base_score for r in found)
+    assert np.mean([r.score > r.base_score for r in found]) > 0.9
 
 
 @pytest.mark.parametrize("docs", [no_docs])

@@ -1,14 +1,17 @@
-"""Language-model scores by a weighted backoff automaton over the bytes of a text's words.
-
-A text is its lower-cased words, a blank after each, and an end: a sequence of bytes whose
-probability is a proper distribution over texts, unknown words included. Contexts of up to
-five bytes that make up a fixed share of all training bytes are the automaton's states, so
-their number is bounded at any corpus size, while all counts cover all training texts. A
-state has an arc for each byte seen after it, weighted by its smoothed probability
-(Witten-Bell), and a failure arc to the state one byte shorter, weighted by what it leaves.
-Failure arcs are followed once, when the arcs of all states are laid out as a table; a text
-is then read from left to right, one state at a time. As a state is settled by five bytes,
-long texts are read in pieces that start five bytes early.
+"""Language-model scores by a weighted backoff automaton over words.
+
+The symbols are the most frequent words, one symbol for all others, and the end of a text.
+Smoothed n-grams of frequent symbols are the automaton: a state is a context of no, one or
+two symbols; it has arcs for the symbols often seen after it, and a failure arc to the context
+one symbol shorter, which weighs what the arcs leave. A text is read once, from left to right:
+each symbol is weighed from the state the ones before it lead to, over failure arcs where the
+state has no arc for it. A word without a symbol of its own is weighed within its class by its
+count, and unknown words share what words seen once suggest they deserve. All of it adds up to
+one over the known words and the unknown one, the outcomes of the base score.
+
+Counts cover all training texts. The automaton is bounded whatever their size: states are
+contexts of the first ``PAIR_WORDS`` and ``TRIPLE_WORDS`` words, arcs at least ``SHARE`` of
+all symbols. Counts of words beyond the most frequent ones are joined, not sent to tasks.
 """
 
 from __future__ import annotations
@@ -26,19 +29,17 @@ from pyspark.sql import functions as F
 from tidemark.llm.language_id import held_out
 from tidemark.llm.text import map_arrow, slices, written
 
-#: Bytes of the longest context.
-ORDER = 5
-#: A context is a state if it is this share of all contexts: at most 2**15 a length.
-SHARE = 2.0**-15
-#: Most frequent words, whose counts go to all tasks; those of other words are joined.
+#: Most frequent words: those that are symbols, and those of states of one and of two words.
 HOT_WORDS = 1 << 16
+PAIR_WORDS = 1 << 10
+TRIPLE_WORDS = 1 << 8
+#: Least share of all symbols that an arc stands for: at most 2**20 arcs of a length.
+SHARE = 2.0**-20
 #: Distinct words or n-grams after which a task hands over what it has counted.
 HELD = 1_000_000
-#: Bytes that are counted or read in one step, and rows that are read side by side.
+#: Characters of the texts that are read in one step.
 STEP = 1 << 21
-ROWS = 2048
 
-END, BLANK = 10, 32
 END_WORD = b"\n"
 WORDS_KEPT = 300_000
 
@@ -50,16 +51,6 @@ def word_key(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word) % (1 << 63) - (1 << 63)
 
 
-def laid_out(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bytes, begins, sizes): for each text ORDER ends, its words with blanks, and an end."""
-    pad = bytes([END]) * ORDER
-    own = [b" ".join([*words, b""]) + END_WORD for words in texts]
-    data = np.frombuffer(b"".join(pad + x for x in own), np.uint8)
-    sizes = np.array([len(x) for x in own], np.int64)
-    begins = np.cumsum(sizes + ORDER) - sizes
-    return data, begins, sizes
-
-
 def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[list[bytes]]]]:
     """(ids, words) of some texts at a time, cut by their length in bytes."""
     ids, texts, size = [], [], 0
@@ -76,191 +67,193 @@ def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[l
         yield ids, texts
 
 
-def ngrams(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Each byte with the ORDER bytes before it, as one number."""
-    n = len(data) - ORDER
-    value = np.zeros(n, np.int64)
-    for k in range(ORDER + 1):
-        value = value << 8 | data[k : k + n]
-    own = np.zeros(len(data) + 1, np.int8)
-    own[begins] += 1
-    own[begins + sizes] -= 1
-    return value[np.cumsum(own)[ORDER:-1].astype(bool)]
-
-
-def merged(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
-    key, at = np.unique(np.concatenate(keys), return_inverse=True)
-    return key, np.bincount(at, np.concatenate(counts), len(key)).astype(np.int64)
-
-
-def counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of words (kind 0) and n-grams (kind 1) of the task's texts."""
+def rows_of(kind: int, keys, counts) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.full(len(keys), kind, np.int32)),
+            pa.array(np.asarray(keys, np.int64)),
+            pa.array(np.asarray(counts, np.int64)),
+        ],
+        names=["kind", "key", "n"],
+    )
 
-    def rows(kind, keys, counts):
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(len(keys), kind, np.int32)),
-                pa.array(np.asarray(keys, np.int64)),
-                pa.array(np.asarray(counts, np.int64)),
-            ],
-            names=["kind", "key", "n"],
-        )
 
-    words, keys, counts, held = Counter(), [], [], 0
+def word_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the task's words, and of its texts' ends (kind 0)."""
+    words = Counter()
     for _, texts in batches_of(batches):
         for own in texts:
             words.update(own)
         words[END_WORD] += len(texts)
-        key, n = np.unique(ngrams(*laid_out(texts)), return_counts=True)
-        keys.append(key)
-        counts.append(n)
-        held += len(key)
-        if held > 2 * HELD:
-            key, n = merged(keys, counts)
-            keys, counts, held = [key], [n], len(key)
-            if held > HELD:
-                yield rows(1, key, n)
-                keys, counts, held = [], [], 0
         if len(words) > HELD:
-            yield rows(0, [word_key(w) for w in words], list(words.values()))
+            yield rows_of(0, [word_key(w) for w in words], list(words.values()))
             words = Counter()
     if words:
-        yield rows(0, [word_key(w) for w in words], list(words.values()))
-    if keys:
-        yield rows(1, *merged(keys, counts))
-
-
-def frequent_arcs(counts: DataFrame, share: float) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each context length, (n-grams, counts) of the contexts that are states."""
-    grams = counts.where("kind = 1").select(F.col("key").alias("gram"), "n")
-    out = []
-    for k in range(ORDER, -1, -1):
-        arcs = grams.withColumn("gram", F.col("gram").bitwiseAND((1 << 8 * (k + 1)) - 1))
-        grams = arcs = written(arcs.groupBy("gram").agg(F.sum("n").alias("n")), f"arcs{k}")
-        context = F.shiftright("gram", 8)
-        total = arcs.agg(F.sum("n")).head()[0] or 0
-        states = arcs.groupBy(context.alias("context")).agg(F.sum("n").alias("m"))
-        # At most 1 / share states with at most 256 arcs each.
-        states = states.where(F.col("m") >= max(1.0, share * total)).select("context")
-        own = arcs.withColumn("context", context).join(states, "context").select("gram", "n")
-        own = own.toPandas().sort_values("gram")
-        out.append((own["gram"].to_numpy(np.int64), own["n"].to_numpy(np.float64)))
-    return out[::-1]
+        yield rows_of(0, [word_key(w) for w in words], list(words.values()))
+
+
+class Places(dict):
+    """The number of a hot word, or the key of another one."""
+
+    def __init__(self, hot: dict[int, int]):
+        self.hot = hot
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= WORDS_KEPT:
+            self.clear()
+        key = word_key(word)
+        place = self[word] = self.hot.get(key, key)
+        return place
+
+
+def laid_out(texts: list[list[bytes]], places: Places, rare: int):
+    """(keys, symbols, begins, sizes) of texts, each after two ends and with an end.
+
+    ``keys`` are places as they are; in ``symbols`` every word that is not hot is ``rare``.
+    """
+    sizes = np.array([len(x) + 1 for x in texts], np.int64)
+    flat = [w for words in texts for w in (END_WORD, END_WORD, *words, END_WORD)]
+    keys = np.fromiter(map(places.__getitem__, flat), np.int64, len(flat))
+    begins = np.cumsum(sizes + 2) - sizes
+    return keys, np.where(keys < 0, rare, keys), begins, sizes
+
+
+def pairs_and_triples(symbols: np.ndarray, begins: np.ndarray, sizes: np.ndarray):
+    """Keys of the bigrams and trigrams of frequent symbols that end in each text."""
+    own = np.zeros(len(symbols) + 1, np.int8)
+    own[begins] += 1
+    own[begins + sizes] -= 1
+    at = np.flatnonzero(np.cumsum(own)[:-1])
+    c, b, a = symbols[at], symbols[at - 1], symbols[at - 2]
+    two = (b < PAIR_WORDS) & (c < PAIR_WORDS)
+    three = (a < TRIPLE_WORDS) & (b < TRIPLE_WORDS) & (c < TRIPLE_WORDS)
+    return b[two] << 10 | c[two], a[three] << 20 | b[three] << 10 | c[three]
+
+
+def ngram_counter(shared: Broadcast):
+    """Counts of bigrams (kind 1) and trigrams (kind 2) of frequent symbols."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = Places({k: i for i, k in enumerate(shared.value.tolist())})
+        # Both kinds have at most so many keys, so the counts of a task are bounded.
+        pairs = np.zeros(PAIR_WORDS << 10, np.int64)
+        keys, counts, held = [], [], 0
+        for _, texts in batches_of(batches):
+            _, symbols, begins, sizes = laid_out(texts, places, HOT_WORDS)
+            two, three = pairs_and_triples(symbols, begins, sizes)
+            pairs += np.bincount(two, minlength=len(pairs))
+            key, n = np.unique(three, return_counts=True)
+            keys.append(key)
+            counts.append(n)
+            held += len(key)
+            if held > HELD:
+                key, n = merged(keys, counts)
+                keys, counts, held = [key], [n], 0
+        used = np.flatnonzero(pairs)
+        yield rows_of(1, used, pairs[used])
+        if keys:
+            yield rows_of(2, *merged(keys, counts))
+
+    return work
+
+
+def merged(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
+    key, at = np.unique(np.concatenate(keys), return_inverse=True)
+    return key, np.bincount(at, np.concatenate(counts), len(key)).astype(np.int64)
 
 
 class Automaton:
-    """Tables ``step`` and ``weight`` by state and symbol; ``symbol`` is a byte's column.
+    """States of no, one and two symbols, with their arcs as sorted keys.
 
-    Symbol 0 stands for each byte that no training text holds; state 0 has no context.
+    ``counts``: of the hot words by number. ``rest``: count of all other words. ``once``: number
+    of words seen once, the weight of unknown ones. ``pairs``, ``triples``: (keys, counts).
     """
 
-    def __init__(self, arcs: list[tuple[np.ndarray, np.ndarray]]):
-        used = arcs[0][0]
-        self.symbol = np.zeros(256, np.intp)
-        self.symbol[used] = 1 + np.arange(len(used))
-        width = len(used) + 1
-        states = [np.unique(gram >> 8) for gram, _ in arcs]
-        if not len(states[0]):
-            states[0] = np.zeros(1, np.int64)
-        first = np.cumsum([0, *map(len, states)])
-        chance = np.full((first[-1], width), 1 / 256)
-        step = np.zeros((first[-1], width), np.int32)
-        for k, (gram, n) in enumerate(arcs):
-            own = np.arange(first[k], first[k + 1])
-            if not len(own):
-                continue
-            below = chance[:1]
-            if k:
-                short = states[k] & ((1 << 8 * (k - 1)) - 1)
-                fail = first[k - 1] + np.searchsorted(states[k - 1], short)
-                below, step[own] = chance[fail], step[fail]
-            at = np.searchsorted(states[k], gram >> 8)
-            seen = np.bincount(at, minlength=len(own)).astype(float)
-            total = np.bincount(at, n, minlength=len(own))
-            table = below * seen[:, None]
-            table[at, self.symbol[gram & 255]] += n
-            chance[own] = table / np.maximum(1, total + seen)[:, None] if len(gram) else below
-            if k < ORDER:
-                # The state one byte longer, where there is one, comes after every shorter one.
-                longer = states[k + 1]
-                at = np.minimum(np.searchsorted(states[k], longer >> 8), len(own) - 1)
-                there = np.flatnonzero(states[k][at] == longer >> 8)
-                step[own[at[there]], self.symbol[longer[there] & 255]] = first[k + 1] + there
-        self.step, self.weight = step.ravel(), np.log10(chance).astype(np.float32).ravel()
-        self.width = width
-
-    def read(self, data: np.ndarray) -> np.ndarray:
-        """log10 probability of each byte after those before it; the first ORDER are 0."""
-        symbols = self.symbol[data]
-        n = len(symbols) - ORDER
-        rows = max(1, min(ROWS, n // 64))
-        length = -(-n // rows)
-        filled = np.zeros(rows * length + ORDER, np.intp)
-        filled[: len(symbols)] = symbols
-        table = np.lib.stride_tricks.as_strided(
-            filled, (length + ORDER, rows), (filled.strides[0], length * filled.strides[0])
-        )
-        out = np.empty((length, rows), np.float32)
-        state = np.zeros(rows, np.intp)
-        for k in range(length + ORDER):
-            cell = state * self.width + table[k]
-            if k >= ORDER:
-                out[k - ORDER] = self.weight[cell]
-            state = self.step[cell].astype(np.intp)
-        result = np.zeros(len(symbols), np.float32)
-        result[ORDER:] = out.T.ravel()[:n]
-        return result
+    def __init__(self, counts: np.ndarray, rest: int, once: int, pairs, triples):
+        total = counts.sum() + rest + once
+        self.root = np.append(counts, np.zeros(HOT_WORDS + 1 - len(counts))) / total
+        self.root[HOT_WORDS] = (rest + once) / total
+        self.pairs, self.triples = pairs[0], triples[0]
+        seen = np.append(counts, np.zeros(max(0, PAIR_WORDS - len(counts))))[:PAIR_WORDS]
+        self.pair_arc, self.pair_fail = self.smoothed(pairs, pairs[0] >> 10, seen)
+        # A context of two symbols is a bigram; each of its arcs is rarer, so it is kept too.
+        place = np.searchsorted(self.pairs, triples[0] >> 10)
+        self.triple_arc, self.triple_fail = self.smoothed(triples, place, pairs[1])
+
+    @staticmethod
+    def smoothed(arcs, state: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(weight of each arc, weight of each state's failure arc), by Witten and Bell."""
+        kinds = np.bincount(state, minlength=len(seen))
+        held = np.bincount(state, arcs[1], minlength=len(seen))
+        total = np.maximum(seen, held) + kinds
+        fail = np.where(kinds > 0, 1 - held / np.maximum(1, total), 1.0)
+        return arcs[1] / np.maximum(1, total)[state], fail
+
+    def read(self, symbols: np.ndarray) -> np.ndarray:
+        """log10 probability of each symbol after those before it; the first two are 0."""
+        c, b, a = symbols[2:], symbols[1:-1], symbols[:-2]
+        chance = self.root[c]
+        at = np.flatnonzero(b < PAIR_WORDS)
+        chance[at] *= self.pair_fail[b[at]]
+        at = at[c[at] < PAIR_WORDS]
+        self.add(chance, at, b[at] << 10 | c[at], self.pairs, self.pair_arc)
+        at = np.flatnonzero((a < TRIPLE_WORDS) & (b < TRIPLE_WORDS))
+        place, there = self.find(a[at] << 10 | b[at], self.pairs)
+        at, place = at[there], place[there]
+        chance[at] *= self.triple_fail[place]
+        at = at[c[at] < TRIPLE_WORDS]
+        self.add(chance, at, a[at] << 20 | b[at] << 10 | c[at], self.triples, self.triple_arc)
+        return np.r_[0.0, 0.0, np.log10(chance)]
+
+    @staticmethod
+    def find(keys: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(table):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        place = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+        return place, table[place] == keys
+
+    def add(self, chance, at, keys, table, weight) -> None:
+        place, there = self.find(keys, table)
+        chance[at[there]] += weight[place[there]]
 
 
 def model_in(shared: Broadcast) -> tuple[Automaton, dict[int, int]]:
     """The automaton and the numbers of the hot words, made once for all tasks of a worker."""
     held = shared.value
     if "made" not in held:
-        held["made"] = Automaton(held["arcs"]), {k: i for i, k in enumerate(held["hot"].tolist())}
+        held["made"] = Automaton(*held["automaton"]), {k: i for i, k in enumerate(held["hot"].tolist())}
     return held["made"]
 
 
 SCORED = (
-    "row long, doc_id long, n_tokens long, hot_known long, hot_score double, score double, "
+    "row long, doc_id long, n_tokens long, hot_known long, hot_base double, hot_score double, "
     "words array<long>, times array<long>"
 )
 
 
 def scorer(shared: Broadcast):
-    """Model scores of texts, their base scores over hot words, and their other words."""
+    """Scores of texts over hot words and the class of the others, and those others."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton, hot = model_in(shared)
-        log, known = shared.value["log"], shared.value["times"] > 0
-
-        class Places(dict):
-            def __missing__(self, word: bytes) -> int:
-                if len(self) >= WORDS_KEPT:
-                    self.clear()
-                key = word_key(word)
-                place = self[word] = hot.get(key, key)
-                return place
-
-        places, end = Places(), hot.get(word_key(END_WORD))
+        log, places = shared.value["log"], Places(hot)
         row = TaskContext.get().partitionId() << 36
         for ids, texts in batches_of(batches):
-            data, begins, sizes = laid_out(texts)
-            total = np.r_[0.0, np.cumsum(automaton.read(data), dtype=np.float64)]
+            keys, symbols, begins, sizes = laid_out(texts, places, HOT_WORDS)
+            total = np.r_[0.0, np.cumsum(automaton.read(symbols))]
             scores = total[begins + sizes] - total[begins]
             rows = []
-            for own, words, score in zip(ids, texts, scores.tolist(), strict=True):
-                at = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
-                at = np.r_[at, word_key(END_WORD) if end is None else end]
+            for own, begin, size, score in zip(ids, begins, sizes, scores.tolist(), strict=True):
+                at = keys[begin : begin + size]
                 there = at[at >= 0]
                 rest, times = np.unique(at[at < 0], return_counts=True)
-                hits, base = int(known[there].sum()), float(log[there].sum())
-                rows.append((row, own, len(at), hits, base, score, rest, times))
+                rows.append((row, own, size, len(there), float(log[there].sum()), score, rest, times))
                 row += 1
-            columns = list(zip(*rows, strict=True))
             kinds = [pa.int64()] * 4 + [pa.float64()] * 2 + [pa.list_(pa.int64())] * 2
-            names = ["row", "doc_id", "n_tokens", "hot_known", "hot_score", "score", "words", "times"]
+            names = [x.split()[0] for x in SCORED.split(", ")]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names
+                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
+                names=names,
             )
 
     return work
@@ -272,41 +265,48 @@ def score(docs: DataFrame, training: DataFrame, share: float = SHARE) -> DataFra
     Per row of ``docs``: doc_id, n_tokens (words and the end), n_known (of them in training),
     train_tokens, base_score (add-one unigrams of words, log10) and score (log10 probability of
     the text by the automaton). A null text has the end only. Rows keep null and repeated
-    ids. Without training texts every byte is equally likely. Other columns are ignored.
+    ids. Without training texts all is unknown. Other columns are ignored.
     """
-    spark = docs.sparkSession
+    context = docs.sparkSession.sparkContext
     texts = training.select("doc_id", "text")
-    counts = map_arrow(texts, counter, COUNTS).groupBy("kind", "key").agg(F.sum("n").alias("n"))
-    counts = written(counts, "counts")
-    words = counts.where("kind = 0").select("key", "n")
-    size = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).head()
-    tokens, distinct = int(size[0]), int(size[1])
-    below = float(tokens + distinct + 1)
+    words = map_arrow(texts, word_counter, COUNTS).groupBy("key").agg(F.sum("n").alias("n"))
+    words = written(words, "words")
+    size = words.selectExpr("coalesce(sum(n), 0)", "count(*)", "count_if(n = 1)").head()
+    tokens, distinct, once = int(size[0]), int(size[1]), max(1, int(size[2]))
     hot = words.orderBy(F.desc("n"), "key").limit(HOT_WORDS).toPandas()
-    times = hot["n"].to_numpy(np.int64)
-    shared = spark.sparkContext.broadcast(
+    hot_keys, times = hot["key"].to_numpy(np.int64), hot["n"].to_numpy(np.int64)
+    grams = map_arrow(texts, ngram_counter(context.broadcast(hot_keys)), COUNTS)
+    grams = grams.groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    # No more than 1 / share rows of each kind.
+    grams = grams.where(F.col("n") >= max(2.0, share * tokens)).toPandas().sort_values("key")
+    arcs = []
+    for kind in (1, 2):
+        own = grams[grams["kind"] == kind]
+        arcs.append((own["key"].to_numpy(np.int64), own["n"].to_numpy(np.int64)))
+    below, rest = float(tokens + distinct + 1), tokens - int(times.sum())
+    shared = context.broadcast(
         {
-            "arcs": frequent_arcs(counts, share),
-            "hot": hot["key"].to_numpy(np.int64),
-            "times": times,
+            "automaton": (times, rest, once, *arcs),
+            "hot": hot_keys,
             "log": np.log10((times + 1) / below),
         }
     )
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scored = written(map_arrow(source, scorer(shared), SCORED), "scores")
-    rest = scored.selectExpr("row", "inline(arrays_zip(words, times))")
-    rest = rest.withColumnRenamed("words", "key").join(words, "key", "left")
-    rest = rest.groupBy("row").agg(
+    others = scored.selectExpr("row", "inline(arrays_zip(words, times))")
+    others = others.withColumnRenamed("words", "key").join(words, "key", "left")
+    others = others.groupBy("row").agg(
         F.sum(F.expr("if(n is null, 0, times)")).alias("known"),
-        F.sum(F.expr(f"times * log10((coalesce(n, 0) + 1) / {below!r}D)")).alias("part"),
+        F.sum(F.expr(f"times * log10((coalesce(n, 0) + 1) / {below!r}D)")).alias("base"),
+        F.sum(F.expr(f"times * log10(coalesce(n, {once}) / {float(rest + once)!r}D)")).alias("own"),
     )
-    return scored.join(rest, "row", "left").select(
+    return scored.join(others, "row", "left").select(
         "doc_id",
         "n_tokens",
         (F.col("hot_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("hot_score") + F.coalesce("part", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("hot_base") + F.coalesce("base", F.lit(0.0))).alias("base_score"),
+        (F.col("hot_score") + F.coalesce("own", F.lit(0.0))).alias("score"),
     )
 
 
