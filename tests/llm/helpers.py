@@ -2,12 +2,13 @@
 
 import re
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, keep string"
 
 
 def odd_docs(spark, extra=()):
     """Nulls in every column, empty and blank texts, one long text, repeated rows and ids."""
     long_text = " ".join(f"word{k % 977} and{k % 31}" for k in range(20_000))
+    # Some columns are named like those that operators make.
     rows = [
         (1, None, None, None, None, None),
         (2, "", "en", "s", 0, "x"),
@@ -18,7 +19,9 @@ def odd_docs(spark, extra=()):
         (None, "no id here at all, none", "en", "s", 20, "x"),
         (6, "Mail a.b@c.de or +49 (30) 123456-78, 4111 1111 1111 1111 and 10.0.0.1.", "de", "s", 9, "x"),
     ]
-    return spark.createDataFrame([*rows, *((*r, "en", "s", 1, "x") for r in extra)], DOCS)
+    rows += [(*r, "en", "s", 1, "x") for r in extra]
+    docs = spark.createDataFrame([(*r, "own") for r in rows], DOCS)
+    return docs.withColumns({c: docs["keep"] for c in ("email", "term", "parts", "bad_score", "rank")})
 
 
 def no_docs(spark):

@@ -108,6 +108,7 @@ def test_quality_of_odd_rows(spark):
         found = quality.kept(docs, own)
         assert found.columns == docs.columns
         assert {4, 5} <= {r.doc_id for r in found.collect()}
+        assert {r.keep for r in found.collect()} == {"own"}
         assert quality.judged(docs, own).count() == docs.count()
     assert quality.judged(no_docs(spark), given).count() == 0
 

@@ -82,6 +82,7 @@ def test_sanitised_keeps_rows_and_columns(spark):
     out = sanitise.sanitised(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
     row = out.where("doc_id = 6").head()
+    assert row.email == row.term == "own"
     assert row.text == "Mail [EMAIL] or [PHONE], [CARD] and [IP]." and row.n_chars == len(row.text)
     assert out.where("doc_id = 1").head().text is None
 

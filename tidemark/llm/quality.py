@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import map_arrow, slices, written
+from tidemark.llm.text import map_arrow, set_aside, slices, written
 
 #: Documents of each posterior class that may train the scorer: a bound at any corpus size.
 SAMPLE = 4000
@@ -182,7 +182,9 @@ def train(index: list, value: list, bad: np.ndarray, rounds: int = 150, sparse:
     return used[keep], w[keep]
 
 
-def scorer(model):
+def scorer(model, with_text: bool):
+    names = ["row", *["text"] * with_text, "bad_score"]
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, kinds = WordFeatures(), WordKinds()
         index, weight = model.value
@@ -192,9 +194,8 @@ def scorer(model):
             found = [features(x, words, kinds) for x in part[1].to_pylist()]
             margin = np.array([float(table[i] @ v) for i, v in found])
             score = 1 / (1 + np.exp(-np.clip(margin, -50, 50)))
-            yield pa.RecordBatch.from_arrays(
-                [part[0], pa.array(score)], names=["row", "bad_score"]
-            )
+            columns = [part[0], *[part[1]] * with_text, pa.array(score)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return work
 
@@ -244,22 +245,26 @@ def judged(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE) -> D
     or repeated id is judged by its own text. Unless there are documents of both kinds to learn
     from, all are kept.
     """
-    return scored(docs, labels, sample).select("doc_id", "bad_score", "keep")
+    return scored(docs.select("doc_id", "text"), labels, sample, with_text=False)
 
 
-def scored(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE) -> DataFrame:
-    """``docs`` with ``bad_score`` and ``keep``."""
+def scored(
+    docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE, with_text: bool = True
+) -> DataFrame:
+    """``docs``, with or without their text, with ``bad_score`` and ``keep``."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample))
-    names = [c for c in docs.columns if c not in ("bad_score", "keep")]
-    rows = docs.select(F.struct(*names).alias("row"), F.col("text"))
+    names = [c for c in docs.columns if c not in ("bad_score", "keep", "text")]
+    rows = docs.select(F.struct(*names).alias("row"), "text")
     kind = rows.schema["row"].dataType.simpleString()
-    out = map_arrow(rows, scorer(model), f"row {kind}, bad_score double")
+    text = "text string, " if with_text else ""
+    out = map_arrow(rows, scorer(model, with_text), f"row {kind}, {text}bad_score double")
     keep = F.coalesce(F.col("bad_score") < BAD, F.lit(True))
     if not len(model.value[0]):
         keep = F.lit(True)
-    return out.select("row.*", "bad_score", keep.alias("keep"))
+    return out.select("row.*", *["text"] * with_text, "bad_score", keep.alias("keep"))
 
 
 def kept(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE) -> DataFrame:
     """The documents that are not rejected, with their own columns."""
-    return scored(docs, labels, sample).where("keep").select(docs.columns)
+    own, columns = set_aside(docs, "bad_score", "keep")
+    return scored(own, labels, sample).where("keep").select(columns)

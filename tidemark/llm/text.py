@@ -35,6 +35,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def set_aside(docs: DataFrame, *names: str) -> tuple[DataFrame, list]:
+    """``docs`` with those of its columns renamed, and the columns that bring it back."""
+    own = {c: f"__own_{c}" for c in names if c in docs.columns}
+    return docs.withColumnsRenamed(own), [F.col(own.get(c, c)).alias(c) for c in docs.columns]
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
