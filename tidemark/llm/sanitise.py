@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import written
+from tidemark.llm.text import set_aside, written
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -129,21 +129,22 @@ def disclosing_terms(
     pair = pair.join(entity, "entity", "left_semi")
     pair = pair.select("entity", "shape", F.explode("terms").alias("term")).distinct()
     pair = pair.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
-    pair = written(pair.where(F.col("n_et") >= min_lines).join(entity, "entity"), "pairs")
+    pair = pair.where(F.col("n_et") >= min_lines).join(entity, "entity")
+    total = lines.count()
+    share = f"1 + ln(least(1.0, n_et / n_t)) / greatest(1e-9, ln({total} / n_e))"
+    # The lines with entities alone already rule out the words that are common in them.
+    held = held.select("shape", F.explode("terms").alias("term")).distinct()
+    held = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    pair = pair.join(held, "term").where(f"{share} >= {threshold}").drop("n_t")
+    pair = written(pair, "pairs")
     if pair.isEmpty():
         return pair.select("term", F.lit(0.0).alias("disclosure"))
-    total = lines.agg(F.count(F.lit(1)).alias("n"))
     seen = lines.select("shape", F.explode(terms_of("line")).alias("term"))
     seen = seen.join(pair.select("term").distinct(), "term", "left_semi").distinct()
     seen = seen.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    told = pair.join(seen, "term").join(F.broadcast(total))
-    share = F.expr("1 + ln(least(1.0, n_et / n_t)) / greatest(1e-9, ln(n / n_e))")
-    return (
-        told.withColumn("share", share)
-        .where(F.col("share") >= threshold)
-        .groupBy("term")
-        .agg(F.max("share").alias("disclosure"))
-    )
+    told = pair.join(seen, "term").withColumn("share", F.expr(share))
+    told = told.where(F.col("share") >= threshold)
+    return told.groupBy("term").agg(F.max("share").alias("disclosure"))
 
 
 def personal_data(
@@ -199,7 +200,8 @@ def sanitised(docs: DataFrame) -> DataFrame:
     Where spans of different kinds overlap, their union is replaced by the first one's name.
     ``n_chars``, if there, is the new length. Texts without spans stay as they are, null too.
     """
-    rows = personal_data(docs.withColumn("__was", F.col("text")))
+    own, columns = set_aside(docs, *KINDS, "term", "parts")
+    rows = personal_data(own.withColumn("__was", F.col("text")))
     kinds = (*KINDS, "term")
     tagged = ", ".join(
         f"transform({k}, x -> named_struct('s', x.s, 'e', x.e, 'k', '[{k.upper()}]'))" for k in kinds
@@ -214,4 +216,4 @@ def sanitised(docs: DataFrame) -> DataFrame:
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         rows = rows.withColumn("n_chars", F.when(F.size("__all") > 0, length).otherwise(F.col("n_chars")))
-    return rows.select(docs.columns)
+    return rows.select(columns)
