@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,17 +27,15 @@ SHARD = 20_000
 QUERY_BLOCK = 4_000
 
 
-def matrix(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, float64 rows) of the vectors that are whole, finite and not zero."""
-    sizes = np.array([-1 if x is None else x for x in pa.compute.list_value_length(column).to_pylist()])
-    width = int(sizes.max(initial=0))
-    if width <= 0:
-        return np.empty(0, np.int64), np.empty((0, 1))
-    keep = np.flatnonzero(sizes == width)
-    flat = column.take(pa.array(keep)).flatten().cast(pa.float64())
-    rows = flat.to_numpy(zero_copy_only=False).reshape(-1, width)
-    good = np.isfinite(rows).all(axis=1) & (rows != 0).any(axis=1)
-    return keep[good], rows[good]
+def matrices(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(positions, float64 rows) of the vectors that are finite and not zero, by length."""
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    for width in np.unique(sizes[sizes > 0]).tolist():
+        keep = np.flatnonzero(sizes == width)
+        flat = column.take(pa.array(keep)).flatten().cast(pa.float64())
+        rows = flat.to_numpy(zero_copy_only=False).reshape(-1, width)
+        good = np.isfinite(rows).all(axis=1) & (rows != 0).any(axis=1)
+        yield keep[good], rows[good]
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -51,13 +50,13 @@ def distinct(k: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[bytes, list[int]] = {}
         for batch in batches:
-            at, rows = matrix(batch[1], batch.num_rows)
-            ids = batch[0].to_numpy()[at]
-            for own, row in zip(ids.tolist(), rows, strict=True):
-                held = kept.setdefault((row + 0.0).tobytes(), [])
-                held.append(own)
-                if len(held) > k:
-                    held.remove(max(held))
+            for at, rows in matrices(batch[1]):
+                ids = batch[0].to_numpy()[at]
+                for own, row in zip(ids.tolist(), rows, strict=True):
+                    held = kept.setdefault((row + 0.0).tobytes(), [])
+                    held.append(own)
+                    if len(held) > k:
+                        held.remove(max(held))
         names = ["ids", "data"]
         step = 5000
         items = list(kept.items())
@@ -223,8 +222,7 @@ def nearest(
 def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The usable vectors of a task as bytes."""
     for batch in batches:
-        at, rows = matrix(batch[1], batch.num_rows)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(batch[0].to_numpy()[at]), pa.array([(x + 0.0).tobytes() for x in rows], pa.binary())],
-            names=["query_id", "data"],
-        )
+        for at, rows in matrices(batch[1]):
+            data = [(x + 0.0).tobytes() for x in rows]
+            ids = pa.array(batch[0].to_numpy()[at])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(data, pa.binary())], names=["query_id", "data"])
