@@ -33,6 +33,8 @@ REACH = 257
 #: Suffixes of a bucket, on average, if there are more than the session's shuffle partitions hold.
 BUCKET = 20_000
 KEY_BITS = 1 << 26
+#: Suffixes of an open group whose windows are compared in one step.
+OPEN = 1000
 #: Bytes of contexts whose windows are compared in one step.
 STEP = 1 << 20
 
@@ -164,7 +166,8 @@ def runs_of(rows: list[tuple], repeated: np.ndarray, own: np.ndarray) -> list[tu
 def buckets(length: int, reach: int):
     """Repeated windows of whole groups; the windows of groups at a bucket's ends by hash.
 
-    Output (hash, doc, low, high): a run of repeated windows without a hash, or one window.
+    Output (hash, doc, low, high): a run of repeated windows without a hash, or one window, of
+    which the document is left out if it is known to be repeated.
     """
     size = length - reach + 1
 
@@ -195,17 +198,25 @@ def buckets(length: int, reach: int):
         held, number, bytes_held = [], [], 0
         for k, (a, b) in enumerate(groups):
             if (words[a, :2] == cut_at).all(axis=1).any():
-                for at in range(a, b, 512):
-                    part = rows[at : min(b, at + 512)]
+                salt = np.uint64(xxhash.xxh64_intdigest(words[a].tobytes()))
+                for at in range(a, b, OPEN):
+                    part = rows[at : min(b, at + OPEN)]
                     value, own = window_hashes([r[4] for r in part], length)
-                    first = np.searchsorted(own, np.arange(len(part)))
-                    place = np.arange(len(own)) - first[own] + np.array([r[2] for r in part])[own]
-                    docs = np.array([r[0] for r in part])[own]
-                    salt = mix(value ^ np.uint64(xxhash.xxh64_intdigest(words[a].tobytes())))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c.astype(np.int64)) for c in (salt.view(np.int64), docs, place, place)],
-                        names=["hash", "doc", "low", "high"],
+                    value = mix(value ^ salt)
+                    _, one, back, times = np.unique(
+                        value, return_index=True, return_inverse=True, return_counts=True
                     )
+                    twice = times[back] > 1
+                    yield out([(None, *x) for x in runs_of(part, twice, own)])
+                    # Windows met here once await one elsewhere; of the others one row tells.
+                    first = np.searchsorted(own, np.arange(len(part)))
+                    low = np.array([r[2] for r in part])
+                    place = (np.arange(len(own)) - first[own] + low[own])[one]
+                    docs = np.array([r[0] for r in part])[own[one]]
+                    hashes = pa.array(value[one].view(np.int64))
+                    docs = pa.array(docs, pa.int64(), mask=twice[one])
+                    columns = [hashes, docs, pa.array(place), pa.array(place)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["hash", "doc", "low", "high"])
             elif b - a > 1:
                 held += rows[a:b]
                 number += [k] * (b - a)
@@ -290,8 +301,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, reach: int = REACH) ->
         map_arrow(dealt, buckets(length, reach), "hash long, doc long, low long, high long"), "runs"
     )
     ends = runs.where("hash is not null")
-    again = ends.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
-    all_ = runs.where("hash is null").union(ends.join(again, "hash", "left_semi"))
+    again = ends.groupBy("hash").agg(F.sum(F.expr("if(doc is null, 2, 1)")).alias("n"))
+    again = again.where("n > 1").select("hash")
+    waiting = ends.where("doc is not null").join(again, "hash", "left_semi")
+    all_ = runs.where("hash is null").union(waiting)
     spans = all_.groupBy("doc").agg(F.collect_set(F.struct("low", "high")).alias("found"))
     rows = source.join(spans, "doc", "left").select("doc_id", "text", "found")
     return map_arrow(rows, cut(length), CUT)
