@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.text import map_arrow, set_aside, slices, written
 
 #: Documents of each posterior class that may train the scorer: a bound at any corpus size.
-SAMPLE = 4000
+SAMPLE = 2500
 #: Posterior or score from which a document counts as bad.
 BAD = 0.5
 #: Words that insult: a labeller's list, fixed values.
@@ -165,14 +165,15 @@ def feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(index: list, value: list, bad: np.ndarray, rounds: int = 150, sparse: float = 2e-4):
     """(indices, weights) of a logistic scorer with an L1 penalty, by proximal Adam steps."""
     used, at = np.unique(np.concatenate(index), return_inverse=True)
-    value = np.concatenate(value).astype(np.float64)
-    row = np.repeat(np.arange(len(index)), [len(x) for x in index])
+    at = at.astype(np.int32)
+    row = np.repeat(np.arange(len(index), dtype=np.int32), [len(x) for x in index])
+    value = np.concatenate(value).astype(np.float32)
     balance = np.where(bad >= BAD, 0.5 / max(1, (bad >= BAD).sum()), 0.5 / max(1, (bad < BAD).sum()))
     w, mean, square = np.zeros(len(used)), np.zeros(len(used)), np.zeros(len(used))
     for step in range(1, rounds + 1):
-        margin = np.bincount(row, w[at] * value, minlength=len(index))
+        margin = np.bincount(row, w.astype(np.float32)[at] * value, minlength=len(index))
         error = (1 / (1 + np.exp(-np.clip(margin, -50, 50))) - bad) * balance
-        slope = np.bincount(at, error[row] * value, minlength=len(used))
+        slope = np.bincount(at, error.astype(np.float32)[row] * value, minlength=len(used))
         mean = 0.9 * mean + 0.1 * slope
         square = 0.99 * square + 0.01 * slope**2
         scale = 0.1 / (np.sqrt(square / (1 - 0.99**step)) + 1e-5)
@@ -182,6 +183,21 @@ def train(index: list, value: list, bad: np.ndarray, rounds: int = 150, sparse:
     return used[keep], w[keep]
 
 
+def trainer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The scorer of the sampled rows, which one task can hold; none without both kinds."""
+    bad, index, value = [], [], []
+    for batch in batches:
+        bad += batch[0].to_pylist()
+        index += [x.values.to_numpy() for x in batch[1]]
+        value += [x.values.to_numpy() for x in batch[2]]
+    bad = np.array(bad)
+    if len(bad) and 0 < (bad >= BAD).sum() < len(bad):
+        used, w = train(index, value, bad)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used.astype(np.int32)), pa.array(w)], names=["index", "weight"]
+        )
+
+
 def scorer(model, with_text: bool):
     names = ["row", *["text"] * with_text, "bad_score"]
 
@@ -231,10 +247,8 @@ def fit(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE):
     chosen = chosen.groupBy("doc_id").agg(F.max("bad").alias("bad"))
     texts = source.join(F.broadcast(chosen), "doc_id").select("bad", "text")
     rows = map_arrow(texts, feature_rows, "bad double, index array<int>, value array<float>")
-    rows = rows.toPandas()
-    if rows["bad"].ge(BAD).nunique() < 2:
-        return np.zeros(0, np.int64), np.zeros(0)
-    return train(list(rows["index"]), list(rows["value"]), rows["bad"].to_numpy())
+    model = map_arrow(rows.repartition(1), trainer, "index int, weight double").toPandas()
+    return model["index"].to_numpy(np.int64), model["weight"].to_numpy(np.float64)
 
 
 def judged(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE) -> DataFrame:
