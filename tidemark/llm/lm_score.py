@@ -1,49 +1,58 @@
 """Language-model scores by a weighted backoff automaton over words.
 
-The symbols are the most frequent words, one symbol for all others, and the end of a text.
-Smoothed n-grams of frequent symbols are the automaton: a state is a context of no, one or
-two symbols; it has arcs for the symbols often seen after it, and a failure arc to the context
-one symbol shorter, which weighs what the arcs leave. A text is read once, from left to right:
-each symbol is weighed from the state the ones before it lead to, over failure arcs where the
-state has no arc for it. A word without a symbol of its own is weighed within its class by its
-count, and unknown words share what words seen once suggest they deserve. All of it adds up to
-one over the known words and the unknown one, the outcomes of the base score.
-
-Counts cover all training texts. The automaton is bounded whatever their size: states are
-contexts of the first ``PAIR_WORDS`` and ``TRIPLE_WORDS`` words, arcs at least ``SHARE`` of
-all symbols. Counts of words beyond the most frequent ones are joined, not sent to tasks.
+Smoothed n-grams of words are the automaton: a state is a context of no, one or two words; it
+has arcs for the words seen at least ``MIN_COUNT`` times after it, and a failure arc to the
+context one word shorter, which weighs what the arcs leave. A text is read from left to right
+between its ends: each word is weighed from the state the ones before it lead to, over failure
+arcs where the state has no arc for it. Unknown words share what words seen once suggest they
+deserve. All of it adds up to one over the known words and the unknown one, the outcomes of the
+base score.
+
+Counts cover all training texts and all their words, bigrams and trigrams; what is an arc depends
+on its own count alone, not on the size of the corpus. Nothing is gathered in one place: n-grams
+are hashed, dealt over tasks by that hash, counted there, and chunks of the texts to be scored
+ask those tasks for the distinct n-grams they hold.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import Broadcast, TaskContext
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.language_id import held_out
-from tidemark.llm.text import map_arrow, slices, written
+from tidemark.llm.text import STEP as ODD
+from tidemark.llm.text import map_arrow, mix, slices, written
 
-#: Most frequent words: those that are symbols, and those of states of one and of two words.
+#: Least count of an n-gram that is an arc, at any size of the corpus.
+MIN_COUNT = 2
+#: Most symbols of a model that is held in one place, less the class of all others.
 HOT_WORDS = 1 << 16
-PAIR_WORDS = 1 << 10
-TRIPLE_WORDS = 1 << 8
-#: Least share of all symbols that an arc stands for: at most 2**20 arcs of a length.
-SHARE = 2.0**-20
-#: Distinct words or n-grams after which a task hands over what it has counted.
-HELD = 1_000_000
+#: Bits of a symbol in the n-gram keys of such a model; symbols beyond have no arcs there.
+SYMBOL_BITS = 10
+#: Entries after which a task adds up what it holds.
+HELD = 2_000_000
 #: Characters of the texts that are read in one step.
-STEP = 1 << 21
+STEP = 1 << 22
+#: Characters of the texts whose n-grams a task counts, and shares of them per task.
+TASK_CHARS = 1 << 24
+SHARES = 4
 
 END_WORD = b"\n"
 WORDS_KEPT = 300_000
 
-COUNTS = "kind int, key long, n long"
+#: Shares of n-grams: ``data`` holds columns of ``COLUMNS`` numbers, see ``packed``.
+COUNTS = "bucket int, data binary"
+TABLE = "bucket int, chunk long, data binary, tokens long, distinct_words long, once long"
+CHUNKS = "chunk long, doc_id long, text string"
+FOUND = "chunk long, data binary"
+SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
 def word_key(word: bytes) -> int:
@@ -67,29 +76,40 @@ def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[l
         yield ids, texts
 
 
-def rows_of(kind: int, keys, counts) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.full(len(keys), kind, np.int32)),
-            pa.array(np.asarray(keys, np.int64)),
-            pa.array(np.asarray(counts, np.int64)),
-        ],
-        names=["kind", "key", "n"],
-    )
+def packed(*columns: np.ndarray) -> bytes:
+    data = b"".join(c.astype(np.int64).tobytes() for c in columns)
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def unpacked(data: bytes, columns: int) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), np.int64).reshape(columns, -1)
+
+
+def gram(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hash of an n-gram as a number from 0; word keys are below it."""
+    value = mix(before.view(np.uint64) * ODD + word.view(np.uint64))
+    return (value >> np.uint64(1)).view(np.int64)
 
 
-def word_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of the task's words, and of its texts' ends (kind 0)."""
-    words = Counter()
-    for _, texts in batches_of(batches):
-        for own in texts:
-            words.update(own)
-        words[END_WORD] += len(texts)
-        if len(words) > HELD:
-            yield rows_of(0, [word_key(w) for w in words], list(words.values()))
-            words = Counter()
-    if words:
-        yield rows_of(0, [word_key(w) for w in words], list(words.values()))
+def shared_out(buckets: int, *columns: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """(bucket, packed columns) of the rows, dealt by the first column."""
+    bucket = (columns[0] & 0x7FFFFFFF) % buckets
+    order = np.argsort(bucket, kind="stable")
+    columns = [c[order] for c in columns]
+    cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for k in np.flatnonzero(np.diff(cut)).tolist():
+        yield k, packed(*(c[cut[k] : cut[k + 1]] for c in columns))
+
+
+def added(parts: list[np.ndarray], firsts: int) -> np.ndarray:
+    """Columns of the distinct first column; beyond ``firsts`` columns they are added up."""
+    rows = np.concatenate(parts, axis=1)
+    rows = rows[:, np.argsort(rows[0], kind="stable")]
+    at = np.flatnonzero(np.r_[True, rows[0, 1:] != rows[0, :-1]][: rows.shape[1]])
+    if not len(at):
+        return rows
+    sums = np.add.reduceat(rows[firsts:], at, axis=1)
+    return np.concatenate([rows[:firsts, at], sums])
 
 
 class Places(dict):
@@ -118,91 +138,260 @@ def laid_out(texts: list[list[bytes]], places: Places, rare: int):
     return keys, np.where(keys < 0, rare, keys), begins, sizes
 
 
-def pairs_and_triples(symbols: np.ndarray, begins: np.ndarray, sizes: np.ndarray):
-    """Keys of the bigrams and trigrams of frequent symbols that end in each text."""
+def own_places(symbols: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of the texts' words and ends, without the two ends before each text."""
     own = np.zeros(len(symbols) + 1, np.int8)
     own[begins] += 1
     own[begins + sizes] -= 1
-    at = np.flatnonzero(np.cumsum(own)[:-1])
-    c, b, a = symbols[at], symbols[at - 1], symbols[at - 2]
-    two = (b < PAIR_WORDS) & (c < PAIR_WORDS)
-    three = (a < TRIPLE_WORDS) & (b < TRIPLE_WORDS) & (c < TRIPLE_WORDS)
-    return b[two] << 10 | c[two], a[three] << 20 | b[three] << 10 | c[three]
+    return np.flatnonzero(np.cumsum(own)[:-1])
+
 
+def pairs_and_triples(symbols: np.ndarray, begins: np.ndarray, sizes: np.ndarray):
+    """Keys of a model in one place: bigrams and trigrams of symbols that end in each text."""
+    at = own_places(symbols, begins, sizes)
+    two, three = symbol_keys(symbols[at - 1], symbols[at]), symbol_keys(*(symbols[at - k] for k in (2, 1, 0)))
+    return two[two >= 0], three[three >= 0]
+
+
+def symbol_keys(*symbols: np.ndarray) -> np.ndarray:
+    key = np.zeros(len(symbols[0]), np.int64)
+    for own in symbols:
+        key = key << SYMBOL_BITS | own
+    return np.where(np.max(symbols, axis=0) >> SYMBOL_BITS, -1, key)
+
+
+def grams_of(texts: list[list[bytes]], places: Places):
+    """(keys, bigrams, trigrams, own places, begins, sizes): hashes at each place of the texts."""
+    keys, _, begins, sizes = laid_out(texts, places, HOT_WORDS)
+    two = np.r_[0, gram(keys[:-1], keys[1:])]
+    three = np.r_[0, gram(two[:-1], keys[1:])]
+    return keys, two, three, own_places(keys, begins, sizes), begins, sizes
 
-def ngram_counter(shared: Broadcast):
-    """Counts of bigrams (kind 1) and trigrams (kind 2) of frequent symbols."""
+
+def counter(buckets: int):
+    """Counts of words, bigrams and trigrams, each with the key of its state."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = Places({k: i for i, k in enumerate(shared.value.tolist())})
-        # Both kinds have at most so many keys, so the counts of a task are bounded.
-        pairs = np.zeros(PAIR_WORDS << 10, np.int64)
-        keys, counts, held = [], [], 0
+        places = Places({})
         for _, texts in batches_of(batches):
-            _, symbols, begins, sizes = laid_out(texts, places, HOT_WORDS)
-            two, three = pairs_and_triples(symbols, begins, sizes)
-            pairs += np.bincount(two, minlength=len(pairs))
-            key, n = np.unique(three, return_counts=True)
-            keys.append(key)
-            counts.append(n)
-            held += len(key)
-            if held > HELD:
-                key, n = merged(keys, counts)
-                keys, counts, held = [key], [n], 0
-        used = np.flatnonzero(pairs)
-        yield rows_of(1, used, pairs[used])
-        if keys:
-            yield rows_of(2, *merged(keys, counts))
+            keys, two, three, at, _, _ = grams_of(texts, places)
+            gram_keys = np.concatenate([keys[at], two[at], three[at]])
+            states = np.concatenate([np.zeros(len(at), np.int64), keys[at - 1], two[at - 1]])
+            gram_keys, first, n = np.unique(gram_keys, return_index=True, return_counts=True)
+            rows = list(shared_out(buckets, gram_keys, states[first], n))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([b for b, _ in rows], pa.int32()), pa.array([d for _, d in rows], pa.binary())],
+                names=["bucket", "data"],
+            )
+
+    return work
+
+
+def tabler(buckets: int):
+    """Entries (key, n, arcs, sum of the arcs' counts) of the counted words, arcs and states.
+
+    A state's share is dealt by the state's key and meets its other shares there.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [np.zeros((3, 0), np.int64)], 0
+        for batch in batches:
+            for data in batch[1]:
+                parts.append(unpacked(data.as_py(), 3))
+                held += parts[-1].shape[1]
+                if held > HELD:
+                    parts, held = [added(parts, 2)], 0
+        keys, states, n = added(parts, 2)
+        word = keys < 0
+        arc = ~word & (n >= MIN_COUNT)
+        kept = word | arc
+        none = np.zeros(kept.sum(), np.int64)
+        state, kinds = states[arc], np.ones(arc.sum(), np.int64)
+        states = added([np.stack([state, 0 * kinds, kinds, n[arc]])], 1)
+        rows = list(shared_out(buckets, keys[kept], n[kept], none, none))
+        rows += shared_out(buckets, *states)
+        totals = [n[word].sum(), word.sum(), (n[word] == 1).sum()]
+        if rows:
+            columns = [np.zeros(len(rows), np.int64) for _ in totals]
+            for column, total in zip(columns, totals, strict=True):
+                column[0] = total
+            buckets_of, data = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(buckets_of, pa.int32()),
+                    pa.nulls(len(rows), pa.int64()),
+                    pa.array(data, pa.binary()),
+                    *map(pa.array, columns),
+                ],
+                names=[x.split()[0] for x in TABLE.split(", ")],
+            )
+
+    return work
+
+
+def chunker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers the texts by chunks of ``STEP`` characters."""
+    chunk, size = TaskContext.get().partitionId() << 36, 0
+    for part in slices(batches):
+        sizes = size + np.cumsum([len(x or "") for x in part[1].to_pylist()], dtype=np.int64)
+        size = int(sizes[-1])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(chunk + sizes // STEP), *part.columns], names=["chunk", "doc_id", "text"]
+        )
+
+
+def chunks_of(batches: Iterator[pa.RecordBatch]):
+    """(chunk, ids, words, packed answers) of rows (chunk, doc_id, text, data) sorted by chunk."""
+    now, ids, texts, answers = None, [], [], []
+    for part in slices(batches):
+        for chunk, own, text, data in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            if chunk != now:
+                if now is not None:
+                    yield now, ids, texts, answers
+                now, ids, texts, answers = chunk, [], [], []
+            if data is None:
+                ids.append(own)
+                texts.append(text.encode().lower().split() if text else [])
+            else:
+                answers.append(data)
+    if now is not None:
+        yield now, ids, texts, answers
+
+
+def asker(buckets: int):
+    """The distinct n-grams and states of each chunk."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = Places({})
+        for chunk, _, texts, _ in chunks_of(batches):
+            keys, two, three, at, _, _ = grams_of(texts, places)
+            every = np.unique(np.concatenate([keys[at], two[at], two[at - 1], three[at]]))
+            rows = list(shared_out(buckets, every))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([b for b, _ in rows], pa.int32()),
+                    pa.array(np.full(len(rows), chunk)),
+                    pa.array([d for _, d in rows], pa.binary()),
+                ],
+                names=["bucket", "chunk", "data"],
+            )
 
     return work
 
 
-def merged(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
-    key, at = np.unique(np.concatenate(keys), return_inverse=True)
-    return key, np.bincount(at, np.concatenate(counts), len(key)).astype(np.int64)
+def answerer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The entries that chunks ask for; the table's rows, which have no chunk, come first."""
+    parts, table = [np.zeros((4, 0), np.int64)], None
+    for part in slices(batches):
+        out = []
+        for chunk, data in zip(part[1].to_pylist(), part[2].to_pylist(), strict=True):
+            if chunk is None:
+                parts.append(unpacked(data, 4))
+                continue
+            if table is None:
+                table, parts = added(parts, 1), []
+            keys = unpacked(data, 1)[0]
+            place, there = Automaton.find(keys, table[0])
+            if there.any():
+                out.append((chunk, packed(*table[:, place[there]])))
+        if out:
+            chunks, data = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(chunks, pa.int64()), pa.array(data, pa.binary())], names=["chunk", "data"]
+            )
+
+
+def weighed(n, seen, kinds, held) -> tuple[np.ndarray, np.ndarray]:
+    """(weight of an arc of count ``n``, of the failure arc) of a state, by Witten and Bell.
+
+    The state was seen ``seen`` times and has ``kinds`` arcs, of ``held`` counts in all.
+    """
+    total = np.maximum(1, np.maximum(seen, held) + kinds)
+    return n / total, np.where(kinds > 0, 1 - held / total, 1.0)
+
+
+def scorer(tokens: int, distinct: int, once: int):
+    """Scores of chunks whose answers hold all that the training texts say of them."""
+    end = np.array([word_key(END_WORD)])
+    start = gram(end, end)[0]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = Places({})
+        for _, ids, texts, answers in chunks_of(batches):
+            table = added([np.zeros((4, 0), np.int64), *(unpacked(x, 4) for x in answers)], 1)
+
+            def entries(keys, table=table):
+                place, there = Automaton.find(keys, table[0])
+                return np.where(there, table[1:, place], 0) if len(table[0]) else np.zeros((3, len(keys)))
+
+            keys, two, three, at, begins, sizes = grams_of(texts, places)
+            word, before = entries(keys[at]), entries(keys[at - 1])
+            pair, context = entries(two[at]), entries(two[at - 1])
+            # The two ends before a text are no bigram of it, but all texts begin in that state.
+            context[0] = np.where(two[at - 1] == start, entries(end)[0], context[0])
+            chance = np.where(word[0] > 0, word[0], once) / (tokens + once)
+            # A bigram that is a state only has no arc.
+            arc, fail = weighed(np.where(pair[0] >= MIN_COUNT, pair[0], 0), *before)
+            chance = arc + fail * chance
+            arc, fail = weighed(entries(three[at])[0], *context)
+            chance = arc + fail * chance
+            values = np.stack([word[0] > 0, np.log10((word[0] + 1) / (tokens + distinct + 1)), np.log10(chance)])
+            known, base, score = np.add.reduceat(values, np.cumsum(sizes) - sizes, axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(ids, pa.int64()),
+                    pa.array(sizes),
+                    pa.array(known.astype(np.int64)),
+                    pa.array(base),
+                    pa.array(score),
+                ],
+                names=[x.split()[0] for x in SCORED.split(", ")],
+            )
+
+    return work
 
 
 class Automaton:
-    """States of no, one and two symbols, with their arcs as sorted keys.
+    """The model of few symbols in one place, which the tests hold against the dealt one.
 
-    ``counts``: of the hot words by number. ``rest``: count of all other words. ``once``: number
-    of words seen once, the weight of unknown ones. ``pairs``, ``triples``: (keys, counts).
+    ``counts``: of the symbols by number. ``rest``: count of all other words, which are the symbol
+    ``HOT_WORDS``. ``once``: number of words seen once, the weight of unknown ones. ``pairs``,
+    ``triples``: sorted (keys, counts). ``ends``: (symbol of the end, number of texts).
     """
 
-    def __init__(self, counts: np.ndarray, rest: int, once: int, pairs, triples):
+    def __init__(self, counts: np.ndarray, rest: int, once: int, pairs, triples, ends=(0, 0)):
         total = counts.sum() + rest + once
         self.root = np.append(counts, np.zeros(HOT_WORDS + 1 - len(counts))) / total
         self.root[HOT_WORDS] = (rest + once) / total
-        self.pairs, self.triples = pairs[0], triples[0]
-        seen = np.append(counts, np.zeros(max(0, PAIR_WORDS - len(counts))))[:PAIR_WORDS]
-        self.pair_arc, self.pair_fail = self.smoothed(pairs, pairs[0] >> 10, seen)
-        # A context of two symbols is a bigram; each of its arcs is rarer, so it is kept too.
-        place = np.searchsorted(self.pairs, triples[0] >> 10)
-        self.triple_arc, self.triple_fail = self.smoothed(triples, place, pairs[1])
+        seen = np.append(counts, np.zeros(HOT_WORDS + 1 - len(counts)))
+        seen[HOT_WORDS] = rest
+        state = pairs[0] >> SYMBOL_BITS
+        self.pairs = pairs[0], *self.smoothed(pairs[1], state, np.arange(len(seen)), seen)
+        # A context of two symbols is a bigram, but for the two ends before a text.
+        state = triples[0] >> SYMBOL_BITS
+        self.states = np.unique(np.r_[pairs[0], state])
+        seen = np.zeros(len(self.states))
+        seen[np.searchsorted(self.states, pairs[0])] = pairs[1]
+        seen[self.states == (ends[0] << SYMBOL_BITS | ends[0])] = ends[1]
+        self.triples = triples[0], *self.smoothed(triples[1], state, self.states, seen)
 
     @staticmethod
-    def smoothed(arcs, state: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(weight of each arc, weight of each state's failure arc), by Witten and Bell."""
-        kinds = np.bincount(state, minlength=len(seen))
-        held = np.bincount(state, arcs[1], minlength=len(seen))
-        total = np.maximum(seen, held) + kinds
-        fail = np.where(kinds > 0, 1 - held / np.maximum(1, total), 1.0)
-        return arcs[1] / np.maximum(1, total)[state], fail
+    def smoothed(n, state, states, seen) -> tuple[np.ndarray, np.ndarray]:
+        """(weight of each arc, weight of each state's failure arc)."""
+        place = np.searchsorted(states, state)
+        kinds = np.bincount(place, minlength=len(seen))
+        held = np.bincount(place, n, minlength=len(seen))
+        fail = weighed(0, seen, kinds, held)[1]
+        return weighed(n, seen[place], kinds[place], held[place])[0], fail
 
     def read(self, symbols: np.ndarray) -> np.ndarray:
         """log10 probability of each symbol after those before it; the first two are 0."""
         c, b, a = symbols[2:], symbols[1:-1], symbols[:-2]
-        chance = self.root[c]
-        at = np.flatnonzero(b < PAIR_WORDS)
-        chance[at] *= self.pair_fail[b[at]]
-        at = at[c[at] < PAIR_WORDS]
-        self.add(chance, at, b[at] << 10 | c[at], self.pairs, self.pair_arc)
-        at = np.flatnonzero((a < TRIPLE_WORDS) & (b < TRIPLE_WORDS))
-        place, there = self.find(a[at] << 10 | b[at], self.pairs)
-        at, place = at[there], place[there]
-        chance[at] *= self.triple_fail[place]
-        at = at[c[at] < TRIPLE_WORDS]
-        self.add(chance, at, a[at] << 20 | b[at] << 10 | c[at], self.triples, self.triple_arc)
+        chance = self.root[c] * self.pairs[2][b]
+        self.add(chance, symbol_keys(b, c), *self.pairs[:2])
+        place, there = self.find(symbol_keys(a, b), self.states)
+        chance[there] *= self.triples[2][place[there]]
+        self.add(chance, symbol_keys(a, b, c), *self.triples[:2])
         return np.r_[0.0, 0.0, np.log10(chance)]
 
     @staticmethod
@@ -212,54 +401,12 @@ class Automaton:
         place = np.minimum(np.searchsorted(table, keys), len(table) - 1)
         return place, table[place] == keys
 
-    def add(self, chance, at, keys, table, weight) -> None:
+    def add(self, chance, keys, table, weight) -> None:
         place, there = self.find(keys, table)
-        chance[at[there]] += weight[place[there]]
-
-
-def model_in(shared: Broadcast) -> tuple[Automaton, dict[int, int]]:
-    """The automaton and the numbers of the hot words, made once for all tasks of a worker."""
-    held = shared.value
-    if "made" not in held:
-        held["made"] = Automaton(*held["automaton"]), {k: i for i, k in enumerate(held["hot"].tolist())}
-    return held["made"]
-
-
-SCORED = (
-    "row long, doc_id long, n_tokens long, hot_known long, hot_base double, hot_score double, "
-    "words array<long>, times array<long>"
-)
+        chance[there] += weight[place[there]]
 
 
-def scorer(shared: Broadcast):
-    """Scores of texts over hot words and the class of the others, and those others."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, hot = model_in(shared)
-        log, places = shared.value["log"], Places(hot)
-        row = TaskContext.get().partitionId() << 36
-        for ids, texts in batches_of(batches):
-            keys, symbols, begins, sizes = laid_out(texts, places, HOT_WORDS)
-            total = np.r_[0.0, np.cumsum(automaton.read(symbols))]
-            scores = total[begins + sizes] - total[begins]
-            rows = []
-            for own, begin, size, score in zip(ids, begins, sizes, scores.tolist(), strict=True):
-                at = keys[begin : begin + size]
-                there = at[at >= 0]
-                rest, times = np.unique(at[at < 0], return_counts=True)
-                rows.append((row, own, size, len(there), float(log[there].sum()), score, rest, times))
-                row += 1
-            kinds = [pa.int64()] * 4 + [pa.float64()] * 2 + [pa.list_(pa.int64())] * 2
-            names = [x.split()[0] for x in SCORED.split(", ")]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
-                names=names,
-            )
-
-    return work
-
-
-def score(docs: DataFrame, training: DataFrame, share: float = SHARE) -> DataFrame:
+def score(docs: DataFrame, training: DataFrame) -> DataFrame:
     """Scores of ``docs (doc_id, text)`` by a model of ``training (doc_id, text)``.
 
     Per row of ``docs``: doc_id, n_tokens (words and the end), n_known (of them in training),
@@ -267,46 +414,32 @@ def score(docs: DataFrame, training: DataFrame, share: float = SHARE) -> DataFra
     the text by the automaton). A null text has the end only. Rows keep null and repeated
     ids. Without training texts all is unknown. Other columns are ignored.
     """
-    context = docs.sparkSession.sparkContext
-    texts = training.select("doc_id", "text")
-    words = map_arrow(texts, word_counter, COUNTS).groupBy("key").agg(F.sum("n").alias("n"))
-    words = written(words, "words")
-    size = words.selectExpr("coalesce(sum(n), 0)", "count(*)", "count_if(n = 1)").head()
-    tokens, distinct, once = int(size[0]), int(size[1]), max(1, int(size[2]))
-    hot = words.orderBy(F.desc("n"), "key").limit(HOT_WORDS).toPandas()
-    hot_keys, times = hot["key"].to_numpy(np.int64), hot["n"].to_numpy(np.int64)
-    grams = map_arrow(texts, ngram_counter(context.broadcast(hot_keys)), COUNTS)
-    grams = grams.groupBy("kind", "key").agg(F.sum("n").alias("n"))
-    # No more than 1 / share rows of each kind.
-    grams = grams.where(F.col("n") >= max(2.0, share * tokens)).toPandas().sort_values("key")
-    arcs = []
-    for kind in (1, 2):
-        own = grams[grams["kind"] == kind]
-        arcs.append((own["key"].to_numpy(np.int64), own["n"].to_numpy(np.int64)))
-    below, rest = float(tokens + distinct + 1), tokens - int(times.sum())
-    shared = context.broadcast(
-        {
-            "automaton": (times, rest, once, *arcs),
-            "hot": hot_keys,
-            "log": np.log10((times + 1) / below),
-        }
-    )
+    spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scored = written(map_arrow(source, scorer(shared), SCORED), "scores")
-    others = scored.selectExpr("row", "inline(arrays_zip(words, times))")
-    others = others.withColumnRenamed("words", "key").join(words, "key", "left")
-    others = others.groupBy("row").agg(
-        F.sum(F.expr("if(n is null, 0, times)")).alias("known"),
-        F.sum(F.expr(f"times * log10((coalesce(n, 0) + 1) / {below!r}D)")).alias("base"),
-        F.sum(F.expr(f"times * log10(coalesce(n, {once}) / {float(rest + once)!r}D)")).alias("own"),
-    )
-    return scored.join(others, "row", "left").select(
+    chunks = written(map_arrow(source, chunker, CHUNKS), "chunks")
+    texts = training.select("doc_id", "text")
+    chars = sum(x.agg(F.sum(F.length("text"))).head()[0] or 0 for x in (chunks, texts))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), chars // TASK_CHARS)
+    buckets = SHARES * tasks
+    counts = map_arrow(texts, counter(buckets), COUNTS).repartition(tasks, "bucket")
+    table = written(map_arrow(counts, tabler(buckets), TABLE), "ngrams")
+    size = table.selectExpr(*(f"coalesce(sum({c}), 0)" for c in ("tokens", "distinct_words", "once")))
+    tokens, distinct, once = map(int, size.head())
+    lines = chunks.withColumn("data", F.lit(None).cast("binary"))
+    asked = map_arrow(lines, asker(buckets), "bucket int, chunk long, data binary")
+    asked = table.select("bucket", "chunk", "data").union(asked).repartition(tasks, "bucket")
+    asked = asked.sortWithinPartitions(F.asc_nulls_first("chunk"))
+    found = written(map_arrow(asked, answerer, FOUND), "answers")
+    none = [F.lit(None).cast(t).alias(n) for n, t in (("doc_id", "long"), ("text", "string"))]
+    rows = lines.union(found.select("chunk", *none, "data")).repartition(tasks, "chunk")
+    rows = rows.sortWithinPartitions("chunk")
+    return map_arrow(rows, scorer(tokens, distinct, max(1, once)), SCORED).select(
         "doc_id",
         "n_tokens",
-        (F.col("hot_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
+        "n_known",
         F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("hot_base") + F.coalesce("base", F.lit(0.0))).alias("base_score"),
-        (F.col("hot_score") + F.coalesce("own", F.lit(0.0))).alias("score"),
+        "base_score",
+        "score",
     )
 
 
