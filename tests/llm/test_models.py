@@ -113,6 +113,18 @@ def test_quality_of_odd_rows(spark):
     assert quality.judged(no_docs(spark), given).count() == 0
 
 
+@pytest.mark.parametrize("given", [[], [(4, 1, 0)], [(101, 1, 1), (102, 0, 0)]])
+def test_quality_of_sparse_and_one_sided_labels(spark, given):
+    """What the labellers accuse trains the scorer, whichever documents have a given label."""
+    plain = [f"The river {k} runs past quiet fields and a mill near town {k + 1}" for k in range(60)]
+    junk = [f"BUY!! NOW!! CHEAP!! ONLY!! HERE!! TODAY!! DEAL{k}!!" for k in range(30)]
+    rows = [*enumerate(plain), *((100 + k, t) for k, t in enumerate(junk))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(given, "doc_id long, quality int, toxic int")
+    keep = {r.doc_id for r in quality.judged(docs, labels).where("keep").collect()}
+    assert keep == set(range(60))
+
+
 def test_estimate_trusts_agreeing_labellers():
     rng = np.random.default_rng(0)
     truth = rng.random(5000) < 0.3

@@ -3,8 +3,8 @@
 Heuristic labellers call a document bad, good, or say nothing; given labels are one more
 labeller. Expectation-maximisation over the counts of vote patterns estimates how often each
 labeller says what of good and of bad documents, without trusting any of them. The posterior
-of a document's pattern is its soft label, and a bounded sample of documents with their soft
-labels trains a sparse logistic scorer over hashed words, word beginnings and style rates,
+of a document's pattern is its soft label, and a bounded sample of all documents that got a vote,
+labelled or not, with their soft labels trains a sparse logistic scorer over hashed words, word beginnings and style rates,
 which then judges every document.
 """
 
@@ -235,12 +235,11 @@ def fit(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE):
     bad = estimate(patterns, counts)
     spark = docs.sparkSession
     known = spark.createDataFrame(
-        [(int(p), float(b), bool(p >> shift)) for p, b in zip(patterns, bad, strict=True)],
-        "pattern int, bad double, judged boolean",
+        [(int(p), float(b)) for p, b in zip(patterns, bad, strict=True)],
+        "pattern int, bad double",
     )
-    soft = cast.where("doc_id is not null").join(F.broadcast(known), "pattern")
-    if labels is not None and bool((patterns >> shift).any()):
-        soft = soft.where("judged")
+    # What got no vote has no label, soft or given, to learn from.
+    soft = cast.where("doc_id is not null and pattern != 0").join(F.broadcast(known), "pattern")
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = soft.where(F.col("bad") >= BAD).orderBy(*order).limit(sample)
     chosen = chosen.union(soft.where(F.col("bad") < BAD).orderBy(*order).limit(sample))
