@@ -77,6 +77,34 @@ def test_disclosing_words_are_generalised(spark):
     assert out[40] == docs.where("doc_id = 40").head().text
 
 
+def test_names_joined_to_an_entity_are_terms(spark):
+    topics = [f"topic{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60)]
+    forms = ["{},{}", "{}<{}>", "id\t{}\t{}\tx", "({1}:{0})", "{}/[{}]"]
+    names = ["Quillon", "Zebulon", "Yorick", "Xanthe", "Wystan"]
+    texts = [
+        f"Hello {form.format(name, name[0].lower() + '@site.org')} about {t}"
+        for form, name in zip(forms, names, strict=True)
+        for t in topics[:30]
+    ]
+    texts += [f"Plain line about a {t} and hello from id" for t in topics] * 2 + ["Later Quillon alone"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = {r.term for r in sanitise.disclosing_terms(docs).collect()}
+    assert found == {n.lower() for n in names}
+
+
+def test_names_met_joined_and_apart_count_the_same_way(spark):
+    """Copies shift no share: all counts are of distinct shapes and of the same cleaned lines."""
+    topics = [f"topic{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60)]
+    texts = [f"Quillon{', ' if k % 2 else ','}q@site.org on {t}" for k, t in enumerate(topics[:30])]
+    texts += [f"Plain line on a {t}" for t in topics] + ["Later Quillon alone"]
+    found = []
+    for own in (texts, texts + ["One plain line more"] * 500, texts + ["One plain line more"]):
+        docs = spark.createDataFrame([(t,) for t in own], "text string")
+        found.append({r.term: r.disclosure for r in sanitise.disclosing_terms(docs).collect()})
+    assert "quillon" in found[0]
+    assert found[1] == found[2]
+
+
 def test_sanitised_keeps_rows_and_columns(spark):
     docs = odd_docs(spark)
     out = sanitise.sanitised(docs)

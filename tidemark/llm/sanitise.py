@@ -96,6 +96,15 @@ def terms_of(line: str) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(line), F.lit(TERM), F.lit(0)))
 
 
+def replaced(spans: str, text: str) -> str:
+    """SQL: ``text`` with the sorted ``spans`` (s, e, k) replaced by k, overlapping ones as one."""
+    return f"""aggregate({spans}, named_struct('at', 0, 'out', ''),
+        (a, x) -> named_struct(
+            'at', greatest(a.at, x.e),
+            'out', if(x.s < a.at, a.out, concat(a.out, substring({text}, a.at + 1, x.s - a.at), x.k))),
+        a -> concat(a.out, substring({text}, a.at + 1)))"""
+
+
 def lines_of(texts: DataFrame) -> DataFrame:
     """``(line, shape)``: the lines, and a hash that is blind to entities and their digits."""
     lines = texts.select(F.explode(F.split("text", "[\\r\\n]+")).alias("line"))
@@ -103,6 +112,24 @@ def lines_of(texts: DataFrame) -> DataFrame:
     return lines.withColumn("shape", F.xxhash64(F.regexp_replace(shape, "[0-9]+", "0")))
 
 
+def without_entities(lines: DataFrame) -> DataFrame:
+    """``(shape, entities, terms)`` of lines: the words are those beside the entities' own spans."""
+    rows = lines.withColumnRenamed("line", "text")
+    for kind in KINDS:
+        rows = with_spans(rows, kind)
+    values = ", ".join(f"transform({k}, x -> concat('{k}:', lower(x.v)))" for k in KINDS)
+    spans = ", ".join(f"transform({k}, x -> named_struct('s', x.s, 'e', x.e, 'k', ' '))" for k in KINDS)
+    rows = rows.select(
+        "shape",
+        "text",
+        F.expr(f"array_distinct(concat({values}))").alias("entities"),
+        F.expr(f"array_sort(concat({spans}))").alias("spans"),
+    )
+    rest = F.expr(f"if(size(spans) > 0, {replaced('spans', 'text')}, text)").alias("line")
+    rows = rows.select("shape", "entities", rest)
+    return rows.select("shape", "entities", terms_of("line").alias("terms"))
+
+
 def disclosing_terms(
     texts: DataFrame, threshold: float = THRESHOLD, min_lines: int = MIN_LINES
 ) -> DataFrame:
@@ -110,18 +137,8 @@ def disclosing_terms(
     lines = lines_of(texts)
     likely = " or ".join(f"({NEEDED[k].format(t='line')})" for k in KINDS)
     # Both counts over lines take the lines apart once each; these ones are few.
-    held = lines.where(likely).withColumnRenamed("line", "text")
-    for kind in KINDS:
-        held = with_spans(held, kind)
-    values = ", ".join(f"transform({k}, x -> concat('{k}:', lower(x.v)))" for k in KINDS)
-    held = held.select(
-        "shape",
-        F.expr("regexp_replace(text, '[^\\\\x20]*[@0-9][^\\\\x20]*', ' ')").alias("line"),
-        F.expr(f"array_distinct(concat({values}))").alias("entities"),
-    ).where("size(entities) > 0")
-    held = written(
-        held.select("shape", "entities", terms_of("line").alias("terms")).distinct(), "entities"
-    )
+    held = without_entities(lines.where(likely)).where("size(entities) > 0")
+    held = written(held.distinct(), "entities")
     entity = held.select(F.explode("entities").alias("entity"), "shape").distinct()
     entity = entity.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     entity = entity.where(F.col("n_e") >= min_lines)
@@ -130,7 +147,7 @@ def disclosing_terms(
     pair = pair.select("entity", "shape", F.explode("terms").alias("term")).distinct()
     pair = pair.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
     pair = pair.where(F.col("n_et") >= min_lines).join(entity, "entity")
-    total = lines.count()
+    total = lines.select("shape").distinct().count()
     share = f"1 + ln(least(1.0, n_et / n_t)) / greatest(1e-9, ln({total} / n_e))"
     # The lines with entities alone already rule out the words that are common in them.
     held = held.select("shape", F.explode("terms").alias("term")).distinct()
@@ -139,7 +156,7 @@ def disclosing_terms(
     pair = written(pair, "pairs")
     if pair.isEmpty():
         return pair.select("term", F.lit(0.0).alias("disclosure"))
-    seen = lines.select("shape", F.explode(terms_of("line")).alias("term"))
+    seen = without_entities(lines).select("shape", F.explode("terms").alias("term"))
     seen = seen.join(pair.select("term").distinct(), "term", "left_semi").distinct()
     seen = seen.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     told = pair.join(seen, "term").withColumn("share", F.expr(share))
@@ -207,11 +224,7 @@ def sanitised(docs: DataFrame) -> DataFrame:
         f"transform({k}, x -> named_struct('s', x.s, 'e', x.e, 'k', '[{k.upper()}]'))" for k in kinds
     )
     rows = rows.withColumn("__all", F.expr(f"array_sort(concat({tagged}))"))
-    new = """aggregate(__all, named_struct('at', 0, 'out', ''),
-        (a, x) -> named_struct(
-            'at', greatest(a.at, x.e),
-            'out', if(x.s < a.at, a.out, concat(a.out, substring(text, a.at + 1, x.s - a.at), x.k))),
-        a -> concat(a.out, substring(text, a.at + 1)))"""
+    new = replaced("__all", "text")
     rows = rows.withColumn("text", F.expr(f"if(size(__all) > 0, {new}, __was)"))
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
