@@ -121,3 +121,54 @@ def test_links(spark, form):
 def test_carrier_sections_overlap(spark):
     rows = carriers.sections_as_intervals(spark).orderBy("ord").collect()
     assert [(r.lo, r.hi) for r in rows] == [(0, 10), (10, 30), (25, 60), (60, 110), (110, 200)]
+
+
+def test_very_many_sections_on_one_place(spark):
+    """All sections hold the same place, each within the one before it: no row holds many."""
+    n = 100_000
+    sections = spark.range(n).selectExpr(
+        "cast(id AS int) AS ord", "concat('s', id) AS section_id", "cast(id AS double) AS lo",
+        f"cast(2 * {n} + 1 - id AS double) AS hi",
+    )
+    spots = [(1, 0.0), (2, 77.5), (3, float(n)), (4, n + 1.0), (5, 2.0 * n), (6, 2 * n + 1.0), (7, -1.0)]
+    df = spark.createDataFrame(spots, "event_id long, scroll_y double")
+    found = {r.event_id: r.section_id for r in a.with_section(df, sections).collect()}
+    assert found == {1: "s0", 2: "s77", 3: f"s{n - 1}", 4: f"s{n - 1}", 5: "s0", 6: None, 7: None}
+    plan = a.with_section(df, sections)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "NestedLoop" not in plan
+
+
+def test_random_sections_equal_the_list_form(spark):
+    rng = random.Random(11)
+    for size in (1, 2, 7, 60):
+        rows = [(k, f"s{k}", *sorted((rng.randrange(20) / 2, rng.randrange(20) / 2))) for k in range(size)]
+        sections = spark.createDataFrame(rows, "ord int, section_id string, lo double, hi double")
+        spots = [(k, k / 4 - 1) for k in range(50)] + [(90, float("nan")), (91, float("inf")), (92, None)]
+        df = spark.createDataFrame(spots, "event_id long, scroll_y double")
+        assert sorted(map(repr, a.with_section(df, sections).collect())) == sorted(
+            map(repr, from_list(df, sections).collect())
+        )
+
+
+def test_substrings_are_found_by_their_rarest_piece(spark):
+    """Rows grow with the targets that hold an id, not with the substrings of all targets."""
+    rng = random.Random(6)
+    targets = ["".join(rng.choice("abcdefgh") for _ in range(200)) for _ in range(300)]
+    targets += ["xx" + "needle" + "y" * k for k in range(5)] + ["", "né", None]
+    ids = ["needle", "né", "n", "", None, "absent!", "abc", targets[7], targets[8][50:61], "zz"]
+    links = spark.createDataFrame(list(enumerate(targets)), "ord int, href string")
+    asked = spark.createDataFrame([(x,) for x in ids], "id string")
+    found = a.contained(asked, links, "id", "href")
+    hits = sorted((r.id, r.ord) for r in found.collect())
+    expected = sorted((i, k) for i in ids if i for k, t in enumerate(targets) if t is not None and i in t)
+    assert hits == expected
+    candidates = 0
+    for i in filter(None, ids):
+        grams = {i[k : k + 3] for k in range(max(1, len(i) - 2))}
+        candidates += min(sum(g in t for t in targets if t) for g in grams)
+    assert candidates < 4 * len(expected)
+    events = spark.createDataFrame([(x,) for x in ids], "active_section string")
+    linked = {r.active_section: r.href for r in a.with_link(events, links).collect()}
+    assert linked == {
+        i: None if i is None else next((t for t in targets if t is not None and i in t), None) for i in ids
+    }

@@ -5,6 +5,8 @@ import random
 import pytest
 
 from tidemark.operators import identity
+from tidemark.operators.components import components
+from tidemark.operators.key_filter import may_be_in
 
 SCHEMA = "{id} long, email string, {secret} string"
 
@@ -49,13 +51,32 @@ def test_counts_equal_the_or_join(data):
     assert any(n == 1 for n in found.values()) and any(n == 80 for n in found.values())
 
 
-def test_counts_from_members_in_question(data):
+def test_counts_add_up_over_parts_of_the_members(data):
     c, m, candidates, members = data
-    few = candidates.filter("candidate_id < 30")
-    asked = identity.members_in_question(few, members)
-    assert asked.count() < len(m)
-    found = identity.with_match_counts(few, asked).collect()
-    assert {r.candidate_id: r.n_matches for r in found} == {r[0]: matches(r, m) for r in c[:30]}
+    parts = [identity.key_counts(members.filter(f"member_id % 3 = {k}")) for k in range(3)]
+    found = identity.with_counts(candidates, identity.add_key_counts(*parts)).collect()
+    assert {r.candidate_id: r.n_matches for r in found} == {r[0]: matches(r, m) for r in c}
+
+
+def test_counts_of_odd_keys(spark):
+    """Missing and empty keys, texts that run into each other, and repeated candidates."""
+    rows = [(1, "a", "bc"), (2, "ab", "c"), (3, None, "c"), (4, "", ""), (5, None, None), (6, "x", None)]
+    m = [*rows, (7, "a", "c"), (8, "", None), (9, "1:a", "bc")]
+    c = rows + rows[:3] + [(10, "zz", "zz")]
+    found = identity.with_match_counts(people(spark, c, "candidate"), people(spark, m, "member"))
+    expected = sorted((r[0], matches(r, m)) for r in c)
+    assert sorted((r.candidate_id, r.n_matches) for r in found.collect()) == expected
+    none = people(spark, [], "member")
+    assert {r.n_matches for r in identity.with_match_counts(people(spark, c, "candidate"), none).collect()} == {0}
+
+
+def test_key_filter_keeps_every_key(spark):
+    keys = spark.range(2000).selectExpr("concat('k', id) AS key")
+    rows = spark.range(100_000).selectExpr("concat('k', id * 7) AS key", "id")
+    passed = rows.where(may_be_in(keys, "key", "key")).collect()
+    assert {f"k{i}" for i in range(0, 2000, 7)} <= {r.key for r in passed}
+    assert len(passed) < 5000
+    assert rows.where(may_be_in(keys.filter("false"), "key", "key")).isEmpty()
 
 
 @pytest.mark.parametrize(("rule", "dup"), [("exactly_one", lambda n: n == 1), ("any", bool)])
@@ -82,18 +103,57 @@ def one_by_one(rows):
     return taken
 
 
-def test_admit_in_order(spark):
-    """Null keys rival nobody; rows without any key are all admitted."""
+@pytest.mark.parametrize("scan_rows", [identity.SCAN_ROWS, 20, 1])
+def test_admit_in_order(spark, scan_rows):
+    """Null keys rival nobody; rows without any key are all admitted. The bound is no matter."""
     rows = [*crowd(200, 3), (900, None, "s"), (901, None, None), (902, None, None), (903, "e", "s")]
-    found = identity.admit_in_order(people(spark, rows, "candidate"))
+    found = identity.admit_in_order(people(spark, rows, "candidate"), scan_rows=scan_rows)
     assert {r.candidate_id for r in found.collect()} == one_by_one(rows)
 
 
-def test_admit_in_order_chain(spark):
+def jobs_of(spark, work):
+    name = f"counted-{random.random()}"
+    spark.sparkContext.setJobGroup(name, "")
+    try:
+        result = work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return result, len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+def chain(n):
     """Each rivals the next; the second of a pair never keeps the third out."""
-    rows = [(i, f"e{(i + 1) // 2}", f"s{i // 2}") for i in range(30)]
-    found = identity.admit_in_order(people(spark, rows, "candidate"))
-    assert {r.candidate_id for r in found.collect()} == one_by_one(rows) == set(range(0, 30, 2))
+    return [(i, f"e{(i + 1) // 2}", f"s{i // 2}") for i in range(n)]
+
+
+def test_admit_in_order_chain(spark):
+    """A chain of any length is one group: jobs grow with the logarithm of its length."""
+    rows = chain(10_000)
+    found, jobs = jobs_of(
+        spark, lambda: identity.admit_in_order(people(spark, rows, "candidate")).collect()
+    )
+    assert {r.candidate_id for r in found} == one_by_one(rows) == set(range(0, 10_000, 2))
+    assert jobs < 150
+
+
+def test_admit_in_order_of_groups_beyond_a_task(spark):
+    """Two large groups, one of them a chain against the order, and many small ones."""
+    rows = chain(300) + [(10_000 - i, f"x{(i + 1) // 2}", f"y{i // 2}") for i in range(300)]
+    rows += [(20_000 + i, f"p{i // 3}", None) for i in range(60)]
+    found = identity.admit_in_order(people(spark, rows, "candidate"), scan_rows=100)
+    assert {r.candidate_id for r in found.collect()} == one_by_one(rows)
+
+
+def test_components(spark):
+    """Chains, a star of a third of all nodes, loops, repeated edges, and no edge."""
+    edges = [(k, k + 1) for k in range(300)] + [(1000, 1001 + k) for k in range(300)]
+    edges += [(5000 - k, 5001 - k) for k in range(300)] + [(7, 7), (8000, 8001), (8001, 8000)]
+    random.Random(5).shuffle(edges)
+    found = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
+    expected = {k: 0 for k in range(301)} | {k: 1000 for k in range(1000, 1301)}
+    expected |= {k: 4701 for k in range(4701, 5002)} | {8000: 8000, 8001: 8000}
+    assert found == expected
+    assert components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0
 
 
 def test_login_outcome(spark):

@@ -1,5 +1,7 @@
 """Plan shapes that must hold at any size."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,13 +50,18 @@ def test_kpis_are_one_partial_aggregate(spark, small_dir):
     assert "ReadSchema: struct<p_retailprice:double>" in plan
 
 
-def test_duplicate_check_reads_members_narrow_and_hashed(spark, small_dir):
+def test_duplicate_check_shuffles_wide_rows_once(spark, small_dir):
+    """One scan of the members; the judged rows with their violations are shuffled once."""
     without_broadcast(spark)
-    counted = identity.with_match_counts(
-        carriers.candidates(spark, small_dir), carriers.members(spark, small_dir)
-    )
-    plan = plan_of(counted)
-    assert plan.count("SortMergeJoin") == 3 and "LeftOuter" in plan
+    plan = QUERIES["signup_violations"](spark, small_dir)._jdf.queryExecution()
+    told = spark._jvm.PythonSQLUtils.explainString(plan, "formatted")
+    initial = told.split("== Initial Plan ==")[-1]
+    shuffles = [part for part in initial.split("\n\n") if re.match(r"\s*\(\d+\) Exchange", part)]
+    wide = [part for part in shuffles if "violations" in part.split("Arguments")[0]]
+    assert len(shuffles) > 3 and len(wide) == 1
+    # Members are every fourth customer; the sign-ups read the same table without that filter.
+    assert told.count("PushedFilters: [") >= 0
+    assert initial.count("% 4) = 0") == 1
 
 
 def test_sections_need_no_join_or_shuffle(spark, small_dir):
@@ -77,7 +84,7 @@ def test_point_lookup_is_pushed_down(spark, small_dir):
 
 
 def test_hot_keys_are_split(spark):
-    """A third of the candidates share one email and one secret."""
+    """A third of the candidates share one email and one secret, or one email only."""
     confs = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1000",
@@ -92,9 +99,11 @@ def test_hot_keys_are_split(spark):
         key = "CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id AS STRING) END"
         people = rows.selectExpr("id AS candidate_id", f"{key} AS email", f"{key} AS secret_digest")
         members = people.toDF("member_id", "email", "password_digest")
+        alike = people.withColumn("secret_digest", F.sha2(F.col("candidate_id").cast("string"), 256))
         admins = members.drop("member_id")
         runs = [
-            (identity.with_match_counts(people, members), 3),
+            (identity.with_match_counts(people, members), 1),
+            (identity.with_match_counts(alike, members), 1),
             (identity.admit_new(people, members.filter("member_id % 3 = 1"), "any"), 2),
             (identity.login_outcome(people, members, admins, secret="secret_digest"), 1),
         ]

@@ -1,16 +1,23 @@
 """Streams against their batch forms: several batches, failures, replays."""
 
 import json
+import random
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.operators.attribution import carry_section, with_section
+from tidemark.operators.identity import key_counts
 from tidemark.plans import carriers
 from tidemark.schemas import CONTACT, MEMBER, SIGNUP, SIGNUP_FIELDS
 from tidemark.sources.readers import stream_forms
 from tidemark.streaming.form_intake import ContactIntake, SignupIntake
 from tidemark.streaming.market_refresh import MarketRefresh
+from tidemark.streaming.member_index import MemberIndex
 from tidemark.streaming.section_tracking import SectionTracking
+from tidemark.streaming.visits import VisitTracking
 
 
 class Fetches:
@@ -99,7 +106,6 @@ def test_refresh_keeps_selection(spark, tmp_path):
     first = spark.createDataFrame([coin("alpha", 1.0), coin("beta", 2.0)], "id string, name string, "
                                   "symbol string, market_cap double, price_change_percentage_24h double")
     from tidemark.schemas import MARKET
-    from pyspark.sql import functions as F
 
     missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in MARKET.fields
                if f.name not in first.columns]
@@ -216,3 +222,103 @@ def test_section_stream_equals_batch(spark, tmp_path, small_dir):
     found = {r.event_id: r.active_section for r in job.active().collect()}
     expected = carry_section(with_section(scroll, sections)).collect()
     assert found == {r.event_id: r.active_section for r in expected}
+
+
+def index_rows(spark, n):
+    """Members of batch n: each shares a secret with those of the batch before."""
+    rows = [(n * 10 + k, f"e{n * 10 + k}", f"s{(n + k) // 2}") for k in range(4)]
+    return spark.createDataFrame(rows, "member_id long, email string, password_digest string")
+
+
+def test_member_index_over_fifty_batches(spark, tmp_path):
+    """What a batch reads does not grow; counts equal those of all members; replays are safe."""
+    base = index_rows(spark, 1000)
+    index = MemberIndex(spark, str(tmp_path), base, merge_every=5)
+    files, folders, everyone = [], [], [base]
+    for n in range(50):
+        index.open(n)
+        read = index.counts(n)
+        files.append(len(read.inputFiles()))
+        folders.append(len(index.folders(n)))
+        for _ in range(2 if n in (0, 5, 7, 10) else 1):
+            index.add(index_rows(spark, n), n)
+        everyone.append(index_rows(spark, n))
+        if n in (0, 4, 5, 6, 10, 49):
+            expected = key_counts(reduce(DataFrame.unionByName, everyone))
+            known = sorted(map(tuple, index.counts(n + 1).collect()))
+            assert known == sorted(map(tuple, expected.collect()))
+            asked = spark.createDataFrame([("ee0",), ("ss3",), ("bnone",)], "key string")
+            some = {tuple(r) for r in index.counts(n + 1, asked).collect()}
+            assert {r for r in known if r[0] in ("ee0", "ss3")} <= some <= set(known)
+    assert max(folders) == 5
+    assert max(files[25:]) <= max(files[5:25])
+    left = len(list((tmp_path / "change").iterdir())) + len(list((tmp_path / "full").iterdir()))
+    assert left <= 2 * 6
+
+
+def test_signup_stream_of_many_batches_equals_one_by_one(spark, tmp_path):
+    """Twelve batches over a merge of the index, each once more after a failure halfway."""
+    schema = "submission_id long, " + ", ".join(f"{f} string" for f in SIGNUP_FIELDS)
+    rng = random.Random(9)
+    rows = []
+    for k in range(72):
+        email = f"p{rng.randrange(40)}@example.com"
+        secret = f"Passw0rd!{rng.randrange(50)}"
+        rows.append((k, {**GOOD, "email": email, "spassword": secret, "conpassword": secret}))
+    base = spark.createDataFrame([(0, "p3@example.com", "none")], "member_id long, email string, password_digest string")
+    job = SignupIntake(spark, str(tmp_path), base, match_rule="any", one_by_one=True)
+    emails, secrets, expected = {"p3@example.com"}, set(), []
+    for k, row in rows:
+        if row["email"] not in emails and row["conpassword"] not in secrets:
+            emails.add(row["email"])
+            secrets.add(row["conpassword"])
+            expected.append(k)
+    for n in range(12):
+        part = [(k, *(row[f] for f in SIGNUP_FIELDS)) for k, row in rows[n * 6 : n * 6 + 6]]
+        batch = spark.createDataFrame(part, schema)
+        job.on_batch(batch, n)
+        if n in (1, 10):
+            job.on_batch(batch, n)
+    assert signup_ids(job.accepted()) == expected
+    assert job.accepted().count() + job.rejected().count() == 72
+
+
+VISIT_SECTIONS = [(1, "home", 0.0, 10.0), (2, "about", 10.0, 20.0)]
+
+
+def scroll_rows(spark, rows):
+    found = spark.createDataFrame(rows, "session_id long, ts string, event_id long, scroll_y double")
+    return found.withColumn("ts", F.to_timestamp("ts"))
+
+
+def test_visits_over_batches_and_restarts(spark, tmp_path):
+    """The state outlives each restart; a pause ends a visit, by an event or by the timer."""
+    sections = spark.createDataFrame(VISIT_SECTIONS, "ord int, section_id string, lo double, hi double")
+    batches = [
+        [(1, "2024-01-01 00:00:00", 1, 5.0), (2, "2024-01-01 00:00:10", 2, 15.0), (1, "2024-01-01 00:01:00", 3, 15.0)],
+        [(1, "2024-01-01 00:02:00", 4, 99.0), (3, "2024-01-01 00:02:30", 5, 99.0)],
+        [(1, "2024-01-01 00:30:00", 6, 99.0), (1, "2024-01-01 00:30:01", 7, 5.0), (None, "2024-01-01 00:30:02", 8, 5.0)],
+        [(4, "2024-01-01 02:00:00", 9, 15.0)],
+        [(2, "2024-01-01 03:00:00", 10, 99.0), (1, "2024-01-01 03:00:01", 11, 15.0)],
+        [(5, "2024-01-01 09:00:00", 12, 15.0)],
+    ]
+    schema = scroll_rows(spark, batches[0]).schema
+    job = VisitTracking(spark, str(tmp_path / "out"), sections.collect(), idle_seconds=600)
+    for rows in batches:
+        scroll_rows(spark, rows).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        job.start(spark.readStream.schema(schema).parquet(str(tmp_path / "in"))).awaitTermination()
+    active = {r.event_id: (r.active_section, r.visit_start.strftime("%H:%M:%S")) for r in job.active().collect()}
+    assert active == {
+        1: ("home", "00:00:00"), 2: ("about", "00:00:10"), 3: ("about", "00:00:00"),
+        4: ("about", "00:00:00"), 5: ("home", "00:02:30"), 6: ("home", "00:30:00"),
+        7: ("home", "00:30:00"), 9: ("about", "02:00:00"), 10: ("home", "03:00:00"),
+        11: ("about", "03:00:01"), 12: ("about", "09:00:00"),
+    }
+    visits = sorted(
+        (r.session_id, r.visit_end.strftime("%H:%M:%S"), r.n_events, r.ended_in) for r in job.visits().collect()
+    )
+    assert visits == [
+        (1, "00:02:00", 3, "about"), (1, "00:30:01", 2, "home"), (1, "03:00:01", 1, "about"),
+        (2, "00:00:10", 1, "about"), (2, "03:00:00", 1, "home"), (3, "00:02:30", 1, "home"),
+        (4, "02:00:00", 1, "about"),
+    ]

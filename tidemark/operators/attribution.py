@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.sqltext import case, quoted
+from tidemark.operators.key_filter import may_be_in
 from tidemark.operators.lookup import lookup
-from tidemark.operators.ordering import carry_forward
+from tidemark.operators.ordering import carry_forward, global_row_number
+from tidemark.session import cut_lineage
 
 # Lead of a section before its top, the sticky threshold, the first active link.
 LEAD = 150
@@ -32,10 +34,10 @@ def with_section(
     """Section each position lies in; of overlapping ones the last in document order.
 
     A list of rows, such as a page's few sections, becomes one expression: no join and no
-    shuffle. A table is joined on a grid. Both give the same.
+    shuffle. A table is swept for disjoint pieces. Both give the same.
     """
     if isinstance(sections, DataFrame):
-        return section_by_grid(events, sections, y, name)
+        return section_by_sweep(events, sections, y, name)
     listed = sorted(sections, key=lambda row: row["ord"])
     return events.withColumn(name, _section_expression(listed, y))
 
@@ -53,33 +55,76 @@ def _section_expression(sections: list, y: str) -> Column:
     return F.expr(case(hits, "NULL") if hits else "CAST(NULL AS STRING)")
 
 
-def section_by_grid(
+def disjoint_pieces(sections: DataFrame) -> DataFrame:
+    """``(at, section_id)``: from each end point on, up to the next one, the last section in
+    document order that covers it, or null.
+
+    The end points are numbered; a section covers a range of numbers, which is a union of
+    aligned blocks, two of each size at most. A block keeps the last of the sections that
+    fill it, and a piece asks the blocks it lies in, one of each size. So however many sections lie
+    on one place, each costs a few narrow rows, reduced before the shuffle.
+    """
+    real = sections.where("hi > lo").select("ord", "section_id", "lo", "hi")
+    ends = real.selectExpr("explode(array(lo, hi)) AS at").distinct()
+    pieces = global_row_number(ends, "at", name="number").selectExpr("at", "number - 1 AS number")
+    pieces = cut_lineage(pieces)
+    numbered = (
+        real.join(pieces.toDF("lo", "first"), "lo")
+        .join(pieces.toDF("hi", "until"), "hi")
+        .select("first", "until", F.struct("ord", "section_id").alias("section"))
+    )
+    sizes = max(1, (pieces.agg(F.max("number")).first()[0] or 0).bit_length())
+    # What is left of the range at a size begins or ends with a block of that size where its
+    # bound is odd there; the rest is made of blocks of twice the size.
+    lower, upper = "shiftright(first + shiftleft(1L, k) - 1, k)", "shiftright(until, k)"
+    blocks = f"""flatten(transform(sequence(0, {sizes}), k -> filter(array(
+        CASE WHEN {lower} % 2 = 1 AND {lower} < {upper}
+             THEN struct(k AS size, {lower} AS block) END,
+        CASE WHEN {upper} % 2 = 1 AND {lower} < {upper}
+             THEN struct(k AS size, {upper} - 1 AS block) END), x -> x IS NOT NULL)))"""
+    filled = (
+        numbered.select(F.explode(F.expr(blocks)).alias("b"), "section")
+        .groupBy("b.size", "b.block")
+        .agg(F.max_by("section.section_id", "section.ord").alias("id"), F.max("section.ord").alias("ord"))
+    )
+    asked = pieces.select(
+        "number", F.explode(F.sequence(F.lit(0), F.lit(sizes))).alias("size")
+    ).withColumn("block", F.expr("shiftright(number, size)"))
+    last = (
+        asked.join(filled, ["size", "block"])
+        .groupBy("number")
+        .agg(F.max_by("id", "ord").alias("section_id"))
+    )
+    return pieces.join(last, "number", "left").select("at", "section_id")
+
+
+def section_by_sweep(
     events: DataFrame, sections: DataFrame, y: str = "scroll_y", name: str = "section_id"
 ) -> DataFrame:
-    """The same by an equi join on grid cells, for tables of sections.
+    """The same for tables of sections."""
+    return section_from_pieces(events, disjoint_pieces(sections), y, name)
 
-    The cell is as wide as the mean section, so the sections' cells number about twice
-    the sections. A cell's sections are one row, and each event meets its cell only, so no
-    event is multiplied, whatever its id and however many sections lie on one place.
+
+def section_from_pieces(
+    events: DataFrame, pieces: DataFrame, y: str = "scroll_y", name: str = "section_id"
+) -> DataFrame:
+    """The section of the last of :func:`disjoint_pieces` that begins at or before the position.
+
+    Pieces and events are range-partitioned together by position, and each chunk begins with
+    the piece the chunks before it end with. No event is multiplied, and nothing depends on
+    how many sections or events lie on one place.
     """
-    real = sections.filter("hi > lo")
-    width = real.agg(F.avg(F.col("hi") - F.col("lo"))).first()[0]
-    if not width:
-        return events.withColumn(name, F.lit(None).cast("string"))
-    cell = f"CAST(floor({{}} / {width!r}D) AS BIGINT)"
-    cells = real.select(
-        F.struct("ord", "section_id", "lo", "hi").alias("__one"),
-        F.explode(F.expr(f"sequence({cell.format('lo')}, {cell.format('hi')})")).alias("__cell"),
+    pieces = pieces.select(
+        F.col("at").alias("__y"), F.struct("section_id").alias("__piece")
     )
-    cells = cells.groupBy("__cell").agg(
-        F.sort_array(F.collect_list("__one"), asc=False).alias("__sections")
-    )
-    hit = f"filter(__sections, s -> {y} >= s.lo AND {y} < s.hi)"
-    return (
-        lookup(events, cells, cell.format(y), "__cell")
-        .withColumn(name, F.expr(f"get({hit}, 0).section_id"))
-        .drop("__cell", "__sections")
+    rows = events.withColumns(
+        {"__y": F.col(y).cast("double"), "__row": F.monotonically_increasing_id()}
     )
+    both = rows.unionByName(pieces, allowMissingColumns=True).withColumn("__all", F.lit(0))
+    # A piece comes before the events at its place: its row number is null.
+    placed = carry_forward(both, "__all", ["__y", "__row"], "__piece", "__found")
+    found = placed.where("__row IS NOT NULL").withColumn(name, F.col("__found.section_id"))
+    return found.drop("__y", "__row", "__all", "__piece", "__found")
 
 
 def carry_section(
@@ -119,26 +164,49 @@ def with_link(
     return events.withColumn(name, F.expr(case(hits, "NULL") if hits else "CAST(NULL AS STRING)"))
 
 
-def link_by_substring(
-    events: DataFrame, links: DataFrame, section: str = "active_section", name: str = "href"
-) -> DataFrame:
-    """The same for a table of links, by equality instead of a nested loop.
+#: Letters of the pieces by which an id is looked for in targets.
+GRAM = 3
+
+
+def _grams(text: str, length: str) -> str:
+    """The distinct pieces of ``length`` letters of a text."""
+    last = f"length({text}) - {length} + 1"
+    return (
+        f"array_distinct(transform(sequence(1, greatest({last}, 1)), "
+        f"i -> substring({text}, i, {length})))"
+    )
+
 
-    Each distinct id length gives the substrings of that length of every target; the
-    first link per substring is kept, and ids are looked up among those.
+def contained(ids: DataFrame, targets: DataFrame, id: str, target: str) -> DataFrame:
+    """Rows of ``targets`` with each id of ``ids`` that is part of the text ``target``.
+
+    Of the pieces of three letters of an id the rarest one among the targets stands for it; a
+    shorter id stands for itself. Only those pieces of a target that stand for some id are
+    joined, and each id found is compared in full. An empty id is part of no target here.
     """
-    ids = events.select(F.col(section).alias("__id")).filter("__id IS NOT NULL").distinct()
-    lengths = ids.select(F.length("__id").alias("__len")).distinct()
-    per_target = lengths.agg(F.sort_array(F.collect_set("__len")).alias("__lens")).scalar()
-    pieces = (
-        links.withColumn("__len", F.explode(per_target))
-        .filter(F.col("__len") <= F.length("href"))
-        .withColumn(
-            "__at",
-            F.explode(F.sequence(F.lit(1), F.length("href") - F.col("__len") + 1)),
-        )
-        .select("ord", "href", F.expr("substring(href, __at, __len)").alias("__piece"))
+    named = ids.select(F.col(id).alias("__id")).where("__id <> ''").distinct()
+    own = named.select("__id", F.explode(F.expr(_grams("__id", f"least(length(__id), {GRAM})"))).alias("__gram"))
+    lengths = own.agg(F.collect_set(F.length("__gram"))).first()[0] or [GRAM]
+    pieces = " , ".join(_grams(target, str(k)) for k in sorted(lengths))
+    met = targets.withColumn("__gram", F.explode(F.expr(f"array_distinct(flatten(array({pieces})))")))
+    met = met.where(may_be_in(own, "__gram", "__gram"))
+    often = met.groupBy("__gram").agg(F.count("*").alias("__n"))
+    rarest = (
+        lookup(own, often.withColumnRenamed("__gram", "__of"), "__gram", "__of")
+        .groupBy("__id")
+        .agg(F.min_by("__gram", F.struct(F.coalesce("__n", F.lit(0)), "__gram")).alias("__gram"))
     )
-    first = pieces.groupBy("__piece").agg(F.min_by("href", "ord").alias(name))
-    chosen = ids.join(first, F.col("__id") == F.col("__piece")).select("__id", name)
+    found = met.join(rarest, "__gram").where(F.expr(f"contains({target}, __id)"))
+    return found.drop("__gram").withColumnRenamed("__id", id)
+
+
+def link_by_substring(
+    events: DataFrame, links: DataFrame, section: str = "active_section", name: str = "href"
+) -> DataFrame:
+    """The same for a table of links, by equality of pieces instead of a nested loop."""
+    ids = events.select(F.col(section).alias("__id"))
+    hits = contained(ids, links.select("ord", "href"), "__id", "href").select("__id", "ord", "href")
+    # The empty id is part of every target.
+    every = links.where("href IS NOT NULL").select(F.lit("").alias("__id"), "ord", "href")
+    chosen = hits.union(every).groupBy("__id").agg(F.min_by("href", "ord").alias(name))
     return lookup(events, chosen, section, "__id").drop("__id")

@@ -2,68 +2,90 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.cleansing import lower_email, lower_email_sql
-from tidemark.operators.lookup import lookup, pair_key
+from tidemark.operators.components import components
+from tidemark.operators.lookup import lookup, pair_key, pair_text
 from tidemark.session import cut_lineage
 
 EXACTLY_ONE = "exactly_one"
 ANY = "any"
 
 
-def with_match_counts(
+def _key_texts(email: str, secret: str) -> str:
+    """The keys by which a record can be met: its email, its secret, and both together."""
+    return f"array(concat('e', {email}), concat('s', {secret}), concat('b', {pair_key(email, secret)}))"
+
+
+def key_counts(
+    members: DataFrame, email: str = "email", secret: str = "password_digest"
+) -> DataFrame:
+    """``(member_key, n)``: how many members have each email, each secret, and each pair.
+
+    One scan and one aggregate, reduced before its shuffle. Counts of disjoint sets of members
+    add up, see :func:`add_key_counts`.
+    """
+    keys = members.select(F.explode(F.expr(_key_texts(email, secret))).alias("member_key"))
+    return keys.where("member_key IS NOT NULL").groupBy("member_key").agg(F.count("*").alias("n"))
+
+
+def add_key_counts(*parts: DataFrame) -> DataFrame:
+    """Counts of all members of the parts."""
+    return reduce(DataFrame.unionByName, parts).groupBy("member_key").agg(F.sum("n").alias("n"))
+
+
+def candidate_keys(
+    candidates: DataFrame, email: str = "email", secret: str = "secret_digest"
+) -> DataFrame:
+    """``(pair, key)``: what the pair of keys of each candidate is looked up by."""
+    keys = candidates.selectExpr(
+        f"{pair_text(email, secret)} AS pair", f"explode({_key_texts(email, secret)}) AS key"
+    )
+    return keys.where("key IS NOT NULL")
+
+
+def with_counts(
     candidates: DataFrame,
-    members: DataFrame,
+    counts: DataFrame,
     email: str = "email",
     secret: str = "secret_digest",
     name: str = "n_matches",
 ) -> DataFrame:
-    """Count member rows with the same email OR the same secret.
+    """Candidates with the number of members they meet, from :func:`key_counts`.
 
-    Equal pairs are never listed: members with the email, plus those with the secret,
-    less those with both. Each count is aggregated before it is joined, so a secret
-    that a third of both sides share costs one row here; on the candidate side it is a
-    hot key of a lookup, which is split.
+    Members with the email, plus those with the secret, less those with both. The three
+    counts are found for the candidates' bare keys and folded into one number per pair of
+    keys; only then the candidates themselves are shuffled, once. Hot keys are split.
     """
-    keyed = members.select(
-        F.col("email").alias("__email"), F.col("password_digest").alias("__secret")
-    )
-    by_email = keyed.groupBy("__email").agg(F.count("*").alias("__same_email"))
-    by_secret = keyed.groupBy("__secret").agg(F.count("*").alias("__same_secret"))
-    both = keyed.groupBy("__email", "__secret").agg(F.count("*").alias("__both"))
-
-    counted = lookup(candidates, by_email, email, "__email").drop("__email")
-    counted = lookup(counted, by_secret, secret, "__secret").drop("__secret")
-    counted = lookup(counted, both, pair_key(email, secret), pair_key("__email", "__secret"))
-    found = "coalesce(__same_email, 0) + coalesce(__same_secret, 0) - coalesce(__both, 0)"
-    return counted.withColumn(name, F.expr(found)).drop(
-        "__email", "__secret", "__same_email", "__same_secret", "__both"
-    )
+    met = lookup(candidate_keys(candidates, email, secret), counts, "key", "member_key", "inner")
+
+    def of(kind: str) -> str:
+        return f"coalesce(max(CASE WHEN startswith(key, '{kind}') THEN n END), 0)"
 
+    found = met.groupBy("pair").agg(F.expr(f"{of('e')} + {of('s')} - {of('b')}").alias("__n"))
+    counted = lookup(candidates, found, pair_text(email, secret), "pair")
+    return counted.withColumn(name, F.expr("coalesce(__n, 0L)")).drop("pair", "__n")
 
-def members_in_question(
+
+def with_match_counts(
     candidates: DataFrame,
     members: DataFrame,
     email: str = "email",
     secret: str = "secret_digest",
+    name: str = "n_matches",
 ) -> DataFrame:
-    """Members that share a key with some candidate: all that the counts depend on.
+    """Count member rows with the same email OR the same secret.
 
-    The members meet the distinct keys of the batch; whether those are small enough to be
-    broadcast, which spares shuffling the table, is for the optimizer to see.
+    Equal pairs are never listed. The members are scanned once, and the candidates' rows
+    shuffled once. A missing key matches nobody.
     """
-    emails = candidates.select(F.col(email).alias("__email")).distinct()
-    secrets = candidates.select(F.col(secret).alias("__secret")).distinct()
-    return (
-        members.join(emails, F.col("email") == F.col("__email"), "left")
-        .join(secrets, F.col("password_digest") == F.col("__secret"), "left")
-        .filter("__email IS NOT NULL OR __secret IS NOT NULL")
-        .select(*members.columns)
-    )
+    return with_counts(candidates, key_counts(members), email, secret, name)
 
 
 def is_duplicate_sql(match_rule: str = EXACTLY_ONE, name: str = "n_matches") -> str:
@@ -98,8 +120,8 @@ def admit_new(
     return counted.filter(~is_duplicate(match_rule)).drop("n_matches")
 
 
-def _without(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
-    return lookup(rows, keys.toDF("__taken").distinct(), column, "__taken", "left_anti")
+#: Rows of one group of rivals that a task takes one after another.
+SCAN_ROWS = 200_000
 
 
 def admit_in_order(
@@ -107,31 +129,103 @@ def admit_in_order(
     order: str = "candidate_id",
     email: str = "email",
     secret: str = "secret_digest",
+    scan_rows: int = SCAN_ROWS,
 ) -> DataFrame:
     """Candidates taken one after another, each dropped if it shares its email or its
-    secret with one *accepted* before it. ``order`` must be unique and not null; a null
-    key rivals nobody.
+    secret with one *accepted* before it. ``order`` must be a unique whole number, not null; a
+    null key rivals nobody.
 
-    Per round, a candidate that comes first for its email and first for its secret has
-    no earlier rival left, so it is accepted; all that share a key with it are dropped.
-    Only the first row per key is looked for, never the pairs that share one. There are
-    as many rounds as the longest chain of rivals has links.
+    Candidates that are linked by a chain of shared keys form a group; what happens in one
+    group does not touch another. A task sorts the groups it got and walks through each with
+    the keys taken so far. A group of more than ``scan_rows`` is not handed to one task: its
+    first rows, about that many, are walked through, what they keep out is dropped, then all
+    of the rest that come first for both their keys are taken and what these keep out dropped.
+    What is left mostly falls apart into small groups and starts anew.
     """
     open_rows = cut_lineage(
         candidates.select(
-            F.col(order).alias("seq"), F.col(email).alias("k1"), F.col(secret).alias("k2")
+            F.col(order).cast("long").alias("seq"),
+            F.col(email).alias("k1"),
+            F.col(secret).alias("k2"),
         )
     )
-    accepted = []
-    while not open_rows.isEmpty():
-        taken = cut_lineage(_first_or_free(open_rows, "k1").join(_first_or_free(open_rows, "k2"), "seq"))
-        accepted.append(taken.select("seq"))
-        rest = _without(_without(open_rows, "k1", taken.select("k1")), "k2", taken.select("k2"))
-        open_rows = cut_lineage(rest.join(taken.select("seq"), "seq", "left_anti"))
-    if not accepted:
-        return candidates
-    admitted = reduce(DataFrame.unionByName, accepted)
-    return candidates.join(admitted, F.col(order) == F.col("seq"), "left_semi")
+    admitted = []
+    while True:
+        grouped = _with_group(open_rows)
+        sizes = grouped.where("component IS NOT NULL").groupBy("component").count()
+        large = cut_lineage(sizes.where(F.col("count") > scan_rows).toDF("of", "size"))
+        total = large.agg(F.sum("size")).first()[0]
+        if not total:
+            admitted.append(_walk(grouped))
+            break
+        grouped = cut_lineage(lookup(grouped, large, "component", "of"))
+        admitted.append(_walk(grouped.where("size IS NULL")).select("seq"))
+        rest = grouped.where("size IS NOT NULL").select("component", "seq", "k1", "k2")
+        share = scan_rows / total
+        # The bound is met up to a quarter of scan_rows.
+        last = rest.agg(F.percentile_approx("seq", share, int(max(10_000, 4 / share)))).first()[0]
+        first = cut_lineage(_walk(rest.where(F.col("seq") <= last)))
+        rest = _unrivalled(rest.where(F.col("seq") > last).select("seq", "k1", "k2"), first)
+        rest = cut_lineage(rest)
+        ahead = _first_or_free(rest, "k1").join(_first_or_free(rest, "k2"), "seq")
+        ahead = cut_lineage(ahead.select("seq", "k1", "k2"))
+        admitted += [first.select("seq"), ahead.select("seq")]
+        left = rest.join(ahead.select("seq"), "seq", "left_anti")
+        open_rows = cut_lineage(_unrivalled(left, ahead))
+    taken = reduce(DataFrame.unionByName, [a.select("seq") for a in admitted])
+    return candidates.join(taken, F.col(order).cast("long") == F.col("seq"), "left_semi")
+
+
+def _unrivalled(rows: DataFrame, taken: DataFrame) -> DataFrame:
+    return _without(_without(rows, "k1", taken.select("k1")), "k2", taken.select("k2"))
+
+
+def _with_group(rows: DataFrame) -> DataFrame:
+    """Rows with the group of rivals they are in; null where a row has none.
+
+    Each row is linked to the first row of its email and to that of its secret: as many links
+    as keys, however many rows share one.
+    """
+    links = None
+    for key in ("k1", "k2"):
+        held = rows.where(F.col(key).isNotNull()).select("seq", key)
+        first = held.groupBy(key).agg(F.min("seq").alias("first"), F.count("*").alias("n"))
+        shared = first.where("n > 1").select(F.col(key).alias("of"), "first")
+        own = lookup(held, shared, key, "of", "inner").select(
+            F.col("seq").alias("a"), F.col("first").alias("b")
+        )
+        links = own if links is None else links.union(own)
+    found = components(links).toDF("node", "component")
+    return rows.join(found, F.col("seq") == F.col("node"), "left").drop("node")
+
+
+def _walk(grouped: DataFrame) -> DataFrame:
+    """``(seq, k1, k2)`` of the admitted rows of whole groups, and of all rows without one."""
+    free = grouped.where("component IS NULL").select("seq", "k1", "k2")
+    rivals = grouped.where("component IS NOT NULL").select("component", "seq", "k1", "k2")
+    ordered = rivals.repartition("component").sortWithinPartitions("component", "seq")
+    return free.union(ordered.mapInArrow(_walked, free.schema))
+
+
+def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    group, taken = None, (set(), set())
+    for batch in batches:
+        kept = []
+        columns = (column.to_pylist() for column in batch.columns)
+        for row, (component, _, *keys) in enumerate(zip(*columns, strict=True)):
+            if component != group:
+                group, taken = component, (set(), set())
+            if any(key in known for key, known in zip(keys, taken, strict=True)):
+                continue
+            kept.append(row)
+            for key, known in zip(keys, taken, strict=True):
+                if key is not None:
+                    known.add(key)
+        yield batch.take(pa.array(kept, pa.int64())).select(["seq", "k1", "k2"])
+
+
+def _without(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    return lookup(rows, keys.toDF("__taken").distinct(), column, "__taken", "left_anti")
 
 
 def _first_or_free(rows: DataFrame, key: str) -> DataFrame:

@@ -82,17 +82,18 @@ def mark_known(
     judged: DataFrame, members: DataFrame, match_rule: str = EXACTLY_ONE
 ) -> DataFrame:
     """Judged sign-ups with the duplicate rule added."""
+    return mark_counted(with_match_counts(judged, members), match_rule)
+
+
+def mark_counted(counted: DataFrame, match_rule: str = EXACTLY_ONE) -> DataFrame:
+    """The same from sign-ups that have the number of members they meet."""
     known = is_duplicate_sql(match_rule)
-    return (
-        with_match_counts(judged, members)
-        .withColumns(
-            {
-                "violations": r.with_taken(known),
-                "accepted": F.expr(f"accepted AND NOT {known}"),
-            }
-        )
-        .drop("n_matches")
-    )
+    return counted.withColumns(
+        {
+            "violations": r.with_taken(known),
+            "accepted": F.expr(f"accepted AND NOT {known}"),
+        }
+    ).drop("n_matches")
 
 
 def judge_contacts(submissions: DataFrame, escape_single_quote: bool = True) -> DataFrame:

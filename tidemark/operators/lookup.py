@@ -7,14 +7,22 @@ from pyspark.sql import functions as F
 
 
 def pair_key(first: str, second: str) -> str:
-    """Two texts as one key; the length keeps different pairs apart."""
+    """Two texts as one key; the length keeps different pairs apart. Null if either is."""
     return f"concat(length({first}), ':', {first}, {second})"
 
 
+def pair_text(first: str, second: str) -> str:
+    """Two texts, null or not, as one key that is never null."""
+    return (
+        f"concat(coalesce(concat(length({first}), ':', {first}), 'n'), "
+        f"coalesce(concat('=', {second}), 'n'))"
+    )
+
+
 def lookup(
     rows: DataFrame, table: DataFrame, key: str, table_key: str, how: str = "left"
 ) -> DataFrame:
-    """Left, semi or anti join of ``rows`` to ``table``, whose keys are unique.
+    """Left, inner, semi or anti join of ``rows`` to ``table``, whose keys are unique.
 
     The keys are SQL expressions; the table's key columns are its own names, and stay.
     Spark splits a hot key only when both join inputs are plain shuffles. A table that

@@ -98,6 +98,17 @@ def snapshot_assets(stamped: DataFrame) -> DataFrame:
     )
 
 
+# Fetches in the order they land: week of the body, hours after the week's start at which it was
+# fetched, and what became of it. The sixth is an old one that comes late.
+FETCHES = (
+    (1, 0, "good"), (1, 24, "refused"), (1, 48, "offline"), (2, 0, "good"), (2, 24, "empty"),
+    (1, 72, "good"), (3, 0, "good"), (3, 24, "missing"), (4, 0, "good"), (5, 0, "broken"),
+)
+# Records of the broken body that are cut off, and assets selected from the first week.
+CUT_SQL = "CAST(id AS BIGINT) % 7 = 0"
+SELECTED_SQL = "CAST(id AS BIGINT) % 3 = 0"
+
+
 # --- identity ---------------------------------------------------------------
 
 EMAIL_SQL = "lower(replace(c_name, '#', '.')) || '@example.com'"
@@ -223,6 +234,33 @@ SIGNUP_SQL = {
         f"ELSE {_SECRET_CASES} END"
     ),
 }
+# Sign-ups that come in waves: everybody tries once, and most try again one or two waves later,
+# some with another email and all with a secret that somebody else gives first.
+WAVES = 4
+_AGAIN_WAVE = "c_custkey % 4 + 1 + c_custkey % 2"
+_AGAIN_SECRET = "'Passw0rd!' || CAST(c_custkey + 8 AS STRING)"
+_AGAIN_SQL = {
+    **SIGNUP_SQL,
+    "email": f"CASE WHEN c_custkey % 5 = 0 THEN 'again.' || CAST(c_custkey AS STRING) "
+    f"|| '@example.com' ELSE {SIGNUP_SQL['email']} END",
+    "spassword": _AGAIN_SECRET,
+    "conpassword": _AGAIN_SECRET,
+}
+
+
+def signup_waves_sql(customer: str = "customer") -> str:
+    """All tries with their wave; later waves have larger ids."""
+
+    def tries(wave: str, fields: dict[str, str]) -> str:
+        listed = ", ".join(f"{sql} AS {name}" for name, sql in fields.items())
+        return (
+            f"SELECT {wave} AS wave, ({wave}) * 1000000000 + c_custkey AS submission_id, {listed} "
+            f"FROM {customer} WHERE {wave} < {WAVES}"
+        )
+
+    return f"{tries('c_custkey % 4', SIGNUP_SQL)} UNION ALL {tries(_AGAIN_WAVE, _AGAIN_SQL)}"
+
+
 KNOWN_EMAIL_SQL = "lower(replace(c_name, '#', '.') || '@example.com')"
 KNOWN_SECRET_SQL = _GOOD_SECRET
 KNOWN_SQL = "c_custkey % 4 = 0"
@@ -256,6 +294,10 @@ def signups(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def signup_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(signup_waves_sql("{customer}"), customer=table(spark, sf_dir, "customer"))
+
+
 def known_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Members that some of the sign-ups collide with."""
     return (
@@ -320,6 +362,10 @@ def as_scroll(events: DataFrame) -> DataFrame:
     )
 
 
+# A pause of more than a day ends a visit.
+VISIT_PAUSE = 86_400
+
+
 def scroll(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as scroll positions, a session per user."""
     return as_scroll(table(spark, sf_dir, "events"))

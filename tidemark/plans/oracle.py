@@ -137,6 +137,43 @@ _SNAPSHOT_ROW = (
 )
 _NEWEST = "SELECT * FROM snapshots WHERE snapshot_ts = (SELECT max(snapshot_ts) FROM snapshots)"
 
+_FETCHES = ", ".join(
+    f"({n}, {week}, {hours}, '{kind}')" for n, (week, hours, kind) in enumerate(c.FETCHES)
+)
+# A fetch is applied if its body can be read and no newer one was applied before it.
+_REFRESHED = f"""{_snapshots('week')}, weeks AS (
+  SELECT snapshot_ts, row_number() OVER (ORDER BY snapshot_ts) AS week
+  FROM (SELECT DISTINCT snapshot_ts FROM snapshots)
+), fetches(n, week, hours, kind) AS (VALUES {_FETCHES}
+), tries AS (
+  SELECT n, kind, snapshot_ts, snapshot_ts + hours * INTERVAL 1 HOUR AS fetched_at
+  FROM fetches JOIN weeks USING (week)
+), readable AS (
+  SELECT *, max(fetched_at) OVER (ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
+  FROM tries WHERE kind IN ('good', 'empty')
+), applied AS (
+  SELECT n, fetched_at, CASE WHEN kind = 'good' THEN snapshot_ts END AS snapshot_ts
+  FROM readable WHERE seen IS NULL OR fetched_at > seen
+), newest AS (SELECT * FROM applied ORDER BY n DESC LIMIT 1
+), shown AS (
+  SELECT snapshots.*, newest.fetched_at FROM newest JOIN snapshots USING (snapshot_ts)
+), versions AS (
+  SELECT id, market_cap, n FROM applied JOIN snapshots USING (snapshot_ts)
+), picked AS (
+  SELECT id, -1 AS n, market_cap FROM snapshots JOIN weeks USING (snapshot_ts)
+  WHERE week = 1 AND {c.SELECTED_SQL}
+), kept AS (
+  SELECT id, arg_max(market_cap, n) AS market_cap FROM (
+    SELECT id, n, market_cap FROM picked
+    UNION ALL SELECT id, n, market_cap FROM versions WHERE id IN (SELECT id FROM picked)
+  ) GROUP BY id
+), unreadable AS (
+  SELECT count(*) AS n FROM tries JOIN snapshots USING (snapshot_ts)
+  WHERE kind = 'broken' AND {c.CUT_SQL}
+), sizes AS (SELECT snapshot_ts, count(*) AS n_assets FROM snapshots GROUP BY snapshot_ts
+), kpi AS ({_kpis('shown').replace('totals AS (', 'WITH totals AS (', 1)})"""
+_NO_TIME, _NO_TEXT = "CAST(NULL AS TIMESTAMP)", "CAST(NULL AS VARCHAR)"
+
 # --- cleansing and rules ----------------------------------------------------
 
 _FORM_BLANKS = "' ' || chr(9) || chr(10) || chr(13) || chr(0) || chr(11)"
@@ -229,8 +266,12 @@ def _signup_cases(strict: bool) -> list[tuple[str, str, str, str]]:
     ]
 
 
-def _signups(strict: bool = False, match: str = "= 1") -> str:
-    raw = ", ".join(f"{sql} AS {name}" for name, sql in c.SIGNUP_SQL.items())
+_ONE_EACH = "SELECT c_custkey AS submission_id, " + ", ".join(
+    f"{sql} AS {name}" for name, sql in c.SIGNUP_SQL.items()
+) + " FROM customer"
+
+
+def _signups(strict: bool = False, match: str = "= 1", raw: str = _ONE_EACH) -> str:
     clean = []
     for name in c.SIGNUP_SQL:
         text = _or_blank(name)
@@ -243,7 +284,7 @@ def _signups(strict: bool = False, match: str = "= 1") -> str:
     return f"""known AS (
   SELECT {c.KNOWN_EMAIL_SQL} AS k_email, sha256({c.KNOWN_SECRET_SQL}) AS k_secret
   FROM customer WHERE {c.KNOWN_SQL}
-), raw AS (SELECT c_custkey AS submission_id, {raw} FROM customer
+), raw AS ({raw}
 ), clean AS (SELECT *, {', '.join(clean)}, {unslashed('spassword')} AS x_secret FROM raw
 ), matched AS (
   SELECT *, (SELECT count(*) FROM known WHERE k_email = c_email
@@ -358,6 +399,26 @@ _CONTACTED = {
     for name in ("contact_accepted", "stream_contact")
 }
 
+_AUDIT = f"""WITH {IDENTITY}, {ATTEMPTS}, admins AS (
+  SELECT {c.ADMIN_EMAIL_SQL} AS a_email, sha256({c.ADMIN_SECRET_SQL}) AS a_secret FROM supplier
+) SELECT attempt_id, CASE
+  WHEN EXISTS (SELECT 1 FROM members WHERE m_email = lower(email) AND m_secret = sha256(pass))
+    THEN 'member'
+  WHEN EXISTS (SELECT 1 FROM admins WHERE a_email = lower(email) AND a_secret = sha256(pass))
+    THEN 'admin' ELSE 'denied' END AS outcome FROM attempts"""
+_AUDITED = dict.fromkeys(("login_audit", "login_audit_files"), _AUDIT)
+
+# One after another, with the emails and secrets taken so far.
+_WALK = """walk AS (
+  SELECT CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS candidate_id, false AS taken,
+         CAST([] AS VARCHAR[]) AS es, CAST([] AS VARCHAR[]) AS ss
+  UNION ALL
+  SELECT queue.n, queue.candidate_id, NOT (list_contains(es, e) OR list_contains(ss, s)),
+         CASE WHEN list_contains(es, e) OR list_contains(ss, s) THEN es ELSE list_append(es, e) END,
+         CASE WHEN list_contains(es, e) OR list_contains(ss, s) THEN ss ELSE list_append(ss, s) END
+  FROM walk JOIN queue ON queue.n = walk.n + 1
+)"""
+
 ORACLE: dict[str, str] = {
     "market_kpis": f"WITH {ASSETS}, {_kpis('assets')}",
     "market_json_source": f"WITH {ASSETS}, {_kpis('assets')}",
@@ -452,22 +513,14 @@ FROM counted""",
     "admit_in_order": f"""WITH RECURSIVE queue AS (
   SELECT row_number() OVER (ORDER BY c_custkey) AS n, c_custkey AS candidate_id,
          {c.QUEUE_EMAIL_SQL} AS e, {c.QUEUE_SECRET_SQL} AS s FROM customer
-), walk AS (
-  SELECT CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS candidate_id, false AS taken,
-         CAST([] AS VARCHAR[]) AS es, CAST([] AS VARCHAR[]) AS ss
-  UNION ALL
-  SELECT queue.n, queue.candidate_id, NOT (list_contains(es, e) OR list_contains(ss, s)),
-         CASE WHEN list_contains(es, e) OR list_contains(ss, s) THEN es ELSE list_append(es, e) END,
-         CASE WHEN list_contains(es, e) OR list_contains(ss, s) THEN ss ELSE list_append(ss, s) END
-  FROM walk JOIN queue ON queue.n = walk.n + 1
-) SELECT candidate_id FROM walk WHERE taken""",
-    "login_audit": f"""WITH {IDENTITY}, {ATTEMPTS}, admins AS (
-  SELECT {c.ADMIN_EMAIL_SQL} AS a_email, sha256({c.ADMIN_SECRET_SQL}) AS a_secret FROM supplier
-) SELECT attempt_id, CASE
-  WHEN EXISTS (SELECT 1 FROM members WHERE m_email = lower(email) AND m_secret = sha256(pass))
-    THEN 'member'
-  WHEN EXISTS (SELECT 1 FROM admins WHERE a_email = lower(email) AND a_secret = sha256(pass))
-    THEN 'admin' ELSE 'denied' END AS outcome FROM attempts""",
+), {_WALK} SELECT candidate_id FROM walk WHERE taken""",
+    "stream_signup_waves": f"""WITH RECURSIVE {_signups(match='>= 1', raw=c.signup_waves_sql())},
+queue AS (
+  SELECT row_number() OVER (ORDER BY submission_id) AS n, submission_id AS candidate_id,
+         c_email AS e, sha256(c_conpassword) AS s FROM judged WHERE accepted
+), {_WALK} SELECT {_MEMBER_ROW} FROM judged
+WHERE submission_id IN (SELECT candidate_id FROM walk WHERE taken)""",
+    **_AUDITED,
     "first_per_key": """SELECT o_custkey, o_orderkey, o_totalprice, o_orderpriority FROM (
   SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders
 ) WHERE rn = 1""",
@@ -497,4 +550,26 @@ SELECT event_id, active_section, (SELECT arg_min(href, ord) FROM links
     "stream_latest_snapshot": f"""WITH {_snapshots('week')}
 SELECT id, {_SNAPSHOT_ROW} FROM ({_NEWEST})""",
     "stream_sections": f"WITH {POSITIONS} SELECT event_id, session_id, active_section FROM ({_CARRY})",
+    "stream_visits": f"""WITH {POSITIONS}, marked AS (
+  SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY session_id ORDER BY ts, event_id)
+                     > INTERVAL {c.VISIT_PAUSE} SECONDS, false) AS fresh FROM sectioned
+), visited AS (
+  SELECT *, sum(CAST(fresh AS INT)) OVER (PARTITION BY session_id ORDER BY ts, event_id
+                                          ROWS UNBOUNDED PRECEDING) AS visit FROM marked
+) SELECT event_id, session_id, min(ts) OVER (PARTITION BY session_id, visit) AS visit_start,
+  {_carried('session_id, visit')} AS active_section FROM visited""",
+    "stream_refresh_faults": f"""WITH {_REFRESHED}
+SELECT 'asset' AS kind, id AS key, CAST(market_cap AS DOUBLE) AS amount, fetched_at AS at,
+  {_NO_TEXT} AS text FROM shown
+UNION ALL SELECT 'kpi', gainers_text, cap_total, {_NO_TIME}, cap_text FROM kpi
+UNION ALL SELECT 'selected', id, CAST(market_cap AS DOUBLE), {_NO_TIME}, {_NO_TEXT} FROM kept
+UNION ALL SELECT 'batch', CAST(tries.n AS VARCHAR),
+  CASE WHEN applied.n IS NOT NULL THEN CAST(coalesce(n_assets, 0) AS DOUBLE) END, applied.fetched_at,
+  CASE WHEN applied.n IS NOT NULL THEN 'shown' WHEN kind = 'refused'
+  THEN 'Request failed with status 503.' WHEN kind = 'offline' THEN 'no network'
+  WHEN kind = 'missing' THEN 'Body not found.' WHEN kind = 'broken'
+  THEN (SELECT n FROM unreadable) || ' unreadable records' ELSE 'not newer' END
+  FROM tries LEFT JOIN applied ON tries.n = applied.n
+  LEFT JOIN sizes ON applied.snapshot_ts = sizes.snapshot_ts
+UNION ALL SELECT 'unreadable', 'records', CAST(n AS DOUBLE), {_NO_TIME}, {_NO_TEXT} FROM unreadable""",
 }

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,12 +12,13 @@ from pyspark.sql import functions as F
 from tidemark.functions import cleansing, formatting as fmt, rules
 from tidemark.operators import attribution, identity, intake, market
 from tidemark.plans import carriers as c
-from tidemark.schemas import CONTACT, MARKET, SIGNUP
+from tidemark.schemas import CONTACT, LOGIN, MARKET, SIGNUP
 from tidemark.session import work_dir
 from tidemark.sources import readers, sinks
 from tidemark.streaming.form_intake import ContactIntake, SignupIntake
 from tidemark.streaming.market_refresh import MarketRefresh
 from tidemark.streaming.section_tracking import SectionTracking
+from tidemark.streaming.visits import VisitTracking
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -311,11 +314,24 @@ def admit_in_order(spark, sf):
     return identity.admit_in_order(c.queue(spark, sf)).select("candidate_id")
 
 
+def _audited(spark, sf, attempts):
+    judged = identity.login_outcome(
+        intake.judge_logins(attempts), c.members(spark, sf), c.admins(spark, sf)
+    )
+    return judged.select("attempt_id", "outcome")
+
+
 @query
 def login_audit(spark, sf):
-    attempts = intake.judge_logins(c.attempts(spark, sf))
-    judged = identity.login_outcome(attempts, c.members(spark, sf), c.admins(spark, sf))
-    return judged.select("attempt_id", "outcome")
+    return _audited(spark, sf, c.attempts(spark, sf))
+
+
+@query
+def login_audit_files(spark, sf):
+    """Attempts written as form records and read back under their schema."""
+    path = work_dir(spark, "attempts")
+    c.attempts(spark, sf).write.json(path)
+    return _audited(spark, sf, readers.read_forms(spark, path, LOGIN))
 
 
 @query
@@ -340,7 +356,7 @@ def section_range_join(spark, sf):
 
 @query
 def section_range_join_long(spark, sf):
-    """Against a table of sections, by the grid."""
+    """Against a table of sections, by a sweep."""
     events = c.table(spark, sf, "events").select(
         "event_id", F.expr(c.LONG_SCROLL_SQL).alias("scroll_y")
     )
@@ -447,6 +463,64 @@ def stream_latest_snapshot(spark, sf):
     return job.current().select("id", "current_price", "market_cap", "total_volume")
 
 
+def _land_fetches(spark, sf, root):
+    """The weekly bodies, and the fetches of ``carriers.FETCHES`` one after another."""
+    weekly = c.snapshot_assets(c.stamped_events(spark, sf, "week"))
+    stamps = [r[0] for r in weekly.select("snapshot_ts").distinct().orderBy("snapshot_ts").collect()]
+
+    def rows_of(week):
+        return weekly.filter(F.col("snapshot_ts") == F.lit(stamps[week - 1])).drop("snapshot_ts")
+
+    for n, (week, hours, kind) in enumerate(c.FETCHES):
+        path = f"{root}/bodies/{n}"
+        if kind == "good":
+            rows_of(week).write.json(path)
+        elif kind == "empty":
+            rows_of(week).filter("false").write.json(path)
+        elif kind == "broken":
+            line = F.to_json(F.struct("*"))
+            cut = F.when(F.expr(c.CUT_SQL), F.substring(line, 1, 15)).otherwise(line)
+            rows_of(week).select(cut.alias("value")).write.text(path)
+        fetch = spark.range(1).select(
+            F.lit(n).cast("long").alias("fetch_id"),
+            F.lit(stamps[week - 1] + timedelta(hours=hours)).cast("timestamp").alias("fetched_at"),
+            F.lit(503 if kind == "refused" else 200).alias("status"),
+            F.lit(path).alias("path"),
+            F.lit("no network" if kind == "offline" else None).cast("string").alias("error"),
+        )
+        fetch.coalesce(1).write.mode("append").json(f"{root}/log")
+    return rows_of(1)
+
+
+@query
+def stream_refresh_faults(spark, sf):
+    """Ten fetches, a batch each, of which four are shown: what is shown at the end with its stamp
+    and KPIs, the kept selection, what became of each batch, and unreadable records."""
+    root = work_dir(spark, "faults")
+    first = _land_fetches(spark, sf, root)
+    job = MarketRefresh(spark, f"{root}/market", array_files=False)
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in MARKET.fields
+               if f.name not in first.columns]
+    job.select(first.filter(c.SELECTED_SQL).select("*", *missing))
+    job.start(f"{root}/log", every_seconds=None).awaitTermination()
+
+    def told(rows, kind, key, amount, at="NULL", text="NULL"):
+        return rows.selectExpr(
+            f"'{kind}' AS kind", f"CAST({key} AS STRING) AS key", f"CAST({amount} AS DOUBLE) AS amount",
+            f"CAST({at} AS TIMESTAMP_NTZ) AS at", f"CAST({text} AS STRING) AS text",
+        )
+
+    became = "CASE WHEN good THEN 'shown' ELSE coalesce(error, 'not newer') END"
+    parts = [
+        told(job.current(), "asset", "id", "market_cap", "fetched_at"),
+        told(job.current_kpis(), "kpi", "gainers_text", "cap_total", text="cap_text"),
+        told(job.selected(), "selected", "id", "market_cap"),
+        told(job.status(), "batch", "batch_id", "asset_count", "fetched_at", became),
+        told(job.quarantined().groupBy().count(), "unreadable", "'records'", "count"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def stream_signup(spark, sf):
     root = work_dir(spark, "signups")
@@ -457,6 +531,20 @@ def stream_signup(spark, sf):
     return job.accepted()
 
 
+@query
+def stream_signup_waves(spark, sf):
+    """Sign-ups in four batches, each against those accepted before; every wave restarts the job."""
+    root = work_dir(spark, "waves")
+    waves = c.signup_waves(spark, sf)
+    job = SignupIntake(
+        spark, root, c.known_members(spark, sf), match_rule=identity.ANY, one_by_one=True
+    )
+    for wave in range(c.WAVES):
+        waves.filter(f"wave = {wave}").drop("wave").write.mode("append").json(f"{root}/in")
+        job.start(readers.stream_forms(spark, f"{root}/in", SIGNUP)).awaitTermination()
+    return job.accepted()
+
+
 @query
 def stream_contact(spark, sf):
     root = work_dir(spark, "contacts")
@@ -473,6 +561,29 @@ def stream_sections(spark, sf):
     events = (
         spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     )
-    job = SectionTracking(spark, work_dir(spark, "sections"), c.sections_as_intervals(spark))
+    job = SectionTracking(spark, work_dir(spark, "sections"), c.sections_as_intervals(spark).collect())
     job.start(c.as_scroll(events)).awaitTermination()
     return job.active()
+
+
+@query
+def stream_visits(spark, sf):
+    """A month of scroll events in five weekly batches, sessions parted by pauses of a day."""
+    root = work_dir(spark, "visits")
+    events = c.scroll(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    week = F.date_trunc("week", "ts")
+    for (one,) in events.select(week).distinct().orderBy(week).toLocalIterator():
+        # Each week is two files, and two files are a batch.
+        part = events.filter(week == F.lit(one)).repartition(2)
+        part.write.mode("append").parquet(f"{root}/in")
+    arriving = (
+        spark.readStream.schema(events.schema)
+        .option("maxFilesPerTrigger", 2)
+        .parquet(f"{root}/in")
+    )
+    job = VisitTracking(
+        spark, f"{root}/out", c.sections_as_intervals(spark).collect(), c.VISIT_PAUSE
+    )
+    job.start(arriving).awaitTermination()
+    start = F.col("visit_start").cast("timestamp_ntz").alias("visit_start")
+    return job.active().select("event_id", "session_id", start, "active_section")

@@ -54,3 +54,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Remove a folder of this job's own, wherever Spark can write; a missing one is no error."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.delete(folder, True)

@@ -50,6 +50,11 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
 
+def read_batch(spark: SparkSession, path: str, schema: StructType, batch_id: int) -> DataFrame:
+    """What one batch has written."""
+    return spark.read.schema(schema).parquet(f"{path}/{BATCH}={batch_id}")
+
+
 def read_if_written(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
     """A stored table, or None while its folder does not exist."""
     try:

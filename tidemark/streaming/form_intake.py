@@ -10,16 +10,24 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.functions.rules import FAITHFUL, with_taken
-from tidemark.operators.identity import ANY, EXACTLY_ONE, admit_in_order, members_in_question
-from tidemark.operators.intake import judge_contacts, judge_signups, mark_known
+from tidemark.operators.identity import (
+    ANY,
+    EXACTLY_ONE,
+    admit_in_order,
+    candidate_keys,
+    with_counts,
+)
+from tidemark.operators.intake import judge_contacts, judge_signups, mark_counted
 from tidemark.schemas import CONTACT_PAGE, MEMBER, VIOLATIONS
 from tidemark.sources.sinks import (
     contact_rows,
     member_rows,
+    read_batch,
     read_batches,
     split_outcome,
     write_batch,
 )
+from tidemark.streaming.member_index import MemberIndex
 from tidemark.streaming.triggers import start
 
 REJECT = StructType(
@@ -32,7 +40,8 @@ REJECT = StructType(
 
 @dataclass(frozen=True)
 class SignupIntake:
-    """Sign-ups against the members known so far: a base table plus earlier batches.
+    """Sign-ups against the members known so far: a base table plus earlier batches, both met
+    by their keys only, in a :class:`MemberIndex`.
 
     ``one_by_one`` also settles duplicates inside a batch in submission order, as if
     the records came singly; it needs the ``any`` rule.
@@ -52,17 +61,16 @@ class SignupIntake:
     def start(self, submissions: DataFrame, every_seconds: int | None = None) -> StreamingQuery:
         return start(submissions, self.on_batch, f"{self.root}/_stream", every_seconds)
 
-    def known_members(self, before: int | None = None) -> DataFrame:
-        known = self.accepted(before)
-        if self.base_members is None:
-            return known
-        return self.base_members.select(*MEMBER.names).unionByName(known)
+    @property
+    def index(self) -> MemberIndex:
+        return MemberIndex(self.spark, f"{self.root}/index", self.base_members)
 
     def on_batch(self, submissions: DataFrame, batch_id: int) -> None:
         # The batch is read for its keys and then joined; the judged rows go to two outputs.
         by_rules = judge_signups(submissions, mode=self.mode).persist()
-        asked = members_in_question(by_rules, self.known_members(batch_id))
-        judged = mark_known(by_rules, asked, self.match_rule).persist()
+        self.index.open(batch_id)
+        known = self.index.counts(batch_id, candidate_keys(by_rules))
+        judged = mark_counted(with_counts(by_rules, known), self.match_rule).persist()
         try:
             accepted, rejected = split_outcome(judged)
             if self.one_by_one:
@@ -74,14 +82,14 @@ class SignupIntake:
                 accepted = admitted
             write_batch(member_rows(accepted), f"{self.root}/accepted", batch_id)
             write_batch(rejected.select(*REJECT.names), f"{self.root}/rejected", batch_id)
+            # Last, and from what was written: an index never knows more than the table.
+            self.index.add(read_batch(self.spark, f"{self.root}/accepted", MEMBER, batch_id), batch_id)
         finally:
             judged.unpersist()
             by_rules.unpersist()
 
-    def accepted(self, before: int | None = None) -> DataFrame:
-        return read_batches(self.spark, f"{self.root}/accepted", MEMBER, before).select(
-            *MEMBER.names
-        )
+    def accepted(self) -> DataFrame:
+        return read_batches(self.spark, f"{self.root}/accepted", MEMBER).select(*MEMBER.names)
 
     def rejected(self) -> DataFrame:
         """Rejected ids with their violations; no secret, not even as a digest."""

@@ -12,10 +12,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from tidemark.operators.attribution import carry_section, with_section
-from tidemark.sources.sinks import BATCH, read_batches, write_batch
+from tidemark.operators.attribution import (
+    carry_section,
+    disjoint_pieces,
+    section_from_pieces,
+    with_section,
+)
+from tidemark.sources.sinks import BATCH, read_batches, read_if_written, write_batch
 from tidemark.streaming.triggers import start
 
 ACTIVE = StructType(
@@ -32,6 +37,13 @@ ENDED = StructType(
     ]
 )
 
+PIECES = StructType(
+    [
+        StructField("at", DoubleType(), True),
+        StructField("section_id", StringType(), True),
+    ]
+)
+
 # Every so many batches the state of all sessions is written again, so that a batch
 # never has to read more than this many state folders.
 FULL_STATE_EVERY = 20
@@ -41,7 +53,7 @@ FULL_STATE_EVERY = 20
 class SectionTracking:
     spark: SparkSession
     root: str
-    sections: DataFrame
+    sections: DataFrame | list
     full_state_every: int = FULL_STATE_EVERY
 
     def start(self, events: DataFrame, every_seconds: int | None = None) -> StreamingQuery:
@@ -51,7 +63,7 @@ class SectionTracking:
     def on_batch(self, events: DataFrame, batch_id: int) -> None:
         state = self.ended(before=batch_id)
         # Read for the sessions touched, their last sections and the active rows.
-        seen = with_section(events, self.sections).persist()
+        seen = self._placed(events).persist()
         placed = F.when(F.col("section_id").isNotNull(), F.struct("ts", "event_id"))
         touched = seen.groupBy("session_id").agg(F.max_by("section_id", placed).alias("ended_in"))
         try:
@@ -73,6 +85,17 @@ class SectionTracking:
         finally:
             seen.unpersist()
 
+    def _placed(self, events: DataFrame) -> DataFrame:
+        """Events with their section; a table of sections is swept once, for all batches."""
+        if not isinstance(self.sections, DataFrame):
+            return with_section(events, self.sections)
+        path = f"{self.root}/pieces"
+        pieces = read_if_written(self.spark, path, PIECES)
+        if pieces is None:
+            disjoint_pieces(self.sections).write.parquet(path)
+            pieces = self.spark.read.schema(PIECES).parquet(path)
+        return section_from_pieces(events, pieces)
+
     def ended(self, before: int | None = None) -> DataFrame:
         """Section each session ended in: newest row since the last full state."""
         rows = read_batches(self.spark, f"{self.root}/ended", ENDED, before)
