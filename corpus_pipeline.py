@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import without_overlaps
-from tidemark.llm.jaccard_join import similar_documents
+from tidemark.llm.jaccard_join import first_of_groups
 from tidemark.llm.packing import pack
 from tidemark.llm.quality import kept
 from tidemark.llm.sanitise import sanitised
@@ -19,10 +18,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each component; rows with a null id have no other."""
-    known = similar_documents(docs)
-    spare = known.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(spare, "doc_id", "left_anti").select(docs.columns)
+    """The document of the smallest id of each component; one without an id only where no other is."""
+    return first_of_groups(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import no_docs, odd_docs, words
 from tidemark.llm import jaccard_join as join
@@ -61,13 +62,35 @@ def test_components_equal_brute_force(spark, monkeypatch, paired):
 
 def test_odd_rows(spark):
     found = join.similar_documents(odd_docs(spark)).collect()
-    assert sorted((r.doc_id, r.n_shingles > 0) for r in found) == [
-        (1, False), (2, False), (3, False), (4, True), (4, True), (5, True), (6, True)
+    assert sorted((r.doc_id or 0, r.n_shingles > 0) for r in found) == [
+        (0, True), (1, False), (2, False), (3, False), (4, True), (4, True), (5, True), (6, True)
     ]
     assert all(r.component_id == r.doc_id for r in found)
     assert join.similar_documents(no_docs(spark)).count() == 0
 
 
+def test_repeated_and_missing_ids(spark):
+    """Rows of one id are documents of their own, as are rows without one."""
+    first, second = (" ".join(f"{k}{i}" for i in range(40)) for k in "ab")
+    other = " ".join(f"c{i}" for i in range(40))
+    rows = [(1, first), (1, second), (2, first + " x"), (3, second + " y"), (None, other), (None, other + " z"),
+            (None, second + " v"), (None, None), (9, "  "), (None, "alone here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sorted(map(tuple, join.similar_documents(docs).collect()), key=repr)
+    expected = [(1, 36, 1), (1, 36, 1), (2, 37, 1), (3, 37, 1), (9, 0, 9), (None, 0, None), (None, 1, None),
+                (None, 36, None), (None, 37, 1), (None, 37, None)]
+    assert found == sorted(expected, key=repr)
+    kept = join.first_of_groups(docs.withColumn("__n", F.lit("own")))
+    assert kept.columns == ["doc_id", "text", "__n"]
+    texts = sorted(r.text or "" for r in kept.collect())
+    assert len(texts) == 6 and {"", "  ", "alone here"} <= set(texts)
+    assert len({first, second} & set(texts)) == 2 and len({other, other + " z"} & set(texts)) == 1
+    again = docs.union(docs)
+    assert sorted(r.text or "" for r in join.first_of_groups(again).collect()) == sorted(
+        [*texts, "", "  "]
+    )
+
+
 def test_linked_sets_share_a_signature():
     rng = np.random.default_rng(1)
     sketch = np.zeros(join.SKETCH, np.int64)

@@ -11,9 +11,12 @@ passages get no signature where the rest of the set suffices. Small sets, which
 in one member, are indexed whole with their one-deletion neighbourhoods. A band that holds a
 set with too few filled segments is cut into segments of single shingles.
 
-Candidates are verified exactly. A signature of many sets is not turned into all its pairs:
+Equal sets are one set, named by a 64-bit hash of its shingles, which are 64-bit hashes
+themselves. Candidates are verified exactly. A signature of many sets is not turned into all its pairs:
 its sets are held against a few centres; a centre that has met all sets of its signature
-leaves it, and the rounds go on until what is left of each signature is one component.
+leaves it, and the rounds go on until what is left of each signature is one component. Where
+many copies of one text differ from each other by about as much as is allowed, most meetings are
+settled by bitmaps, and only those that may be links read the sets.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +38,7 @@ from tidemark.llm.text import (
     mix,
     packed,
     passes,
+    set_aside,
     shingles,
     signed,
     slices,
@@ -53,10 +58,12 @@ CENTRES = 32
 SMALL = 9
 
 #: Columns of a bitmap of a set's shingles: a bit that only one of two sets has is a difference.
-MARKS = tuple(f"m{k}" for k in range(8))
+MARKS = tuple(f"m{k}" for k in range(16))
+#: Names of sets that a task remembers as indexed.
+SEEN = 300_000
 
 INFO = (
-    "doc_id long, n long, f1 long, f2 long, thin array<int>, marks array<long>, "
+    "doc_id long, print long, n long, name long, thin array<int>, marks array<long>, "
     "chunk int, counts binary"
 )
 
@@ -104,12 +111,9 @@ def signatures(tokens: np.ndarray, sketch: np.ndarray, fine: frozenset[int]) ->
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
-def prints(tokens: np.ndarray) -> tuple[int, int]:
-    """128-bit fingerprint of a set."""
-    data = mix(tokens)
-    return int(data.sum(dtype=np.uint64).astype(np.int64)), int(
-        mix(data + np.uint64(0x51ED270B)).sum(dtype=np.uint64).astype(np.int64)
-    )
+def name_of(tokens: np.ndarray) -> int:
+    """Name of a set: a 64-bit hash of its sorted tokens."""
+    return xxhash.xxh64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
 def marks(tokens: np.ndarray) -> np.ndarray:
@@ -132,13 +136,17 @@ def may_link(a: str, b: str) -> str:
 def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each document, and the task's part of the sketch."""
     known, counts = WordHashes(), np.zeros(SKETCH, np.uint32)
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64())]
-        + [("thin", pa.list_(pa.int32())), ("marks", pa.list_(pa.int64())), ("chunk", pa.int32()), ("counts", pa.binary())]
-    )
+    kinds = [pa.int64()] * 4 + [pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int32(), pa.binary()]
+    names = [field.split()[0] for field in INFO.split(", ")]
+
+    def rows_of(columns):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names
+        )
+
     for part in slices(batches):
         rows = []
-        for doc, text in zip(part[0].to_pylist(), part[1].to_pylist(), strict=True):
+        for doc, own, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
             tokens = shingles(word_hashes(text, known))
             np.add.at(counts, tokens & np.uint64(SKETCH - 1), np.uint32(1))
             thin = [
@@ -146,19 +154,12 @@ def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for band, needed in bands_of(len(tokens))
                 if len(segments(tokens, band, False)) < needed
             ]
-            first, second = prints(tokens) if len(tokens) else (None, None)
-            rows.append((doc, len(tokens), first, second, thin, marks(tokens), None, None))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)],
-            schema=schema,
-        )
+            name = name_of(tokens) if len(tokens) else None
+            rows.append((doc, own, len(tokens), name, thin, marks(tokens), None, None))
+        yield rows_of(zip(*rows, strict=True))
     if counts.any():
-        parts = [packed(x) for x in np.split(counts, CHUNKS)]
         none = [None] * CHUNKS
-        columns = [none, none, none, none, none, none, list(range(CHUNKS)), parts]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
-        )
+        yield rows_of([*[none] * 6, list(range(CHUNKS)), [packed(x) for x in np.split(counts, CHUNKS)]])
 
 
 def sketch_of(info: DataFrame) -> np.ndarray:
@@ -170,24 +171,26 @@ def sketch_of(info: DataFrame) -> np.ndarray:
 
 
 def indexer(sketch, fine: frozenset[int]):
-    """Rows (sig, doc); of equal sets in a task only the first is indexed."""
+    """Rows (sig, name); of equal sets in a task mostly only the first is indexed."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts, seen = WordHashes(), sketch.value, set()
         for part in slices(batches):
             found, owners = [], []
-            for doc, text in zip(part[0].to_pylist(), part[1].to_pylist(), strict=True):
+            for text in part[0].to_pylist():
                 tokens = shingles(word_hashes(text, known))
-                if len(tokens) < 4 or (own := prints(tokens)) in seen:
+                if len(tokens) < 4 or (own := name_of(tokens)) in seen:
                     continue
+                if len(seen) >= SEEN:
+                    seen.clear()
                 seen.add(own)
                 found.append(signatures(tokens, counts, fine))
-                owners.append(doc)
+                owners.append(own)
             if found:
                 sizes = [len(x) for x in found]
                 docs = pa.array(np.repeat(np.array(owners, np.int64), sizes))
                 yield pa.RecordBatch.from_arrays(
-                    [signed(np.concatenate(found)), docs], names=["sig", "doc"]
+                    [signed(np.concatenate(found)), docs], names=["sig", "name"]
                 )
 
     return work
@@ -235,19 +238,21 @@ def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield cells(out)
 
 
-def set_reader(bits):
-    """Rows (rep, tokens) of the documents whose filter bit is set."""
+def set_reader(bits, unnamed: bool):
+    """Rows (name, tokens) of the documents whose filter bit is set, or that have no id."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, marks = WordHashes(), bits.value
         for part in slices(batches, 100):
-            keep = np.flatnonzero(passes(marks, part[2].to_numpy()))
-            some = part.take(pa.array(keep))
-            sets = [shingles(word_hashes(x, known)).tobytes() for x in some[1].to_pylist()]
+            at = part[1].fill_null(0).to_numpy()
+            null = np.array(part[1].is_null())
+            some = part.take(pa.array(np.flatnonzero(np.where(null, unnamed, passes(marks, at)))))
+            sets = [shingles(word_hashes(x, known)) for x in some[0].to_pylist()]
+            sets = [x for x in sets if len(x)]
             if sets:
-                yield pa.RecordBatch.from_arrays(
-                    [some[0], pa.array(sets, pa.binary())], names=["rep", "tokens"]
-                )
+                columns = [pa.array(map(name_of, sets), pa.int64())]
+                columns.append(pa.array([x.tobytes() for x in sets], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=["name", "tokens"])
 
     return work
 
@@ -271,82 +276,121 @@ def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The linked pairs among ``pairs (a, b)``; a hot end is split by the engine's skew join."""
     both = pairs.join(
-        sets.select(F.col("rep").alias("a"), F.col("tokens").alias("ta")), "a"
-    ).join(sets.select(F.col("rep").alias("b"), F.col("tokens").alias("tb")), "b")
+        sets.select(F.col("name").alias("a"), F.col("tokens").alias("ta")), "a"
+    ).join(sets.select(F.col("name").alias("b"), F.col("tokens").alias("tb")), "b")
     return map_arrow(both, verify, "a long, b long")
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` for each document.
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, print, n_shingles, name, component, low)`` for each row of ``docs``.
 
-    Shingles are five ASCII-lowered words, a shorter text is one shingle; documents with a
-    Jaccard similarity of 0.8 or more are linked, and a component is named by its smallest id.
-    Null or blank texts have no shingle and stay alone. Rows with a null id are left out;
-    a repeated id counts as one document per row. Other columns are ignored. No rows in, none out.
+    ``print`` is ``xxhash64`` of the text, ``name`` that of its set (null without words),
+    ``component`` the smallest name and ``low`` the smallest id of all that it is linked to.
     """
     spark = docs.sparkSession
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    source = source.where("doc_id is not null")
-    info = written(map_arrow(source, measure, INFO), "sets")
-    fine = frozenset(
-        r[0]
-        for r in info.where("chunk is null")
-        .select(F.explode("thin").alias("band"))
-        .distinct()
-        .collect()
+    text = F.col(text_col)
+    source = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("print"), text.alias("text")
     )
+    info = written(map_arrow(source, measure, INFO), "sets")
+    rows = info.where("chunk is null").select("doc_id", "print", "n", "name", "thin", "marks")
+    bands = rows.select(F.explode("thin").alias("band")).distinct().collect()
+    fine = frozenset(r[0] for r in bands)
     known = [F.col("marks")[k].alias(m) for k, m in enumerate(MARKS)]
-    rows = info.where("chunk is null").select("doc_id", "n", "f1", "f2", *known)
-    first = rows.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"))
-    reps = written(
-        rows.where("n > 0").join(first, ["f1", "f2", "n"]).select("doc_id", "n", "rep", *MARKS), "reps"
+    of = written(
+        rows.where("n > 0")
+        .groupBy("name")
+        .agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("marks").alias("marks"))
+        .select("name", "low", "n", *known),
+        "named",
     )
     sketch = spark.sparkContext.broadcast(sketch_of(info))
-    index = map_arrow(source, indexer(sketch, fine), "sig long, doc long")
+    index = map_arrow(source.select("text"), indexer(sketch, fine), "sig long, name long")
     found = written(
         map_arrow(
-            index.repartition("sig").sortWithinPartitions("sig", "doc"),
+            index.repartition("sig").sortWithinPartitions("sig", "name"),
             runs,
             "sig long, a long, b long",
         ),
         "candidates",
     )
     pairs = found.where("sig is null").select("a", "b").distinct()
-    members = found.where("sig is not null").select("sig", F.col("a").alias("doc")).distinct()
-    of = reps.select(F.col("doc_id").alias("doc"), "rep", "n", *MARKS)
-    pairs = (
-        pairs.join(of.alias("x"), F.expr("a = x.doc"))
-        .join(of.alias("y"), F.expr(f"b = y.doc and x.rep != y.rep and {may_link('x', 'y')}"))
-        .selectExpr("least(x.rep, y.rep) as a", "greatest(x.rep, y.rep) as b")
-        .distinct()
+    members = found.where("sig is not null").select("sig", F.col("a").alias("name")).distinct()
+    pairs = written(
+        pairs.join(of.alias("x"), F.expr("a = x.name"))
+        .join(of.alias("y"), F.expr(f"b = y.name and {may_link('x', 'y')}"))
+        .select("a", "b"),
+        "pairs",
     )
-    pairs = written(pairs, "pairs")
-    members = members.join(of, "doc").select("sig", "rep", "n", *MARKS).distinct()
-    members = written(members, "members")
-    wanted = pairs.selectExpr("a as rep").union(pairs.selectExpr("b as rep"))
-    wanted = wanted.union(members.select("rep")).distinct()
-    bits = spark.sparkContext.broadcast(id_filter(wanted, "rep"))
+    members = written(members.join(of.drop("low"), "name").select("sig", "name", "n", *MARKS), "members")
+    wanted = pairs.selectExpr("a as name").union(pairs.selectExpr("b as name"))
+    wanted = wanted.union(members.select("name")).distinct().join(of.select("name", "low"), "name")
+    wanted = written(wanted, "wanted")
+    bits = spark.sparkContext.broadcast(id_filter(wanted.where("low is not null"), "low"))
+    reader = set_reader(bits, not wanted.where("low is null").isEmpty())
     sets = written(
         map_arrow(
-            source.select("doc_id", "text", id_bit("doc_id").alias("bit")),
-            set_reader(bits),
-            "rep long, tokens binary",
-        ).dropDuplicates(["rep"]),
+            source.select("text", F.when(F.col("doc_id").isNotNull(), id_bit("doc_id")).alias("bit")),
+            reader,
+            "name long, tokens binary",
+        ).dropDuplicates(["name"]),
         "tokens",
     )
     links = written(verified(pairs, sets), "links")
     links = centred(members, sets, links)
-    labels = components(links)
-    named = reps.join(
-        labels.select(F.col("node").alias("rep"), "component"), "rep", "left"
-    ).select("doc_id", F.coalesce("component", "rep").alias("component_id"))
-    return (
-        rows.select("doc_id", F.col("n").alias("n_shingles"))
-        .join(named.distinct(), "doc_id", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    labels = components(links).withColumnRenamed("node", "name")
+    sets = of.select("name", "low").join(labels, "name", "left")
+    sets = sets.withColumn("component", F.coalesce("component", "name"))
+    lows = sets.groupBy("component").agg(F.min("low").alias("low"))
+    sets = written(sets.drop("low").join(lows, "component").select("name", "component", "low"), "groups")
+    return rows.select("doc_id", "print", F.col("n").alias("n_shingles"), "name").join(
+        sets, "name", "left"
     )
 
 
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, n_shingles, component_id)`` for each document.
+
+    Shingles are five ASCII-lowered words, a shorter text is one shingle; documents with a
+    Jaccard similarity of 0.8 or more are linked, and a component is named by its smallest id.
+    Null or blank texts have no shingle and stay alone. A row with a null id is linked like any
+    other and named by the smallest id of its component, null if there is none; rows of a
+    repeated id are a document each. Other columns are ignored. No rows in, none out.
+    """
+    return grouped(docs, id_col, text_col).select(
+        "doc_id", "n_shingles", F.coalesce("low", "doc_id").alias("component_id")
+    )
+
+
+def first_of_groups(docs: DataFrame) -> DataFrame:
+    """``docs`` without those that are linked, over any number of links, to one that stays.
+
+    Of a group the smallest id stays (null ids last, then the smaller hash of the text), and of
+    rows alike in both one. Texts without words all stay.
+    """
+    found = grouped(docs).where("name is not null")
+    rows = found.groupBy("component", "doc_id", "print").agg(F.count(F.lit(1)).alias("n"))
+    order = F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), "print", "n")
+    best = rows.groupBy("component").agg(F.min(order).alias("best")).select("best.*")
+    best = best.toDF("none", "id", "__kept", "__n")
+    kept = written(
+        best.select(F.when(~F.col("none"), F.col("id")).alias("__id"), "__kept", "__n"), "kept"
+    )
+    own, columns = set_aside(docs, "__print", "__id", "__kept", "__n")
+    own = own.withColumn("__print", F.xxhash64("text"))
+    blank = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    same = (F.col("__print") == F.col("__kept")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
+
+    def those(of: DataFrame) -> DataFrame:
+        return own.where(~blank).join(of, same, "left_semi")
+
+    stays = those(kept.where("__n = 1"))
+    repeated = kept.where("__n > 1")
+    if not repeated.isEmpty():
+        stays = stays.union(those(repeated).dropDuplicates(["doc_id", "__print"]))
+    return stays.union(own.where(blank)).select(columns)
+
+
 def centred(members: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
     """Links within large signature groups, until each group is one component.
 
@@ -354,11 +398,11 @@ def centred(members: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
     sets share their centre too; later ones are the sets of the group's smallest components.
     A centre meets all sets of other components of a fitting size, and leaves the group.
     """
-    centres, order_by = 1, ["rep"]
+    centres, order_by = 1, ["name"]
     while True:
-        labels = components(links).select(F.col("node").alias("rep"), "component")
-        named = members.join(labels, "rep", "left").select(
-            "sig", "rep", "n", *MARKS, F.coalesce("component", "rep").alias("comp")
+        labels = components(links).select(F.col("node").alias("name"), "component")
+        named = members.join(labels, "name", "left").select(
+            "sig", "name", "n", *MARKS, F.coalesce("component", "name").alias("comp")
         )
         spread = named.groupBy("sig").agg(
             F.min("comp").alias("low"), F.max("comp").alias("high")
@@ -378,9 +422,9 @@ def centred(members: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
         chosen = written(chosen, "centres")
         meet = f"x.sig = y.sig and x.comp != y.comp and {may_link('x', 'y')}"
         pairs = members.alias("x").join(chosen.alias("y"), F.expr(meet))
-        pairs = pairs.selectExpr("least(x.rep, y.rep) as a", "greatest(x.rep, y.rep) as b")
+        pairs = pairs.selectExpr("least(x.name, y.name) as a", "greatest(x.name, y.name) as b")
         links = written(links.union(verified(pairs.distinct(), sets)), "links")
-        members = members.drop("comp").join(chosen.select("sig", "rep"), ["sig", "rep"], "left_anti")
+        members = members.drop("comp").join(chosen.select("sig", "name"), ["sig", "name"], "left_anti")
         members = written(members, "members")
         centres = CENTRES * centres
-        order_by = ["size", "comp", "rep"]
+        order_by = ["size", "comp", "name"]
