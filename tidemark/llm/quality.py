@@ -1,8 +1,8 @@
 """Quality classifier from weak labels.
 
-Heuristic labellers call a document bad, good, or say nothing; given labels are one more
+Heuristic labellers accuse a document, find nothing, or do not look; given labels are one more
 labeller. Expectation-maximisation over the counts of vote patterns estimates how often each
-labeller says what of good and of bad documents, without trusting any of them. The posterior
+labeller accuses good documents and each kind of bad ones, without trusting any of them. The posterior
 of a document's pattern is its soft label, and a bounded sample of all documents that got a vote,
 labelled or not, with their soft labels trains a sparse logistic scorer over hashed words, word beginnings and style rates,
 which then judges every document.
@@ -25,12 +25,15 @@ from tidemark.llm.text import map_arrow, set_aside, slices, written
 SAMPLE = 2500
 #: Posterior or score from which a document counts as bad.
 BAD = 0.5
-#: Words that insult: a labeller's list, fixed values.
+#: Words that insult: an example list for a labeller, fixed values. Without it, insults are learned
+#: from given labels only.
 INSULTS = frozenset(
     b"trash pathetic idiot worthless disgusting stupid clown scum loser moron".split()
 )
 LABELLERS = ("shout", "table", "symbols", "repeats", "sameness", "insults", "given")
 ABSTAIN, GOOD, WRONG = 0, 1, 2
+#: Share of its estimated accusations of good documents that a labeller is held to.
+PRESUMED = 0.9
 BITS = 21
 STYLES = 6
 WORDS_KEPT = 300_000
@@ -108,28 +111,51 @@ def vote_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> np.ndarray:
     """Posterior of being bad for each vote pattern, by expectation-maximisation.
 
-    For each labeller it learns how often its votes call good and bad documents bad; silence
-    says nothing, and no labeller is held to be worse than chance. What no labeller calls bad
-    is not.
+    There is one kind of good documents and a kind of bad ones for each heuristic labeller, and
+    one more for those that only given labels call bad: junk of one kind is not looked for by the
+    labellers of another, so their finding nothing must not clear it. For each kind it learns
+    how often each labeller accuses what it has looked at; none is held to accuse a bad kind
+    less often than the good one. Counts alone can't tell whether an accuser whom no other ever
+    joins is right; it is presumed to be, and given labels outweigh that. They are observed, not
+    estimated. What nobody calls bad is not.
     """
     cast = np.stack([(patterns >> 2 * k) & 3 for k in range(len(LABELLERS))], axis=1)
-    accused = (cast == WRONG).any(axis=1)
-    bad = np.where(accused, 0.9, 0.1)
+    given, cast = cast[:, -1], cast[:, :-1]
+    hit, looked = cast == WRONG, cast != ABSTAIN
+    accused = hit.any(axis=1)
+    unjudged = ~accused & (given == ABSTAIN)
+    bad_kinds = hit.shape[1] + 1
+
+    def observed(share: np.ndarray) -> np.ndarray:
+        share = share.copy()
+        share[given == WRONG, 0] = 0
+        share[given == GOOD, 1:] = 0
+        share /= np.maximum(share.sum(axis=1, keepdims=True), 1e-300)
+        bad = 1 - share[:, 0]
+        over = unjudged & (bad > 0.1)
+        share[over, 1:] *= (0.1 / np.maximum(bad[over], 1e-300))[:, None]
+        share[over, 0] = 0.9
+        return share
+
+    share = np.full((len(patterns), 1 + bad_kinds), 0.1 / bad_kinds)
+    share[:, 0] = np.where(accused, 0.1, 0.9)
+    share[accused, 1:] = 0
+    share[accused, 1:-1] = 0.9 * hit[accused] / hit[accused].sum(axis=1, keepdims=True)
+    share = observed(share)
     for _ in range(rounds):
-        weights = np.stack([(1 - bad) * counts, bad * counts])
-        log = np.log(weights.sum(axis=1) + 1)[:, None].repeat(len(patterns), axis=1)
-        for k in range(len(LABELLERS)):
-            said = np.stack([np.bincount(cast[:, k], w, minlength=3) for w in weights])
-            rate = (said[:, WRONG] + 0.1) / (said[:, GOOD] + said[:, WRONG] + 0.2)
-            if rate[1] < rate[0]:
-                rate[:] = rate.mean()
-            log += np.log(np.stack([np.ones(2), 1 - rate, rate], axis=1))[:, cast[:, k]]
-        new = 1 / (1 + np.exp(np.clip(log[0] - log[1], -500, 500)))
-        new = np.where(accused, new, np.minimum(new, 0.1))
-        if np.abs(new - bad).max(initial=0) < 1e-9:
+        weight = share * counts[:, None]
+        rate = (weight.T @ hit + 0.1) / (weight.T @ looked + 0.2)
+        rate[0] = (PRESUMED * weight[:, 0] @ hit + 1e-3) / (weight[:, 0] @ looked + 1)
+        rate[1:] = np.maximum(rate[1:], rate[0])
+        log = np.log(weight.sum(axis=0) + 0.1)
+        log = log + hit @ np.log(rate).T + (looked & ~hit) @ np.log(1 - rate).T
+        new = np.exp(log - log.max(axis=1, keepdims=True))
+        new = observed(new / new.sum(axis=1, keepdims=True))
+        done = np.abs(new - share).max(initial=0) < 1e-9
+        share = new
+        if done:
             break
-        bad = new
-    return bad
+    return 1 - share[:, 0]
 
 
 def features(text: str | None, words: WordFeatures, kinds: WordKinds):
@@ -244,7 +270,9 @@ def fit(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE):
     chosen = soft.where(F.col("bad") >= BAD).orderBy(*order).limit(sample)
     chosen = chosen.union(soft.where(F.col("bad") < BAD).orderBy(*order).limit(sample))
     chosen = chosen.groupBy("doc_id").agg(F.max("bad").alias("bad"))
-    texts = source.join(F.broadcast(chosen), "doc_id").select("bad", "text")
+    # Of a repeated id one text is enough.
+    texts = source.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    texts = texts.select("bad", "text")
     rows = map_arrow(texts, feature_rows, "bad double, index array<int>, value array<float>")
     model = map_arrow(rows.repartition(1), trainer, "index int, weight double").toPandas()
     return model["index"].to_numpy(np.int64), model["weight"].to_numpy(np.float64)
