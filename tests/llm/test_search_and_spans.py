@@ -77,6 +77,14 @@ def test_disclosing_words_are_generalised(spark):
     assert out[40] == docs.where("doc_id = 40").head().text
 
 
+def test_terms_of_rows_without_an_id_and_of_repeated_ids(spark):
+    rows = [(None, "Later Quillon alone"), (5, "Later Quillon alone"), (None, None), (7, "")]
+    docs = disclosing_docs(spark).union(spark.createDataFrame(rows, "doc_id long, text string"))
+    out = [r.text for r in sanitise.sanitised(docs).collect()]
+    assert out.count("Later [TERM] alone") == 3
+    assert len(out) == docs.count() and None in out and "" in out
+
+
 def test_names_joined_to_an_entity_are_terms(spark):
     topics = [f"topic{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60)]
     forms = ["{},{}", "{}<{}>", "id\t{}\t{}\tx", "({1}:{0})", "{}/[{}]"]

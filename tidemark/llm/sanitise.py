@@ -170,8 +170,7 @@ def personal_data(
     """``docs`` with text (null as empty) and span arrays ``email, ip, card, phone, term``.
 
     A term span is a whole word that discloses an entity anywhere in the corpus. Spans of
-    one kind never overlap; those of different kinds may. Every row stays, whatever its id;
-    the term spans of rows with a null id are left out.
+    one kind never overlap; those of different kinds may. Every row stays, whatever its id.
     """
     text = docs.withColumn("text", F.coalesce("text", F.lit("")))
     terms = written(disclosing_terms(text.select("text"), threshold, min_lines), "terms")
@@ -181,10 +180,13 @@ def personal_data(
     if terms.isEmpty():
         none = F.expr("cast(array() as array<struct<s:int,e:int,v:string>>)")
         return rows.withColumn("term", none)
-    own = text.select("doc_id", F.explode(terms_of("text")).alias("term"))
-    own = own.join(terms.select("term"), "term", "left_semi").groupBy("doc_id")
+    # By text, so that rows without an id and rows of one id get their own. Texts of one hash
+    # would share their terms; a term that a text does not hold matches nothing there.
+    rows = rows.withColumn("__hash", F.xxhash64("text"))
+    own = text.select(F.xxhash64("text").alias("__hash"), F.explode(terms_of("text")).alias("term"))
+    own = own.join(terms.select("term"), "term", "left_semi").groupBy("__hash")
     own = written(own.agg(F.sort_array(F.collect_set("term")).alias("__terms")), "doc_terms")
-    rows = rows.join(own, "doc_id", "left")
+    rows = rows.join(own, "__hash", "left").drop("__hash")
     word = "[\\\\p{L}\\\\p{N}]"
     pattern = F.expr(
         f"concat('(?iu)(?<!{word})(?:', array_join(__terms, '|'), ')(?!{word})')"
