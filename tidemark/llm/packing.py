@@ -96,7 +96,7 @@ def better_two(left: np.ndarray, below: np.ndarray, gap: int, least: int) -> lis
 
 def pack_shard(size: int):
     def work(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "piece"], ignore_index=True)
+        rows = rows.sort_values(["length", "no_id", "doc_id", "piece", "ids_crc32"], ignore_index=True)
         lengths = rows["length"].to_numpy()
         at = np.searchsorted(lengths, np.arange(size + 2))
         turn, sequence, offset = at.copy(), np.empty(len(rows), np.int64), np.empty(len(rows), np.int64)
@@ -109,7 +109,7 @@ def pack_shard(size: int):
                 place += length
         rows["sequence_id"] = (int(key[0]) << 40) + sequence
         rows["offset"] = offset
-        return rows.drop(columns="shard")
+        return rows[[field.split()[0] for field in PACKED.split(", ")] + ["no_id"]]
 
     return work
 
@@ -126,13 +126,16 @@ def pack(
     """One row per piece: its document, place in the document, and place in a sequence.
 
     Every document has its end id, so a null or empty text is a piece of length one. Rows with
-    a null id are left out; rows of a repeated id are packed one by one. Documents longer
+    a null id are packed like others, and rows of a repeated id one by one. Documents longer
     than ``size`` are cut; others stay whole. No rows in, none out.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    source = source.where("doc_id is not null")
     shards = max(1, source.count() // shard_docs)
     shared = shared_encoder(docs.sparkSession.sparkContext, tokenizer)
     pieces = map_arrow(source, pieces_of(shared, end_id, size), PIECES)
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)))
-    return dealt.groupBy("shard").applyInPandas(pack_shard(size), PACKED)
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)))
+    # Pandas has no missing integers: a missing id travels as a mark.
+    dealt = dealt.withColumns({"no_id": F.col("doc_id").isNull(), "doc_id": F.coalesce("doc_id", F.lit(0))})
+    packed = dealt.groupBy("shard").applyInPandas(pack_shard(size), f"{PACKED}, no_id boolean")
+    own = F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id")
+    return packed.select(own, *packed.columns[1:-1])
