@@ -62,44 +62,73 @@ def seeds(tokens: np.ndarray, shorter: tuple[int, ...] = ()) -> list[np.ndarray]
     return out
 
 
-def seed_rows(shorter: tuple[int, ...] | None, marks=None):
-    """Rows (id, tokens, seed array, position array); with a filter, only those with hits.
-
-    Without ``shorter``, a text shorter than a mask is one seed as a whole.
+def item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, tokens, seeds, positions) of benchmark items; one shorter than a mask is one
+    seed as a whole."""
+    known = TokenHashes()
+    for part in slices(batches):
+        rows = []
+        for own, text in zip(part[0].to_pylist(), part[1].to_pylist(), strict=True):
+            tokens = token_hashes(text, known)
+            n = len(tokens)
+            found = seeds(tokens, (n,) if 0 < n < SPAN else ())
+            at = np.concatenate([np.arange(len(x)) for x in found])
+            if len(at):
+                rows.append((own, tokens.tobytes(), np.concatenate(found).view(np.int64), at))
+        if rows:
+            yield seeded(rows)
+
+
+def hit_rows(shorter: tuple[int, ...], marks):
+    """The same of those documents that have a seed of the filter, with these seeds only.
+
+    The texts of a slice are hashed as one row of tokens; seeds that reach over the end of
+    their text are left out.
     """
     low = np.uint64(SEED_BITS - 1)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, bits = TokenHashes(), marks.value if marks else None
+        known, bits = TokenHashes(), marks.value
+        spans = [len(mask) for mask in MASKS] + list(shorter)
         for part in slices(batches):
-            rows = []
-            for own, text in zip(part[0].to_pylist(), part[1].to_pylist(), strict=True):
-                tokens = token_hashes(text, known)
-                n = len(tokens)
-                lengths = ((n,) if 0 < n < SPAN else ()) if shorter is None else shorter
-                hits, at = [], []
-                for found in seeds(tokens, lengths):
-                    keep = np.arange(len(found))
-                    if bits is not None:
-                        keep = np.flatnonzero(passes(bits, (found & low).astype(np.int64)))
-                        second = (found[keep] >> np.uint64(32)) & low
-                        keep = keep[passes(bits, second.astype(np.int64))]
-                    hits.append(found[keep])
-                    at.append(keep)
-                hits, at = np.concatenate(hits), np.concatenate(at)
-                if len(hits):
-                    rows.append((own, tokens.tobytes(), hits.view(np.int64), at))
-            if rows:
-                ids, tokens, hits, at = zip(*rows, strict=True)
-                kinds = pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip((ids, tokens, hits, at), kinds, strict=True)],
-                    names=["id", "tokens", "seeds", "at"],
-                )
+            texts = [token_hashes(text, known) for text in part[1].to_pylist()]
+            sizes = np.array([len(x) for x in texts])
+            ends = np.cumsum(sizes)
+            until = np.repeat(ends, sizes)
+            hits, at = [], []
+            for span, found in zip(spans, seeds(np.concatenate(texts), shorter), strict=True):
+                keep = np.flatnonzero(passes(bits, (found & low).astype(np.int64)))
+                second = (found[keep] >> np.uint64(32)) & low
+                keep = keep[passes(bits, second.astype(np.int64))]
+                keep = keep[keep + span <= until[keep]]
+                hits.append(found[keep])
+                at.append(keep)
+            hits, at = np.concatenate(hits), np.concatenate(at)
+            if not len(hits):
+                continue
+            of = np.searchsorted(ends, at, "right")
+            order = np.argsort(of, kind="stable")
+            hits, at, of = hits[order].view(np.int64), at[order], of[order]
+            ids, rows = part[0].to_pylist(), []
+            cuts = np.r_[0, np.flatnonzero(np.diff(of)) + 1, len(of)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                k = of[a]
+                begin = ends[k] - sizes[k]
+                rows.append((ids[k], texts[k].tobytes(), hits[a:b], at[a:b] - begin))
+            yield seeded(rows)
 
     return work
 
 
+def seeded(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())
+    columns = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+        names=["id", "tokens", "seeds", "at"],
+    )
+
+
 SEEDED = "id long, tokens binary, seeds array<long>, at array<int>"
 
 
@@ -154,7 +183,7 @@ def overlaps(
     context = docs.sparkSession.sparkContext
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), "text")
     items = written(
-        map_arrow(items.where("id is not null"), seed_rows(None), SEEDED)
+        map_arrow(items.where("id is not null"), item_rows, SEEDED)
         .groupBy("tokens")
         .agg(F.min("id").alias("id"), F.first("seeds").alias("seeds"), F.first("at").alias("at")),
         "items",
@@ -167,7 +196,7 @@ def overlaps(
     bits = grams.selectExpr(f"explode(array(seed & {low}, shiftright(seed, 32) & {low})) as bit")
     marks = context.broadcast(bit_filter(bits, "bit", SEED_BITS))
     source = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("id is not null")
-    found = written(map_arrow(source, seed_rows(shorter, marks), SEEDED), "hits")
+    found = written(map_arrow(source, hit_rows(shorter, marks), SEEDED), "hits")
     hits = found.selectExpr("id as doc", "inline(arrays_zip(seeds, at))")
     shifts = (
         hits.selectExpr("doc", "seeds as seed", "at as doc_at")
