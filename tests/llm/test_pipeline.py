@@ -3,7 +3,7 @@ from tidemark.llm.queries import ORACLE, QUERIES
 
 
 def test_every_operator_is_registered():
-    assert [sum(name.startswith(f"op{n}_") for name in QUERIES) for n in range(1, 11)] == [1] * 10
+    assert [sum(name.startswith(f"op{n}_") for name in QUERIES) for n in range(1, 14)] == [1] * 13
     assert "pipeline" in QUERIES and set(ORACLE) <= set(QUERIES)
 
 

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +32,7 @@ LENGTHS = (1 + ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3)).astype
 
 IDS = "doc_id long, n long, ids binary, id int, times long"
 BLOCKS = (
-    "first long, part_first long, part_start long, n long, "
+    "first long, part long, part_start long, n long, "
     "docs array<long>, sizes array<long>, control binary, data binary"
 )
 
@@ -66,15 +66,20 @@ def tokenised(shared: Broadcast, end_id: int):
         names = ["doc_id", "n", "ids", "id", "times"]
         for part in slices(batches):
             sizes, rows = [], []
-            for text in part[1].to_pylist():
-                ids = np.frombuffer(encoder(text) + end, "<u4")
-                found = np.bincount(ids)
-                if len(found) > len(times):
-                    times = np.r_[times, np.zeros(2 * len(found), np.int64)]
-                times[: len(found)] += found
-                narrow = ids.astype("<u2") if len(found) <= 1 << 16 else ids
-                rows.append(pack(narrow.tobytes()))
-                sizes.append(len(ids))
+            held = [encoder(text) + end for text in part[1].to_pylist()]
+            ids = np.frombuffer(b"".join(held), "<u4")
+            # One count for the slice: it is as wide as the vocabulary.
+            found = np.bincount(ids)
+            if len(found) > len(times):
+                times = np.r_[times, np.zeros(2 * len(found), np.int64)]
+            times[: len(found)] += found
+            narrow = ids.astype("<u2") if len(found) <= 1 << 16 else ids
+            at = 0
+            for data in held:
+                size = len(data) // 4
+                rows.append(pack(narrow[at : at + size].tobytes()))
+                sizes.append(size)
+                at += size
             none = pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [part[0], pa.array(sizes, pa.int64()), pa.array(rows, pa.binary()), *none],
@@ -95,12 +100,13 @@ def blocks(ranks: Broadcast):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack, rank = zstandard.ZstdDecompressor().decompress, ranks.value
         kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 2 + [pa.binary()] * 2
-        names = ["first", "part_first", "part_start", "n", "docs", "sizes", "control", "data"]
-        part_first, start, docs, held, size = None, 0, [], [], 0
+        names = ["first", "part", "part_start", "n", "docs", "sizes", "control", "data"]
+        # Tasks are numbered in the order of their ranges.
+        number, start, docs, held, size = TaskContext.get().partitionId(), 0, [], [], 0
 
         def block():
             values = np.concatenate(held)
-            row = docs[0], part_first, start, len(values), docs, [len(x) for x in held]
+            row = docs[0], number, start, len(values), docs, [len(x) for x in held]
             row += encode(values)
             return pa.RecordBatch.from_arrays(
                 [pa.array([c], k) for c, k in zip(row, kinds, strict=True)], names=names
@@ -110,7 +116,6 @@ def blocks(ranks: Broadcast):
             for doc, n, data in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 raw = unpack(data)
                 ids = np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4")
-                part_first = doc if part_first is None else part_first
                 docs.append(doc)
                 held.append(rank[ids])
                 size += n
@@ -128,13 +133,12 @@ def write_ids(
 ) -> None:
     """Writes the id files of ``docs (doc_id, text)`` and their rank table below ``path``.
 
-    A null text is empty and has the end id only. Rows with a null id are left out; rows of
-    a repeated id are written one after another. No rows give empty files. Other columns are
-    ignored.
+    A null text is empty and has the end id only. Rows with a null id come behind all others;
+    rows of a repeated id are written one after another, the shorter first. No rows give
+    empty files. Other columns are ignored.
     """
     context = docs.sparkSession.sparkContext
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    source = source.where("doc_id is not null")
     shared = shared_encoder(context, tokenizer)
     found = written(map_arrow(source, tokenised(shared, end_id), IDS), "ids")
     # One row for each entry of the vocabulary: bounded.
@@ -147,7 +151,9 @@ def write_ids(
     table.write.parquet(f"{path}/ranks")
     ranks = context.broadcast(rank)
     rows = found.where("id is null").select("doc_id", "n", "ids")
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "n", "ids")
+    # A frequent or missing id lies in as many ranges as its rows fill.
+    order = [F.asc_nulls_last("doc_id"), F.asc("n"), F.xxhash64("ids"), F.asc("ids")]
+    rows = rows.repartitionByRange(*order[:3]).sortWithinPartitions(*order)
     map_arrow(rows, blocks(ranks), BLOCKS).write.parquet(f"{path}/blocks")
 
 
@@ -157,7 +163,7 @@ def decoded(ids_by_rank: Broadcast):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ids_by_rank.value
         for part in slices(batches, 1):
-            (first,), (start,), (n,), (docs,), (sizes,), (control,), (data,) = (
+            (number,), (start,), (n,), (docs,), (sizes,), (control,), (data,) = (
                 c.to_pylist() for c in part.columns
             )
             ids = table[decode(control, data, n)].astype("<u4")
@@ -166,13 +172,13 @@ def decoded(ids_by_rank: Broadcast):
             sums = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(begins, ends, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([first] * len(docs), pa.int64()),
+                    pa.array([number] * len(docs), pa.int64()),
                     pa.array(docs, pa.int64()),
                     pa.array(begins + start, pa.int64()),
                     pa.array(sizes, pa.int64()),
                     pa.array(sums, pa.int64()),
                 ],
-                names=["part_first", "doc_id", "at", "n_tokens", "ids_crc32"],
+                names=["part", "doc_id", "at", "n_tokens", "ids_crc32"],
             )
 
     return work
@@ -184,16 +190,16 @@ def read_ids(spark, path: str) -> DataFrame:
     table = spark.sparkContext.broadcast(np.frombuffer(bytes(data), "<u4"))
     files = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
     # A row for each file, however many documents there are.
-    parts = files.groupBy("part_first").agg(F.sum("n").alias("n"))
-    before = Window.orderBy("part_first").rowsBetween(Window.unboundedPreceding, -1)
+    parts = files.groupBy("part").agg(F.sum("n").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select(
-        "part_first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")
     )
-    rows = files.select("part_first", "part_start", "n", "docs", "sizes", "control", "data")
-    schema = "part_first long, doc_id long, at long, n_tokens long, ids_crc32 long"
+    rows = files.select("part", "part_start", "n", "docs", "sizes", "control", "data")
+    schema = "part long, doc_id long, at long, n_tokens long, ids_crc32 long"
     return (
         map_arrow(rows, decoded(table), schema)
-        .join(F.broadcast(parts), "part_first")
+        .join(F.broadcast(parts), "part")
         .selectExpr("doc_id", "before + at as start", "n_tokens", "ids_crc32")
     )
 
