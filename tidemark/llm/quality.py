@@ -111,25 +111,35 @@ def vote_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> np.ndarray:
     """Posterior of being bad for each vote pattern, by expectation-maximisation.
 
-    There is one kind of good documents and a kind of bad ones for each heuristic labeller, and
-    one more for those that only given labels call bad: junk of one kind is not looked for by the
-    labellers of another, so their finding nothing must not clear it. For each kind it learns
-    how often each labeller accuses what it has looked at; none is held to accuse a bad kind
-    less often than the good one. Counts alone can't tell whether an accuser whom no other ever
-    joins is right; it is presumed to be, and given labels outweigh that. They are observed, not
-    estimated. What nobody calls bad is not.
+    Two models of how labellers err are estimated, and the likelier one, less the usual penalty
+    for its parameters, counts. Either bad documents are of one kind, which labellers overlap on;
+    or there is a kind for each heuristic labeller, and one that only given labels call bad: then
+    that labellers of other kinds find nothing clears nobody. No labeller is held to accuse bad documents less often than good ones.
+    Counts alone can't tell whether an accuser whom no other joins is right; it is presumed to
+    be, and given labels outweigh that. They are observed, not estimated. What nobody calls
+    bad is not.
     """
+    fits = [fitted(patterns, counts, several, rounds) for several in (False, True)]
+    return max(fits, key=lambda fit: fit[0])[1]
+
+
+def fitted(
+    patterns: np.ndarray, counts: np.ndarray, several: bool, rounds: int
+) -> tuple[float, np.ndarray]:
+    """(penalised log-likelihood, posterior of being bad) of one model."""
     cast = np.stack([(patterns >> 2 * k) & 3 for k in range(len(LABELLERS))], axis=1)
     given, cast = cast[:, -1], cast[:, :-1]
     hit, looked = cast == WRONG, cast != ABSTAIN
     accused = hit.any(axis=1)
     unjudged = ~accused & (given == ABSTAIN)
-    bad_kinds = hit.shape[1] + 1
+    n = hit.shape[1]
+    bad_kinds = n + 1 if several else 1
+    allowed = np.ones((len(patterns), 1 + bad_kinds), bool)
+    allowed[given == WRONG, 0] = False
+    allowed[given == GOOD, 1:] = False
 
     def observed(share: np.ndarray) -> np.ndarray:
-        share = share.copy()
-        share[given == WRONG, 0] = 0
-        share[given == GOOD, 1:] = 0
+        share = np.where(allowed, share, 0)
         share /= np.maximum(share.sum(axis=1, keepdims=True), 1e-300)
         bad = 1 - share[:, 0]
         over = unjudged & (bad > 0.1)
@@ -137,25 +147,34 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> np.
         share[over, 0] = 0.9
         return share
 
-    share = np.full((len(patterns), 1 + bad_kinds), 0.1 / bad_kinds)
+    share = np.full(allowed.shape, 0.1 / bad_kinds)
     share[:, 0] = np.where(accused, 0.1, 0.9)
-    share[accused, 1:] = 0
-    share[accused, 1:-1] = 0.9 * hit[accused] / hit[accused].sum(axis=1, keepdims=True)
+    share[accused, 1:] = 0.9
+    if several:
+        share[accused, 1:-1] = 0.9 * hit[accused] / hit[accused].sum(axis=1, keepdims=True)
+        share[accused, -1] = 0
     share = observed(share)
+    likely = 0.0
     for _ in range(rounds):
         weight = share * counts[:, None]
         rate = (weight.T @ hit + 0.1) / (weight.T @ looked + 0.2)
-        rate[0] = (PRESUMED * weight[:, 0] @ hit + 1e-3) / (weight[:, 0] @ looked + 1)
+        if several:
+            rate[0] = (PRESUMED * weight[:, 0] @ hit + 1e-3) / (weight[:, 0] @ looked + 1)
         rate[1:] = np.maximum(rate[1:], rate[0])
-        log = np.log(weight.sum(axis=0) + 0.1)
+        prior = weight.sum(axis=0) + 0.1
+        log = np.log(prior / prior.sum())
         log = log + hit @ np.log(rate).T + (looked & ~hit) @ np.log(1 - rate).T
-        new = np.exp(log - log.max(axis=1, keepdims=True))
+        top = log.max(axis=1, keepdims=True)
+        new = np.exp(log - top)
+        mass = np.where(allowed, new, 0).sum(axis=1)
+        likely = float(counts @ (np.log(np.maximum(mass, 1e-300)) + top[:, 0]))
         new = observed(new / new.sum(axis=1, keepdims=True))
         done = np.abs(new - share).max(initial=0) < 1e-9
         share = new
         if done:
             break
-    return 1 - share[:, 0]
+    parameters = (1 + bad_kinds) * n + bad_kinds
+    return likely - parameters * np.log(max(1.0, counts.sum())) / 2, 1 - share[:, 0]
 
 
 def features(text: str | None, words: WordFeatures, kinds: WordKinds):
