@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import attribution, identity, market
+from tidemark.operators.key_filter import may_be_in
 from tidemark.plans import carriers
 from tidemark.plans.registry import QUERIES
 
@@ -114,3 +115,12 @@ def test_hot_keys_are_split(spark):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def test_key_filter_is_a_constant(spark):
+    """The words of the filter are not made anew for each row."""
+    keys = spark.range(20).selectExpr("concat('k', id) AS key")
+    rows = spark.range(1000).selectExpr("concat('k', id) AS key").where(may_be_in(keys, "key", "key"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "getbit" in plan
+    assert "split(" not in plan and "lambda" not in plan

@@ -30,7 +30,8 @@ def may_be_in(keys: DataFrame, key: str, column: str, bits: int = FILTER_BITS) -
     for word, mask in words:
         table[word] = mask
     listed = ",".join(map(str, table))
-    held = f"transform(split('{listed}', ','), x -> cast(x AS bigint))"
+    # A cast of a constant is one itself; a lambda would be run for every row.
+    held = f"cast(split('{listed}', ',') AS array<bigint>)"
     bit = _bit(column, bits)
     return F.expr(
         f"getbit(element_at({held}, cast(shiftright({bit}, 6) AS int) + 1), "
