@@ -117,6 +117,22 @@ def test_hot_keys_are_split(spark):
             spark.conf.set(name, value)
 
 
+def test_candidate_keys_of_a_small_file_are_not_broadcast(spark, tmp_path):
+    """A file of few bytes holds many rows, and three keys come of each: they meet the counts sorted."""
+    rows = spark.range(3000).selectExpr(
+        "id AS candidate_id", "concat('m', id % 2000) AS email", "concat('s', id % 3) AS secret_digest"
+    )
+    rows.write.parquet(str(tmp_path / "rows"))
+    candidates = spark.read.parquet(str(tmp_path / "rows"))
+    members = candidates.where("candidate_id % 2 = 0").toDF("member_id", "email", "password_digest")
+    counted = identity.with_match_counts(candidates, members)
+    assert counted.count() == 3000
+    assert "BuildLeft" not in plan_of(counted)
+    counted.collect()
+    plan = plan_of(counted).split("Initial Plan")[0]
+    assert "BuildLeft" not in plan and "SortMergeJoin" in plan
+
+
 def test_key_filter_is_a_constant(spark):
     """The words of the filter are not made anew for each row."""
     keys = spark.range(20).selectExpr("concat('k', id) AS key")

@@ -63,7 +63,9 @@ def with_counts(
     counts are found for the candidates' bare keys and folded into one number per pair of
     keys; only then the candidates themselves are shuffled, once. Hot keys are split.
     """
-    met = lookup(candidate_keys(candidates, email, secret), counts, "key", "member_key", "inner")
+    # Three long rows for each one of a small file: taken for small, they would be broadcast.
+    keys = candidate_keys(candidates, email, secret).hint("merge")
+    met = lookup(keys, counts, "key", "member_key", "inner")
 
     def of(kind: str) -> str:
         return f"coalesce(max(CASE WHEN startswith(key, '{kind}') THEN n END), 0)"
