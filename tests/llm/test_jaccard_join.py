@@ -117,3 +117,26 @@ def test_components_of_chains_loops_and_nothing(spark):
     found = dict(components(spark.createDataFrame(chain, "a long, b long")).collect())
     assert found == {k: 0 for k in range(201)} | {500: 500, 501: 500}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("n", [100, 300, 1000])
+def test_bitmaps_part_near_copies_and_keep_links(spark, n):
+    """Near copies of one text beyond what is allowed are not read; no link is lost."""
+    rng = np.random.default_rng(n)
+    base = mix(rng.integers(1, 1 << 62, n).astype(np.uint64))
+    rows = []
+    for share in (0.5, 1.0, 1.7):
+        for _ in range(20):
+            changed = int(share * (2 * n // 9)) // 4
+            a, b = base.copy(), base.copy()
+            a[:changed] = mix(rng.integers(1, 1 << 62, changed).astype(np.uint64))
+            b[changed : 2 * changed] = mix(rng.integers(1, 1 << 62, changed).astype(np.uint64))
+            linked = 9 * len(np.setxor1d(a, b)) <= 2 * n
+            rows.append((n, *join.marks(a).tolist(), n, *join.marks(b).tolist(), linked))
+    fields = [f"{s}{c}" for s in "xy" for c in ("n", *join.MARKS)]
+    docs = spark.createDataFrame(rows, [*fields, "linked"])
+    for s in "xy":
+        docs = docs.withColumn(s, F.struct(*(F.col(f"{s}{c}").alias(c) for c in ("n", *join.MARKS))))
+    found = docs.select("linked", F.expr(join.may_link("x", "y")).alias("met")).collect()
+    assert {r.linked for r in found} == {False, True}
+    assert all(r.met == r.linked for r in found)
