@@ -80,3 +80,19 @@ def test_states_of_the_model_in_one_place_sum_to_one():
         three = np.stack([np.full(len(every), a), np.full(len(every), b), every], axis=1)
         log = made.read(three.ravel())[2::3]
         assert abs((10.0 ** log[np.isfinite(log)]).sum() - 1) < 1e-9
+
+
+def test_data_dealt_stays_near_the_size_of_the_texts(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"word{k}" for k in rng.zipf(1.3, 600) % 20000) for _ in range(300)]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    made, plain = [], lm_score.map_arrow
+
+    def recorded(df, work, schema):
+        made.append(plain(df, work, schema))
+        return made[-1]
+
+    monkeypatch.setattr(lm_score, "map_arrow", recorded)
+    assert lm_score.held_out_scores(docs).count() == len(texts)
+    dealt = [x.selectExpr("sum(length(data))").head()[0] for x in made if "data" in x.columns]
+    assert sum(dealt) < 2 * sum(map(len, texts))

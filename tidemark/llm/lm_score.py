@@ -9,13 +9,16 @@ deserve. All of it adds up to one over the known words and the unknown one, the
 base score.
 
 Counts cover all training texts and all their words, bigrams and trigrams; what is an arc depends
-on its own count alone, not on the size of the corpus. Nothing is gathered in one place: n-grams
-are hashed, dealt over tasks by that hash, counted there, and chunks of the texts to be scored
-ask those tasks for the distinct n-grams they hold.
+on its own count alone, not on the size of the corpus. Nothing is gathered in one place: texts are
+cut into chunks, and a chunk deals its distinct n-grams over tasks by their states, each with its
+count in the chunk's training texts. A task that holds a state holds all its arcs: it adds them up
+and answers each chunk in the order the chunk named them, so answers carry no n-grams. Frequent
+words are named by numbers of two bytes, all others by hashes of eight.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +26,7 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.language_id import held_out
@@ -32,26 +35,29 @@ from tidemark.llm.text import map_arrow, mix, slices, written
 
 #: Least count of an n-gram that is an arc, at any size of the corpus.
 MIN_COUNT = 2
-#: Most symbols of a model that is held in one place, less the class of all others.
+#: Most symbols of a model that is held in one place, less the class of all others; words that
+#: n-grams name by a number.
 HOT_WORDS = 1 << 16
 #: Bits of a symbol in the n-gram keys of such a model; symbols beyond have no arcs there.
 SYMBOL_BITS = 10
 #: Entries after which a task adds up what it holds.
 HELD = 2_000_000
-#: Characters of the texts that are read in one step.
+#: Characters of the texts of a chunk, and rows that are added to it at a time.
 STEP = 1 << 22
+ROWS = 16
 #: Characters of the texts whose n-grams a task counts, and shares of them per task.
 TASK_CHARS = 1 << 24
 SHARES = 4
 
 END_WORD = b"\n"
 WORDS_KEPT = 300_000
+#: In place of the word before a bigram.
+NONE = HOT_WORDS
 
-#: Shares of n-grams: ``data`` holds columns of ``COLUMNS`` numbers, see ``packed``.
-COUNTS = "bucket int, data binary"
-TABLE = "bucket int, chunk long, data binary, tokens long, distinct_words long, once long"
-CHUNKS = "chunk long, doc_id long, text string"
-FOUND = "chunk long, data binary"
+#: ``data`` holds texts, see ``chunker``, or columns of numbers, see ``packed``.
+CHUNKS = "chunk long, chars long, asked boolean, data binary"
+GRAMS = "bucket int, chunk long, asked boolean, data binary"
+ANSWERS = "chunk long, bucket int, data binary"
 SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -60,29 +66,23 @@ def word_key(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word) % (1 << 63) - (1 << 63)
 
 
-def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[list[bytes]]]]:
-    """(ids, words) of some texts at a time, cut by their length in bytes."""
-    ids, texts, size = [], [], 0
-    for part in slices(batches):
-        for own, text in zip(part[0].to_pylist(), part[1].to_pylist(), strict=True):
-            words = text.encode().lower().split() if text else []
-            ids.append(own)
-            texts.append(words)
-            size += len(text or "")
-            if size >= STEP:
-                yield ids, texts
-                ids, texts, size = [], [], 0
-    if ids:
-        yield ids, texts
-
-
 def packed(*columns: np.ndarray) -> bytes:
-    data = b"".join(c.astype(np.int64).tobytes() for c in columns)
-    return zstandard.ZstdCompressor(level=1).compress(data)
+    """Columns of whole numbers, compressed byte by byte of the numbers: small ones take little."""
+    sizes = np.array([len(columns), *map(len, columns)], np.int64)
+    parts = [sizes.tobytes()]
+    parts += [c.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
 
 
-def unpacked(data: bytes, columns: int) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(data), np.int64).reshape(columns, -1)
+def unpacked(data: bytes) -> list[np.ndarray]:
+    data = np.frombuffer(zstandard.decompress(data), np.uint8)
+    count = int(data[:8].view(np.int64)[0])
+    sizes = data[8 : 8 * (count + 1)].view(np.int64)
+    ends = 8 * (count + 1 + np.cumsum(sizes))
+    return [
+        np.ascontiguousarray(data[end - 8 * n : end].reshape(8, n).T).view("<i8").ravel()
+        for n, end in zip(sizes, ends, strict=True)
+    ]
 
 
 def gram(before: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -91,16 +91,6 @@ def gram(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return (value >> np.uint64(1)).view(np.int64)
 
 
-def shared_out(buckets: int, *columns: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """(bucket, packed columns) of the rows, dealt by the first column."""
-    bucket = (columns[0] & 0x7FFFFFFF) % buckets
-    order = np.argsort(bucket, kind="stable")
-    columns = [c[order] for c in columns]
-    cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    for k in np.flatnonzero(np.diff(cut)).tolist():
-        yield k, packed(*(c[cut[k] : cut[k + 1]] for c in columns))
-
-
 def added(parts: list[np.ndarray], firsts: int) -> np.ndarray:
     """Columns of the distinct first column; beyond ``firsts`` columns they are added up."""
     rows = np.concatenate(parts, axis=1)
@@ -160,145 +150,173 @@ def symbol_keys(*symbols: np.ndarray) -> np.ndarray:
     return np.where(np.max(symbols, axis=0) >> SYMBOL_BITS, -1, key)
 
 
-def grams_of(texts: list[list[bytes]], places: Places):
-    """(keys, bigrams, trigrams, own places, begins, sizes): hashes at each place of the texts."""
-    keys, _, begins, sizes = laid_out(texts, places, HOT_WORDS)
-    two = np.r_[0, gram(keys[:-1], keys[1:])]
-    three = np.r_[0, gram(two[:-1], keys[1:])]
-    return keys, two, three, own_places(keys, begins, sizes), begins, sizes
+class Grams:
+    """The distinct bigrams and trigrams of a chunk by their states, in an order of their own.
 
-
-def counter(buckets: int):
-    """Counts of words, bigrams and trigrams, each with the key of its state."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = Places({})
-        for _, texts in batches_of(batches):
-            keys, two, three, at, _, _ = grams_of(texts, places)
-            gram_keys = np.concatenate([keys[at], two[at], three[at]])
-            states = np.concatenate([np.zeros(len(at), np.int64), keys[at - 1], two[at - 1]])
-            gram_keys, first, n = np.unique(gram_keys, return_index=True, return_counts=True)
-            rows = list(shared_out(buckets, gram_keys, states[first], n))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([b for b, _ in rows], pa.int32()), pa.array([d for _, d in rows], pa.binary())],
-                names=["bucket", "data"],
-            )
-
-    return work
-
-
-def tabler(buckets: int):
-    """Entries (key, n, arcs, sum of the arcs' counts) of the counted words, arcs and states.
-
-    A state's share is dealt by the state's key and meets its other shares there.
+    ``states`` are (word before or ``NONE``, word); ``state``, ``word`` of each n-gram. ``pair`` and
+    ``triple`` number the n-grams that end at the texts' places, ``name`` the words there;
+    ``bigram_states`` are the names of the first states.
     """
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held = [np.zeros((3, 0), np.int64)], 0
-        for batch in batches:
-            for data in batch[1]:
-                parts.append(unpacked(data.as_py(), 3))
-                held += parts[-1].shape[1]
-                if held > HELD:
-                    parts, held = [added(parts, 2)], 0
-        keys, states, n = added(parts, 2)
-        word = keys < 0
-        arc = ~word & (n >= MIN_COUNT)
-        kept = word | arc
-        none = np.zeros(kept.sum(), np.int64)
-        state, kinds = states[arc], np.ones(arc.sum(), np.int64)
-        states = added([np.stack([state, 0 * kinds, kinds, n[arc]])], 1)
-        rows = list(shared_out(buckets, keys[kept], n[kept], none, none))
-        rows += shared_out(buckets, *states)
-        totals = [n[word].sum(), word.sum(), (n[word] == 1).sum()]
-        if rows:
-            columns = [np.zeros(len(rows), np.int64) for _ in totals]
-            for column, total in zip(columns, totals, strict=True):
-                column[0] = total
-            buckets_of, data = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(buckets_of, pa.int32()),
-                    pa.nulls(len(rows), pa.int64()),
-                    pa.array(data, pa.binary()),
-                    *map(pa.array, columns),
-                ],
-                names=[x.split()[0] for x in TABLE.split(", ")],
-            )
-
-    return work
+    def __init__(self, texts: list[list[bytes]], places: Places):
+        keys, _, begins, self.sizes = laid_out(texts, places, HOT_WORDS)
+        at = own_places(keys, begins, self.sizes)
+        names, local = np.unique(keys, return_inverse=True)
+        a, b, c = (local[at - k] for k in (2, 1, 0))
+        k = len(names)
+        one, of_one = np.unique(b, return_inverse=True)
+        two, of_two = np.unique(a * k + b, return_inverse=True)
+        pairs, self.pair = np.unique(of_one * k + c, return_inverse=True)
+        triples, triple = np.unique(of_two * k + c, return_inverse=True)
+        self.triple = triple + len(pairs)
+        self.name, self.names, self.bigram_states = c, k, one
+        before = np.r_[np.full(len(one), NONE), names[two // k]]
+        self.states = np.stack([before, names[np.r_[one, two % k]]])
+        self.state = np.r_[pairs // k, triples // k + len(one)]
+        self.word = names[np.r_[pairs % k, triples % k]]
+
+    def counts(self, own: np.ndarray) -> np.ndarray:
+        """How often each n-gram ends at the places ``own``."""
+        ends = np.r_[self.pair[own], self.triple[own]]
+        return np.bincount(ends, minlength=len(self.word))
+
+    def dealt(self, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(bucket, its states, its n-grams): an n-gram is where its state is."""
+        of_state = gram(*self.states) % buckets
+        of_gram = of_state[self.state]
+        states, grams = (np.argsort(x, kind="stable") for x in (of_state, of_gram))
+        every = np.arange(buckets + 1)
+        cut = np.searchsorted(of_state[states], every)
+        cut_grams = np.searchsorted(of_gram[grams], every)
+        for k in np.flatnonzero(np.diff(cut)).tolist():
+            yield k, states[cut[k] : cut[k + 1]], grams[cut_grams[k] : cut_grams[k + 1]]
 
 
 def chunker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Numbers the texts by chunks of ``STEP`` characters."""
-    chunk, size = TaskContext.get().partitionId() << 36, 0
-    for part in slices(batches):
-        sizes = size + np.cumsum([len(x or "") for x in part[1].to_pylist()], dtype=np.int64)
-        size = int(sizes[-1])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(chunk + sizes // STEP), *part.columns], names=["chunk", "doc_id", "text"]
-        )
-
-
-def chunks_of(batches: Iterator[pa.RecordBatch]):
-    """(chunk, ids, words, packed answers) of rows (chunk, doc_id, text, data) sorted by chunk."""
-    now, ids, texts, answers = None, [], [], []
-    for part in slices(batches):
-        for chunk, own, text, data in zip(*(c.to_pylist() for c in part.columns), strict=True):
-            if chunk != now:
-                if now is not None:
-                    yield now, ids, texts, answers
-                now, ids, texts, answers = chunk, [], [], []
-            if data is None:
-                ids.append(own)
-                texts.append(text.encode().lower().split() if text else [])
-            else:
-                answers.append(data)
-    if now is not None:
-        yield now, ids, texts, answers
-
-
-def asker(buckets: int):
-    """The distinct n-grams and states of each chunk."""
+    """A row for each ``STEP`` characters of the texts: (doc_id, trained, asked, text) packed."""
+    chunk, parts, size = TaskContext.get().partitionId() << 36, [], 0
+
+    def row() -> pa.RecordBatch:
+        rows = pa.Table.from_batches(parts)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rows.schema) as out:
+            out.write_table(rows.combine_chunks())
+        data = zstandard.ZstdCompressor(level=3).compress(sink.getvalue())
+        asked = any(rows["asked"].to_pylist())
+        columns = [pa.array(x) for x in ([chunk], [size], [asked], [data])]
+        return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in CHUNKS.split(", ")])
+
+    for part in slices(batches, ROWS):
+        parts.append(part)
+        size += sum(len(x or "") for x in part["text"].to_pylist())
+        if size >= STEP:
+            yield row()
+            chunk, parts, size = chunk + 1, [], 0
+    if parts:
+        yield row()
+
+
+def texts_of(data: bytes) -> tuple[list, np.ndarray, np.ndarray, list[list[bytes]]]:
+    """(ids, trained, asked, words) of the texts of a chunk."""
+    rows = pa.ipc.open_stream(zstandard.decompress(data)).read_all()
+    texts = [x.encode().lower().split() if x else [] for x in rows["text"].to_pylist()]
+    trained, asked = (np.array(rows[c].to_pylist(), bool) for c in ("trained", "asked"))
+    return rows["doc_id"].to_pylist(), trained, asked, texts
+
+
+def word_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the words and ends of the training texts."""
+    counts: Counter[bytes] = Counter()
+
+    def rows() -> pa.RecordBatch:
+        columns = [pa.array(map(word_key, counts), pa.int64()), pa.array(counts.values(), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["word", "n"])
+
+    for batch in batches:
+        for data in batch[0]:
+            _, trained, _, texts = texts_of(data.as_py())
+            for words, own in zip(texts, trained.tolist(), strict=True):
+                if own:
+                    counts.update(words)
+                    counts[END_WORD] += 1
+            if len(counts) > WORDS_KEPT:
+                yield rows()
+                counts.clear()
+    if counts:
+        yield rows()
+
+
+def asker(hot, buckets: int):
+    """The n-grams of each chunk by state, with their counts in its training texts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = Places({})
-        for chunk, _, texts, _ in chunks_of(batches):
-            keys, two, three, at, _, _ = grams_of(texts, places)
-            every = np.unique(np.concatenate([keys[at], two[at], two[at - 1], three[at]]))
-            rows = list(shared_out(buckets, every))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([b for b, _ in rows], pa.int32()),
-                    pa.array(np.full(len(rows), chunk)),
-                    pa.array([d for _, d in rows], pa.binary()),
-                ],
-                names=["bucket", "chunk", "data"],
-            )
+        places = Places(hot.value)
+        for part in slices(batches, ROWS):
+            for chunk, asked, data in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                _, trained, _, texts = texts_of(data)
+                found = Grams(texts, places)
+                counts = found.counts(np.repeat(trained, found.sizes))
+                rows = []
+                for k, states, grams in found.dealt(buckets):
+                    kinds = np.diff(np.flatnonzero(np.diff(found.state[grams], prepend=-1, append=-1)))
+                    columns = *found.states[:, states], kinds, found.word[grams], counts[grams]
+                    rows.append((k, chunk, asked, packed(*columns)))
+                columns = zip(*rows, strict=True)
+                kinds_of = (pa.int32(), pa.int64(), pa.bool_(), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, kinds_of, strict=True)],
+                    names=[x.split()[0] for x in GRAMS.split(", ")],
+                )
 
     return work
 
 
+def keys_of(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key of each state, key of each n-gram, key of its state, its count) of a chunk's share."""
+    before, last, kinds, word, n = unpacked(data)
+    state = gram(before, last)
+    of = np.repeat(state, kinds)
+    return state, gram(of, word), of, n
+
+
 def answerer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The entries that chunks ask for; the table's rows, which have no chunk, come first."""
-    parts, table = [np.zeros((4, 0), np.int64)], None
-    for part in slices(batches):
-        out = []
-        for chunk, data in zip(part[1].to_pylist(), part[2].to_pylist(), strict=True):
-            if chunk is None:
-                parts.append(unpacked(data, 4))
-                continue
-            if table is None:
-                table, parts = added(parts, 1), []
-            keys = unpacked(data, 1)[0]
-            place, there = Automaton.find(keys, table[0])
-            if there.any():
-                out.append((chunk, packed(*table[:, place[there]])))
-        if out:
-            chunks, data = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(chunks, pa.int64()), pa.array(data, pa.binary())], names=["chunk", "data"]
-            )
+    """To each chunk the counts of its arcs, and (count, arcs, sum of the arcs' counts) of its states.
+
+    The rows are sorted by bucket; of one bucket, which is bounded, the n-grams are held.
+    """
+    now, asked, parts, held = None, [], [], 0
+    for part in slices(batches, ROWS):
+        for bucket, chunk, wanted, data in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            if bucket != now:
+                yield from answered(now, asked, parts)
+                now, asked, parts, held = bucket, [], [], 0
+            if wanted:
+                asked.append((chunk, data))
+            _, *rows = keys_of(data)
+            rows = np.stack(rows)
+            parts.append(rows[:, rows[2] > 0])
+            held += parts[-1].shape[1]
+            if held > HELD:
+                parts, held = [added(parts, 2)], 0
+    yield from answered(now, asked, parts)
+
+
+def answered(bucket: int | None, asked: list[tuple[int, bytes]], parts: list[np.ndarray]):
+    """Answers of a bucket to the shares ``asked``, from (key, key of its state, count) of n-grams."""
+    if not asked:
+        return
+    keys, state, n = added(parts, 2)
+    arc = n >= MIN_COUNT
+    states = added([np.stack([state, n, arc.astype(np.int64), n * arc])], 1)
+    keys, n = keys[arc], n[arc]
+    for chunk, data in asked:
+        own, grams, _, _ = keys_of(data)
+        found = []
+        for wanted, table, columns in ((grams, keys, [n]), (own, states[0], states[1:])):
+            place, there = Automaton.find(wanted, table)
+            found += [np.where(there, c[place], 0) if len(table) else np.zeros(len(wanted)) for c in columns]
+        columns = [pa.array([chunk], pa.int64()), pa.array([bucket], pa.int32()), pa.array([packed(*found)])]
+        yield pa.RecordBatch.from_arrays(columns, names=["chunk", "bucket", "data"])
 
 
 def weighed(n, seen, kinds, held) -> tuple[np.ndarray, np.ndarray]:
@@ -310,43 +328,56 @@ def weighed(n, seen, kinds, held) -> tuple[np.ndarray, np.ndarray]:
     return n / total, np.where(kinds > 0, 1 - held / total, 1.0)
 
 
-def scorer(tokens: int, distinct: int, once: int):
+def chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, dict[int, bytes]]]:
+    """(texts, answers by bucket) of rows (chunk, bucket, data) sorted by chunk; texts have no bucket."""
+    now, texts, answers = None, None, {}
+    for part in slices(batches, ROWS):
+        for chunk, bucket, data in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            if chunk != now:
+                if now is not None:
+                    yield texts, answers
+                now, texts, answers = chunk, None, {}
+            if bucket is None:
+                texts = data
+            else:
+                answers[bucket] = data
+    if now is not None:
+        yield texts, answers
+
+
+def scorer(hot, buckets: int, tokens: int, distinct: int, once: int):
     """Scores of chunks whose answers hold all that the training texts say of them."""
-    end = np.array([word_key(END_WORD)])
-    start = gram(end, end)[0]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = Places({})
-        for _, ids, texts, answers in chunks_of(batches):
-            table = added([np.zeros((4, 0), np.int64), *(unpacked(x, 4) for x in answers)], 1)
-
-            def entries(keys, table=table):
-                place, there = Automaton.find(keys, table[0])
-                return np.where(there, table[1:, place], 0) if len(table[0]) else np.zeros((3, len(keys)))
-
-            keys, two, three, at, begins, sizes = grams_of(texts, places)
-            word, before = entries(keys[at]), entries(keys[at - 1])
-            pair, context = entries(two[at]), entries(two[at - 1])
-            # The two ends before a text are no bigram of it, but all texts begin in that state.
-            context[0] = np.where(two[at - 1] == start, entries(end)[0], context[0])
-            chance = np.where(word[0] > 0, word[0], once) / (tokens + once)
-            # A bigram that is a state only has no arc.
-            arc, fail = weighed(np.where(pair[0] >= MIN_COUNT, pair[0], 0), *before)
-            chance = arc + fail * chance
-            arc, fail = weighed(entries(three[at])[0], *context)
-            chance = arc + fail * chance
-            values = np.stack([word[0] > 0, np.log10((word[0] + 1) / (tokens + distinct + 1)), np.log10(chance)])
-            known, base, score = np.add.reduceat(values, np.cumsum(sizes) - sizes, axis=1)
+        places = Places(hot.value)
+        for data, answers in chunks_of(batches):
+            ids, _, asked, texts = texts_of(data)
+            found = Grams(texts, places)
+            counts = np.zeros(len(found.word), np.int64)
+            # Of each state: its count, its arcs, and the sum of their counts.
+            states = np.zeros((3, found.states.shape[1]), np.int64)
+            for k, own, grams in found.dealt(buckets):
+                counts[grams], *states[:, own] = unpacked(answers[k])
+            # Every word leads on, and the end to the first word: a word's count is its state's.
+            words = np.zeros(found.names, np.int64)
+            words[found.bigram_states] = states[0, : len(found.bigram_states)]
+            word = words[found.name]
+            chance = np.where(word > 0, word, once) / (tokens + once)
+            for own in (found.pair, found.triple):
+                arc, fail = weighed(counts[own], *states[:, found.state[own]])
+                chance = arc + fail * chance
+            values = np.stack([word > 0, np.log10((word + 1) / (tokens + distinct + 1)), np.log10(chance)])
+            known, base, score = np.add.reduceat(values, np.cumsum(found.sizes) - found.sizes, axis=1)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
-                    pa.array(sizes),
+                    pa.array(found.sizes),
                     pa.array(known.astype(np.int64)),
                     pa.array(base),
                     pa.array(score),
                 ],
                 names=[x.split()[0] for x in SCORED.split(", ")],
-            )
+            ).filter(pa.array(asked))
 
     return work
 
@@ -406,34 +437,26 @@ class Automaton:
         chance[there] += weight[place[there]]
 
 
-def score(docs: DataFrame, training: DataFrame) -> DataFrame:
-    """Scores of ``docs (doc_id, text)`` by a model of ``training (doc_id, text)``.
-
-    Per row of ``docs``: doc_id, n_tokens (words and the end), n_known (of them in training),
-    train_tokens, base_score (add-one unigrams of words, log10) and score (log10 probability of
-    the text by the automaton). A null text has the end only. Rows keep null and repeated
-    ids. Without training texts all is unknown. Other columns are ignored.
-    """
-    spark = docs.sparkSession
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    chunks = written(map_arrow(source, chunker, CHUNKS), "chunks")
-    texts = training.select("doc_id", "text")
-    chars = sum(x.agg(F.sum(F.length("text"))).head()[0] or 0 for x in (chunks, texts))
+def scored(rows: DataFrame) -> DataFrame:
+    """Scores of the ``asked`` of ``rows (doc_id, trained, asked, text)`` by a model of the ``trained``."""
+    spark = rows.sparkSession
+    chunks = written(map_arrow(rows, chunker, CHUNKS), "chunks")
+    words = map_arrow(chunks.select("data"), word_counter, "word long, n long")
+    words = written(words.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    totals = words.selectExpr("coalesce(sum(n), 0)", "count(*)", "count_if(n = 1)").head()
+    tokens, distinct, once = map(int, totals)
+    first = words.orderBy(F.desc("n"), "word").limit(HOT_WORDS).collect()
+    hot = spark.sparkContext.broadcast({r.word: k for k, r in enumerate(first)})
+    chars = chunks.agg(F.sum("chars")).head()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), chars // TASK_CHARS)
     buckets = SHARES * tasks
-    counts = map_arrow(texts, counter(buckets), COUNTS).repartition(tasks, "bucket")
-    table = written(map_arrow(counts, tabler(buckets), TABLE), "ngrams")
-    size = table.selectExpr(*(f"coalesce(sum({c}), 0)" for c in ("tokens", "distinct_words", "once")))
-    tokens, distinct, once = map(int, size.head())
-    lines = chunks.withColumn("data", F.lit(None).cast("binary"))
-    asked = map_arrow(lines, asker(buckets), "bucket int, chunk long, data binary")
-    asked = table.select("bucket", "chunk", "data").union(asked).repartition(tasks, "bucket")
-    asked = asked.sortWithinPartitions(F.asc_nulls_first("chunk"))
-    found = written(map_arrow(asked, answerer, FOUND), "answers")
-    none = [F.lit(None).cast(t).alias(n) for n, t in (("doc_id", "long"), ("text", "string"))]
-    rows = lines.union(found.select("chunk", *none, "data")).repartition(tasks, "chunk")
-    rows = rows.sortWithinPartitions("chunk")
-    return map_arrow(rows, scorer(tokens, distinct, max(1, once)), SCORED).select(
+    grams = map_arrow(chunks.select("chunk", "asked", "data"), asker(hot, buckets), GRAMS)
+    grams = grams.repartition(tasks, "bucket").sortWithinPartitions("bucket")
+    answers = map_arrow(grams, answerer, ANSWERS)
+    texts = chunks.where("asked").select("chunk", F.lit(None).cast("int").alias("bucket"), "data")
+    rows = texts.union(answers).repartition(tasks, "chunk").sortWithinPartitions("chunk")
+    work = scorer(hot, buckets, tokens, distinct, max(1, once))
+    return map_arrow(rows, work, SCORED).select(
         "doc_id",
         "n_tokens",
         "n_known",
@@ -443,8 +466,23 @@ def score(docs: DataFrame, training: DataFrame) -> DataFrame:
     )
 
 
+def marked(docs: DataFrame, trained: Column, asked: bool) -> DataFrame:
+    own = F.col("doc_id").cast("long").alias("doc_id")
+    return docs.select(own, trained.alias("trained"), F.lit(asked).alias("asked"), "text")
+
+
+def score(docs: DataFrame, training: DataFrame) -> DataFrame:
+    """Scores of ``docs (doc_id, text)`` by a model of ``training (doc_id, text)``.
+
+    Per row of ``docs``: doc_id, n_tokens (words and the end), n_known (of them in training),
+    train_tokens, base_score (add-one unigrams of words, log10) and score (log10 probability of
+    the text by the automaton). A null text has the end only. Rows keep null and repeated
+    ids. Without training texts all is unknown. Other columns are ignored.
+    """
+    return scored(marked(docs, F.lit(False), True).union(marked(training, F.lit(True), False)))
+
+
 def held_out_scores(docs: DataFrame, folds: int = 7, fold: int = 2) -> DataFrame:
     """Scores of all documents by a model of those outside of fold ``fold``."""
     away = held_out(folds, fold)
-    found = score(docs, docs.where(~away))
-    return found.withColumn("held_out", away)
+    return scored(marked(docs, ~away, True)).withColumn("held_out", away)
