@@ -1,11 +1,13 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 
 from tests.llm.helpers import no_docs, odd_docs
 from tidemark.llm import suffix_dedup as dedup
+from tidemark.llm.text import bit_filter
 
 
 def brute(texts, length):
@@ -65,3 +67,23 @@ def test_multikey_order_is_lexicographic():
     words = np.random.default_rng(2).integers(0, 3, (500, 6)).astype(np.uint64)
     order = dedup.multikey_order(words)
     assert [tuple(x) for x in words[order]] == sorted(map(tuple, words))
+
+
+def test_filter_reaches_the_driver_packed(spark):
+    """A row and two numbers for each word of the filter were hundreds of megabytes of the driver."""
+    n, bits = 400_000, dedup.KEY_BITS
+    at = np.unique(np.arange(n) * 167 % bits)
+    tracemalloc.start()
+    try:
+        found = bit_filter(spark.range(n).selectExpr(f"id * 167 % {bits} as bit"), "bit", bits)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    expected = np.zeros(bits // 32, np.uint32)
+    np.bitwise_or.at(expected, at >> 5, np.uint32(1) << (at & 31).astype(np.uint32))
+    assert (found == expected).all()
+    assert peak < bits // 8 + (16 << 20)
+
+
+def test_filter_of_nothing(spark):
+    assert not bit_filter(spark.range(0), "id", 1 << 10).any()
