@@ -2,6 +2,9 @@ import math
 from collections import Counter
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
+import zstandard
 
 from tidemark.llm import lm_score
 
@@ -96,3 +99,47 @@ def test_data_dealt_stays_near_the_size_of_the_texts(spark, monkeypatch):
     assert lm_score.held_out_scores(docs).count() == len(texts)
     dealt = [x.selectExpr("sum(length(data))").head()[0] for x in made if "data" in x.columns]
     assert sum(dealt) < 2 * sum(map(len, texts))
+
+
+def test_words_named_by_hashes_and_spread_over_buckets(spark, monkeypatch):
+    """Few named words, many chunks and buckets; the most frequent word's bigrams are in several."""
+    monkeypatch.setattr(lm_score, "STEP", 300)
+    monkeypatch.setattr(lm_score, "NAMED_WORDS", 5)
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in rng.zipf(1.5, 30) % 40) for _ in range(60)]
+    check(spark, [*texts, "", "", "w1"], [*texts[:5], "", " w1\t\v", "w1 w1 w2 unheard", "unheard w1 w2 w1"])
+
+
+def test_what_a_chunk_deals_is_its_trigrams_once():
+    """Bigrams are sums over the trigrams they begin, and names take three bytes at most."""
+    rng = np.random.default_rng(4)
+    words = [b"word%d" % k for k in range(60_000)]
+    text = b" ".join(words[k] for k in rng.zipf(1.2, 200_000) % len(words)).decode()
+    schema = pa.schema({"doc_id": pa.int64(), "trained": pa.bool_(), "asked": pa.bool_(), "text": pa.string()})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, schema) as out:
+        out.write_batch(pa.RecordBatch.from_arrays([[1], [True], [True], pa.array([text])], schema=schema))
+    texts = lm_score.Texts(zstandard.compress(sink.getvalue()))
+    hot = pd.Index(lm_score.word_keys(words))
+    found = lm_score.Grams(texts, hot, np.full(len(words), 1), 50)
+    shares = dict(found.shares(found.counts(texts.trained)))
+    own = text.encode().split()
+    assert sum(len(lm_score.keys_of(x)[1]) for x in shares.values()) == len({*zip(own, own[1:], strict=False)}) + 3
+    assert sum(map(len, shares.values())) < 4 * len(own)
+
+
+def test_a_quarter_of_a_byte_is_dealt_for_a_character(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"word{k}" for k in rng.zipf(1.3, 3000) % 200_000) for _ in range(400)]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").repartition(2)
+    made, plain = [], lm_score.map_arrow
+
+    def recorded(df, work, schema):
+        made.append(plain(df, work, schema))
+        return made[-1]
+
+    monkeypatch.setattr(lm_score, "map_arrow", recorded)
+    assert lm_score.held_out_scores(docs).count() == len(texts)
+    (grams,) = [x for x in made if {"asked", "bucket"} <= {*x.columns}]
+    dealt = grams.selectExpr("sum(length(data))").head()[0]
+    assert dealt < 0.26 * sum(map(len, texts))

@@ -10,19 +10,23 @@ base score.
 
 Counts cover all training texts and all their words, bigrams and trigrams; what is an arc depends
 on its own count alone, not on the size of the corpus. Nothing is gathered in one place: texts are
-cut into chunks, and a chunk deals its distinct n-grams over tasks by their states, each with its
-count in the chunk's training texts. A task that holds a state holds all its arcs: it adds them up
-and answers each chunk in the order the chunk named them, so answers carry no n-grams. Frequent
-words are named by numbers of two bytes, all others by hashes of eight.
+cut into chunks, and a chunk deals its distinct trigrams over tasks by their first words, each with
+its count in the chunk's training texts. A bigram's count is the sum over the trigrams that begin
+with it, as a text goes on with one more symbol after its end, so bigrams are not dealt. Bigrams of
+a frequent word are spread over several buckets by the second one, and a chunk asks all of them
+for that word's state. A bucket adds up what it holds and answers each chunk in the order the chunk
+named it, so answers carry no n-grams. Frequent words are named by numbers of up to three bytes, all
+others by hashes of eight.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -35,24 +39,25 @@ from tidemark.llm.text import map_arrow, mix, slices, written
 
 #: Least count of an n-gram that is an arc, at any size of the corpus.
 MIN_COUNT = 2
-#: Most symbols of a model that is held in one place, less the class of all others; words that
-#: n-grams name by a number.
+#: Most symbols of a model that is held in one place, less the class of all others.
 HOT_WORDS = 1 << 16
+#: Words, about, that n-grams name by a number.
+NAMED_WORDS = 1 << 18
 #: Bits of a symbol in the n-gram keys of such a model; symbols beyond have no arcs there.
 SYMBOL_BITS = 10
 #: Entries after which a task adds up what it holds.
 HELD = 2_000_000
 #: Characters of the texts of a chunk, and rows that are added to it at a time.
-STEP = 1 << 22
+STEP = 1 << 21
 ROWS = 16
 #: Characters of the texts whose n-grams a task counts, and shares of them per task.
 TASK_CHARS = 1 << 24
 SHARES = 4
 
 END_WORD = b"\n"
+#: The two symbols before a text and the one after its end: no words, and no outcomes.
+BEFORE, BEGIN, AFTER = b"\t", b"\r", b"\f"
 WORDS_KEPT = 300_000
-#: In place of the word before a bigram.
-NONE = HOT_WORDS
 
 #: ``data`` holds texts, see ``chunker``, or columns of numbers, see ``packed``.
 CHUNKS = "chunk long, chars long, asked boolean, data binary"
@@ -66,23 +71,44 @@ def word_key(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word) % (1 << 63) - (1 << 63)
 
 
+def word_keys(words: list[bytes]) -> np.ndarray:
+    value = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    return (value | np.uint64(1 << 63)).view(np.int64)
+
+
 def packed(*columns: np.ndarray) -> bytes:
-    """Columns of whole numbers, compressed byte by byte of the numbers: small ones take little."""
-    sizes = np.array([len(columns), *map(len, columns)], np.int64)
-    parts = [sizes.tobytes()]
-    parts += [c.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+    """Columns of whole numbers, compressed byte by byte of the numbers, as many as the largest has."""
+    sizes, parts = [], []
+    for c in columns:
+        width = 8 if len(c) and c.min() < 0 else (int(c.max(initial=0)).bit_length() + 7) // 8
+        sizes += [len(c), width]
+        parts.append(c.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
+    head = np.array([len(columns), *sizes], np.int64).tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(parts))
 
 
 def unpacked(data: bytes) -> list[np.ndarray]:
     data = np.frombuffer(zstandard.decompress(data), np.uint8)
     count = int(data[:8].view(np.int64)[0])
-    sizes = data[8 : 8 * (count + 1)].view(np.int64)
-    ends = 8 * (count + 1 + np.cumsum(sizes))
-    return [
-        np.ascontiguousarray(data[end - 8 * n : end].reshape(8, n).T).view("<i8").ravel()
-        for n, end in zip(sizes, ends, strict=True)
-    ]
+    at, out = 8 * (2 * count + 1), []
+    for n, width in data[8:at].view(np.int64).reshape(-1, 2).tolist():
+        whole = np.zeros((n, 8), np.uint8)
+        whole[:, :width] = data[at : at + n * width].reshape(width, n).T
+        out.append(whole.view("<i8").ravel())
+        at += n * width
+    return out
+
+
+def parted(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Names from 1, with 0 for each word that is named by a hash, and those hashes."""
+    rare = names < 0
+    return np.where(rare, 0, names + 1), names[rare]
+
+
+def joined(names: np.ndarray, rare: np.ndarray) -> np.ndarray:
+    out = names - 1
+    out[names == 0] = rare
+    return out
 
 
 def gram(before: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -94,12 +120,14 @@ def gram(before: np.ndarray, word: np.ndarray) -> np.ndarray:
 def added(parts: list[np.ndarray], firsts: int) -> np.ndarray:
     """Columns of the distinct first column; beyond ``firsts`` columns they are added up."""
     rows = np.concatenate(parts, axis=1)
-    rows = rows[:, np.argsort(rows[0], kind="stable")]
-    at = np.flatnonzero(np.r_[True, rows[0, 1:] != rows[0, :-1]][: rows.shape[1]])
-    if not len(at):
-        return rows
-    sums = np.add.reduceat(rows[firsts:], at, axis=1)
-    return np.concatenate([rows[:firsts, at], sums])
+    code, keys = pd.factorize(rows[0])
+    out = np.empty((len(rows), len(keys)), np.int64)
+    for column, own in zip(rows[:firsts], out, strict=False):
+        own[code] = column
+    for column, own in zip(rows[firsts:], out[firsts:], strict=True):
+        # Whole numbers, exact as doubles: they are counts of tokens.
+        own[:] = np.bincount(code, column, len(keys))
+    return out
 
 
 class Places(dict):
@@ -151,45 +179,101 @@ def symbol_keys(*symbols: np.ndarray) -> np.ndarray:
 
 
 class Grams:
-    """The distinct bigrams and trigrams of a chunk by their states, in an order of their own.
+    """The distinct trigrams of a chunk, by the bigrams they begin with and these by their first words.
 
-    ``states`` are (word before or ``NONE``, word); ``state``, ``word`` of each n-gram. ``pair`` and
-    ``triple`` number the n-grams that end at the texts' places, ``name`` the words there;
-    ``bigram_states`` are the names of the first states.
+    A word's bigrams are in ``spread`` buckets, each of which has a part of it. Parts, bigrams
+    and trigrams are numbered bucket by bucket. For each of the texts' places, ``word`` is the
+    number of the word among the chunk's ``names``, ``before`` the one before it, ``pair`` and
+    ``triple`` are the bigram and trigram that end there, ``pair_before`` is the bigram before the word.
     """
 
-    def __init__(self, texts: list[list[bytes]], places: Places):
-        keys, _, begins, self.sizes = laid_out(texts, places, HOT_WORDS)
-        at = own_places(keys, begins, self.sizes)
-        names, local = np.unique(keys, return_inverse=True)
-        a, b, c = (local[at - k] for k in (2, 1, 0))
-        k = len(names)
-        one, of_one = np.unique(b, return_inverse=True)
-        two, of_two = np.unique(a * k + b, return_inverse=True)
-        pairs, self.pair = np.unique(of_one * k + c, return_inverse=True)
-        triples, triple = np.unique(of_two * k + c, return_inverse=True)
-        self.triple = triple + len(pairs)
-        self.name, self.names, self.bigram_states = c, k, one
-        before = np.r_[np.full(len(one), NONE), names[two // k]]
-        self.states = np.stack([before, names[np.r_[one, two % k]]])
-        self.state = np.r_[pairs // k, triples // k + len(one)]
-        self.word = names[np.r_[pairs % k, triples % k]]
-
-    def counts(self, own: np.ndarray) -> np.ndarray:
-        """How often each n-gram ends at the places ``own``."""
-        ends = np.r_[self.pair[own], self.triple[own]]
-        return np.bincount(ends, minlength=len(self.word))
-
-    def dealt(self, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(bucket, its states, its n-grams): an n-gram is where its state is."""
-        of_state = gram(*self.states) % buckets
-        of_gram = of_state[self.state]
-        states, grams = (np.argsort(x, kind="stable") for x in (of_state, of_gram))
-        every = np.arange(buckets + 1)
-        cut = np.searchsorted(of_state[states], every)
-        cut_grams = np.searchsorted(of_gram[grams], every)
-        for k in np.flatnonzero(np.diff(cut)).tolist():
-            yield k, states[cut[k] : cut[k + 1]], grams[cut_grams[k] : cut_grams[k + 1]]
+    def __init__(self, texts: Texts, hot: pd.Index, spread: np.ndarray, buckets: int):
+        self.sizes = texts.sizes + 1
+        keys = np.r_[texts.keys(), word_keys([BEFORE, BEGIN, END_WORD, AFTER])]
+        place = hot.get_indexer(keys)
+        self.names = np.where(place < 0, keys, place)
+        k = len(keys)
+        before, begin, end, after = range(k - 4, k)
+        ends = np.cumsum(self.sizes + 3)
+        first = ends - self.sizes - 3
+        local = np.full(ends[-1], -1, np.int64)
+        local[first], local[first + 1], local[ends - 2], local[ends - 1] = before, begin, end, after
+        local[local < 0] = texts.words
+        goes_on = np.ones(len(local), bool)
+        goes_on[ends - 1] = goes_on[ends - 2] = False
+        at = np.flatnonzero(goes_on)
+        b, c = local[at + 1], local[at + 2]
+        pair, pairs = pd.factorize(local[at] * k + b)
+        triple, triples = pd.factorize(pair * k + c)
+        # What begins a text is as frequent as the end.
+        parts = np.where(self.names < 0, 1, np.append(spread, 1)[np.maximum(self.names, 0)])
+        parts[begin] = parts[end]
+        self.deal(pairs // k, pairs % k, triples // k, triples % k, parts, buckets)
+        self.begins = self.new_triple[triple]
+        # The trigram of a text's end and what comes after it ends at none of the text's places.
+        own = np.ones(len(at), bool)
+        own[np.cumsum(self.sizes + 1) - 1] = False
+        own = np.flatnonzero(own)
+        self.triple, self.pair_before = self.begins[own], self.new_pair[pair[own]]
+        self.pair, self.before, self.word = self.new_pair[pair[own + 1]], b[own], c[own]
+        # The end leads nowhere: its count is that of what comes before a first word.
+        self.count_of = np.arange(k)
+        self.count_of[end] = begin
+
+    def deal(self, a, b, of_pair, c, parts: np.ndarray, buckets: int) -> None:
+        """Numbers ``parts`` of the words, bigrams ``(a, b)`` and trigrams ``(of_pair, c)`` by buckets."""
+        names = self.names
+        drawn = (mix(names.view(np.uint64)) >> np.uint64(1)).view(np.int64)
+        leads = np.zeros(len(names), bool)
+        leads[a] = True
+        parts = np.where(leads, parts, 0)
+        base = np.cumsum(parts) - parts
+        of_part = np.repeat(np.arange(len(names)), parts)
+        bucket = (drawn[of_part] + np.arange(len(of_part)) - base[of_part]) % buckets
+        part = base[a] + drawn[b] % parts[a]
+
+        rank = np.empty(len(names), np.int64)
+        rank[np.argsort(names)] = np.arange(len(names))
+
+        def numbered(group: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            order = np.argsort(group * len(names) + rank[name])
+            new = np.empty(len(order), np.int64)
+            new[order] = np.arange(len(order))
+            return order, new
+
+        order, new_part = numbered(bucket, of_part)
+        self.part_word = of_part[order]
+        cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        by_part, self.new_pair = numbered(new_part[part], b)
+        self.pair_word = b[by_part]
+        self.pairs_of = np.bincount(new_part[part], minlength=len(order))
+        by_pair, self.new_triple = numbered(self.new_pair[of_pair], c)
+        self.triple_word = c[by_pair]
+        self.triples_of = np.bincount(self.new_pair[of_pair], minlength=len(by_part))
+        cut_pairs = np.r_[0, np.cumsum(self.pairs_of)][cut]
+        cut_triples = np.r_[0, np.cumsum(self.triples_of)][cut_pairs]
+        self.cuts = np.stack([cut, cut_pairs, cut_triples], axis=1)
+
+    def counts(self, trained: np.ndarray) -> np.ndarray:
+        """How often each trigram is in the texts ``trained``."""
+        own = np.repeat(trained, self.sizes + 1)
+        return np.bincount(self.begins[own], minlength=len(self.triple_word))
+
+    def shares(self, counts: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        """(bucket, what the chunk has in it): names and sizes, see ``keys_of``, and the counts."""
+        for k in np.flatnonzero(np.diff(self.cuts[:, 0])).tolist():
+            parts, pairs, triples = (slice(*x) for x in self.cuts[k : k + 2].T)
+            yield (
+                k,
+                packed(
+                    *parted(self.names[self.part_word[parts]]),
+                    self.pairs_of[parts],
+                    *parted(self.names[self.pair_word[pairs]]),
+                    self.triples_of[pairs],
+                    *parted(self.names[self.triple_word[triples]]),
+                    counts[triples],
+                ),
+            )
 
 
 def chunker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,7 +285,7 @@ def chunker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, rows.schema) as out:
             out.write_table(rows.combine_chunks())
-        data = zstandard.ZstdCompressor(level=3).compress(sink.getvalue())
+        data = zstandard.ZstdCompressor(level=6).compress(sink.getvalue())
         asked = any(rows["asked"].to_pylist())
         columns = [pa.array(x) for x in ([chunk], [size], [asked], [data])]
         return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in CHUNKS.split(", ")])
@@ -216,51 +300,69 @@ def chunker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row()
 
 
-def texts_of(data: bytes) -> tuple[list, np.ndarray, np.ndarray, list[list[bytes]]]:
-    """(ids, trained, asked, words) of the texts of a chunk."""
-    rows = pa.ipc.open_stream(zstandard.decompress(data)).read_all()
-    texts = [x.encode().lower().split() if x else [] for x in rows["text"].to_pylist()]
-    trained, asked = (np.array(rows[c].to_pylist(), bool) for c in ("trained", "asked"))
-    return rows["doc_id"].to_pylist(), trained, asked, texts
+class Texts:
+    """The texts of a chunk: ``ids``, ``trained``, ``asked``, and ``words``, numbers in ``known``.
+
+    ``sizes`` has the number of words of each text.
+    """
+
+    def __init__(self, data: bytes):
+        rows = pa.ipc.open_stream(zstandard.decompress(data)).read_all().combine_chunks()
+        self.ids = rows["doc_id"].to_pylist()
+        self.trained, self.asked = (np.array(rows[c].to_pylist(), bool) for c in ("trained", "asked"))
+        text = pa.concat_arrays(rows["text"].cast(pa.large_string()).chunks)
+        parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(text, "")))
+        flat = parts.flatten()
+        # White space at the ends of a text leaves empty strings there.
+        full = pc.not_equal(pc.binary_length(flat), 0)
+        ends = np.cumsum(np.r_[0, full.to_numpy(zero_copy_only=False)])
+        self.sizes = np.diff(ends[np.r_[0, np.cumsum(pc.list_value_length(parts).to_numpy())]])
+        words = flat.filter(full).dictionary_encode()
+        self.words = words.indices.to_numpy().astype(np.int64)
+        self.known = words.dictionary.cast(pa.large_binary()).to_pylist()
+
+    def keys(self) -> np.ndarray:
+        """The key of each known word."""
+        return word_keys(self.known)
+
+    def own_words(self, texts: np.ndarray) -> np.ndarray:
+        """The words of the texts marked."""
+        return self.words[np.repeat(texts, self.sizes)]
 
 
 def word_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of the words and ends of the training texts."""
-    counts: Counter[bytes] = Counter()
+    parts, held = [], 0
 
     def rows() -> pa.RecordBatch:
-        columns = [pa.array(map(word_key, counts), pa.int64()), pa.array(counts.values(), pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, names=["word", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in added(parts, 1)], names=["word", "n"])
 
     for batch in batches:
         for data in batch[0]:
-            _, trained, _, texts = texts_of(data.as_py())
-            for words, own in zip(texts, trained.tolist(), strict=True):
-                if own:
-                    counts.update(words)
-                    counts[END_WORD] += 1
-            if len(counts) > WORDS_KEPT:
+            texts = Texts(data.as_py())
+            n = np.bincount(texts.own_words(texts.trained), minlength=len(texts.known))
+            ends = np.array([[word_key(END_WORD)], [texts.trained.sum()]], np.int64)
+            found = np.concatenate([np.stack([texts.keys(), n]), ends], axis=1)
+            parts.append(found[:, found[1] > 0])
+            held += parts[-1].shape[1]
+            if held > HELD:
                 yield rows()
-                counts.clear()
-    if counts:
+                parts, held = [], 0
+    if parts:
         yield rows()
 
 
-def asker(hot, buckets: int):
-    """The n-grams of each chunk by state, with their counts in its training texts."""
+def asker(named, buckets: int):
+    """The trigrams of each chunk by bucket, with their counts in its training texts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = Places(hot.value)
+        words, spread = named.value
+        hot = pd.Index(words)
         for part in slices(batches, ROWS):
             for chunk, asked, data in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                _, trained, _, texts = texts_of(data)
-                found = Grams(texts, places)
-                counts = found.counts(np.repeat(trained, found.sizes))
-                rows = []
-                for k, states, grams in found.dealt(buckets):
-                    kinds = np.diff(np.flatnonzero(np.diff(found.state[grams], prepend=-1, append=-1)))
-                    columns = *found.states[:, states], kinds, found.word[grams], counts[grams]
-                    rows.append((k, chunk, asked, packed(*columns)))
+                texts = Texts(data)
+                found = Grams(texts, hot, spread, buckets)
+                rows = [(k, chunk, asked, x) for k, x in found.shares(found.counts(texts.trained))]
                 columns = zip(*rows, strict=True)
                 kinds_of = (pa.int32(), pa.int64(), pa.bool_(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
@@ -271,12 +373,18 @@ def asker(hot, buckets: int):
     return work
 
 
-def keys_of(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(key of each state, key of each n-gram, key of its state, its count) of a chunk's share."""
-    before, last, kinds, word, n = unpacked(data)
-    state = gram(before, last)
-    of = np.repeat(state, kinds)
-    return state, gram(of, word), of, n
+def keys_of(data: bytes) -> tuple[np.ndarray, ...]:
+    """(word of each part; key of each bigram, its word; key of each trigram; its count) of a share.
+
+    The words and keys of what a trigram begins with are given once for each trigram as well.
+    """
+    word, rare, pairs, second, rare_second, triples, third, rare_third, n = unpacked(data)
+    word = joined(word, rare)
+    first = np.repeat(word, pairs)
+    pair = gram(first, joined(second, rare_second))
+    before = np.repeat(pair, triples)
+    triple = gram(before, joined(third, rare_third))
+    return word, pair, np.stack([triple, before, np.repeat(first, triples), n])
 
 
 def answerer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,31 +400,38 @@ def answerer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 now, asked, parts, held = bucket, [], [], 0
             if wanted:
                 asked.append((chunk, data))
-            _, *rows = keys_of(data)
-            rows = np.stack(rows)
-            parts.append(rows[:, rows[2] > 0])
+            rows = keys_of(data)[-1]
+            parts.append(rows[:, rows[-1] > 0])
             held += parts[-1].shape[1]
             if held > HELD:
-                parts, held = [added(parts, 2)], 0
+                parts, held = [added(parts, 3)], 0
     yield from answered(now, asked, parts)
 
 
 def answered(bucket: int | None, asked: list[tuple[int, bytes]], parts: list[np.ndarray]):
-    """Answers of a bucket to the shares ``asked``, from (key, key of its state, count) of n-grams."""
+    """Answers of a bucket to the shares ``asked``, from (key, its bigram's, first word, count) of trigrams."""
     if not asked:
         return
-    keys, state, n = added(parts, 2)
-    arc = n >= MIN_COUNT
-    states = added([np.stack([state, n, arc.astype(np.int64), n * arc])], 1)
-    keys, n = keys[arc], n[arc]
+
+    def arcs(n: np.ndarray) -> list[np.ndarray]:
+        arc = n >= MIN_COUNT
+        return [n, arc.astype(np.int64), n * arc]
+
+    triples, before, first, n = added(parts, 3)
+    n, *own = arcs(n)
+    pairs = added([np.stack([before, first, n, *own])], 2)
+    words = added([np.stack([pairs[1], *arcs(pairs[2])])], 1)
+    tables = [pd.Index(x) for x in (triples, pairs[0], words[0])]
+    # What is seen less often than an arc has no arcs after it: its own count weighs nothing.
+    columns = own[1:], [arcs(pairs[2])[2], *pairs[3:]], words[1:]
+    # A key that is not there has the place -1.
+    columns = [[np.append(x, 0) for x in own] for own in columns]
     for chunk, data in asked:
-        own, grams, _, _ = keys_of(data)
-        found = []
-        for wanted, table, columns in ((grams, keys, [n]), (own, states[0], states[1:])):
-            place, there = Automaton.find(wanted, table)
-            found += [np.where(there, c[place], 0) if len(table) else np.zeros(len(wanted)) for c in columns]
-        columns = [pa.array([chunk], pa.int64()), pa.array([bucket], pa.int32()), pa.array([packed(*found)])]
-        yield pa.RecordBatch.from_arrays(columns, names=["chunk", "bucket", "data"])
+        word, pair, rows = keys_of(data)
+        places = [table.get_indexer(x) for table, x in zip(tables, (rows[0], pair, word), strict=True)]
+        found = [x[place] for place, own in zip(places, columns, strict=True) for x in own]
+        made = [pa.array([chunk], pa.int64()), pa.array([bucket], pa.int32()), pa.array([packed(*found)])]
+        yield pa.RecordBatch.from_arrays(made, names=["chunk", "bucket", "data"])
 
 
 def weighed(n, seen, kinds, held) -> tuple[np.ndarray, np.ndarray]:
@@ -345,39 +460,40 @@ def chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, dict[i
         yield texts, answers
 
 
-def scorer(hot, buckets: int, tokens: int, distinct: int, once: int):
+def scorer(named, buckets: int, tokens: int, distinct: int, once: int):
     """Scores of chunks whose answers hold all that the training texts say of them."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = Places(hot.value)
+        words, spread = named.value
+        hot = pd.Index(words)
         for data, answers in chunks_of(batches):
-            ids, _, asked, texts = texts_of(data)
-            found = Grams(texts, places)
-            counts = np.zeros(len(found.word), np.int64)
-            # Of each state: its count, its arcs, and the sum of their counts.
-            states = np.zeros((3, found.states.shape[1]), np.int64)
-            for k, own, grams in found.dealt(buckets):
-                counts[grams], *states[:, own] = unpacked(answers[k])
-            # Every word leads on, and the end to the first word: a word's count is its state's.
-            words = np.zeros(found.names, np.int64)
-            words[found.bigram_states] = states[0, : len(found.bigram_states)]
-            word = words[found.name]
+            texts = Texts(data)
+            found = Grams(texts, hot, spread, buckets)
+            # Of trigrams the counts; of bigrams and of words (count, arcs, sum of their counts).
+            told = zip(*(unpacked(answers.pop(k)) for k in sorted(answers)), strict=True)
+            triples, *pairs_and_parts = map(np.concatenate, told)
+            pairs, parts = pairs_and_parts[:3], pairs_and_parts[3:]
+            states = [np.bincount(found.part_word, x, len(found.names)) for x in parts]
+            word = states[0][found.count_of[found.word]]
             chance = np.where(word > 0, word, once) / (tokens + once)
-            for own in (found.pair, found.triple):
-                arc, fail = weighed(counts[own], *states[:, found.state[own]])
+            for n, state in (
+                (pairs[0][found.pair], (x[found.before] for x in states)),
+                (triples[found.triple], (x[found.pair_before] for x in pairs)),
+            ):
+                arc, fail = weighed(n, *state)
                 chance = arc + fail * chance
             values = np.stack([word > 0, np.log10((word + 1) / (tokens + distinct + 1)), np.log10(chance)])
             known, base, score = np.add.reduceat(values, np.cumsum(found.sizes) - found.sizes, axis=1)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids, pa.int64()),
+                    pa.array(texts.ids, pa.int64()),
                     pa.array(found.sizes),
                     pa.array(known.astype(np.int64)),
                     pa.array(base),
                     pa.array(score),
                 ],
                 names=[x.split()[0] for x in SCORED.split(", ")],
-            ).filter(pa.array(asked))
+            ).filter(pa.array(texts.asked))
 
     return work
 
@@ -437,6 +553,23 @@ class Automaton:
         chance[there] += weight[place[there]]
 
 
+def columns_packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data = packed(*(c.to_numpy(zero_copy_only=False) for c in batch.columns))
+        yield pa.RecordBatch.from_arrays([pa.array([data])], names=["data"])
+
+
+def frequent(words: DataFrame, distinct: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, counts) of the most frequent words, about ``NAMED_WORDS`` at most, frequent ones first."""
+    if distinct > NAMED_WORDS:
+        share = 1 - NAMED_WORDS / distinct
+        words = words.where(F.col("n") > words.agg(F.percentile_approx("n", share)).head()[0])
+    parts = [unpacked(r.data) for r in map_arrow(words.select("word", "n"), columns_packed, "data binary").collect()]
+    word, n = np.concatenate([np.empty((2, 0), np.int64), *(np.stack(x) for x in parts)], axis=1)
+    order = np.lexsort((word, -n))
+    return word[order], n[order]
+
+
 def scored(rows: DataFrame) -> DataFrame:
     """Scores of the ``asked`` of ``rows (doc_id, trained, asked, text)`` by a model of the ``trained``."""
     spark = rows.sparkSession
@@ -445,17 +578,19 @@ def scored(rows: DataFrame) -> DataFrame:
     words = written(words.groupBy("word").agg(F.sum("n").alias("n")), "words")
     totals = words.selectExpr("coalesce(sum(n), 0)", "count(*)", "count_if(n = 1)").head()
     tokens, distinct, once = map(int, totals)
-    first = words.orderBy(F.desc("n"), "word").limit(HOT_WORDS).collect()
-    hot = spark.sparkContext.broadcast({r.word: k for k, r in enumerate(first)})
     chars = chunks.agg(F.sum("chars")).head()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), chars // TASK_CHARS)
     buckets = SHARES * tasks
-    grams = map_arrow(chunks.select("chunk", "asked", "data"), asker(hot, buckets), GRAMS)
+    hot, n = frequent(words, distinct)
+    # A word's bigrams are in more than one bucket if they would be more than one's even share.
+    spread = np.minimum(1 + n * buckets // max(1, tokens), buckets)
+    named = spark.sparkContext.broadcast((hot, spread))
+    grams = map_arrow(chunks.select("chunk", "asked", "data"), asker(named, buckets), GRAMS)
     grams = grams.repartition(tasks, "bucket").sortWithinPartitions("bucket")
     answers = map_arrow(grams, answerer, ANSWERS)
     texts = chunks.where("asked").select("chunk", F.lit(None).cast("int").alias("bucket"), "data")
-    rows = texts.union(answers).repartition(tasks, "chunk").sortWithinPartitions("chunk")
-    work = scorer(hot, buckets, tokens, distinct, max(1, once))
+    rows = texts.union(answers).repartition(2 * tasks, "chunk").sortWithinPartitions("chunk")
+    work = scorer(named, buckets, tokens, distinct, max(1, once))
     return map_arrow(rows, work, SCORED).select(
         "doc_id",
         "n_tokens",
