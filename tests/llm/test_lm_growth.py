@@ -122,7 +122,7 @@ def test_what_a_chunk_deals_is_its_trigrams_once():
     texts = lm_score.Texts(zstandard.compress(sink.getvalue()))
     hot = pd.Index(lm_score.word_keys(words))
     found = lm_score.Grams(texts, hot, np.full(len(words), 1), 50)
-    shares = dict(found.shares(found.counts(texts.trained)))
+    shares = dict(lm_score.shares([found.dealt(found.counts(texts.trained))]))
     own = text.encode().split()
     assert sum(len(lm_score.keys_of(x)[1]) for x in shares.values()) == len({*zip(own, own[1:], strict=False)}) + 3
     assert sum(map(len, shares.values())) < 4 * len(own)
@@ -143,3 +143,39 @@ def test_a_quarter_of_a_byte_is_dealt_for_a_character(spark, monkeypatch):
     (grams,) = [x for x in made if {"asked", "bucket"} <= {*x.columns}]
     dealt = grams.selectExpr("sum(length(data))").head()[0]
     assert dealt < 0.26 * sum(map(len, texts))
+
+
+def test_a_chunk_of_pieces_deals_one_row_a_bucket(monkeypatch):
+    """Rows are those of chunks, not of their pieces, and each piece gets its own answers."""
+
+    class Task:
+        partitionId = staticmethod(lambda: 3)  # noqa: N815
+        get = classmethod(lambda cls: cls)
+
+    class Named:
+        pass
+
+    for name, value in {"TaskContext": Task, "STEP": 200, "ROWS": 1, "HELD": 100}.items():
+        monkeypatch.setattr(lm_score, name, value)
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{k}" for k in rng.zipf(1.4, rng.integers(0, 40)) % 60) for _ in range(90)] + ["", "w1"]
+    yes, names = [True] * len(texts), ["doc_id", "trained", "asked", "text"]
+    rows = pa.RecordBatch.from_arrays([pa.array(x) for x in (range(len(texts)), yes, yes, texts)], names=names)
+    chunks = pa.Table.from_batches(lm_score.chunker([rows]))
+    pieces = sum(len([*lm_score.pieces_of(x.as_py())]) for x in chunks["data"])
+    assert 2 * lm_score.PIECES < pieces <= lm_score.PIECES * len(chunks)
+    words = lm_score.word_counter(chunks.select(["data"]).to_batches())
+    word, n = lm_score.added([np.stack([x.to_numpy() for x in part.columns]) for part in words], 1)
+    few, buckets = np.argsort(-n)[:9], 5
+    Named.value = word[few], np.minimum(buckets, 1 + n[few] * buckets // n.sum())
+    grams = [*lm_score.asker(Named, buckets)(chunks.select(["chunk", "asked", "data"]).to_batches())]
+    grams = pa.Table.from_batches(grams).sort_by("bucket")
+    assert len(grams) <= buckets * len(chunks)
+    answers = pa.Table.from_batches(lm_score.answerer(grams.to_batches()))
+    own = chunks.select(["chunk", "data"]).add_column(1, "bucket", pa.nulls(len(chunks), pa.int32()))
+    both = pa.concat_tables([own, answers]).sort_by("chunk").combine_chunks()
+    score = lm_score.scorer(Named, buckets, int(n.sum()), len(n), max(1, int((n == 1).sum())))
+    found = pa.Table.from_batches(score(both.to_batches())).to_pydict()
+    assert found["doc_id"] == [*range(len(texts))]
+    for k, value in enumerate(found["score"]):
+        assert math.isclose(value, expected_score(texts[k].split(), texts), rel_tol=1e-9)

@@ -10,8 +10,8 @@ base score.
 
 Counts cover all training texts and all their words, bigrams and trigrams; what is an arc depends
 on its own count alone, not on the size of the corpus. Nothing is gathered in one place: texts are
-cut into chunks, and a chunk deals its distinct trigrams over tasks by their first words, each with
-its count in the chunk's training texts. A bigram's count is the sum over the trigrams that begin
+cut into pieces, some of which are a chunk, and a chunk deals the distinct trigrams of its pieces
+over tasks by their first words, each with its count in the piece's training texts. A bigram's count is the sum over the trigrams that begin
 with it, as a text goes on with one more symbol after its end, so bigrams are not dealt. Bigrams of
 a frequent word are spread over several buckets by the second one, and a chunk asks all of them
 for that word's state. A bucket adds up what it holds and answers each chunk in the order the chunk
@@ -47,12 +47,13 @@ NAMED_WORDS = 1 << 18
 SYMBOL_BITS = 10
 #: Entries after which a task adds up what it holds.
 HELD = 2_000_000
-#: Characters of the texts of a chunk, and rows that are added to it at a time.
+#: Characters of the texts of a piece, rows that are added to it at a time, and pieces of a chunk.
 STEP = 1 << 21
 ROWS = 16
+PIECES = 8
 #: Characters of the texts whose n-grams a task counts, and shares of them per task.
 TASK_CHARS = 1 << 24
-SHARES = 4
+SHARES = 3
 
 END_WORD = b"\n"
 #: The two symbols before a text and the one after its end: no words, and no outcomes.
@@ -87,14 +88,16 @@ def packed(*columns: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(head + b"".join(parts))
 
 
-def unpacked(data: bytes) -> list[np.ndarray]:
+def unpacked(data: bytes, small: bool = False) -> list[np.ndarray]:
+    """The columns; ``small``: of the least type that holds them, if none is below 0."""
     data = np.frombuffer(zstandard.decompress(data), np.uint8)
     count = int(data[:8].view(np.int64)[0])
     at, out = 8 * (2 * count + 1), []
     for n, width in data[8:at].view(np.int64).reshape(-1, 2).tolist():
-        whole = np.zeros((n, 8), np.uint8)
+        room = next(x for x in (1, 2, 4, 8) if x >= width) if small else 8
+        whole = np.zeros((n, room), np.uint8)
         whole[:, :width] = data[at : at + n * width].reshape(width, n).T
-        out.append(whole.view("<i8").ravel())
+        out.append(whole.view("<i8" if room == 8 else f"<u{room}").ravel())
         at += n * width
     return out
 
@@ -117,17 +120,19 @@ def gram(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return (value >> np.uint64(1)).view(np.int64)
 
 
-def added(parts: list[np.ndarray], firsts: int) -> np.ndarray:
-    """Columns of the distinct first column; beyond ``firsts`` columns they are added up."""
-    rows = np.concatenate(parts, axis=1)
-    code, keys = pd.factorize(rows[0])
-    out = np.empty((len(rows), len(keys)), np.int64)
-    for column, own in zip(rows[:firsts], out, strict=False):
+def added(parts: list, firsts: int) -> list[np.ndarray]:
+    """Columns of the distinct first column; beyond ``firsts`` columns they are added up.
+
+    Takes the parts out of their list, so that they are not held beside the sums.
+    """
+    columns = parts[0] if len(parts) == 1 else [np.concatenate(c) for c in zip(*parts, strict=True)]
+    parts.clear()
+    code, keys = pd.factorize(columns[0])
+    out = [keys, *(np.empty(len(keys), np.int64) for _ in columns[1:firsts])]
+    for own, column in zip(out[1:], columns[1:firsts], strict=True):
         own[code] = column
-    for column, own in zip(rows[firsts:], out[firsts:], strict=True):
-        # Whole numbers, exact as doubles: they are counts of tokens.
-        own[:] = np.bincount(code, column, len(keys))
-    return out
+    # Whole numbers, exact as doubles: they are counts of tokens.
+    return out + [np.bincount(code, c, len(keys)).astype(np.int64) for c in columns[firsts:]]
 
 
 class Places(dict):
@@ -179,11 +184,11 @@ def symbol_keys(*symbols: np.ndarray) -> np.ndarray:
 
 
 class Grams:
-    """The distinct trigrams of a chunk, by the bigrams they begin with and these by their first words.
+    """The distinct trigrams of a piece, by the bigrams they begin with and these by their first words.
 
     A word's bigrams are in ``spread`` buckets, each of which has a part of it. Parts, bigrams
     and trigrams are numbered bucket by bucket. For each of the texts' places, ``word`` is the
-    number of the word among the chunk's ``names``, ``before`` the one before it, ``pair`` and
+    number of the word among the piece's ``names``, ``before`` the one before it, ``pair`` and
     ``triple`` are the bigram and trigram that end there, ``pair_before`` is the bigram before the word.
     """
 
@@ -259,49 +264,71 @@ class Grams:
         own = np.repeat(trained, self.sizes + 1)
         return np.bincount(self.begins[own], minlength=len(self.triple_word))
 
-    def shares(self, counts: np.ndarray) -> Iterator[tuple[int, bytes]]:
-        """(bucket, what the chunk has in it): names and sizes, see ``keys_of``, and the counts."""
-        for k in np.flatnonzero(np.diff(self.cuts[:, 0])).tolist():
-            parts, pairs, triples = (slice(*x) for x in self.cuts[k : k + 2].T)
-            yield (
-                k,
-                packed(
-                    *parted(self.names[self.part_word[parts]]),
-                    self.pairs_of[parts],
-                    *parted(self.names[self.pair_word[pairs]]),
-                    self.triples_of[pairs],
-                    *parted(self.names[self.triple_word[triples]]),
-                    counts[triples],
-                ),
-            )
+    def dealt(self, counts: np.ndarray) -> tuple[np.ndarray, list[list[np.ndarray]]]:
+        """(bounds of the buckets, (names, sizes) of parts, bigrams and trigrams); for sizes, ``counts``."""
+        words = self.part_word, self.pair_word, self.triple_word
+        sizes = self.pairs_of, self.triples_of, counts
+        return self.cuts, [[self.names[w], n.astype(np.int32)] for w, n in zip(words, sizes, strict=True)]
+
+
+def shares(pieces: list[tuple[np.ndarray, list[list[np.ndarray]]]]) -> Iterator[tuple[int, bytes]]:
+    """(bucket, what a chunk has in it, piece by piece) of its pieces' ``dealt``; see ``keys_of``."""
+    for k in range(len(pieces[0][0]) - 1):
+        columns = []
+        for level in range(3):
+            for column in range(2):
+                parts = [own[level][column][slice(*cuts[k : k + 2, level])] for cuts, own in pieces]
+                made = np.concatenate(parts)
+                columns += [made] if column else parted(made)
+        if len(columns[0]):
+            yield k, packed(*columns)
+
+
+def framed(pieces: list[bytes]) -> bytes:
+    return np.array([len(pieces), *map(len, pieces)], np.int64).tobytes() + b"".join(pieces)
+
+
+def pieces_of(data: bytes) -> Iterator[bytes]:
+    at = 8 * (1 + int(np.frombuffer(data, np.int64, 1)[0]))
+    for size in np.frombuffer(data[8:at], np.int64).tolist():
+        yield data[at : at + size]
+        at += size
 
 
 def chunker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each ``STEP`` characters of the texts: (doc_id, trained, asked, text) packed."""
-    chunk, parts, size = TaskContext.get().partitionId() << 36, [], 0
+    """Rows of ``PIECES`` pieces, each with ``STEP`` characters of the texts: (doc_id, trained, asked, text)."""
+    chunk, pieces, chars, asked, parts, size = TaskContext.get().partitionId() << 36, [], 0, False, [], 0
 
-    def row() -> pa.RecordBatch:
+    def piece() -> bytes:
         rows = pa.Table.from_batches(parts)
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, rows.schema) as out:
             out.write_table(rows.combine_chunks())
-        data = zstandard.ZstdCompressor(level=6).compress(sink.getvalue())
-        asked = any(rows["asked"].to_pylist())
-        columns = [pa.array(x) for x in ([chunk], [size], [asked], [data])]
+        return zstandard.ZstdCompressor(level=6).compress(sink.getvalue())
+
+    def row() -> pa.RecordBatch:
+        columns = [pa.array([x]) for x in (chunk, chars, asked, framed(pieces))]
         return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in CHUNKS.split(", ")])
 
     for part in slices(batches, ROWS):
         parts.append(part)
+        asked = asked or any(part["asked"].to_pylist())
         size += sum(len(x or "") for x in part["text"].to_pylist())
         if size >= STEP:
-            yield row()
-            chunk, parts, size = chunk + 1, [], 0
+            pieces.append(piece())
+            chars, parts, size = chars + size, [], 0
+            if len(pieces) == PIECES:
+                yield row()
+                chunk, pieces, chars, asked = chunk + 1, [], 0, False
     if parts:
+        pieces.append(piece())
+        chars += size
+    if pieces:
         yield row()
 
 
 class Texts:
-    """The texts of a chunk: ``ids``, ``trained``, ``asked``, and ``words``, numbers in ``known``.
+    """The texts of a piece: ``ids``, ``trained``, ``asked``, and ``words``, numbers in ``known``.
 
     ``sizes`` has the number of words of each text.
     """
@@ -338,8 +365,8 @@ def word_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(x) for x in added(parts, 1)], names=["word", "n"])
 
     for batch in batches:
-        for data in batch[0]:
-            texts = Texts(data.as_py())
+        for data in (x for row in batch[0] for x in pieces_of(row.as_py())):
+            texts = Texts(data)
             n = np.bincount(texts.own_words(texts.trained), minlength=len(texts.known))
             ends = np.array([[word_key(END_WORD)], [texts.trained.sum()]], np.int64)
             found = np.concatenate([np.stack([texts.keys(), n]), ends], axis=1)
@@ -360,9 +387,11 @@ def asker(named, buckets: int):
         hot = pd.Index(words)
         for part in slices(batches, ROWS):
             for chunk, asked, data in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                texts = Texts(data)
-                found = Grams(texts, hot, spread, buckets)
-                rows = [(k, chunk, asked, x) for k, x in found.shares(found.counts(texts.trained))]
+                pieces = []
+                for texts in map(Texts, pieces_of(data)):
+                    found = Grams(texts, hot, spread, buckets)
+                    pieces.append(found.dealt(found.counts(texts.trained)))
+                rows = [(k, chunk, asked, x) for k, x in shares(pieces)]
                 columns = zip(*rows, strict=True)
                 kinds_of = (pa.int32(), pa.int64(), pa.bool_(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
@@ -384,7 +413,7 @@ def keys_of(data: bytes) -> tuple[np.ndarray, ...]:
     pair = gram(first, joined(second, rare_second))
     before = np.repeat(pair, triples)
     triple = gram(before, joined(third, rare_third))
-    return word, pair, np.stack([triple, before, np.repeat(first, triples), n])
+    return word, pair, (triple, before, np.repeat(first, triples), n)
 
 
 def answerer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -401,15 +430,16 @@ def answerer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if wanted:
                 asked.append((chunk, data))
             rows = keys_of(data)[-1]
-            parts.append(rows[:, rows[-1] > 0])
-            held += parts[-1].shape[1]
+            seen = rows[-1] > 0
+            parts.append([x[seen] for x in rows])
+            held += len(parts[-1][0])
             if held > HELD:
                 parts, held = [added(parts, 3)], 0
     yield from answered(now, asked, parts)
 
 
 def answered(bucket: int | None, asked: list[tuple[int, bytes]], parts: list[np.ndarray]):
-    """Answers of a bucket to the shares ``asked``, from (key, its bigram's, first word, count) of trigrams."""
+    """Answers of a bucket to the shares ``asked``; ``parts`` are (key, bigram, first word, count) of trigrams."""
     if not asked:
         return
 
@@ -418,14 +448,17 @@ def answered(bucket: int | None, asked: list[tuple[int, bytes]], parts: list[np.
         return [n, arc.astype(np.int64), n * arc]
 
     triples, before, first, n = added(parts, 3)
-    n, *own = arcs(n)
-    pairs = added([np.stack([before, first, n, *own])], 2)
-    words = added([np.stack([pairs[1], *arcs(pairs[2])])], 1)
-    tables = [pd.Index(x) for x in (triples, pairs[0], words[0])]
+    own = arcs(n)
+    triples, n = triples[n >= MIN_COUNT], n[n >= MIN_COUNT]
+    pairs = added([[before, first, *own]], 2)
+    del before, first, own
+    words = added([[pairs[1], *arcs(pairs[2])]], 1)
     # What is seen less often than an arc has no arcs after it: its own count weighs nothing.
-    columns = own[1:], [arcs(pairs[2])[2], *pairs[3:]], words[1:]
+    arc = pairs[2] >= MIN_COUNT
+    pairs = [x[arc] for x in pairs]
+    tables = [pd.Index(x) for x in (triples, pairs[0], words[0])]
     # A key that is not there has the place -1.
-    columns = [[np.append(x, 0) for x in own] for own in columns]
+    columns = [[np.append(x, 0) for x in own] for own in ([n], pairs[2:], words[1:])]
     for chunk, data in asked:
         word, pair, rows = keys_of(data)
         places = [table.get_indexer(x) for table, x in zip(tables, (rows[0], pair, word), strict=True)]
@@ -467,33 +500,41 @@ def scorer(named, buckets: int, tokens: int, distinct: int, once: int):
         words, spread = named.value
         hot = pd.Index(words)
         for data, answers in chunks_of(batches):
-            texts = Texts(data)
-            found = Grams(texts, hot, spread, buckets)
             # Of trigrams the counts; of bigrams and of words (count, arcs, sum of their counts).
-            told = zip(*(unpacked(answers.pop(k)) for k in sorted(answers)), strict=True)
-            triples, *pairs_and_parts = map(np.concatenate, told)
-            pairs, parts = pairs_and_parts[:3], pairs_and_parts[3:]
-            states = [np.bincount(found.part_word, x, len(found.names)) for x in parts]
-            word = states[0][found.count_of[found.word]]
-            chance = np.where(word > 0, word, once) / (tokens + once)
-            for n, state in (
-                (pairs[0][found.pair], (x[found.before] for x in states)),
-                (triples[found.triple], (x[found.pair_before] for x in pairs)),
-            ):
-                arc, fail = weighed(n, *state)
-                chance = arc + fail * chance
-            values = np.stack([word > 0, np.log10((word + 1) / (tokens + distinct + 1)), np.log10(chance)])
-            known, base, score = np.add.reduceat(values, np.cumsum(found.sizes) - found.sizes, axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(texts.ids, pa.int64()),
-                    pa.array(found.sizes),
-                    pa.array(known.astype(np.int64)),
-                    pa.array(base),
-                    pa.array(score),
-                ],
-                names=[x.split()[0] for x in SCORED.split(", ")],
-            ).filter(pa.array(texts.asked))
+            told = {k: unpacked(answers.pop(k), small=True) for k in sorted(answers)}
+            at = np.zeros((buckets, 3), np.int64)
+            for texts in map(Texts, pieces_of(data)):
+                found = Grams(texts, hot, spread, buckets)
+                start, at = at, at + np.diff(found.cuts, axis=0)
+
+                def own(column: int, level: int) -> np.ndarray:
+                    ends = zip(start[:, level].tolist(), at[:, level].tolist(), strict=True)
+                    ends = [slice(*x) for x in ends]
+                    return np.concatenate([x[column][ends[k]] for k, x in told.items()]).astype(np.int64)
+
+                triples, *pairs_and_parts = (own(c, 2 - (c + 2) // 3) for c in range(7))
+                pairs, parts = pairs_and_parts[:3], pairs_and_parts[3:]
+                states = [np.bincount(found.part_word, x, len(found.names)) for x in parts]
+                word = states[0][found.count_of[found.word]]
+                chance = np.where(word > 0, word, once) / (tokens + once)
+                for n, state in (
+                    (pairs[0][found.pair], (x[found.before] for x in states)),
+                    (triples[found.triple], (x[found.pair_before] for x in pairs)),
+                ):
+                    arc, fail = weighed(n, *state)
+                    chance = arc + fail * chance
+                values = np.stack([word > 0, np.log10((word + 1) / (tokens + distinct + 1)), np.log10(chance)])
+                known, base, score = np.add.reduceat(values, np.cumsum(found.sizes) - found.sizes, axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(texts.ids, pa.int64()),
+                        pa.array(found.sizes),
+                        pa.array(known.astype(np.int64)),
+                        pa.array(base),
+                        pa.array(score),
+                    ],
+                    names=[x.split()[0] for x in SCORED.split(", ")],
+                ).filter(pa.array(texts.asked))
 
     return work
 
@@ -564,7 +605,8 @@ def frequent(words: DataFrame, distinct: int) -> tuple[np.ndarray, np.ndarray]:
     if distinct > NAMED_WORDS:
         share = 1 - NAMED_WORDS / distinct
         words = words.where(F.col("n") > words.agg(F.percentile_approx("n", share)).head()[0])
-    parts = [unpacked(r.data) for r in map_arrow(words.select("word", "n"), columns_packed, "data binary").collect()]
+    rows = map_arrow(words.select("word", "n"), columns_packed, "data binary").collect()
+    parts = [unpacked(r.data) for r in rows]
     word, n = np.concatenate([np.empty((2, 0), np.int64), *(np.stack(x) for x in parts)], axis=1)
     order = np.lexsort((word, -n))
     return word[order], n[order]
