@@ -14,9 +14,9 @@ cut into pieces, some of which are a chunk, and a chunk deals the distinct trigr
 over tasks by their first words, each with its count in the piece's training texts. A bigram's count
 is the sum over the trigrams that begin with it, as a text goes on with one more symbol after its
 end, so bigrams are not dealt. Bigrams of a frequent word are spread over several buckets by the
-second one, and a chunk asks all of them for that word's state. A bucket adds up what it holds and answers each chunk in the order the chunk
-named it, so answers carry no n-grams. Frequent words are named by numbers of up to three bytes, all
-others by hashes of eight.
+second one, and a chunk asks all of them for that word's state. A bucket adds up what it holds and
+answers each chunk in the order the chunk named it, so answers carry no n-grams. Frequent words are
+named by numbers of up to three bytes, all others by hashes of eight.
 """
 
 from __future__ import annotations
